@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import checks.fused  # noqa: F401
+import checks.marts  # noqa: F401
 import checks.scalars  # noqa: F401
 from checks.base import ORACLES, QUERIES
 

@@ -43,15 +43,16 @@ def _with_order(df: DataFrame, order: str | None, fields: list[tuple[str, str]])
 def transform(
     observations: DataFrame, occurrences: DataFrame, climate: DataFrame, *, occurrence_order: str = "event_date",
     climate_order: str = "date", precision: float = DEFAULT_PRECISION, max_km: float = DEFAULT_MAX_KM,
-    extent: Extent = NORTH_AMERICA,
+    extent: Extent = NORTH_AMERICA, catalog: DataFrame | None = None,
 ) -> Transformed:
     """Clean the sources, snap and assign cells, aggregate, and fuse.
 
+    A catalogue written by an earlier step spares deriving it again for each source.
     The cleaners keep only ``extent``, which bounds the cells and so every table that
     is joined to the observations; those pass through without a shuffle.
     """
     obs = snap_to_grid(clean_observations(observations, extent), precision=precision)
-    catalog = grid_catalog(obs)
+    catalog = grid_catalog(obs) if catalog is None else catalog
     near = {"max_km": max_km, "precision": precision, "extent": extent}
     occ = assign_to_nearest_cell(clean_occurrences(occurrences, extent), catalog, **near)
     cli = assign_to_nearest_cell(clean_climate(climate, extent), catalog, **near)
@@ -109,7 +110,8 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
     observations = cached_extract(spark, f"{base}/raw/observations", cfg.extract_observations)
     occurrences = cached_extract(spark, f"{base}/raw/occurrences", cfg.extract_occurrences)
     grid_options = {k: v for k, v in cfg.transform_options.items() if k in ("precision", "extent")}
-    catalog = first_pass_catalog(observations, **grid_options)
+    paths = write_stage_tables({"catalog": first_pass_catalog(observations, **grid_options)}, f"{base}/clean")
+    catalog = spark.read.parquet(paths["catalog"])
     climate = cached_extract(spark, f"{base}/raw/climate", lambda: cfg.extract_climate(catalog))
 
     known = {**OBSERVATION_NAMES, **CASE_ONLY_NAMES}
@@ -127,10 +129,9 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
         _gate(written, cfg.gate, stage)
 
     checked("pre", named, climate, occurrences)
-    result = transform(observations, occurrences, climate, **cfg.transform_options)
-    paths = write_stage_tables({
+    result = transform(observations, occurrences, climate, catalog=catalog, **cfg.transform_options)
+    paths |= write_stage_tables({
         "observations": result.observations, "occurrences": result.occurrences, "climate": result.climate,
-        "catalog": result.catalog,
     }, f"{base}/clean")
     # The fused table is aggregated from the clean tables just written, not from the sources again.
     read = {name: spark.read.parquet(path) for name, path in paths.items()}

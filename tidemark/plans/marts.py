@@ -54,9 +54,14 @@ def std_measurement() -> Column:
 
 
 def mean_wave(column: str) -> Column:
-    """Mean of a climate value over observations, from the observation count of each climate row."""
+    """Mean of a climate value over observations, from the observation count of each climate row.
+
+    Climate values are kept to six decimals, so the sum is taken in decimals: it is exact,
+    and the mean does not depend on the order in which tasks are combined.
+    """
     known = F.when(F.col(column).isNotNull(), F.col("n"))
-    return F.try_divide(F.sum(F.col(column) * F.col("n")), F.sum(known))
+    total = F.sum(F.col(column).cast("decimal(18,6)") * F.col("n"))
+    return F.try_divide(total.cast("double"), F.sum(known))
 
 
 def n_species() -> Column:

@@ -22,6 +22,7 @@ def get_session(app: str = "tidemark", master: str | None = None, **conf) -> Spa
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        "spark.ui.showConsoleProgress": "false",
         **{k.replace("__", "."): v for k, v in conf.items()},
     }
     for key, value in settings.items():
