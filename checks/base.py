@@ -280,12 +280,12 @@ def _presented(df: DataFrame, rounded: list[str]) -> DataFrame:
     return df.select(*[shown(f) for f in df.schema.fields])
 
 
-def query(key: str, sql: str | None = None, rounded: str = "", extra: dict[str, str] | None = None):
+def query(key: str, sql: str | None = None, rounded: str | list[str] = "", extra: dict[str, str] | None = None):
     """Register a query, with the SQL it must agree with where there is one.
 
     ``rounded`` names the floating results whose last digits depend on the order of summation.
     """
-    names = rounded.split()
+    names = rounded.split() if isinstance(rounded, str) else rounded
 
     def register(build: Callable[[Given], DataFrame]):
         if key in QUERIES:

@@ -56,7 +56,7 @@ def throughput(messages: DataFrame, time: str, valid: str, length: str = "1 hour
     timed = messages.withWatermark(time, lateness) if messages.isStreaming else messages
     seconds = F.unix_timestamp(F.col("w.end")) - F.unix_timestamp(F.col("w.start"))
     return timed.groupBy(window.alias("w")).agg(
-        F.count_if(valid).alias("valid"), F.count_if(f"NOT {valid}").alias("discarded"),
+        F.count_if(F.col(valid)).alias("valid"), F.count_if(~F.col(valid)).alias("discarded"),
     ).select(F.col("w.start").alias("window_start"), "valid", "discarded",
              ((F.col("valid") + F.col("discarded")) / seconds).alias("per_second"))
 
