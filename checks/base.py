@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tidemark.plans.etl import Transformed, transform
 from tidemark.plans.warehouse import Warehouse, load_warehouse
-from tidemark.session import materialize, scratch_dir
+from tidemark.session import materialize, path_exists, scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -268,6 +268,14 @@ class Given:
     def fused(self) -> DataFrame:
         return self._stage()[2]
 
+    def mart(self, build: Callable[..., DataFrame], *args) -> DataFrame:
+        """A mart written once per session, for summaries that read it more than once."""
+        name = "-".join([build.__name__, *map(str, args)])
+        path = f"{self._stage()[0]}/marts/{name}"
+        if not path_exists(self.spark, f"{path}/_SUCCESS"):
+            materialize(build(self.warehouse, *args), path)
+        return self.spark.read.parquet(path)
+
 
 def _presented(df: DataFrame, rounded: list[str]) -> DataFrame:
     """Dates and times as text, and named averages rounded, so that two engines print them alike."""

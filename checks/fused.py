@@ -225,6 +225,14 @@ def _(g):
     return climate.scaffold(catalog(g), landed, "1997-01-01", "1997-06-30")
 
 
+@query("add_event_stamp", "SELECT count(*) AS n, count(*) AS stamped, 1 AS times FROM fx_climate_raw")
+def _(g):
+    """Every reading is stamped, all of a batch with the same time."""
+    stamp = F.col("extraction_timestamp")
+    return climate.with_extraction_time(g.climate).agg(
+        F.count("*").alias("n"), F.count(stamp).alias("stamped"), F.count_distinct(stamp).cast("int").alias("times"))
+
+
 @query("agg_history_summary", """
 SELECT count(*) AS total_rows, CAST(CAST(max(date) AS DATE) AS VARCHAR) AS newest, CAST(CAST(min(date) AS DATE) AS VARCHAR) AS oldest,
  count(DISTINCT grid_id) AS cells FROM cli""")

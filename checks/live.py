@@ -9,6 +9,8 @@ from checks.base import FIXTURES, Given, query
 from tidemark.plans import live, metrics
 from tidemark.plans.metrics import CONCENTRATION, RISK
 from tidemark.sinks.files import VersionedTable
+from tidemark.sinks.topic import write_message_files
+from tidemark.sources.topic import read_message_files
 from tidemark.streaming import messages, state, windows
 
 PLACE = "year, ocean AS ocean_region, marine_setting AS environment_type"
@@ -130,13 +132,19 @@ def _(g):
     return run_append(g, messages.decode(message_stream(g)).select("seq", "metric_type", "year", "sent_at", "record_count"), "parse")
 
 
-@check("json_codec", "SELECT event_id AS seq, metric_type, year, metric_value FROM sent")
+@check("json_decode", "SELECT event_id AS seq, metric_type, year, metric_value FROM sent")
 def _(g):
     rows = messages.decode(message_batch(g))
     value = F.coalesce(F.col("data")[0]["avg_concentration"], F.col("data")[0]["avg_pollution"])
     return rows.select("seq", "metric_type", "year", value.alias("metric_value"))
 
 
+@check("json_encode", """
+SELECT event_id, to_json({'event_id': event_id, 'metric_type': metric_type, 'year': year, 'unit': unit}) AS value FROM fx_metric_rows""")
+def _(g):
+    return g.metric_rows.select("event_id", F.to_json(F.struct("event_id", "metric_type", "year", "unit")).alias("value"))
+
+
 @check("filter_message_type", "SELECT metric_type, count(*) AS n FROM sent GROUP BY 1")
 def _(g):
     return messages.decode(message_batch(g)).groupBy("metric_type").agg(F.count("*").alias("n"))
@@ -226,6 +234,27 @@ def _(g):
     return table.read().drop("timestamp")
 
 
+@check("src_topic_read", "SELECT metric_type, year, count(*) AS n FROM sent GROUP BY 1, 2")
+def _(g):
+    """Landed message files read as a stream, in place of a broker."""
+    path = g.scratch("landed")
+    write_message_files(message_batch(g), path)
+    decoded = messages.decode(read_message_files(g.spark, path))
+    return run_append(g, decoded.select("metric_type", "year"), "topic").groupBy("metric_type", "year").agg(F.count("*").alias("n"))
+
+
+@check("stream_resume", "SELECT metric_type, count(*) AS messages, CAST(max(ts) AS VARCHAR) AS last_seen FROM sent GROUP BY 1")
+def _(g):
+    """Messages land in two halves; the stream is stopped between them and picks up from its checkpoint."""
+    base = g.scratch("resume")
+    table = VersionedTable(g.spark, f"{base}/table")
+    for half in ("ts < '2024-01-15'", "ts >= '2024-01-15'"):
+        write_message_files(as_messages(g.metric_rows.where(half)), f"{base}/landed")
+        counted = state.counts_stream(read_message_files(g.spark, f"{base}/landed"))
+        state.finish(state.run_to_table(counted, table, f"{base}/checkpoint"))
+    return table.read()
+
+
 # ---------------------------------------------------------------- live views
 
 def live_tables(g: Given) -> tuple[DataFrame, DataFrame]:

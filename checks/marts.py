@@ -214,7 +214,7 @@ def _(g):
 
 @mart("temporal_labels", "SELECT concat(CAST(year AS VARCHAR), '-', lpad(CAST(month AS VARCHAR), 2, '0')) AS fecha, num_observaciones FROM mart_trends")
 def _(g):
-    return a.with_month_label(marts.temporal_trends(g.warehouse, 1996, 2000)).select("fecha", "num_observaciones")
+    return a.with_month_label(g.mart(marts.temporal_trends, 1996, 2000)).select("fecha", "num_observaciones")
 
 
 QUARTERS = """
@@ -225,7 +225,7 @@ FROM (VALUES (1), (2), (3), (4)) q(quarter) LEFT JOIN (
 
 @mart("agg_quarter_profile", QUARTERS, "avg_microplasticos avg_wave_height")
 def _(g):
-    return a.quarter_profile(marts.temporal_trends(g.warehouse, 1996, 2000))
+    return a.quarter_profile(g.mart(marts.temporal_trends, 1996, 2000))
 
 
 @mart("join_complete_domain", """
@@ -242,20 +242,20 @@ TAXON_SUMS = "CAST(sum(num_especies) AS BIGINT) AS num_especies, avg(avg_micropl
 @mart("agg_phylum_rollup", f"""
 SELECT phylum, {TAXON_SUMS} FROM mart_taxa WHERE phylum IS NOT NULL GROUP BY 1 ORDER BY num_especies DESC, phylum LIMIT 20""", "avg_microplasticos")
 def _(g):
-    return a.phylum_rollup(marts.biodiversity(g.warehouse))
+    return a.phylum_rollup(g.mart(marts.biodiversity))
 
 
 @mart("agg_family_rollup", f"""
 SELECT family, {TAXON_SUMS} FROM mart_taxa WHERE family IS NOT NULL GROUP BY 1 ORDER BY num_especies DESC, family LIMIT 20""", "avg_microplasticos")
 def _(g):
-    return a.family_rollup(marts.biodiversity(g.warehouse))
+    return a.family_rollup(g.mart(marts.biodiversity))
 
 
 @mart("agg_exposure_rollup", f"""
 SELECT phylum, family, {TAXON_SUMS} FROM mart_taxa WHERE phylum IS NOT NULL AND family IS NOT NULL GROUP BY 1, 2
 ORDER BY avg_microplasticos DESC, phylum, family LIMIT 20""", "avg_microplasticos")
 def _(g):
-    return a.exposure_rollup(marts.biodiversity(g.warehouse))
+    return a.exposure_rollup(g.mart(marts.biodiversity))
 
 
 REPORT = """
@@ -265,7 +265,7 @@ ORDER BY num_especies DESC, kingdom NULLS FIRST, phylum NULLS FIRST, class NULLS
 
 
 def _taxon_report(g):
-    return a.taxon_report(marts.biodiversity(g.warehouse))
+    return a.taxon_report(g.mart(marts.biodiversity))
 
 
 @mart("rename_report_table", REPORT)
@@ -282,7 +282,7 @@ def _(g):
 SELECT {PLACE}, 0.6*microplasticos/max(microplasticos) OVER () + 0.4*(1 - biodiversidad/max(biodiversidad) OVER ()) AS riesgo_score,
  microplasticos/max(microplasticos) OVER ()*30 + 8 AS marker_size FROM mart_spots""", "riesgo_score marker_size")
 def _(g):
-    return a.zone_risk(marts.hotspots(g.warehouse)).select(
+    return a.zone_risk(g.mart(marts.hotspots)).select(
         "latitude", "longitude", "ocean", "marine_setting", "riesgo_score", "marker_size")
 
 
@@ -295,19 +295,19 @@ SELECT sampling_method, avg(avg_wave_height) AS avg_wave_height, avg(avg_micropl
 SELECT *, num_observaciones/(SELECT max(num_observaciones) FROM ({METHODS}))*30 + 6 AS marker_size FROM ({METHODS})
 ORDER BY num_observaciones DESC, sampling_method LIMIT 30""", "avg_wave_height avg_microplasticos marker_size")
 def _(g):
-    return a.method_rollup(marts.sampling_effectiveness(g.warehouse))
+    return a.method_rollup(g.mart(marts.sampling_effectiveness))
 
 
 @mart("topk_30", f"SELECT sampling_method, num_observaciones FROM ({METHODS}) ORDER BY num_observaciones DESC, sampling_method LIMIT 30")
 def _(g):
-    return a.method_rollup(marts.sampling_effectiveness(g.warehouse)).select("sampling_method", "num_observaciones")
+    return a.method_rollup(g.mart(marts.sampling_effectiveness)).select("sampling_method", "num_observaciones")
 
 
 @mart("topk_15", """
 SELECT sampling_method, concentration_class_range, concentration_class_text, num_observaciones FROM mart_methods
 ORDER BY num_observaciones DESC, sampling_method, concentration_class_range, concentration_class_text LIMIT 15""")
 def _(g):
-    return a.method_bars(marts.sampling_effectiveness(g.warehouse))
+    return a.method_bars(g.mart(marts.sampling_effectiveness))
 
 
 @mart("max_scaled_size", """
@@ -315,7 +315,7 @@ SELECT *, num_observaciones/max(num_observaciones) OVER ()*20 + 6 AS marker_size
  SELECT wave_height_max, swell_wave_height_max, avg_microplasticos, num_observaciones, num_especies FROM mart_waves
  WHERE wave_height_max IS NOT NULL AND swell_wave_height_max IS NOT NULL)""", "marker_size")
 def _(g):
-    return a.wave_scatter(marts.climate_correlation(g.warehouse))
+    return a.wave_scatter(g.mart(marts.climate_correlation))
 
 
 BINNED = """
@@ -327,7 +327,7 @@ FROM mart_waves, (SELECT min(wave_height_max) AS lo, max(wave_height_max) AS hi
 SELECT wave_bin, avg(avg_microplasticos) AS avg_microplasticos, CAST(sum(num_especies) AS BIGINT) AS num_especies,
  CAST(sum(num_observaciones) AS BIGINT) AS num_observaciones FROM ({BINNED}) GROUP BY 1""", "avg_microplasticos")
 def _(g):
-    return a.bin_rollup(marts.climate_correlation(g.warehouse))
+    return a.bin_rollup(g.mart(marts.climate_correlation))
 
 
 @mart("agg_bin_box_stats", f"""
@@ -335,7 +335,7 @@ SELECT wave_bin, count(*) AS n, min(avg_microplasticos) AS low, quantile_cont(av
  quantile_cont(avg_microplasticos, 0.5) AS median, quantile_cont(avg_microplasticos, 0.75) AS q3, max(avg_microplasticos) AS high
 FROM ({BINNED}) GROUP BY 1""", "low q1 median q3 high")
 def _(g):
-    return a.bin_box_stats(marts.climate_correlation(g.warehouse))
+    return a.bin_box_stats(g.mart(marts.climate_correlation))
 
 
 POINTS = """
@@ -347,7 +347,7 @@ SELECT list_extract(['N','NE','E','SE','S','SW','W','NW'], CAST(floor((wave_dire
 SELECT c.cardinal, coalesce(p.avg_microplasticos, 0) AS avg_microplasticos FROM (VALUES ('N'),('NE'),('E'),('SE'),('S'),('SW'),('W'),('NW')) c(cardinal)
 LEFT JOIN ({POINTS}) p ON p.cardinal = c.cardinal""", "avg_microplasticos")
 def _(g):
-    return a.direction_rollup(marts.climate_correlation(g.warehouse))
+    return a.direction_rollup(g.mart(marts.climate_correlation))
 
 
 _COMPLETE = f"SELECT {', '.join(a.CORRELATED)} FROM mart_waves WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in a.CORRELATED)
@@ -357,4 +357,4 @@ _COMPLETE = f"SELECT {', '.join(a.CORRELATED)} FROM mart_waves WHERE " + " AND "
     f"SELECT '{x}' AS variable_i, '{y}' AS variable_j, corr({x}, {y}) AS r FROM ({_COMPLETE})"
     for x in a.CORRELATED for y in a.CORRELATED), "r")
 def _(g):
-    return a.correlation_matrix(marts.climate_correlation(g.warehouse))
+    return a.correlation_matrix(g.mart(marts.climate_correlation))

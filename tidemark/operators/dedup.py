@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from tidemark.operators.columns import quoted
 from tidemark.operators.skew import semi_join_counted
@@ -46,9 +47,31 @@ def count_duplicate_groups(df: DataFrame, columns: Sequence[str] | None = None)
     return duplicate_groups(df, columns).agg(F.count("*").alias("duplicated_groups"))
 
 
+# Heads up to this size are small enough for every task to hold one.
+SMALL_HEAD = 10_000
+_SKETCH = 100_000
+_SHARES = [min(1.0, 2.0 / _SKETCH * 2**k) for k in range(17)]
+
+
 def head_rows(df: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:
-    """The first ``n`` rows in a stated order."""
-    return df.orderBy(*[quoted(c) for c in order_by]).limit(n)
+    """The first ``n`` rows in a stated order.
+
+    A large head is cut out in two steps, because every task would otherwise keep ``n``
+    rows and send them to one. A sketch of the first order column gives a value that is
+    certain to lie beyond the ``n``-th row; only rows up to it are sorted.
+    """
+    order = [quoted(c) for c in order_by]
+    if n > SMALL_HEAD and isinstance(df.schema[order_by[0]].dataType, NumericType):
+        sketch = df.agg(
+            F.count(order[0]).alias("total"), F.max(order[0]).alias("top"),
+            F.percentile_approx(order[0], _SHARES, _SKETCH).alias("at"),
+        )
+        beyond = F.coalesce(*[
+            F.when(F.col("total") * (share - 1.0 / _SKETCH) >= n, F.col("at")[i]) for i, share in enumerate(_SHARES)
+        ], F.col("top"))
+        limit_value = sketch.select(beyond.alias("v")).scalar()
+        df = df.where(order[0].isNull() | (order[0] <= limit_value))
+    return df.orderBy(*order).limit(n)
 
 
 def _hash_order(id_columns: Sequence[str], seed: int):
@@ -70,5 +93,6 @@ def sample_cap(
     if fraction is not None and 0 < fraction < 1:
         return sample_fraction(df, fraction, id_columns, seed)
     if max_rows is not None and max_rows > 0:
-        return df.orderBy(_hash_order(id_columns, seed), *[quoted(c) for c in id_columns]).limit(max_rows)
+        hashed = df.withColumn("_order", _hash_order(id_columns, seed))
+        return head_rows(hashed, ["_order", *id_columns], max_rows).drop("_order")
     return df

@@ -11,7 +11,7 @@ from tidemark.functions.geo import DEFAULT_PRECISION, Extent
 from tidemark.operators.skew import salted_lookup
 
 # Rows of a lookup side that may be broadcast when the extent proves it stays below.
-MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_ROWS = 100_000
 _MONTHS = 12
 
 

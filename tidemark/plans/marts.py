@@ -25,15 +25,18 @@ TOP_ROWS = 100
 def summed_facts(fact: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Counts and moments per key combination and species.
 
-    A row with several species appears once under each of them; only its first
-    appearance carries the measurement, so averages and counts are not inflated.
+    Facts are summed per key and species list first, and only then are the lists
+    unfolded. A list appears once under each of its species; the first of them carries
+    the sums, so averages and counts are not inflated.
     """
-    rows = fact.select(*keys, "measurement", F.posexplode_outer("species_ids").alias("_pos", "species_id"))
-    value = F.when(F.coalesce(F.col("_pos"), F.lit(0)) == 0, F.col("measurement"))
-    return rows.groupBy(*keys, "species_id").agg(
+    value = F.col("measurement")
+    sums = fact.groupBy(*keys, "species_ids").agg(
         F.count(value).alias("n"), F.sum(value).alias("s"), F.max(value).alias("mx"), F.min(value).alias("mn"),
         F.var_pop(value).alias("var"),
     )
+    unfolded = sums.select(*keys, "n", "s", "mx", "mn", "var", F.posexplode_outer("species_ids").alias("_pos", "species_id"))
+    first = F.coalesce(F.col("_pos"), F.lit(0)) == 0
+    return unfolded.select(*keys, "species_id", *[F.when(first, F.col(c)).alias(c) for c in ("n", "s", "mx", "mn", "var")])
 
 
 def n_observations() -> Column:
@@ -157,36 +160,28 @@ def ocean_comparison(wh: Warehouse) -> DataFrame:
 def biodiversity(wh: Warehouse, limit: int = TOP_ROWS) -> DataFrame:
     """Taxonomic groups by number of species.
 
-    Here the measurement counts once under every species it is linked to, as in a
-    join of species to facts; observations of a group are counted once.
+    Here a measurement counts once under every species of the group it is linked to, as
+    in a join of species to facts; observations of a group are counted once. Facts are
+    summed per species list before the lists are unfolded and joined to the species.
     """
-    linked = wh.fact.where(F.size("species_ids") > 0).select(
-        "observation_id", "measurement", CLIMATE_FK, F.size("species_ids").alias("links"),
-        F.explode("species_ids").alias("species_id"),
-    )
-    single = linked.groupBy("species_id", CLIMATE_FK).agg(
-        F.count("*").alias("n"), F.sum("measurement").alias("s"),
-        F.count_if(F.col("links") == 1).alias("sole"),
-    )
     ranks = SPECIES_RANKS[:-1]
+    lists = wh.fact.where(F.size("species_ids") > 0).groupBy("species_ids", CLIMATE_FK).agg(
+        F.count("*").alias("n"), F.sum("measurement").alias("s"))
     known = wh.dim_species.where("kingdom IS NOT NULL").select("species_id", *ranks)
-    groups = _with_climate(single, wh).join(known, "species_id").groupBy(*ranks).agg(
-        n_species().alias("num_especies"), F.sum("sole").alias("_sole"),
+    linked = lists.withColumn("species_id", F.explode("species_ids")).join(known, "species_id")
+    # What a list has in a group: its sums, and its species there, at most the length of the list.
+    shares = linked.groupBy(*ranks, "species_ids", CLIMATE_FK).agg(
+        F.max("n").alias("n"), F.max("s").alias("s"), F.collect_set("species_id").alias("members"))
+    shares = shares.select(*ranks, CLIMATE_FK, "s", F.col("n").alias("rows_once"), F.size("members").alias("k"),
+                           F.posexplode("members").alias("_pos", "species_id"))
+    first = F.col("_pos") == 0
+    weighted = shares.select(
+        *ranks, CLIMATE_FK, "species_id", F.when(first, F.col("rows_once")).alias("rows_once"),
+        F.when(first, F.col("rows_once") * F.col("k")).alias("n"), F.when(first, F.col("s") * F.col("k")).alias("s"))
+    return _with_climate(weighted, wh).groupBy(*ranks).agg(
+        n_species().alias("num_especies"), F.sum("rows_once").alias("num_observaciones"),
         mean_measurement().alias("avg_microplasticos"), mean_wave("wave_height_max").alias("avg_wave_height"),
-    )
-    # Observations with several species may meet the same group more than once.
-    shared = (
-        linked.where("links > 1").select("observation_id", "species_id").join(known, "species_id")
-        .select("observation_id", *ranks).distinct().groupBy(*[F.col(c).alias(f"_{c}") for c in ranks])
-        .agg(F.count("*").alias("_shared"))
-    )
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ranks]
-    joined = groups.join(shared, same, "left").select(
-        *ranks, "num_especies",
-        (F.col("_sole") + F.coalesce("_shared", F.lit(0))).alias("num_observaciones"),
-        "avg_microplasticos", "avg_wave_height",
-    )
-    return joined.orderBy(F.desc("num_especies"), *ranks).limit(limit)
+    ).orderBy(F.desc("num_especies"), *ranks).limit(limit)
 
 
 def climate_correlation(wh: Warehouse, min_observations: int = 2) -> DataFrame:

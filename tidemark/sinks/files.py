@@ -33,17 +33,21 @@ class VersionedTable:
     """A table that is replaced as a whole: each write goes to a new numbered folder.
 
     Readers take the newest folder that finished, so a write that breaks off, or one
-    that reads the version before it, never harms the table.
+    that reads the version before it, never harms the table. The last few versions
+    are kept for readers that are still busy with them.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, keep: int = 5):
         self.spark = spark
         self.path = path.rstrip("/")
+        self.keep = keep
+
+    def _hadoop(self, path: str):
+        hadoop_path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return hadoop_path, hadoop_path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
     def _versions(self) -> list[int]:
-        jvm = self.spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        root, fs = self._hadoop(self.path)
         if not fs.exists(root):
             return []
         names = [status.getPath().getName() for status in fs.listStatus(root)]
@@ -58,6 +62,9 @@ class VersionedTable:
         versions = self._versions()
         target = f"{self.path}/v={versions[-1] + 1 if versions else 0}"
         df.write.mode("overwrite").parquet(target)
+        for old in versions[: max(0, len(versions) + 1 - self.keep)]:
+            path, fs = self._hadoop(f"{self.path}/v={old}")
+            fs.delete(path, True)
         return self.spark.read.parquet(target)
 
 

@@ -26,12 +26,16 @@ def read_topic(spark: SparkSession, servers: str, topic: str = DEFAULT_TOPIC, st
 
 
 def read_message_files(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """A stream over message files, one JSON text per line, with the columns of :func:`read_topic`."""
+    """A stream over message files, one JSON text per line, with the columns of :func:`read_topic`.
+
+    Lines of a file have no position in Spark, so ``seq`` is a hash of the text: it only
+    makes the order of messages with equal times repeatable.
+    """
     reader = spark.readStream.format("text")
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.load(path).select(
         "value",
         F.col("_metadata.file_modification_time").alias("arrival"),
-        F.monotonically_increasing_id().alias("seq"),
+        F.xxhash64("value").alias("seq"),
     )
