@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.plans.etl import Transformed, transform
+from tidemark.plans.etl import Transformed, first_pass_catalog, transform
 from tidemark.plans.warehouse import Warehouse, load_warehouse
 from tidemark.session import materialize, path_exists, scratch_dir
 
@@ -210,6 +210,7 @@ def full_sql(body: str, extra: dict[str, str] | None = None) -> str:
 
 # ---------------------------------------------------------------- fixtures as frames
 
+_CATALOGS: dict[tuple[str, str], DataFrame] = {}
 _STAGES: dict[tuple[str, str], tuple[str, Warehouse, DataFrame]] = {}
 
 
@@ -243,9 +244,17 @@ class Given:
     def metric_rows(self) -> DataFrame:
         return self.fixture("fx_metric_rows")
 
+    @cached_property
+    def catalog(self) -> DataFrame:
+        """The cell catalogue, written once per session like any stage table."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+        if key not in _CATALOGS:
+            _CATALOGS[key] = materialize(first_pass_catalog(self.micro), self.scratch("catalog"))
+        return _CATALOGS[key]
+
     @cached_property
     def transformed(self) -> Transformed:
-        return transform(self.micro, self.species, self.climate,
+        return transform(self.micro, self.species, self.climate, catalog=self.catalog,
                          occurrence_order="occurrence_id", climate_order="reading_id")
 
     def scratch(self, label: str) -> str:

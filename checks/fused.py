@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.base import RANKS, WAVES, Given, blank, key_sql, micros, query
+from checks.base import RANKS, WAVES, blank, key_sql, micros, query
 from checks.scalars import raw_observations
 from tidemark.functions.geo import NORTH_AMERICA
 from tidemark.operators import asof, clean, climate, dedup
@@ -17,10 +17,6 @@ Q_RANKS = ", ".join(f'"{r}"' for r in RANKS)
 WAVE_NAMES = " ".join(WAVES)
 
 
-def catalog(g: Given):
-    return etl.first_pass_catalog(g.micro)
-
-
 # ---------------------------------------------------------------- cells
 
 @query("agg_grid_catalog", "SELECT * FROM cat")
@@ -37,7 +33,7 @@ def _(g):
 SELECT 'reading' AS kind, reading_id AS id, grid_id, grid_lat, grid_lon FROM cli
 UNION ALL SELECT 'occurrence', occurrence_id, grid_id, grid_lat, grid_lon FROM occ""")
 def _(g):
-    cells = catalog(g)
+    cells = g.catalog
     readings = assign_to_nearest_cell(clean.clean_climate(g.climate), cells, extent=NORTH_AMERICA)
     found = assign_to_nearest_cell(clean.clean_occurrences(g.species), cells, extent=NORTH_AMERICA)
     cell = ["grid_id", "grid_lat", "grid_lon"]
@@ -48,7 +44,7 @@ def _(g):
 @query("join_nearest_cell_unbounded", "SELECT reading_id, grid_id, grid_lat, grid_lon FROM cli")
 def _(g):
     """Without a known extent: shuffled by cell, every cell spread over several tasks."""
-    found = assign_to_nearest_cell(clean.clean_climate(g.climate), catalog(g), salts=4)
+    found = assign_to_nearest_cell(clean.clean_climate(g.climate), g.catalog, salts=4)
     return found.select("reading_id", "grid_id", "grid_lat", "grid_lon")
 
 
@@ -76,7 +72,7 @@ SELECT c.*, o.ocean FROM cli_month c LEFT JOIN (
   FROM cli WHERE reading_id % 3 <> 0 GROUP BY 1, 2) o ON o.grid_id = c.grid_id AND o.m = c.month""", rounded=WAVE_NAMES)
 def _(g):
     ocean = F.when(F.expr("reading_id % 3 <> 0"), F.when(F.col("longitude") > -100, "Atlantic Ocean").otherwise("Pacific Ocean"))
-    readings = assign_to_nearest_cell(clean.clean_climate(g.climate), catalog(g), extent=NORTH_AMERICA)
+    readings = assign_to_nearest_cell(clean.clean_climate(g.climate), g.catalog, extent=NORTH_AMERICA)
     return climate.monthly_climate(readings.withColumn("ocean", ocean), "reading_id")
 
 
@@ -211,7 +207,7 @@ SELECT reading_id, grid_id, CAST(CAST(date AS DATE) AS VARCHAR) AS date FROM cli
 WHERE grid_id IN (SELECT grid_id FROM cat) AND date BETWEEN DATE '1996-03-01' AND DATE '1997-02-28'""")
 def _(g):
     readings = g.transformed.climate
-    return climate.new_readings(readings, catalog(g), "1996-03-01", "1997-02-28").select("reading_id", "grid_id", "date")
+    return climate.new_readings(readings, g.catalog, "1996-03-01", "1997-02-28").select("reading_id", "grid_id", "date")
 
 
 @query("src_climate_scaffold", f"""
@@ -222,7 +218,7 @@ LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY date, grid_id ORDER BY read
  ON r.rn = 1 AND r.grid_id = c.grid_id AND CAST(r.date AS DATE) = d.day""")
 def _(g):
     landed = dedup.keep_last(g.transformed.climate.where("grid_id IS NOT NULL"), ["date", "grid_id"], ["reading_id"])
-    return climate.scaffold(catalog(g), landed, "1997-01-01", "1997-06-30")
+    return climate.scaffold(g.catalog, landed, "1997-01-01", "1997-06-30")
 
 
 @query("add_event_stamp", "SELECT count(*) AS n, count(*) AS stamped, 1 AS times FROM fx_climate_raw")

@@ -12,8 +12,8 @@ NULL_TOKEN = "~"
 
 
 def number_part(value: str | Column) -> Column:
-    """A number as a whole count of millionths, so that every engine prints it alike."""
-    return F.round(as_column(value) * 1e6).cast("bigint").cast("string")
+    """A number of at most six decimals as a whole count of millionths, which every engine prints alike."""
+    return F.rint(as_column(value) * 1e6).cast("bigint").cast("string")
 
 
 def surrogate_key(*parts: Column) -> Column:

@@ -41,9 +41,18 @@ def blank_to_null(value: str | Column) -> Column:
     return F.nullif(F.btrim(as_column(value), F.lit(_WHITESPACE)), F.lit(""))
 
 
+# From here on a double cannot tell values apart that differ only in the sixth decimal.
+_NO_DECIMALS_ABOVE = 1e9
+
+
 def norm_number(value: str | Column) -> Column:
-    """Number rounded to six decimals, NaN to null."""
-    return F.round(nan_to_null(as_column(value).cast("double")), 6)
+    """Number rounded to six decimals, ties to even, NaN to null.
+
+    Written with ``rint``, which is plain arithmetic; ``round`` goes through a decimal
+    object for every value.
+    """
+    number = nan_to_null(as_column(value).cast("double"))
+    return F.when(F.abs(number) < _NO_DECIMALS_ABOVE, F.rint(number * 1e6) / 1e6).otherwise(number)
 
 
 def first_nonblank(*values: str | Column) -> Column:

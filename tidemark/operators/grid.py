@@ -30,8 +30,9 @@ def snap_to_grid(
 
 
 def grid_catalog(snapped: DataFrame) -> DataFrame:
-    """The distinct cells in use."""
-    return snapped.select(*GRID_COLUMNS).where("grid_id IS NOT NULL").distinct()
+    """The distinct cells in use. Names are written for the distinct centres, not for every row."""
+    centres = snapped.select("grid_lat", "grid_lon").dropna().distinct()
+    return centres.select(grid_id("grid_lat", "grid_lon").alias("grid_id"), "grid_lat", "grid_lon")
 
 
 def search_rings(precision: float, max_km: float) -> int:
@@ -46,11 +47,13 @@ def search_rings(precision: float, max_km: float) -> int:
 def candidate_cells(catalog: DataFrame, precision: float, max_km: float) -> DataFrame:
     """For every cell index, the catalogued cells that a point inside it may be assigned to.
 
-    Cells are distinct, so a list holds at most ``(2 * rings + 1) ** 2`` entries.
+    The catalogue lists each cell once, so a list holds at most ``(2 * rings + 1) ** 2``
+    entries. Rows are filtered by centre, not by name: a filter on the name would be
+    pushed below the catalogue's own aggregate and name every raw row.
     """
     rings = search_rings(precision, max_km)
     steps = F.sequence(F.lit(-rings), F.lit(rings))
-    cells = catalog.select(*GRID_COLUMNS).dropna().distinct()
+    cells = catalog.select(*GRID_COLUMNS).dropna(subset=["grid_lat", "grid_lon"])
     around = cells.withColumn("di", F.explode(steps)).withColumn("dj", F.explode(steps))
     return (
         around.groupBy(

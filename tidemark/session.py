@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+# A stage that cleans, snaps and joins in one pass becomes one long generated method; by
+# default the JVM leaves methods of that length uncompiled and interprets them.
+JIT_OPTION = "-XX:-DontCompileHugeMethods"
 
 
 def get_session(app: str = "tidemark", master: str | None = None, **conf) -> SparkSession:
@@ -23,6 +26,8 @@ def get_session(app: str = "tidemark", master: str | None = None, **conf) -> Spa
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.showConsoleProgress": "false",
+        "spark.driver.extraJavaOptions": JIT_OPTION,
+        "spark.executor.extraJavaOptions": JIT_OPTION,
         **{k.replace("__", "."): v for k, v in conf.items()},
     }
     for key, value in settings.items():
