@@ -142,7 +142,7 @@ def correlation_matrix(correlation: DataFrame) -> DataFrame:
     pairs = [(a, b) for i, a in enumerate(CORRELATED) for b in CORRELATED[i:]]
     row = complete.agg(
         F.count("*").alias("n"),
-        *[F.nanvl(F.corr(a, b), F.lit(None).cast("double")).alias(f"r_{a}_{b}") for a, b in pairs],
+        *[F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b)).alias(f"r_{a}_{b}") for a, b in pairs],
     )
     cells = [
         F.struct(F.lit(a).alias("variable_i"), F.lit(b).alias("variable_j"),
