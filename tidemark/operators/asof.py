@@ -25,7 +25,9 @@ def nearest_date_join(
     The result is handed back to the rows by a salted lookup.
     """
     span = F.floor(F.unix_date(F.col(date)) / (tolerance_days + 1))
-    asked = left.select(key, date).dropna().distinct().select(
+    # Pairs with a null part find nothing; they are not filtered out, since the filter would
+    # be pushed down to the rows and evaluate the key expression once more for each.
+    asked = left.select(key, date).distinct().select(
         key, F.col(date), span.alias("_span"), F.lit(None).cast("date").alias("_at"),
         F.lit(True).alias("_asked"), F.lit(None).cast(_struct_type(right, values)).alias("_v"),
     )

@@ -51,7 +51,9 @@ def rejected(raw: DataFrame) -> DataFrame:
 def has_required_fields(message_value: str = "value") -> Column:
     """Whether the first row of the message names every field its type requires.
 
-    The decoded row cannot tell a missing field from a null one, the JSON text can.
+    The decoded row cannot tell a missing field from a null one, the JSON text can. The
+    test looks at the text alone: a test of decoded fields would be pushed below the
+    decoding and parse the message again for each of them.
     """
     fields = F.json_object_keys(F.get_json_object(message_value, "$.data[0]"))
     test = F.lit(False)
