@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.plans.etl import Transformed, first_pass_catalog, transform
-from tidemark.plans.warehouse import Warehouse, load_warehouse
+from tidemark.plans.warehouse import Warehouse, load_warehouse, read_warehouse
 from tidemark.session import materialize, path_exists, scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -210,8 +210,8 @@ def full_sql(body: str, extra: dict[str, str] | None = None) -> str:
 
 # ---------------------------------------------------------------- fixtures as frames
 
-_CATALOGS: dict[tuple[str, str], DataFrame] = {}
-_STAGES: dict[tuple[str, str], tuple[str, Warehouse, DataFrame]] = {}
+# Folders written by this application, by what they hold and the tables they were made from.
+_WRITTEN: dict[tuple[str, str, str], str] = {}
 
 
 class Given:
@@ -247,10 +247,8 @@ class Given:
     @cached_property
     def catalog(self) -> DataFrame:
         """The cell catalogue, written once per session like any stage table."""
-        key = (self.spark.sparkContext.applicationId, self.sf_dir)
-        if key not in _CATALOGS:
-            _CATALOGS[key] = materialize(first_pass_catalog(self.micro), self.scratch("catalog"))
-        return _CATALOGS[key]
+        base = self._written("catalog", lambda b: materialize(first_pass_catalog(self.micro), f"{b}/cells"))
+        return self.spark.read.parquet(f"{base}/cells")
 
     @cached_property
     def transformed(self) -> Transformed:
@@ -260,27 +258,36 @@ class Given:
     def scratch(self, label: str) -> str:
         return scratch_dir(self.spark, label)
 
-    def _stage(self) -> tuple[str, Warehouse, DataFrame]:
-        """Fused table and warehouse, written once per session, as a load would leave them."""
-        key = (self.spark.sparkContext.applicationId, self.sf_dir)
-        if key not in _STAGES:
-            base = self.scratch("stage")
-            fused = materialize(self.transformed.fused, f"{base}/fused")
-            _STAGES[key] = (base, load_warehouse(fused, f"{base}/warehouse", load_id="first"), fused)
-        return _STAGES[key]
+    def _written(self, label: str, write: Callable[[str], object]) -> str:
+        """A folder filled once per application, and again if it has gone."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, label)
+        if key not in _WRITTEN or not path_exists(self.spark, _WRITTEN[key]):
+            base = self.scratch(label)
+            write(base)
+            _WRITTEN[key] = base
+        return _WRITTEN[key]
 
-    @property
+    def _write_stage(self, base: str) -> None:
+        fused = materialize(self.transformed.fused, f"{base}/fused")
+        load_warehouse(fused, f"{base}/warehouse", load_id="first")
+
+    @cached_property
+    def stage(self) -> str:
+        """Fused table and warehouse, as a load leaves them."""
+        return self._written("stage", self._write_stage)
+
+    @cached_property
     def warehouse(self) -> Warehouse:
-        return self._stage()[1]
+        return read_warehouse(self.spark, f"{self.stage}/warehouse")
 
-    @property
+    @cached_property
     def fused(self) -> DataFrame:
-        return self._stage()[2]
+        return self.spark.read.parquet(f"{self.stage}/fused")
 
     def mart(self, build: Callable[..., DataFrame], *args) -> DataFrame:
         """A mart written once per session, for summaries that read it more than once."""
         name = "-".join([build.__name__, *map(str, args)])
-        path = f"{self._stage()[0]}/marts/{name}"
+        path = f"{self.stage}/marts/{name}"
         if not path_exists(self.spark, f"{path}/_SUCCESS"):
             materialize(build(self.warehouse, *args), path)
         return self.spark.read.parquet(path)

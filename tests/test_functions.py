@@ -160,6 +160,15 @@ def test_salted_lookup_keeps_rows(spark):
     assert got.count() == 503 and got.where("v = 1").count() == 500 and got.where("v IS NULL").count() == 2
 
 
+def test_counted_lookup_keeps_rows(spark):
+    left = spark.createDataFrame([("hot", i) for i in range(3000)] + [(f"k{i}", i) for i in range(1500)] + [(None, 7)] * 5, "k string, i int")
+    counts = left.groupBy("k").agg(F.count("*").alias("n"))
+    right = counts.withColumn("v", F.when(F.col("k") != "k3", F.length("k")))
+    got = skew.lookup_counted(left, right, ["k"], "n")
+    assert got.columns == ["k", "i", "v"] and got.count() == 4505
+    assert got.where("k = 'hot' AND v = 3").count() == 3000 and got.where("v IS NULL").count() == 6
+
+
 def test_duplicates_with_a_hot_group_and_nulls(spark):
     rows = [("x", None)] * 3000 + [("y", i) for i in range(2000)] + [(None, None)] * 2 + [("z", 5)] * 2
     df = spark.createDataFrame(rows, "a string, b int")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_SALTS = 32
@@ -23,26 +23,48 @@ def salted_lookup(left: DataFrame, right: DataFrame, on: Sequence[str], salts: i
     return dealt.join(spread, [*on, "_salt"], "left").drop("_salt")
 
 
+def _renamed_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
+    return df.withColumnsRenamed({c: f"_k{i}" for i, c in enumerate(on)})
+
+
+def _same_keys(on: Sequence[str]) -> Column:
+    """Keys of the left side against the renamed ones; null matches null."""
+    condition = F.lit(True)
+    for i, c in enumerate(on):
+        condition = condition & F.col(f"`{c}`").eqNullSafe(F.col(f"_k{i}"))
+    return condition
+
+
+def _hot_and_cold(counted: DataFrame, total: Column, count_column: str) -> tuple[DataFrame, DataFrame]:
+    """Keys with more than one in ``HOT_SHARE`` of all rows, at most ``HOT_SHARE`` of them, and the rest."""
+    share = F.col(count_column) * HOT_SHARE
+    return counted.where(share > total), counted.where(share <= total)
+
+
 def semi_join_counted(left: DataFrame, counted: DataFrame, on: Sequence[str], count_column: str) -> DataFrame:
     """Left rows whose key is in ``counted``, a frame of unique keys with their left row counts.
 
-    Keys holding more than one in ``HOT_SHARE`` of the counted rows can number at most
-    ``HOT_SHARE``; they are broadcast. The other keys are joined by shuffle, where none
-    of them is large. Null keys match null keys.
+    Hot keys are broadcast, of which there are only so many; the other keys are joined by
+    shuffle, where none of them is large.
     """
     total = counted.agg(F.sum(count_column)).scalar()
-    hot_keys = counted.where(F.col(count_column) * HOT_SHARE > total).select(*on)
-    cold_keys = counted.where(F.col(count_column) * HOT_SHARE <= total).select(*on)
-
-    def matches(keys: DataFrame, how: str, source: DataFrame) -> DataFrame:
-        renamed = keys.select(*[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(on)])
-        renamed = F.broadcast(renamed) if keys is hot_keys else renamed
-        condition = None
-        for i, c in enumerate(on):
-            term = source[f"`{c}`"].eqNullSafe(renamed[f"_k{i}"])
-            condition = term if condition is None else condition & term
-        return source.join(renamed, condition, how)
-
-    hot = matches(hot_keys, "left_semi", left)
-    cold = matches(cold_keys, "left_semi", matches(hot_keys, "left_anti", left))
-    return hot.unionByName(cold)
+    keys = _renamed_keys(counted.select(*[F.col(f"`{c}`") for c in on], count_column), on)
+    hot, cold = (part.drop(count_column) for part in _hot_and_cold(keys, total, count_column))
+    same = _same_keys(on)
+    rest = left.join(F.broadcast(hot), same, "left_anti")
+    return left.join(F.broadcast(hot), same, "left_semi").unionByName(rest.join(cold, same, "left_semi"))
+
+
+def lookup_counted(left: DataFrame, right: DataFrame, on: Sequence[str], count_column: str) -> DataFrame:
+    """Left join against ``right``: one row for every key of the left, with its left row count.
+
+    As in :func:`semi_join_counted`, hot keys are broadcast and the others shuffled, so
+    the right side is not repeated as a salted join would.
+    """
+    total = left.agg(F.count("*")).scalar()
+    hot, cold = (part.drop(count_column) for part in _hot_and_cold(_renamed_keys(right, on), total, count_column))
+    same = _same_keys(on)
+    keys = [f"_k{i}" for i in range(len(on))]
+    rest = left.join(F.broadcast(hot.select(*keys)), same, "left_anti")
+    found = left.join(F.broadcast(hot), same).unionByName(rest.join(cold, same, "left"))
+    return found.drop(*keys)
