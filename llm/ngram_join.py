@@ -6,8 +6,8 @@ sketch over all documents. Two sets can reach the similarity only if they share
 overlaps and discards pairs whose sizes or remaining columns rule out the bound. A second product accumulates the
 exact overlaps of the surviving pairs, block by block, and discards those below the bound.
 
-Pairs inside one group of near copies are not all formed: a first round pairs the members of a column with one member
-per range of sizes and joins what links; a second round forms every pair of the same column that is still in different
+Pairs inside one group of near copies are not all formed: leader rounds pair the members of a column with one member
+per range of sizes and join what links; the last round forms every pair of the same column that is still in different
 components. No link between components is lost, because such a pair shares a column and is tested in that round.
 """
 
@@ -27,7 +27,8 @@ SKETCH_BITS = 20  # 4 MB of counts, whatever the input; it only orders columns,
 SKETCH_SLICES = 64
 FILTER_BITS = 24  # of the set of candidate documents: 2 MB, whatever their number; false hits are removed by a join
 COLUMN_BLOCKS = 4
-PAIRS_AT_ONCE = 1 << 20
+PAIRS_AT_ONCE = 1 << 18
+LEADER_ROUNDS = 3
 
 
 def _sets(batch: pa.RecordBatch, n: int):
@@ -99,19 +100,17 @@ def _prefixes(documents: DataFrame, n: int, share: Fraction) -> DataFrame:
     return documents.select("doc_id", "text").mapInArrow(make, "doc_id long, key long, other long, n_shingles long, columns binary")
 
 
-_POSTING = np.dtype([("gram", "<u8"), ("doc", "<i8"), ("comp", "<i8"), ("size", "<i4"), ("pos", "<i4")])
+_POSTING = np.dtype([("gram", "<u8"), ("doc", "<i8"), ("size", "<i4"), ("pos", "<i4")])
+_ROW = "gram long, doc long, size int, pos int"
 
 
-def _candidates(classes: DataFrame, share: Fraction, leaders: bool) -> DataFrame:
-    """Pairs (a, b, na, nb) of class ids that pass the bounds after the product over the prefix columns.
+def _postings(classes: DataFrame) -> DataFrame:
+    """(gram, doc, size, pos) of every prefix column that at least two classes (rep, n_shingles, columns) have.
 
-    classes: rep, n_shingles, columns, comp. leaders: pair each member of a column with the first member of its range of
-    sizes only; else form all pairs in different components.
+    Most columns have one member and are gone after this step. Rows travel packed by block of columns.
     """
-    spark = classes.sparkSession
-    n_parts = shuffle_partitions(spark)
+    n_parts = shuffle_partitions(classes.sparkSession)
     n_blocks = min(16 * max(64, n_parts), 65536)
-    t, p, q = float(share), share.numerator, share.denominator
 
     def deal(batches):
         for batch in batches:
@@ -121,69 +120,87 @@ def _candidates(classes: DataFrame, share: Fraction, leaders: bool) -> DataFrame
             lengths = np.array([len(h) for h in held])
             rows = np.empty(lengths.sum(), _POSTING)
             rows["gram"] = np.concatenate(held)
-            for field, column in (("doc", "rep"), ("comp", "comp"), ("size", "n_shingles")):
-                rows[field] = np.repeat(batch.column(column).to_numpy(), lengths)
+            rows["doc"] = np.repeat(batch.column("rep").to_numpy(), lengths)
+            rows["size"] = np.repeat(batch.column("n_shingles").to_numpy(), lengths)
             rows["pos"] = np.arange(len(rows)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
             order, at = by_bucket((tn.mix(rows["gram"]) % np.uint64(n_blocks)).astype(np.int64), n_blocks)
             rows = rows[order]
             full = np.flatnonzero(np.diff(at))
             yield pa.RecordBatch.from_arrays([pa.array(full), pa.array([rows[at[k]:at[k + 1]].tobytes() for k in full], pa.binary())], ["block", "postings"])
 
+    def shared(batches):
+        held = [np.frombuffer(b, _POSTING) for batch in batches for b in batch.column("postings").to_pylist()]
+        if not held:
+            return
+        rows = np.concatenate(held)
+        held.clear()
+        grams = np.sort(rows["gram"])
+        rows = rows[np.isin(rows["gram"], grams[1:][grams[1:] == grams[:-1]])]
+        yield pa.RecordBatch.from_arrays([pa.array(rows["gram"].view(np.int64)), pa.array(rows["doc"]), pa.array(rows["size"]), pa.array(rows["pos"])], ["gram", "doc", "size", "pos"])
+
+    packed = classes.select("rep", "n_shingles", "columns").mapInArrow(deal, "block long, postings binary")
+    return packed.repartition(n_parts, "block").mapInArrow(shared, _ROW)
+
+
+def _candidates(postings: DataFrame, roots: DataFrame | None, share: Fraction, turn: int | None) -> DataFrame:
+    """Pairs (a, b, na, nb) of class ids that pass the bounds after the product over the prefix columns.
+
+    turn: of each component in a column one member stands for it, another one each turn, and is paired with the first
+    of its range of sizes. None: all pairs of members in different components.
+    """
+    t, p, q = float(share), share.numerator, share.denominator
+    labelled = postings.withColumn("comp", F.col("doc"))
+    if roots is not None:
+        labelled = postings.join(roots.toDF("doc", "root"), "doc", "left").select("gram", "doc", "size", "pos", F.coalesce("root", "doc").alias("comp"))
+
     def emit(rows, left, right):
-        a, b = rows[left], rows[right]
+        a, b = rows[np.concatenate(left)], rows[np.concatenate(right)]
         swap = a["doc"] > b["doc"]
         a, b = np.where(swap, b, a), np.where(swap, a, b)
         good = (a["doc"] != b["doc"]) & (q * np.minimum(a["size"], b["size"]).astype(np.int64) >= p * np.maximum(a["size"], b["size"]))
         a, b = a[good], b[good]
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in (a["doc"], b["doc"], a["size"].astype(np.int64), b["size"].astype(np.int64), a["pos"].astype(np.int64), b["pos"].astype(np.int64))],
-                                          ["a", "b", "na", "nb", "pa", "pb"])
+        return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (a["doc"], b["doc"], a["size"], b["size"], a["pos"], b["pos"])], ["a", "b", "na", "nb", "pa", "pb"])
 
     def multiply(batches):
-        held = [np.frombuffer(b, _POSTING) for batch in batches for b in batch.column("postings").to_pylist()]
+        held = list(batches)
         if not held:
             return
-        rows = np.concatenate(held)
+        rows = {k: np.concatenate([b.column(k).to_numpy() for b in held]) for k in ("gram", "doc", "size", "pos", "comp")}
         held.clear()
+        rows = np.rec.fromarrays(list(rows.values()), names=list(rows))
+        if turn is not None:
+            chance = tn.mix(rows["doc"].astype(np.uint64) ^ tn.ODD[turn % len(tn.ODD)])
+            rows = rows[np.lexsort((chance, rows["comp"], rows["gram"]))]
+            first = np.concatenate([[True], (rows["gram"][1:] != rows["gram"][:-1]) | (rows["comp"][1:] != rows["comp"][:-1])])
+            rows = rows[first]
         rows = rows[np.lexsort((rows["doc"], rows["size"], rows["gram"]))]
         cut = np.concatenate([[0], np.flatnonzero(rows["gram"][1:] != rows["gram"][:-1]) + 1, [len(rows)]])
-        many = np.flatnonzero(np.diff(cut) > 1)
         left, right, waiting = [], [], 0
-        for k in many:
+        for k in np.flatnonzero(np.diff(cut) > 1):
             lo, hi = int(cut[k]), int(cut[k + 1])
-            sizes = rows["size"][lo:hi]
-            if leaders:
-                at = lo
-                while at < hi:
-                    end = lo + int(np.searchsorted(sizes, int(rows["size"][at] / t) + 1, side="right"))
-                    right.append(np.arange(at + 1, end))
-                    left.append(np.full(len(right[-1]), at))
-                    waiting += len(right[-1])
-                    at = max(end, at + 1)
-            else:
-                comps = rows["comp"][lo:hi]
-                if (comps == comps[0]).all():
-                    continue
-                for i in range(hi - lo - 1):
-                    end = int(np.searchsorted(sizes, int(sizes[i] / t) + 1, side="right"))
-                    other = i + 1 + np.flatnonzero(comps[i + 1:end] != comps[i])
-                    if len(other):
-                        right.append(lo + other)
-                        left.append(np.full(len(other), lo + i))
-                        waiting += len(other)
-                    if waiting >= PAIRS_AT_ONCE:
-                        yield emit(rows, np.concatenate(left), np.concatenate(right))
-                        left, right, waiting = [], [], 0
-            if waiting >= PAIRS_AT_ONCE:
-                yield emit(rows, np.concatenate(left), np.concatenate(right))
-                left, right, waiting = [], [], 0
+            sizes, comps = rows["size"][lo:hi], rows["comp"][lo:hi]
+            at = 0
+            while at < hi - lo - 1:
+                end = int(np.searchsorted(sizes, int(sizes[at] / t) + 1, side="right"))
+                other = at + 1 + np.flatnonzero(comps[at + 1:end] != comps[at])
+                if len(other):
+                    right.append(lo + other)
+                    left.append(np.full(len(other), lo + at))
+                    waiting += len(other)
+                at = at + 1 if turn is None else max(end, at + 1)
+                if waiting >= PAIRS_AT_ONCE:
+                    yield emit(rows, left, right)
+                    left, right, waiting = [], [], 0
         if waiting:
-            yield emit(rows, np.concatenate(left), np.concatenate(right))
+            yield emit(rows, left, right)
 
-    blocks = classes.select("rep", "n_shingles", "columns", "comp").mapInArrow(deal, "block long, postings binary").repartition(n_parts, "block")
-    partial = blocks.mapInArrow(multiply, "a long, b long, na long, nb long, pa long, pb long")
+    dealt = labelled.repartition(shuffle_partitions(postings.sparkSession), "gram")
+    partial = dealt.mapInArrow(multiply, "a long, b long, na long, nb long, pa long, pb long")
     summed = partial.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("shared"), F.max("pa").alias("pa"), F.max("pb").alias("pb"))
-    rest = F.least(F.col("na") - 1 - F.col("pa"), F.col("nb") - 1 - F.col("pb"))
-    return summed.where((p + q) * (F.col("shared") + rest) >= p * (F.col("na") + F.col("nb"))).select("a", "b", "na", "nb")
+    if turn is None:
+        rest = F.least(F.col("na") - 1 - F.col("pa"), F.col("nb") - 1 - F.col("pb"))
+        summed = summed.where((p + q) * (F.col("shared") + rest) >= p * (F.col("na") + F.col("nb")))
+    return summed.select("a", "b", "na", "nb")
 
 
 def _links(documents: DataFrame, pairs: DataFrame, n: int, share: Fraction) -> DataFrame:
@@ -238,20 +255,24 @@ def ngram_jaccard_join(documents: DataFrame, n: int = 4, share: Fraction = Fract
     rows = written(_prefixes(documents, n, share), "ngram-rows")
     filled = rows.where("n_shingles > 0 and doc_id is not null")
     classes = written(filled.groupBy("key", "other", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("columns").alias("columns")), "ngram-classes")
-    labelled = classes.withColumn("comp", F.col("rep"))
     members = rows.select("doc_id", "key", "other", "n_shingles").join(classes.select("key", "other", "n_shingles", "rep"), ["key", "other", "n_shingles"], "left")
     members = written(members, "ngram-members")
     owned = members.where("rep is not null and doc_id is not null")
     repeated = owned.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1 and a < b").select("doc_id", "a")
     repeated = owned.join(repeated, "doc_id").select("a", F.col("rep").alias("b"))
 
-    first = written(_candidates(labelled, share, leaders=True), "ngram-pairs")
-    links = written(_links(documents, first, n, share).union(repeated), "ngram-links")
+    postings = written(_postings(classes), "ngram-postings")
+    links, roots, tried = written(repeated, "ngram-links"), None, None
+    for turn in (*range(LEADER_ROUNDS), None):
+        if turn is None or turn:
+            roots = components(links)
+        pairs = _candidates(postings, roots, share, turn)
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = written(pairs, "ngram-pairs")
+        done = pairs.select("a", "b")
+        tried = done if tried is None else tried.union(done)
+        links = links.union(written(_links(documents, pairs, n, share), "ngram-links"))
     roots = components(links)
-    labelled = written(classes.join(roots, classes["rep"] == roots["node"], "left").select("rep", "n_shingles", "columns", F.coalesce("root", "rep").alias("comp")), "ngram-labelled")
-    second = written(_candidates(labelled, share, leaders=False).join(first.select("a", "b", F.lit(1).alias("done")).distinct(), ["a", "b"], "left_anti"), "ngram-pairs")
-    more = written(_links(documents, second, n, share), "ngram-links")
-    if not more.isEmpty():
-        roots = components(links.union(more))
     return (members.join(roots, members["rep"] == roots["node"], "left")
             .select("doc_id", "n_shingles", F.coalesce("root", "rep", "doc_id").alias("component_id")))

@@ -28,8 +28,8 @@ grams AS (
  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
   ELSE list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i+3], ' ')) END) AS g FROM split),
 sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
-overlaps AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
-links AS (SELECT a, b FROM overlaps JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id WHERE 100 * o >= 85 * (x.n + y.n - o)),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id WHERE 100 * o >= 85 * (x.n + y.n - o)),
 edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
 reach(doc_id, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT edges.b, reach.root FROM reach JOIN edges ON reach.doc_id = edges.a)
 SELECT r.doc_id, CAST(coalesce(any_value(s.n), 0) AS BIGINT) AS n_shingles, min(r.root) AS component_id
