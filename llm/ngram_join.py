@@ -6,8 +6,8 @@ sketch over all documents. Two sets can reach the similarity only if they share
 overlaps and discards pairs whose sizes or remaining columns rule out the bound. A second product accumulates the
 exact overlaps of the surviving pairs, block by block, and discards those below the bound.
 
-Pairs inside one group of near copies are not all formed: leader rounds pair the members of a column with one member
-per range of sizes and join what links; the last round forms every pair of the same column that is still in different
+Pairs inside one group of near copies are not all formed: early rounds pair the members of a column with one member
+per range of sizes, then with some of the column's largest component, and join what links; the last round forms every pair of the same column that is still in different
 components. No link between components is lost, because such a pair shares a column and is tested in that round.
 """
 
@@ -28,7 +28,7 @@ SKETCH_SLICES = 64
 FILTER_BITS = 24  # of the set of candidate documents: 2 MB, whatever their number; false hits are removed by a join
 COLUMN_BLOCKS = 4
 PAIRS_AT_ONCE = 1 << 18
-LEADER_ROUNDS = 3
+EARLY_ROUNDS = 3
 
 
 def _sets(batch: pa.RecordBatch, n: int):
@@ -145,8 +145,8 @@ def _postings(classes: DataFrame) -> DataFrame:
 def _candidates(postings: DataFrame, roots: DataFrame | None, share: Fraction, turn: int | None) -> DataFrame:
     """Pairs (a, b, na, nb) of class ids that pass the bounds after the product over the prefix columns.
 
-    turn: of each component in a column one member stands for it, another one each turn, and is paired with the first
-    of its range of sizes. None: all pairs of members in different components.
+    turn 0: the members of a column are paired with the first of their range of sizes. 1, 2, ...: members outside the
+    column's largest component are paired with 8, 64, ... of its members. None: all pairs in different components.
     """
     t, p, q = float(share), share.numerator, share.denominator
     labelled = postings.withColumn("comp", F.col("doc"))
@@ -161,6 +161,20 @@ def _candidates(postings: DataFrame, roots: DataFrame | None, share: Fraction, t
         a, b = a[good], b[good]
         return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (a["doc"], b["doc"], a["size"], b["size"], a["pos"], b["pos"])], ["a", "b", "na", "nb", "pa", "pb"])
 
+    def tries(docs, sizes, comps):
+        if turn:
+            names, counts = np.unique(comps, return_counts=True)
+            largest = comps == names[np.argmax(counts)]
+            own, other = np.flatnonzero(largest), np.flatnonzero(~largest)
+            chance = tn.mix(docs[own].astype(np.uint64) ^ tn.ODD[turn % len(tn.ODD)])
+            yield from ((x, other) for x in own[np.argsort(chance)[:8 ** turn]])
+            return
+        ends = np.searchsorted(sizes, (sizes / t).astype(np.int64) + 1, side="right")
+        at = 0
+        while at < len(docs) - 1:
+            yield at, at + 1 + np.flatnonzero(comps[at + 1:ends[at]] != comps[at])
+            at = at + 1 if turn is None else max(int(ends[at]), at + 1)
+
     def multiply(batches):
         held = list(batches)
         if not held:
@@ -168,26 +182,16 @@ def _candidates(postings: DataFrame, roots: DataFrame | None, share: Fraction, t
         rows = {k: np.concatenate([b.column(k).to_numpy() for b in held]) for k in ("gram", "doc", "size", "pos", "comp")}
         held.clear()
         rows = np.rec.fromarrays(list(rows.values()), names=list(rows))
-        if turn is not None:
-            chance = tn.mix(rows["doc"].astype(np.uint64) ^ tn.ODD[turn % len(tn.ODD)])
-            rows = rows[np.lexsort((chance, rows["comp"], rows["gram"]))]
-            first = np.concatenate([[True], (rows["gram"][1:] != rows["gram"][:-1]) | (rows["comp"][1:] != rows["comp"][:-1])])
-            rows = rows[first]
         rows = rows[np.lexsort((rows["doc"], rows["size"], rows["gram"]))]
         cut = np.concatenate([[0], np.flatnonzero(rows["gram"][1:] != rows["gram"][:-1]) + 1, [len(rows)]])
         left, right, waiting = [], [], 0
         for k in np.flatnonzero(np.diff(cut) > 1):
             lo, hi = int(cut[k]), int(cut[k + 1])
-            sizes, comps = rows["size"][lo:hi], rows["comp"][lo:hi]
-            at = 0
-            while at < hi - lo - 1:
-                end = int(np.searchsorted(sizes, int(sizes[at] / t) + 1, side="right"))
-                other = at + 1 + np.flatnonzero(comps[at + 1:end] != comps[at])
+            for x, other in tries(rows["doc"][lo:hi], rows["size"][lo:hi], rows["comp"][lo:hi]):
                 if len(other):
                     right.append(lo + other)
-                    left.append(np.full(len(other), lo + at))
+                    left.append(np.full(len(other), lo + x))
                     waiting += len(other)
-                at = at + 1 if turn is None else max(end, at + 1)
                 if waiting >= PAIRS_AT_ONCE:
                     yield emit(rows, left, right)
                     left, right, waiting = [], [], 0
@@ -197,7 +201,7 @@ def _candidates(postings: DataFrame, roots: DataFrame | None, share: Fraction, t
     dealt = labelled.repartition(shuffle_partitions(postings.sparkSession), "gram")
     partial = dealt.mapInArrow(multiply, "a long, b long, na long, nb long, pa long, pb long")
     summed = partial.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("shared"), F.max("pa").alias("pa"), F.max("pb").alias("pb"))
-    if turn is None:
+    if turn != 0:
         rest = F.least(F.col("na") - 1 - F.col("pa"), F.col("nb") - 1 - F.col("pb"))
         summed = summed.where((p + q) * (F.col("shared") + rest) >= p * (F.col("na") + F.col("nb")))
     return summed.select("a", "b", "na", "nb")
@@ -263,7 +267,7 @@ def ngram_jaccard_join(documents: DataFrame, n: int = 4, share: Fraction = Fract
 
     postings = written(_postings(classes), "ngram-postings")
     links, roots, tried = written(repeated, "ngram-links"), None, None
-    for turn in (*range(LEADER_ROUNDS), None):
+    for turn in (*range(EARLY_ROUNDS), None):
         if turn is None or turn:
             roots = components(links)
         pairs = _candidates(postings, roots, share, turn)
