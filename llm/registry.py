@@ -4,19 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from llm.base import table
 from llm.ngram_join import ngram_jaccard_join
+from llm.packing import harmonic_pack, piece_digests
 
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def op3_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digests(harmonic_pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_harmonic_packing": op3_harmonic_packing,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 

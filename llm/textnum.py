@@ -71,11 +71,11 @@ def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word with A-Z taken as a-z."""
+def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
+    """A 64-bit hash of each word, with A-Z taken as a-z if ``lower``."""
     sums = np.empty(len(raw) + 1, dtype=np.uint64)
     sums[0] = 0
-    np.cumsum(LOWER_VALUE[raw] * powers(len(raw)), out=sums[1:])
+    np.cumsum((LOWER_VALUE if lower else BYTE_VALUE)[raw] * powers(len(raw)), out=sums[1:])
     return mix((sums[ends] - sums[starts]) * powers(len(raw) + 1, inverse=True)[starts] + (ends - starts).astype(np.uint64) * ODD[63])
 
 
