@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from llm.base import table
 from llm.ngram_join import ngram_jaccard_join
 from llm.packing import harmonic_pack, piece_digests
+from llm.quality import quality_rules
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -18,12 +19,18 @@ def op3_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(harmonic_pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "quality", "kept")
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_harmonic_packing": op3_harmonic_packing,
+    "op7_quality_rules": op7_quality_rules,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
