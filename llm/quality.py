@@ -29,7 +29,7 @@ class Rule:
 
 RULES = (
     Rule("length", "n_words < 50", "n_words >= 80"),
-    Rule("symbols", "n_symbols > 0.1 * word_chars", "n_symbols < 0.02 * word_chars"),
+    Rule("symbols", "n_symbols > 0.1 * n_words", "n_symbols < 0.02 * n_words"),
     Rule("repeated_words", "n_repeat_words > 0.25 * n_words", "n_repeat_words < 0.1 * n_words"),
     Rule("repeated_lines", "n_dup_lines > 0.3 * n_lines", "n_dup_lines = 0"),
     Rule("capitals", "n_capitals > 0.4 * n_letters", "n_capitals < 0.15 * n_letters"),

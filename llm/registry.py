@@ -11,7 +11,9 @@ from llm.base import table
 from llm.ngram_join import ngram_jaccard_join
 from llm.packing import harmonic_pack, piece_digests
 from llm.quality import quality_rules
+from llm.surrogates import replace_entities
 
+SURROGATE_KEY = "registered query"  # a run on real data passes its own secret
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -19,6 +21,10 @@ def op3_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(harmonic_pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
 
 
+def op5_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replace_entities(table(spark, sf_dir, "documents"), SURROGATE_KEY).select("doc_id", "text", "n_replaced")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "quality", "kept")
@@ -30,6 +36,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_harmonic_packing": op3_harmonic_packing,
+    "op5_pii_surrogates": op5_pii_surrogates,
     "op7_quality_rules": op7_quality_rules,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
