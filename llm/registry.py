@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from llm.base import table
+from llm.decontaminate import leaks
 from llm.ngram_join import ngram_jaccard_join
 from llm.packing import harmonic_pack, piece_digests
 from llm.quality import quality_rules
@@ -17,6 +18,10 @@ SURROGATE_KEY = "registered query"  # a run on real data passes its own secret
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def op1_benchmark_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(harmonic_pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
 
@@ -35,6 +40,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_benchmark_tiling": op1_benchmark_tiling,
     "op3_harmonic_packing": op3_harmonic_packing,
     "op5_pii_surrogates": op5_pii_surrogates,
     "op7_quality_rules": op7_quality_rules,

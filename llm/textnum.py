@@ -54,11 +54,11 @@ def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end byte of each maximal run of non-space bytes inside one text, and the first word of each text."""
+def words(raw: np.ndarray, offsets: np.ndarray, between: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end byte of each maximal run of bytes outside ``between`` in one text, and the first word of each text."""
     if not len(raw):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    solid = ~IS_SPACE[raw]
+    solid = ~between[raw]
     before = np.empty_like(solid)
     before[0], before[1:] = False, solid[:-1]
     edges = offsets[:-1][offsets[:-1] < offsets[1:]]
