@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from llm.base import table
 from llm.decontaminate import leaks
+from llm.htmltext import main_text
 from llm.ngram_join import ngram_jaccard_join
 from llm.packing import harmonic_pack, piece_digests
 from llm.quality import quality_rules
@@ -35,6 +37,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "quality", "kept")
 
 
+def op9_consensus_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(table(spark, sf_dir, "documents"))
 
@@ -44,6 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_harmonic_packing": op3_harmonic_packing,
     "op5_pii_surrogates": op5_pii_surrogates,
     "op7_quality_rules": op7_quality_rules,
+    "op9_consensus_paths": op9_consensus_paths,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
