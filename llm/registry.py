@@ -15,6 +15,7 @@ from llm.ngram_join import ngram_jaccard_join
 from llm.packing import harmonic_pack, piece_digests
 from llm.quality import quality_rules
 from llm.surrogates import replace_entities
+from llm.toxicity import score_toxicity, train
 
 SURROGATE_KEY = "registered query"  # a run on real data passes its own secret
 WORD = r"[^\x20\x09-\x0D]+"
@@ -37,6 +38,17 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "quality", "kept")
 
 
+def _remainder(n: int):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+def op8_toxic_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    learnt = table(spark, sf_dir, "labels").where(_remainder(3) != 1)
+    scored = score_toxicity(documents, train(documents, learnt))
+    return scored.select("doc_id", (_remainder(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "n_sentences", "worst", "worst_score", "worst_text")
+
+
 def op9_consensus_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
@@ -50,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_harmonic_packing": op3_harmonic_packing,
     "op5_pii_surrogates": op5_pii_surrogates,
     "op7_quality_rules": op7_quality_rules,
+    "op8_toxic_sentences": op8_toxic_sentences,
     "op9_consensus_paths": op9_consensus_paths,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
