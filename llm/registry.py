@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm.base import table
+from llm.chat import repair_chats
 from llm.decontaminate import leaks
 from llm.htmltext import main_text
 from llm.ngram_join import ngram_jaccard_join
@@ -33,6 +34,10 @@ def op5_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replace_entities(table(spark, sf_dir, "documents"), SURROGATE_KEY).select("doc_id", "text", "n_replaced")
 
 
+def op6_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_chats(table(spark, sf_dir, "conversations"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "quality", "kept")
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_tiling": op1_benchmark_tiling,
     "op3_harmonic_packing": op3_harmonic_packing,
     "op5_pii_surrogates": op5_pii_surrogates,
+    "op6_role_repair": op6_role_repair,
     "op7_quality_rules": op7_quality_rules,
     "op8_toxic_sentences": op8_toxic_sentences,
     "op9_consensus_paths": op9_consensus_paths,
