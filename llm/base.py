@@ -66,6 +66,43 @@ def by_bucket(bucket: np.ndarray, n_buckets: int) -> tuple[np.ndarray, np.ndarra
     return order, np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=n_buckets))])
 
 
+def even_keys(spark: SparkSession, n: int) -> list[int]:
+    """n numbers that repartition(n, column) deals to n different partitions."""
+    at = F.pmod(F.hash(F.col("id")), F.lit(n))
+    rows = spark.range(40 * n + 400).groupBy(at.alias("at")).agg(F.min("id").alias("id")).collect()
+    found = {r["at"]: r["id"] for r in rows}
+    return [found.get(k, -1 - k) for k in range(n)]
+
+
+def summed_counts(df: DataFrame, numbers, size: int, n_slices: int = 64) -> np.ndarray:
+    """How often each number below ``size`` comes in the arrays that ``numbers(batches)`` yields over all partitions.
+
+    Tasks send their counts in slices, which are summed apart; the driver gets one array of ``size``.
+    """
+    width = -(-size // n_slices)
+
+    def count(batches):
+        total = np.zeros(width * n_slices, np.int64)
+        for found in numbers(batches):
+            total += np.bincount(found, minlength=width * n_slices)
+        full = [k for k in range(n_slices) if total[k * width:(k + 1) * width].any()]
+        yield pa.RecordBatch.from_arrays([pa.array(full, pa.int64()), pa.array([total[k * width:(k + 1) * width].tobytes() for k in full], pa.binary())], ["slice", "counts"])
+
+    def add(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                part = np.frombuffer(b, np.int64)
+                sums[k] = sums[k] + part if k in sums else part
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["slice", "counts"])
+
+    partial = df.mapInArrow(count, "slice long, counts binary").repartition(n_slices, "slice")
+    out = np.zeros((n_slices, width), np.int64)
+    for row in partial.mapInArrow(add, "slice long, counts binary").collect():
+        out[row["slice"]] = np.frombuffer(bytes(row["counts"]), np.int64)
+    return out.reshape(-1)[:size]
+
+
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b): root is the smallest node that is reachable.
 

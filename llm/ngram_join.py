@@ -21,10 +21,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm import textnum as tn
-from llm.base import by_bucket, components, ship, shuffle_partitions, slices, written
+from llm.base import by_bucket, components, ship, shuffle_partitions, slices, summed_counts, written
 
 SKETCH_BITS = 20  # 4 MB of counts, whatever the input; it only orders columns, so a coarse count costs time, not links
-SKETCH_SLICES = 64
 FILTER_BITS = 24  # of the set of candidate documents: 2 MB, whatever their number; false hits are removed by a join
 COLUMN_BLOCKS = 4
 PAIRS_AT_ONCE = 1 << 18
@@ -42,33 +41,13 @@ def _sets(batch: pa.RecordBatch, n: int):
 
 def _sketch(documents: DataFrame, n: int) -> np.ndarray:
     """How many texts have an n-gram of each hash slot: partial sums by task, summed by slice of slots."""
-    size, width = 1 << SKETCH_BITS, (1 << SKETCH_BITS) // SKETCH_SLICES
-
-    def count(batches):
-        total = np.zeros(size, np.int64)
+    def numbers(batches):
         for batch in batches:
             for _, sets in _sets(batch, n):
                 if sets:
-                    total += np.bincount((np.concatenate(sets) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=size)
-        if total.any():
-            parts = total.astype(np.int32 if total.max() < 2**31 else np.int64).astype(np.int64).reshape(SKETCH_SLICES, width)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(SKETCH_SLICES)), pa.array([p.tobytes() for p in parts], pa.binary())], ["slice", "counts"])
+                    yield (np.concatenate(sets) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
-    def add(batches):
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for k, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                part = np.frombuffer(b, np.int64)
-                sums[k] = sums[k] + part if k in sums else part
-        if sums:
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["slice", "counts"])
-
-    partial = documents.select("text").mapInArrow(count, "slice long, counts binary")
-    rows = partial.repartition(SKETCH_SLICES, "slice").mapInArrow(add, "slice long, counts binary").collect()
-    sketch = np.zeros((SKETCH_SLICES, width), np.int64)
-    for row in rows:
-        sketch[row["slice"]] = np.frombuffer(bytes(row["counts"]), np.int64)
-    return sketch.reshape(-1)
+    return summed_counts(documents.select("text"), numbers, 1 << SKETCH_BITS)
 
 
 def _prefixes(documents: DataFrame, n: int, share: Fraction) -> DataFrame:

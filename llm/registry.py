@@ -12,6 +12,7 @@ from llm.base import table
 from llm.chat import repair_chats
 from llm.decontaminate import leaks
 from llm.htmltext import main_text
+from llm.lm import lm_scores
 from llm.ngram_join import ngram_jaccard_join
 from llm.packing import harmonic_pack, piece_digests
 from llm.quality import quality_rules
@@ -26,6 +27,15 @@ def op1_benchmark_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def _remainder(n: int):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+def op2_trie_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").withColumn("train", _remainder(7) != 2)
+    return lm_scores(documents).withColumn("held_out", _remainder(7) == 2)
+
+
 def op3_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(harmonic_pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
 
@@ -43,10 +53,6 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "quality", "kept")
 
 
-def _remainder(n: int):
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
-
-
 def op8_toxic_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     learnt = table(spark, sf_dir, "labels").where(_remainder(3) != 1)
@@ -64,6 +70,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_tiling": op1_benchmark_tiling,
+    "op2_trie_scores": op2_trie_scores,
     "op3_harmonic_packing": op3_harmonic_packing,
     "op5_pii_surrogates": op5_pii_surrogates,
     "op6_role_repair": op6_role_repair,
