@@ -16,6 +16,7 @@ from llm.lm import lm_scores
 from llm.ngram_join import ngram_jaccard_join
 from llm.packing import harmonic_pack, piece_digests
 from llm.quality import quality_rules
+from llm.runindex import remove_repeats
 from llm.surrogates import replace_entities
 from llm.toxicity import score_toxicity, train
 
@@ -40,6 +41,10 @@ def op3_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(harmonic_pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
 
 
+def op4_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replace_entities(table(spark, sf_dir, "documents"), SURROGATE_KEY).select("doc_id", "text", "n_replaced")
 
@@ -72,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_tiling": op1_benchmark_tiling,
     "op2_trie_scores": op2_trie_scores,
     "op3_harmonic_packing": op3_harmonic_packing,
+    "op4_run_length_index": op4_run_length_index,
     "op5_pii_surrogates": op5_pii_surrogates,
     "op6_role_repair": op6_role_repair,
     "op7_quality_rules": op7_quality_rules,
@@ -81,6 +87,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES = {
+    "op4_run_length_index": """
+WITH bytes AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS (
+ SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS w
+ FROM (SELECT doc_id, h, unnest(range(0, greatest(0, strlen(h) // 2 - 49))) AS i FROM bytes)),
+least AS (SELECT w, min(doc_id) AS first FROM windows GROUP BY w HAVING min(doc_id) < max(doc_id)),
+hits AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM windows JOIN least USING (w) WHERE first < doc_id),
+spans AS (
+ SELECT doc_id, min(i) AS a, max(i) + 50 AS b
+ FROM (SELECT doc_id, i, sum(CASE WHEN before IS NULL OR i > before + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM hits)
+ GROUP BY doc_id, span),
+listed AS (SELECT doc_id, list(a ORDER BY a) AS a, list(b ORDER BY a) AS b, sum(b - a) AS removed, count(*) AS n FROM spans GROUP BY doc_id)
+SELECT doc_id, CAST(strlen(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n, 0) AS BIGINT) AS n_spans,
+ sha256(unhex(CASE WHEN n IS NULL THEN h ELSE array_to_string(list_transform(range(0, n + 1), lambda k:
+  substr(h, CASE WHEN k = 0 THEN 1 ELSE 2 * b[k] + 1 END, CASE WHEN k = n THEN strlen(h) ELSE 2 * a[k + 1] - CASE WHEN k = 0 THEN 0 ELSE 2 * b[k] END END)), '') END)) AS kept_sha256
+FROM bytes LEFT JOIN listed USING (doc_id)""",
     "op10_ngram_jaccard_join": rf"""
 WITH RECURSIVE split AS (
  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS ws FROM documents),

@@ -94,3 +94,41 @@ def shingles(hashes: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray,
     for j in range(n):
         out += np.where(j < short, padded[begin + j], np.uint64(0)) * ODD[j]
     return mix(out + short.astype(np.uint64) * ODD[62]), at
+
+
+def sliding(values: np.ndarray, width: int, least: bool) -> np.ndarray:
+    """The least (or greatest) of each window of ``width`` values."""
+    n = len(values) - width + 1
+    if n <= 0:
+        return values[:0]
+    pick = np.minimum if least else np.maximum
+    blocks = -(-len(values) // width)
+    padded = np.full(blocks * width, np.iinfo(values.dtype).max if least else 0, values.dtype)
+    padded[:len(values)] = values
+    grid = padded.reshape(blocks, width)
+    onward = pick.accumulate(grid, axis=1).ravel()
+    backward = pick.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
+    return pick(backward[:n], onward[width - 1:width - 1 + n])
+
+
+def anchors(raw: np.ndarray, offsets: np.ndarray, length: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the k-byte strings that are least by hash in some ``length``-byte string of one text.
+
+    Equal strings of that length have the same anchors at the same distance from their start, wherever they stand.
+    """
+    if len(raw) < length:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    sums = np.empty(len(raw) + 1, dtype=np.uint64)
+    sums[0] = 0
+    np.cumsum(BYTE_VALUE[raw] * powers(len(raw)), out=sums[1:])
+    hashes = mix((sums[k:] - sums[:-k]) * powers(len(raw) + 1, inverse=True)[:len(raw) - k + 1])
+    least = sliding(hashes, length - k + 1, True)
+    inside = np.zeros(len(least), bool)
+    for lo, hi in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+        if hi - lo >= length:
+            inside[lo:hi - length + 1] = True
+    least[~inside] = 0
+    edge = np.zeros(length - k, np.uint64)
+    chosen = sliding(np.concatenate([edge, least, edge]), length - k + 1, False) == hashes
+    places = np.flatnonzero(chosen)
+    return places, hashes[places]
