@@ -9,11 +9,13 @@ gaps and then whole sequences; the last remainder is cut into sequences whose le
 
 from __future__ import annotations
 
+import os
 from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,43 +23,71 @@ from pyspark.sql import functions as F
 from llm import textnum as tn
 from llm.base import ship, slices
 
-SEPARATOR = "©"  # one token on its own; words that contain it are encoded alone
-KEPT_WORDS = 400_000  # of a worker's memory of encoded words, which then starts anew; it changes no result
+KEPT_WORDS = 300_000  # of a worker's memory of encoded words; then it forgets those it met once, which changes no result
 AT_ONCE = 4096
+WORD_END = "</w>"
+# How the tokenizer cuts a word, for words of Latin letters that lower-casing does not cut further.
+PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+LATIN = regex.compile(r"[\x21-\x7E\u00A1-\u012F\u0131-\u024F]+")
+_encoders: dict[str, WordEncoder] = {}
 
 
 class WordEncoder:
     """Token ids of texts by a tokenizer that never joins across white space: each distinct word is encoded once."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        (self.separator,) = self.tokenizer.encode(SEPARATOR, add_special_tokens=False).ids
-        self.forget()
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.is_end = np.zeros(max(vocabulary.values()) + 3, bool)
+        self.is_end[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
+        self.known: dict[int, int] = {}
+        self.begin, self.count, self.met, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    @classmethod
+    def of(cls, path: str) -> WordEncoder:
+        """The encoder of this worker, which keeps its words from task to task."""
+        if path not in _encoders:
+            _encoders[path] = cls(path)
+        return _encoders[path]
 
     def forget(self) -> None:
-        self.known: dict[int, int] = {}
-        self.begin, self.count, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        keep = self.met > 1
+        keep &= np.cumsum(keep) <= KEPT_WORDS // 2
+        number = np.cumsum(keep) - 1
+        self.known = {h: int(number[k]) for h, k in self.known.items() if keep[k]}
+        begin, count = self.begin[keep], self.count[keep]
+        stops = np.concatenate([[0], np.cumsum(count)])
+        self.ids = self.ids[np.repeat(begin - stops[:-1], count) + np.arange(stops[-1])]
+        self.begin, self.count, self.met = stops[:-1], count, self.met[keep]
+
+    def _together(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their number for each word: words are encoded in one text and told apart by the ends of their pieces."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(found)], add_special_tokens=False)[0].ids, np.uint32)
+        ends = np.flatnonzero(self.is_end[ids]) + 1
+        stops = np.cumsum([len(PIECES.findall(w.lower())) for w in found])
+        if not len(ends) or len(ends) != stops[-1]:
+            return self._apart(found)
+        return ids, np.diff(ends[stops - 1], prepend=0)
+
+    def _apart(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        made = [np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, np.uint32) for w in found]
+        return np.concatenate(made), np.array([len(x) for x in made], np.int64)
 
     def learn(self, hashes: list[int], found: list[str]) -> None:
-        apart = [k for k, w in enumerate(found) if SEPARATOR in w]
-        joined = sorted(set(range(len(found))) - set(apart)) if apart else range(len(found))
-        made: dict[int, np.ndarray] = {}
-        for k in apart:
-            made[k] = np.array(self.tokenizer.encode(found[k], add_special_tokens=False).ids, np.uint32)
-        groups = [joined[i:i + AT_ONCE] for i in range(0, len(joined), AT_ONCE)]
-        texts = [f" {SEPARATOR} ".join(found[k] for k in g) for g in groups]
-        for g, encoded in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-            ids = np.array(encoded.ids, np.uint32)
-            made |= dict(zip(g, np.split(ids, np.flatnonzero(ids == self.separator)), strict=True))
-        parts = [made[k][1:] if k in made and len(made[k]) and made[k][0] == self.separator and SEPARATOR not in found[k] else made[k] for k in range(len(found))]
-        counts = np.array([len(x) for x in parts], np.int64)
-        base = len(self.count)
-        self.begin = np.concatenate([self.begin, len(self.ids) + np.cumsum(counts) - counts])
-        self.count = np.concatenate([self.count, counts])
-        self.ids = np.concatenate([self.ids, *parts])
-        self.known |= {h: base + k for k, h in enumerate(hashes)}
+        plain = [k for k, w in enumerate(found) if LATIN.fullmatch(w) and "<|" not in w]
+        other = sorted(set(range(len(found))) - set(plain)) if len(plain) < len(found) else []
+        for ways, order in ((self._together, plain), (self._apart, other)):
+            for i in range(0, len(order), AT_ONCE):
+                some = order[i:i + AT_ONCE]
+                ids, counts = ways([found[k] for k in some])
+                base = len(self.count)
+                self.begin = np.concatenate([self.begin, len(self.ids) + np.cumsum(counts) - counts])
+                self.count, self.ids = np.concatenate([self.count, counts]), np.concatenate([self.ids, ids])
+                self.known |= {hashes[k]: base + j for j, k in enumerate(some)}
+        self.met = np.concatenate([self.met, np.zeros(len(self.count) - len(self.met), np.int64)])
 
     def encode(self, column, last: int) -> Iterator[np.ndarray]:
         """The ids of each text, then ``last``."""
@@ -71,7 +101,9 @@ class WordEncoder:
         if new:
             data = raw.tobytes()
             self.learn([names[k] for k in new], [data[starts[at[k]]:ends[at[k]]].decode() for k in new])
-        word = np.array([self.known[h] for h in names], np.int64)[inverse]
+        word = np.array([self.known[h] for h in names], np.int64)
+        self.met += np.bincount(word, np.bincount(inverse, minlength=len(word)), len(self.met)).astype(np.int64)
+        word = word[inverse]
         counts = self.count[word]
         stops = np.concatenate([[0], np.cumsum(counts)])
         ids = self.ids[np.repeat(self.begin[word] - stops[:-1], counts) + np.arange(stops[-1])]
@@ -158,7 +190,7 @@ def harmonic_pack(documents: DataFrame, tokenizer_path: str, capacity: int = 409
     ship(documents.sparkSession)
 
     def pack(batches):
-        encoder = WordEncoder(tokenizer_path)
+        encoder = WordEncoder.of(tokenizer_path)
         packer = HarmonicPacker(capacity, n_classes, TaskContext.get().partitionId() << 40)
 
         def taken():
