@@ -25,6 +25,8 @@ CONTEXTS, TOP = 65000, 256
 RARE, KEYS = 65535, 65536
 TOKENS_AT_ONCE = 1_500_000
 LEAST_COUNT = 2
+NO_ID = np.iinfo(np.int64).max  # stands for a null doc_id
+_SUMS = np.dtype([("doc", "<i8"), ("n_tokens", "<i4"), ("n_known", "<i4"), ("base", "<f8"), ("score", "<f8")])
 PRIOR = (None, None, 60.0, 30.0)  # weight of the shorter context, by order
 
 
@@ -143,9 +145,11 @@ def shard_trie(model: Contexts, words: np.ndarray, count: np.ndarray, word: np.n
     two, n2 = two[n2 >= LEAST_COUNT], n2[n2 >= LEAST_COUNT]
     context = np.concatenate([[model.documents], model.counts])
     p2 = (n2 + PRIOR[2] * p1[two // KEYS]) / (context[two % KEYS] + PRIOR[2]) if len(two) else np.zeros(0)
-    some = earlier != RARE
-    # A trigram counted twice has its bigram counted twice, so its parent is there.
-    three, n3 = np.unique(np.searchsorted(two, number[word[some]] * KEYS + before[some]) * KEYS + earlier[some], return_counts=True)
+    # A trigram that is counted twice has its bigram counted twice, so those without a parent would go anyway.
+    some = np.flatnonzero(earlier != RARE)
+    parent = _lookup(two, number[word[some]] * KEYS + before[some])
+    some, parent = some[parent >= 0], parent[parent >= 0]
+    three, n3 = np.unique(parent * KEYS + earlier[some], return_counts=True)
     kept = n3 >= LEAST_COUNT
     three, n3 = three[kept], n3[kept]
     parent = three // KEYS
@@ -265,13 +269,29 @@ def lm_scores(documents: DataFrame) -> DataFrame:
         trie = Trie.from_buffer(trie.to_bytes())
         distinct, at = np.unique((word * KEYS + before) * KEYS + earlier, return_inverse=True)
         made = trie_scores(sent.value, trie, words[distinct // KEYS**2], distinct // KEYS % KEYS, distinct % KEYS)[at]
-        n = len(documents)
-        yield pa.RecordBatch.from_arrays([
-            pa.array(documents, pa.int64()), pa.array(np.bincount(doc, minlength=n)), pa.array(np.bincount(doc, count[word] > 0, n).astype(np.int64)),
-            pa.array(np.bincount(doc, np.log10(count[word] + 1.0), n)), pa.array(np.bincount(doc, made, n))], ["doc_id", "n_tokens", "n_known", "base", "score"])
+        n, ids = len(documents), np.array([NO_ID if d is None else d for d in documents], np.int64)
+        names, of = np.unique(ids, return_inverse=True)
+        sums = np.empty(len(names), _SUMS)
+        sums["doc"] = names
+        for field, values in (("n_tokens", np.bincount(doc, minlength=n)), ("n_known", np.bincount(doc, count[word] > 0, n)), ("base", np.bincount(doc, np.log10(count[word] + 1.0), n)), ("score", np.bincount(doc, made, n))):
+            sums[field] = np.bincount(of, values, len(names))
+        chunk = (tn.mix(sums["doc"].astype(np.uint64)) % np.uint64(n_parts)).astype(np.int64)
+        order = np.argsort(chunk, kind="stable")
+        ends = np.searchsorted(chunk[order], np.arange(n_parts + 1))
+        full = np.flatnonzero(np.diff(ends)).tolist()
+        yield pa.RecordBatch.from_arrays([pa.array([keys[c] for c in full], pa.int64()), pa.array([sums[order[ends[c]:ends[c + 1]]].tobytes() for c in full], pa.binary())], ["chunk", "sums"])
+
+    def add(batches):
+        parts = [np.frombuffer(x, _SUMS) for batch in batches for x in batch.column("sums").to_pylist()]
+        if not parts:
+            return
+        names, of = np.unique(np.concatenate([p["doc"] for p in parts]), return_inverse=True)
+        made = [np.bincount(of, np.concatenate([p[f] for p in parts]), len(names)) for f in ("n_tokens", "n_known", "base", "score")]
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64(), mask=names == NO_ID), *[pa.array(x.astype(np.int64)) for x in made[:2]], *[pa.array(x) for x in made[2:]]], ["doc_id", "n_tokens", "n_known", "base", "score"])
 
     n_parts = shuffle_partitions(spark)
-    sums = _dealt(held, sent, n_parts).mapInArrow(score, "doc_id long, n_tokens long, n_known long, base double, score double")
-    out = sums.groupBy("doc_id").agg(*[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "score")])
+    keys = even_keys(spark, n_parts)
+    partial = _dealt(held, sent, n_parts).mapInArrow(score, "chunk long, sums binary").repartition(n_parts, "chunk")
+    out = partial.mapInArrow(add, "doc_id long, n_tokens long, n_known long, base double, score double")
     below = float(np.log10(model.tokens + model.types + 1))
     return out.select("doc_id", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), (F.col("base") - F.col("n_tokens") * below).alias("base_score"), "score")
