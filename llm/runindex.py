@@ -24,6 +24,7 @@ K = 16
 HOT = 256  # an anchor of more documents has a route of its own
 NO_ID = np.iinfo(np.int64).max  # stands for a null doc_id: larger than all others
 AT_ONCE = 16 << 20
+INDEX_BYTES = 1 << 20
 
 
 def _ids(column) -> np.ndarray:
@@ -124,30 +125,31 @@ def _row_keys(raw: np.ndarray, offsets: np.ndarray, ids: np.ndarray) -> np.ndarr
     return tn.mix(tn.mix((sums[hi] - sums[lo]) * tn.powers(len(raw) + 1, inverse=True)[lo] + (hi - lo).astype(np.uint64)) ^ tn.mix(ids.astype(np.uint64)))
 
 
-_STRETCH = np.dtype([("key", "<u8"), ("doc", "<i8"), ("start", "<i4"), ("size", "<i4")])
+_STRETCH = np.dtype([("key", "<u8"), ("doc", "<i8"), ("start", "<i4"), ("size", "<i4"), ("route", "<u4")])
 
 
 def stretches(ids: np.ndarray, raw: np.ndarray, offsets: np.ndarray, keys: np.ndarray, routes: np.ndarray, length: int):
-    """The stretches of texts around their shared anchors, one for neighbours of one route: (table, bytes, route)."""
+    """The stretches of texts around their shared anchors, one for neighbours of one route: (table, bytes)."""
     places, hashes = tn.anchors(raw, offsets, length, K)
     if not len(places) or not len(keys):
-        return np.zeros(0, _STRETCH), [], np.zeros(0, np.uint32)
+        return np.zeros(0, _STRETCH), []
     doc = np.searchsorted(offsets, places, side="right") - 1
     wanted = _key(ids[doc], _low(hashes))
     at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
     hit = keys[at] == wanted
     places, doc, route = places[hit], doc[hit], routes[at[hit]]
     if not len(places):
-        return np.zeros(0, _STRETCH), [], np.zeros(0, np.uint32)
+        return np.zeros(0, _STRETCH), []
     lo, hi = np.maximum(places - (length - K), offsets[doc]), np.minimum(places + length, offsets[doc + 1])
     new = np.concatenate([[True], (doc[1:] != doc[:-1]) | (route[1:] != route[:-1]) | (lo[1:] > hi[:-1])])
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(places)) - 1
     table = np.empty(len(first), _STRETCH)
     table["key"], table["doc"] = _row_keys(raw, offsets, ids)[doc[first]], ids[doc[first]]
+    table["route"] = route[first]
     table["start"], table["size"] = lo[first] - offsets[doc[first]], hi[last] - lo[first]
     data = raw.tobytes()
-    return table, [data[a:b] for a, b in zip(lo[first].tolist(), hi[last].tolist(), strict=True)], route[first]
+    return table, [data[a:b] for a, b in zip(lo[first].tolist(), hi[last].tolist(), strict=True)]
 
 
 class RunIndex:
@@ -222,7 +224,7 @@ def _marks(table: np.ndarray, texts: list[bytes], length: int):
         start, end = edges[::2], edges[1::2] + length - 1
         out.append((np.full(len(start), row["key"], np.uint64), np.full(len(start), row["doc"]), start + row["start"], end + row["start"]))
     if not out:
-        return [np.zeros(0, np.int64)] * 4
+        return [np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3]
     return [np.concatenate([x[k] for x in out]) for k in range(4)]
 
 
@@ -259,10 +261,10 @@ def remove_repeats(documents: DataFrame, length: int = 50) -> DataFrame:
         for batch in texts.to_batches():
             for piece in slices(batch, "text"):
                 raw, offsets = tn.text_bytes(piece.column("text"))
-                table, parts, route = stretches(_ids(piece.column("doc_id")), raw, offsets, known, routes, length)
+                table, parts = stretches(_ids(piece.column("doc_id")), raw, offsets, known, routes, length)
                 tables.append(table)
                 data += parts
-                places.append((tn.mix(route.astype(np.uint64)) % np.uint64(n)).astype(np.int64))
+                places.append((tn.mix(table["route"].astype(np.uint64)) % np.uint64(n)).astype(np.int64))
         rows = []
         if tables:
             table, shard = np.concatenate(tables), np.concatenate(places)
@@ -282,7 +284,19 @@ def remove_repeats(documents: DataFrame, length: int = 50) -> DataFrame:
                 texts += [data[e - s:e] for e, s in zip(ends, tables[-1]["size"].tolist(), strict=True)]
         if not tables:
             return
-        key, doc, start, end = _marks(np.concatenate(tables), texts, length)
+        table = np.concatenate(tables)
+        # Strings of different routes need not meet: an index takes the routes of about INDEX_BYTES at a time.
+        order = np.argsort(table["route"], kind="stable")
+        route, before = table["route"][order], np.cumsum(table["size"][order]) - table["size"][order]
+        new = np.concatenate([[True], route[1:] != route[:-1]])
+        part = before[np.flatnonzero(new)] // INDEX_BYTES
+        part = np.repeat(part, np.diff(np.append(np.flatnonzero(new), len(route))))
+        cuts = np.append(np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])), len(part))
+        found = []
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            pick = order[lo:hi]
+            found.append(_marks(table[pick], [texts[i] for i in pick.tolist()], length))
+        key, doc, start, end = (np.concatenate([f[k] for f in found]) for k in range(4))
         chunk = _chunk(doc, n)
         rows = []
         for c in np.unique(chunk).tolist():
