@@ -106,7 +106,8 @@ def micros(x: str) -> str:
 
 
 def key_sql(*parts: str) -> str:
-    return "md5(concat_ws('|#|', " + ", ".join(f"coalesce({p}, '~')" for p in parts) + "))"
+    escaped = [rf"coalesce('=' || replace(replace(CAST({p} AS VARCHAR), '\', '\\'), '|', '\|'), '~')" for p in parts]
+    return "md5(concat_ws('|', " + ", ".join(escaped) + "))"
 
 
 def blank(x: str) -> str:
@@ -158,7 +159,7 @@ LEFT JOIN community s ON o.grid_id = s.grid_id""",
              + " END AS climate_id, CASE WHEN coalesce(sampling_method, concentration_class_range, concentration_class_text) "
              "IS NOT NULL THEN " + key_sql("sampling_method", "concentration_class_range", "concentration_class_text")
              + " END AS sampling_method_id, CASE WHEN length(scientific_name) >= 2 THEN "
-             + key_sql("substr(scientific_name, 1, 200)", "substr(genus, 1, 100)") + " END AS species_id FROM normed",
+             + key_sql("scientific_name", "genus") + " END AS species_id FROM normed",
     "dim_date": """
 SELECT DISTINCT date_id, full_date, CAST(year(full_date) AS INTEGER) AS year, CAST(month(full_date) AS INTEGER) AS month,
  CAST(day(full_date) AS INTEGER) AS day, CAST(ceil(month(full_date)/3.0) AS INTEGER) AS quarter,

@@ -167,19 +167,25 @@ def _(g):
     return dedup.count_duplicate_groups(g.micro, DUP_KEYS)
 
 
-@query("head_cap", "SELECT objectid, unit FROM (SELECT *, row_number() OVER (ORDER BY objectid, unit) AS rn FROM fx_micro_raw) WHERE rn <= 800000")
+@query("head_cap", "SELECT objectid, unit FROM (SELECT *, row_number() OVER (ORDER BY objectid, unit) AS rn FROM fx_micro_raw) WHERE rn <= 20000")
 def _(g):
-    return dedup.head_rows(g.micro.select("objectid", "unit"), ["objectid", "unit"], 800_000)
+    """The head is cut at 60,000 rows and more."""
+    return dedup.head_rows(g.micro.select("objectid", "unit"), ["objectid", "unit"], 20_000)
 
 
-@query("sample_fraction")
+def hash_sql(*ids: str) -> str:
+    return "CAST('0x' || substr(md5(concat_ws('|', " + ", ".join(f"coalesce(CAST({i} AS VARCHAR), '~')" for i in ids) + ", '42')), 1, 15) AS BIGINT)"
+
+
+@query("sample_fraction", f"SELECT * FROM fx_species_raw WHERE {hash_sql('occurrence_id')} % 1000000 < 500000")
 def _(g):
     return dedup.sample_fraction(g.species, 0.5, ["occurrence_id"])
 
 
-@query("sample_cap")
+@query("sample_cap", f"""
+SELECT objectid, unit FROM (SELECT *, row_number() OVER (ORDER BY {hash_sql('objectid', 'unit')}, objectid, unit) AS rn FROM fx_micro_raw) WHERE rn <= 15000""")
 def _(g):
-    return dedup.sample_cap(g.micro.select("objectid", "unit"), ["objectid", "unit"], max_rows=200_000)
+    return dedup.sample_cap(g.micro.select("objectid", "unit"), ["objectid", "unit"], max_rows=15_000)
 
 
 # ---------------------------------------------------------------- incremental extraction

@@ -34,11 +34,12 @@ SELECT ocean, marine_setting, count(*) AS num_observaciones, avg(measurement) AS
  stddev_pop(measurement) AS std_microplasticos, count(DISTINCT species_id) AS num_especies, count(DISTINCT phylum) AS num_phylums,
  avg(wave_height_max) AS avg_wave_height, avg(swell_wave_height_max) AS avg_swell_height
 FROM star WHERE ocean IS NOT NULL GROUP BY ALL""",
-    "mart_taxa": f"""
+    "taxa_all": f"""
 SELECT {TAXON}, count(DISTINCT species_id) AS num_especies, count(DISTINCT observation_id) AS num_observaciones,
  avg(measurement) AS avg_microplasticos, avg(wave_height_max) AS avg_wave_height
-FROM star WHERE kingdom IS NOT NULL GROUP BY ALL
-ORDER BY num_especies DESC, kingdom NULLS FIRST, phylum NULLS FIRST, class NULLS FIRST, order_name NULLS FIRST, family NULLS FIRST LIMIT 100""",
+FROM star WHERE kingdom IS NOT NULL GROUP BY ALL""",
+    "mart_taxa": """
+SELECT * FROM taxa_all ORDER BY num_especies DESC, kingdom NULLS FIRST, phylum NULLS FIRST, class NULLS FIRST, order_name NULLS FIRST, family NULLS FIRST LIMIT 100""",
     "mart_waves": f"""
 SELECT {WAVE5}, avg(measurement) AS avg_microplasticos, count(observation_id) AS num_observaciones,
  count(DISTINCT species_id) AS num_especies FROM star WHERE climate_id IS NOT NULL
@@ -240,22 +241,22 @@ TAXON_SUMS = "CAST(sum(num_especies) AS BIGINT) AS num_especies, avg(avg_micropl
 
 
 @mart("agg_phylum_rollup", f"""
-SELECT phylum, {TAXON_SUMS} FROM mart_taxa WHERE phylum IS NOT NULL GROUP BY 1 ORDER BY num_especies DESC, phylum LIMIT 20""", "avg_microplasticos")
+SELECT phylum, {TAXON_SUMS} FROM taxa_all WHERE phylum IS NOT NULL GROUP BY 1 ORDER BY num_especies DESC, phylum LIMIT 20""", "avg_microplasticos")
 def _(g):
-    return a.phylum_rollup(g.mart(marts.biodiversity))
+    return a.phylum_rollup(g.mart(marts.biodiversity, None))
 
 
 @mart("agg_family_rollup", f"""
-SELECT family, {TAXON_SUMS} FROM mart_taxa WHERE family IS NOT NULL GROUP BY 1 ORDER BY num_especies DESC, family LIMIT 20""", "avg_microplasticos")
+SELECT family, {TAXON_SUMS} FROM taxa_all WHERE family IS NOT NULL GROUP BY 1 ORDER BY num_especies DESC, family LIMIT 20""", "avg_microplasticos")
 def _(g):
-    return a.family_rollup(g.mart(marts.biodiversity))
+    return a.family_rollup(g.mart(marts.biodiversity, None))
 
 
 @mart("agg_exposure_rollup", f"""
-SELECT phylum, family, {TAXON_SUMS} FROM mart_taxa WHERE phylum IS NOT NULL AND family IS NOT NULL GROUP BY 1, 2
+SELECT phylum, family, {TAXON_SUMS} FROM taxa_all WHERE phylum IS NOT NULL AND family IS NOT NULL GROUP BY 1, 2
 ORDER BY avg_microplasticos DESC, phylum, family LIMIT 20""", "avg_microplasticos")
 def _(g):
-    return a.exposure_rollup(g.mart(marts.biodiversity))
+    return a.exposure_rollup(g.mart(marts.biodiversity, None))
 
 
 REPORT = """

@@ -4,19 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from checks.base import Given, query
 from checks.quality import ALL_RULES, YEAR
 from checks.scalars import raw_observations, raw_occurrences
 from tidemark.operators import columns, quality
-from tidemark.operators.dedup import head_rows
 from tidemark.plans import metrics
-from tidemark.plans.etl import RunConfig, run
+from tidemark.plans.etl import RunConfig, gate, run
 from tidemark.plans.warehouse import table_counts
 from tidemark.schemas import CLIMATE_FIELDS
 from tidemark.sinks.files import VersionedTable, append_history, write_quality_report, write_stage_tables
 from tidemark.sinks.topic import write_message_files
-from tidemark.sources.files import cached_extract, load_inferred, or_placeholder, read_delimited, read_occurrences_tsv
+from tidemark.sources.files import cached_extract, count_expected_columns, load_inferred, or_placeholder, read_delimited, read_occurrences_tsv
 from tidemark.sources.tables import read_relational
 from tidemark.streaming.messages import decode
 
@@ -112,7 +112,7 @@ def _(g):
 
     def extract():
         calls.append(1)
-        return head_rows(g.species, ["occurrence_id"], 800_000)
+        return g.species
 
     path = g.scratch("cache")
     cached_extract(g.spark, path, extract)
@@ -123,12 +123,43 @@ def _(g):
 @query("src_empty_placeholder", "SELECT 'full' AS kind, count(*) AS n FROM fx_climate_raw UNION ALL SELECT 'empty', 0")
 def _(g):
     ddl = ", ".join(f"{n} {t}" for n, t in CLIMATE_FIELDS)
-    full = or_placeholder(g.climate, g.spark, ddl, min_rows=10)
-    empty = or_placeholder(g.climate.where("reading_id < 0"), g.spark, ddl, min_rows=10).select("date", "grid_id")
+    full = or_placeholder(g.climate, g.spark, ddl)
+    empty = or_placeholder(g.spark.createDataFrame([], T.StructType([])), g.spark, ddl).select("date", "grid_id")
     return full.agg(F.lit("full").alias("kind"), F.count("*").alias("n")).union(
         empty.agg(F.lit("empty"), F.count("*")))
 
 
+@query("src_check_columns", "SELECT 6 AS n_expected_present, count(*) AS n_rows FROM fx_species_raw")
+def _(g):
+    raw = raw_occurrences(g)
+    return raw.agg(F.lit(count_expected_columns(raw)).alias("n_expected_present"), F.count("*").alias("n_rows"))
+
+
+@query("detect_lat_lon", "SELECT objectid, latitude AS lat, longitude AS lon FROM fx_micro_raw")
+def _(g):
+    raw = raw_observations(g)
+    lat, lon = columns.find_coordinates(raw)
+    return raw.select("objectid", columns.quoted(lat).alias("lat"), columns.quoted(lon).alias("lon"))
+
+
+@query("dq_critical_columns", """
+SELECT c AS missing, n AS n_rows FROM (SELECT unnest(['date', 'latitude', 'longitude', 'microplastics_measurement', 'unit']) AS c), (SELECT count(*) AS n FROM fx_micro_raw)""")
+def _(g):
+    """The critical columns that the raw observations lack before they are renamed."""
+    raw = raw_observations(g)
+    lacking = F.array(*[F.lit(c) for c in columns.missing_columns(raw, quality.CRITICAL_COLUMNS)])
+    return raw.agg(F.count("*").alias("n_rows")).select(F.explode(lacking).alias("missing"), "n_rows")
+
+
+@query("dq_non_blocking_gate", "SELECT dataset, count(*) AS total, count(*) FILTER (WHERE success) AS passed FROM all_rules GROUP BY 1", extra=ALL_RULES)
+def _(g):
+    """Failed rules are reported and the run goes on."""
+    t = g.transformed
+    report = quality.run_suites(t.observations, t.climate, t.occurrences, YEAR, "post")
+    gate(report, "warn", "post")
+    return quality.overall(report).select("dataset", F.col("total").cast("long").alias("total"), F.col("passed").cast("long").alias("passed"))
+
+
 @query("sink_stage_tables", """
 SELECT 'catalog' AS stage, count(*) AS n FROM cat UNION ALL SELECT 'climate', count(*) FROM cli UNION ALL
 SELECT 'observations', count(*) FROM obs UNION ALL SELECT 'occurrences', count(*) FROM occ""")

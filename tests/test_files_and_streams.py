@@ -44,7 +44,7 @@ def test_unfinished_extract_is_redone(spark, tmp_path):
 
 
 def test_placeholder_for_few_rows(spark):
-    assert files.or_placeholder(spark.range(3), spark, "id bigint, x string", min_rows=10).columns == ["id", "x"]
+    assert files.or_placeholder(spark.range(3), spark, "id bigint, x string").count() == 3
     assert files.or_placeholder(None, spark, "x string").count() == 0
 
 

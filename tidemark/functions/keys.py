@@ -7,15 +7,26 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.values import as_column
 
-SEPARATOR = "|#|"
+SEPARATOR = "|"
 NULL_TOKEN = "~"
 
 
 def number_part(value: str | Column) -> Column:
     """A number of at most six decimals as a whole count of millionths, which every engine prints alike."""
-    return F.rint(as_column(value) * 1e6).cast("bigint").cast("string")
+    number = as_column(value)
+    millionths = F.rint(number * 1e6)
+    # Beyond a bigint such a number has no decimals to round; its own digits are the key.
+    return F.when(F.abs(millionths) < 9e18, millionths.try_cast("bigint").cast("string")).otherwise(number.cast("string"))
 
 
 def surrogate_key(*parts: Column) -> Column:
-    """md5 over the parts; null parts take part as a token (null equals null)."""
-    return F.md5(F.concat_ws(SEPARATOR, *[F.coalesce(p, F.lit(NULL_TOKEN)) for p in parts]))
+    """md5 over the parts; null equals null and nothing else.
+
+    Text starts with a mark that the null token lacks, and separators in it are escaped, so
+    different parts never make the same string.
+    """
+    def part(p: Column) -> Column:
+        plain = F.replace(F.replace(p.cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit(SEPARATOR), F.lit("\\" + SEPARATOR))
+        return F.coalesce(F.concat(F.lit("="), plain), F.lit(NULL_TOKEN))
+
+    return F.md5(F.concat_ws(SEPARATOR, *[part(p) for p in parts]))

@@ -77,19 +77,14 @@ def scaffold(cells: DataFrame, readings: DataFrame, start: str, end: str) -> Dat
     )
 
 
-def new_readings(readings: DataFrame, catalog: DataFrame, start: str, end: str, extent: Extent = NORTH_AMERICA, precision: float = 2.0) -> DataFrame:
-    """Readings of the range that belong to catalogued cells.
+def new_readings(readings: DataFrame, catalog: DataFrame, start: str, end: str) -> DataFrame:
+    """Readings of the range that belong to catalogued cells, wherever these lie.
 
-    Cells outside ``extent`` cannot occur in a catalogue built from cleaned observations;
-    the filter is what bounds the broadcast side.
+    Nothing bounds the catalogue here, so it is joined without a hint; Spark broadcasts it where it is small.
     """
-    half = precision / 2
-    known = catalog.where(
-        F.col("grid_lat").between(extent.lat_min - half, extent.lat_max + half)
-        & F.col("grid_lon").between(extent.lon_min - half, extent.lon_max + half)
-    ).select("grid_id").distinct()
+    known = catalog.select("grid_id").distinct()
     in_range = readings.where(F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
-    return in_range.join(F.broadcast(known), "grid_id", "left_semi")
+    return in_range.join(known, "grid_id", "left_semi")
 
 
 def with_extraction_time(df: DataFrame) -> DataFrame:

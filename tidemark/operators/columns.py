@@ -68,11 +68,21 @@ def find_coordinates(df: DataFrame) -> tuple[str | None, str | None]:
 
 
 def project_fields(df: DataFrame, fields: Sequence[tuple[str, str]]) -> DataFrame:
-    """Exactly the given columns in order; a missing one is added as null of its type."""
-    present = set(df.columns)
-    return df.select(*[
-        quoted(n).cast(kind).alias(n) if n in present else F.lit(None).cast(kind).alias(n) for n, kind in fields
-    ])
+    """Exactly the given columns in order; a missing one is added as null of its type.
+
+    Text that cannot be read as the wanted type becomes null; whole numbers may be written as decimals.
+    """
+    kinds = dict(df.dtypes)
+
+    def projected(name: str, kind: str):
+        if name not in kinds:
+            return F.lit(None).cast(kind)
+        if kinds[name] != "string" or kind == "string":
+            return quoted(name).try_cast(kind)
+        whole = kind.lower() in ("int", "integer", "bigint", "long", "smallint")
+        return (quoted(name).try_cast("double") if whole else quoted(name)).try_cast(kind)
+
+    return df.select(*[projected(n, kind).alias(n) for n, kind in fields])
 
 
 def project_present(df: DataFrame, columns: Iterable[str]) -> DataFrame:

@@ -80,10 +80,11 @@ def assign_to_nearest_cell(
     equal distances go to the smaller (grid_lat, grid_lon). ``precision`` is that of
     the catalogue.
 
-    ``extent`` is a box the targets are known to lie in. It bounds the number of cells
-    that can matter, whatever the number of rows; if that bound is small the candidates
-    are broadcast and the target is neither shuffled nor sorted. Otherwise the target
-    is shuffled by cell, with every cell spread over ``salts`` tasks.
+    ``extent`` is a box the targets lie in: only cells in reach of it count, so points
+    far outside get none. It bounds the number of cells, whatever the number of rows; if
+    that bound is small the candidates are broadcast and the target is neither shuffled
+    nor sorted. Otherwise the target is shuffled by cell, with every cell spread over
+    ``salts`` tasks. The choice does not touch the result.
     """
     rings = search_rings(precision, max_km)
     reach = max_km / KM_PER_DEGREE
@@ -93,14 +94,16 @@ def assign_to_nearest_cell(
     )
     keys = ["_cell_i", "_cell_j"]
     bound = extent.max_cells(precision, reach) * (2 * rings + 1) ** 2 if extent is not None else None
-    if bound is not None and bound <= MAX_BROADCAST_CANDIDATES:
-        near = catalog.where(
+    if extent is not None:
+        catalog = catalog.where(
             F.col("grid_lat").between(extent.lat_min - reach, extent.lat_max + reach)
             & F.col("grid_lon").between(extent.lon_min - reach, extent.lon_max + reach)
         )
-        found = points.join(F.broadcast(candidate_cells(near, precision, max_km)), keys, "left")
+    candidates = candidate_cells(catalog, precision, max_km)
+    if bound is not None and bound <= MAX_BROADCAST_CANDIDATES:
+        found = points.join(F.broadcast(candidates), keys, "left")
     else:
-        found = salted_lookup(points, candidate_cells(catalog, precision, max_km), keys, salts)
+        found = salted_lookup(points, candidates, keys, salts)
 
     def measured(cell):
         km = planar_km(cell["grid_lat"], cell["grid_lon"], F.col(lat), F.col(lon))

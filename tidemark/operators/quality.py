@@ -50,7 +50,7 @@ def not_null(mostly: float, *columns: str) -> list[Rule]:
 
 
 def between(column: str, low: float, high: float, mostly: float) -> Rule:
-    return Rule(BETWEEN, (column,), mostly, lambda c: c.between(low, high))
+    return Rule(BETWEEN, (column,), mostly, lambda c: c.try_cast("double").between(low, high))
 
 
 def in_set(column: str, allowed: Sequence[str], mostly: float) -> Rule:
@@ -210,7 +210,9 @@ def run_suites(
     report = observations.sparkSession.createDataFrame([], REPORT_DDL)
     for dataset, df, columns, rules in suites:
         try:
+            # Evaluated here and now, a few rows: a dataset that fails while it runs fails alone.
             block = check(project_present(df, columns), rules, dataset, stage)
+            block = observations.sparkSession.createDataFrame(block.collect(), block.schema)
         except Exception as error:  # an unreadable dataset must not hide the other reports
             print(f"quality checks of {dataset} failed: {error}")
             continue

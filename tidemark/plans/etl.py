@@ -13,7 +13,7 @@ from tidemark.operators.climate import monthly_climate
 from tidemark.operators.columns import CASE_ONLY_NAMES, OBSERVATION_NAMES, missing_columns, project_fields
 from tidemark.operators.grid import assign_to_nearest_cell, grid_catalog, snap_to_grid
 from tidemark.operators.quality import CRITICAL_COLUMNS, overall, run_suites
-from tidemark.operators.taxonomy import community_by_cell
+from tidemark.operators.taxonomy import NAMES_PER_CELL, community_by_cell
 from tidemark.plans.fuse import fuse
 from tidemark.plans.warehouse import Warehouse, load_warehouse
 from tidemark.schemas import CLIMATE_FIELDS, OBSERVATION_FIELDS, OCCURRENCE_FIELDS
@@ -43,10 +43,12 @@ def _with_order(df: DataFrame, order: str | None, fields: list[tuple[str, str]])
 def transform(
     observations: DataFrame, occurrences: DataFrame, climate: DataFrame, *, occurrence_order: str = "event_date",
     climate_order: str = "date", precision: float = DEFAULT_PRECISION, max_km: float = DEFAULT_MAX_KM,
-    extent: Extent = NORTH_AMERICA, catalog: DataFrame | None = None,
+    extent: Extent = NORTH_AMERICA, catalog: DataFrame | None = None, names_per_cell: int = NAMES_PER_CELL,
 ) -> Transformed:
     """Clean the sources, snap and assign cells, aggregate, and fuse.
 
+    ``names_per_cell``: how many species names a cell's community lists.
+
     A catalogue written by an earlier step spares deriving it again for each source.
     The cleaners keep only ``extent``, which bounds the cells and so every table that
     is joined to the observations; those pass through without a shuffle.
@@ -59,7 +61,7 @@ def transform(
     obs = project_fields(obs, OBSERVATION_FIELDS)
     occ = project_fields(occ, _with_order(occ, occurrence_order, OCCURRENCE_FIELDS))
     cli = project_fields(cli, _with_order(cli, climate_order, CLIMATE_FIELDS))
-    fused = fuse(obs, monthly_climate(cli, climate_order), community_by_cell(occ, occurrence_order), extent, precision)
+    fused = fuse(obs, monthly_climate(cli, climate_order), community_by_cell(occ, occurrence_order, names_per_cell), extent, precision)
     return Transformed(obs, occ, cli, catalog, fused)
 
 
@@ -96,7 +98,7 @@ class RunResult:
     warehouse: Warehouse
 
 
-def _gate(report: DataFrame, mode: str, stage: str) -> None:
+def gate(report: DataFrame, mode: str, stage: str) -> None:
     failed = [r for r in overall(report).collect() if r["passed"] < r["total"]]  # at most one row per dataset
     for row in failed:
         print(f"{row['dataset']} [{stage}]: {row['passed']} of {row['total']} rules passed")
@@ -126,7 +128,7 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
     def checked(stage: str, obs: DataFrame, cli: DataFrame, occ: DataFrame) -> None:
         reports[stage] = write_quality_report(run_suites(obs, cli, occ, cfg.current_year, stage), base, stage)
         written = spark.read.parquet(reports[stage]["rules"])
-        _gate(written, cfg.gate, stage)
+        gate(written, cfg.gate, stage)
 
     checked("pre", named, climate, occurrences)
     result = transform(observations, occurrences, climate, catalog=catalog, **cfg.transform_options)
@@ -139,7 +141,7 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
     extent, precision = options.get("extent", NORTH_AMERICA), options.get("precision", DEFAULT_PRECISION)
     fused = fuse(
         read["observations"], monthly_climate(read["climate"], options.get("climate_order", "date")),
-        community_by_cell(read["occurrences"], options.get("occurrence_order", "event_date")), extent, precision)
+        community_by_cell(read["occurrences"], options.get("occurrence_order", "event_date"), options.get("names_per_cell", NAMES_PER_CELL)), extent, precision)
     paths |= write_stage_tables({"fused": fused}, f"{base}/clean")
     checked("post", read["observations"], read["climate"], read["occurrences"])
     warehouse = load_warehouse(

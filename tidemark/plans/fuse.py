@@ -24,16 +24,17 @@ def suffixed(df: DataFrame, taken: Sequence[str], keys: Sequence[str], suffix: s
 def _lookup(left: DataFrame, right: DataFrame, on: list[str], suffix: str, max_rows: int | None, extent: Extent | None,
             precision: float) -> DataFrame:
     renamed = suffixed(right, left.columns, on, suffix)
+    if extent is not None:  # whichever join is taken, only cells of the extent count
+        half = precision / 2
+        lat = "grid_lat" + (suffix if "grid_lat" in left.columns else "")
+        lon = "grid_lon" + (suffix if "grid_lon" in left.columns else "")
+        renamed = renamed.where(
+            F.col(lat).between(extent.lat_min - half, extent.lat_max + half)
+            & F.col(lon).between(extent.lon_min - half, extent.lon_max + half)
+        )
     if max_rows is None or max_rows > MAX_BROADCAST_ROWS:
         return salted_lookup(left, renamed, on)
-    half = precision / 2
-    lat = "grid_lat" + (suffix if "grid_lat" in left.columns else "")
-    lon = "grid_lon" + (suffix if "grid_lon" in left.columns else "")
-    bounded = renamed.where(
-        F.col(lat).between(extent.lat_min - half, extent.lat_max + half)
-        & F.col(lon).between(extent.lon_min - half, extent.lon_max + half)
-    )
-    return left.join(F.broadcast(bounded), on, "left")
+    return left.join(F.broadcast(renamed), on, "left")
 
 
 def join_monthly_climate(observations: DataFrame, monthly: DataFrame, extent: Extent | None = None,

@@ -10,6 +10,7 @@ ones whose files are small.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,13 +48,21 @@ def mean_measurement() -> Column:
     return F.try_divide(F.sum("s"), F.sum("n"))
 
 
+def with_deviation(sums: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add the squared distance of each group's mean from the mean over ``keys``, once for each measurement.
+
+    Taking the means first keeps digits that the difference of two large sums would lose. The
+    means are as few as the result's rows.
+    """
+    means = sums.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(mean_measurement().alias("_mean"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    apart = F.try_divide(F.col("s"), F.col("n")) - F.col("_mean")
+    return sums.join(means, same, "left").withColumn("dev", F.col("n") * apart * apart).drop("_mean", *[f"_{k}" for k in keys])
+
+
 def std_measurement() -> Column:
-    """Population standard deviation from the variances within the groups and between them."""
-    mean = mean_measurement()
-    within = F.sum(F.col("n") * F.col("var"))
-    between = F.sum(F.try_divide(F.col("s") * F.col("s"), F.col("n")))
-    variance = F.try_divide(within + between, F.sum("n")) - mean * mean
-    return F.sqrt(F.greatest(F.lit(0.0), variance))
+    """Population standard deviation from the variances within the groups and the distances between them."""
+    return F.sqrt(F.try_divide(F.coalesce(F.sum(F.col("n") * F.col("var")), F.lit(0.0)) + F.coalesce(F.sum("dev"), F.lit(0.0)), F.sum("n")))
 
 
 def mean_wave(column: str) -> Column:
@@ -149,7 +158,7 @@ def ocean_comparison(wh: Warehouse) -> DataFrame:
     sums = summed_facts(wh.fact.where(F.col(LOCATION_FK).isNotNull()), [LOCATION_FK, CLIMATE_FK])
     placed = _with_location(_with_climate(sums, wh), wh).where("ocean IS NOT NULL")
     placed = placed.join(wh.dim_species.select("species_id", "phylum"), "species_id", "left")
-    return placed.groupBy("ocean", "marine_setting").agg(
+    return with_deviation(placed, ["ocean", "marine_setting"]).groupBy("ocean", "marine_setting").agg(
         n_observations().alias("num_observaciones"), mean_measurement().alias("avg_microplasticos"),
         std_measurement().alias("std_microplasticos"), n_species().alias("num_especies"),
         F.count_distinct("phylum").alias("num_phylums"), mean_wave("wave_height_max").alias("avg_wave_height"),
@@ -157,8 +166,8 @@ def ocean_comparison(wh: Warehouse) -> DataFrame:
     ).orderBy(F.desc("avg_microplasticos"), "ocean", "marine_setting")
 
 
-def biodiversity(wh: Warehouse, limit: int = TOP_ROWS) -> DataFrame:
-    """Taxonomic groups by number of species.
+def biodiversity(wh: Warehouse, limit: int | None = TOP_ROWS) -> DataFrame:
+    """Taxonomic groups by number of species; all of them without a limit, as roll-ups need.
 
     Here a measurement counts once under every species of the group it is linked to, as
     in a join of species to facts; observations of a group are counted once. Facts are
@@ -178,10 +187,11 @@ def biodiversity(wh: Warehouse, limit: int = TOP_ROWS) -> DataFrame:
     weighted = shares.select(
         *ranks, CLIMATE_FK, "species_id", F.when(first, F.col("rows_once")).alias("rows_once"),
         F.when(first, F.col("rows_once") * F.col("k")).alias("n"), F.when(first, F.col("s") * F.col("k")).alias("s"))
-    return _with_climate(weighted, wh).groupBy(*ranks).agg(
+    groups = _with_climate(weighted, wh).groupBy(*ranks).agg(
         n_species().alias("num_especies"), F.sum("rows_once").alias("num_observaciones"),
         mean_measurement().alias("avg_microplasticos"), mean_wave("wave_height_max").alias("avg_wave_height"),
-    ).orderBy(F.desc("num_especies"), *ranks).limit(limit)
+    ).orderBy(F.desc("num_especies"), *ranks)
+    return groups if limit is None else groups.limit(limit)
 
 
 def climate_correlation(wh: Warehouse, min_observations: int = 2) -> DataFrame:
@@ -199,7 +209,7 @@ def climate_correlation(wh: Warehouse, min_observations: int = 2) -> DataFrame:
 def sampling_effectiveness(wh: Warehouse) -> DataFrame:
     sums = summed_facts(wh.fact.where(F.col(SAMPLING_FK).isNotNull()), [SAMPLING_FK, CLIMATE_FK])
     methods = wh.dim_sampling_method.where("sampling_method IS NOT NULL").withColumnRenamed("sampling_method_id", SAMPLING_FK)
-    return _with_climate(sums, wh).join(methods, SAMPLING_FK).groupBy(*SAMPLING_COLUMNS).agg(
+    return with_deviation(_with_climate(sums, wh).join(methods, SAMPLING_FK), SAMPLING_COLUMNS).groupBy(*SAMPLING_COLUMNS).agg(
         n_observations().alias("num_observaciones"), mean_measurement().alias("avg_microplasticos"),
         F.min("mn").alias("min_microplasticos"), F.max("mx").alias("max_microplasticos"),
         std_measurement().alias("std_microplasticos"), n_species().alias("num_especies"),

@@ -54,8 +54,8 @@ TABLE_DDL = {
     BRIDGE: "fact_microplastics_observation_id string, dim_date_date_id string, dim_species_species_id string",
 }
 
-# Prefix lengths that tell two species entries apart, and the shortest name taken.
-NAME_KEY_LENGTH, GENUS_KEY_LENGTH, MIN_NAME_LENGTH = 200, 100, 2
+# Fixed value: the shortest name taken.
+MIN_NAME_LENGTH = 2
 
 
 def _first_text(df: DataFrame, *names: str) -> Column:
@@ -89,9 +89,7 @@ def date_key() -> Column:
 
 
 def species_key() -> Column:
-    return surrogate_key(
-        F.substring("scientific_name", 1, NAME_KEY_LENGTH), F.substring("genus", 1, GENUS_KEY_LENGTH)
-    )
+    return surrogate_key(F.col("scientific_name"), F.col("genus"))
 
 
 def with_keys(fused: DataFrame, order_by: str = "objectid", null_keys: str = "equal", explode_species: bool = False) -> DataFrame:
@@ -141,8 +139,7 @@ def with_keys(fused: DataFrame, order_by: str = "objectid", null_keys: str = "eq
     if explode_species:
         each = F.transform(F.split("scientific_name", r"\|"), lambda n: blank_to_null(n))
         wanted = F.array_distinct(F.filter(each, lambda n: F.length(n) >= MIN_NAME_LENGTH))
-        single = lambda n: surrogate_key(
-            F.substring(n, 1, NAME_KEY_LENGTH), F.substring(F.col("genus"), 1, GENUS_KEY_LENGTH))
+        single = lambda n: surrogate_key(n, F.col("genus"))
         members = F.transform(wanted, lambda n: F.struct(single(n).alias("species_id"), n.alias("scientific_name")))
     else:
         members = F.when(named, F.array(F.struct(species_key().alias("species_id"), F.col("scientific_name"))))

@@ -62,8 +62,8 @@ def read_delimited(spark: SparkSession, path: str, infer: bool = False) -> DataF
     """Read a delimited file with the first separator that yields more than one column.
 
     Only the header line is looked at to pick the separator. Columns are text unless
-    ``infer`` is set, which costs a second pass over the file; the cleaners coerce
-    text themselves. No usable separator gives an empty frame.
+    ``infer`` is set, which costs a second pass over the file; cleaners, projections and
+    rules coerce text themselves. No usable separator gives an empty frame.
     """
     header = _header_line(spark, path)
     for sep in SEPARATORS:
@@ -90,12 +90,9 @@ def placeholder(spark: SparkSession, schema: str | T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def or_placeholder(df: DataFrame | None, spark: SparkSession, schema: str | T.StructType, min_rows: int = 1) -> DataFrame:
-    """The frame itself, or the empty placeholder when it is missing or holds too few rows.
-
-    At most ``min_rows`` rows are looked at.
-    """
-    if df is None or not df.columns or len(df.take(min_rows)) < min_rows:
+def or_placeholder(df: DataFrame | None, spark: SparkSession, schema: str | T.StructType) -> DataFrame:
+    """The frame itself, or the empty placeholder when it is missing or has no columns."""
+    if df is None or not df.columns:
         return placeholder(spark, schema)
     return df
 
