@@ -146,6 +146,7 @@ def quality_rules(documents: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 def keep_good(documents: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows of ``documents`` that :func:`quality_rules` keeps, with all their columns."""
+    # Written with its figures, which are then read and not worked out again in every place that filters by them.
     held = documents.select(F.struct("*").alias("_row"), F.col("text").cast("string").alias("text"))
-    measured = figures(held)
+    measured = written(figures(held).drop("text"), "quality-rows")
     return judged(measured, fit_rules(measured), threshold).where("kept").select("_row.*")
