@@ -79,42 +79,51 @@ class RuleModel:
     right_on_good: tuple[float, ...]
     right_on_bad: tuple[float, ...]
 
+    def log_odds(self) -> list[tuple[float, float]]:
+        """What each rule's vote for good and for bad adds to the log odds of good."""
+        return [(math.log(a / (1 - b)), math.log((1 - a) / b)) for a, b in zip(self.right_on_good, self.right_on_bad, strict=True)]
+
     def posterior(self) -> Column:
         """Probability of good given the votes v0, v1, ... (1 good, -1 bad, 0 none)."""
         odds = F.lit(math.log(self.good / (1 - self.good)))
-        for k, (a, b) in enumerate(zip(self.right_on_good, self.right_on_bad, strict=True)):
-            odds += F.when(F.col(f"v{k}") == 1, math.log(a / (1 - b))).when(F.col(f"v{k}") == -1, math.log((1 - a) / b)).otherwise(0.0)
+        for k, (up, down) in enumerate(self.log_odds()):
+            odds += F.when(F.col(f"v{k}") == 1, up).when(F.col(f"v{k}") == -1, down).otherwise(0.0)
         return 1 / (1 + F.exp(-odds))
 
+    def posterior_of(self, pattern: tuple[int, ...]) -> float:
+        odds = math.log(self.good / (1 - self.good)) + sum((up if v > 0 else down) for v, (up, down) in zip(pattern, self.log_odds(), strict=True) if v)
+        return 1 / (1 + math.exp(-odds))
+
 
 def votes(measured: DataFrame) -> DataFrame:
     return measured.withColumns({f"v{k}": F.expr(f"case when {r.bad} then -1 when {r.good} then 1 else 0 end") for k, r in enumerate(RULES)})
 
 
 def fit_rules(measured: DataFrame, rounds: int = 40, tolerance: float = 1e-7) -> RuleModel:
-    """Expectation-maximisation over the counts of vote patterns, at most 3 ** len(RULES) rows, one aggregate a round.
+    """Expectation-maximisation over the counts of vote patterns.
 
-    It starts from rules that are mostly right, which also names the two classes. Each estimate has a weak prior of 20
-    texts at its start value, so rules that never vote and empty tables keep those values.
+    Spark counts the patterns; there are at most 3 ** len(RULES) of them, whatever the input, and the rounds over this
+    table are plain arithmetic. It starts from rules that are mostly right, which also names the two classes. Each estimate
+    has a weak prior of 20 texts at its start value, so rules that never vote and empty tables keep those values.
     """
     names = [f"v{k}" for k in range(len(RULES))]
-    patterns = written(votes(measured).groupBy(names).count().coalesce(1), "quality-votes")
+    counted = votes(measured).groupBy(names).count().collect()
+    patterns = sorted((tuple(r[v] for v in names), r["count"]) for r in counted)
     start = model = RuleModel(0.85, (0.97,) * len(RULES), (0.4,) * len(RULES))
+
+    def share(part: float, whole: float, before: float) -> float:
+        return min(max((part + 20 * before) / (whole + 20), 1e-4), 1 - 1e-4)
+
     for _ in range(rounds):
-        p, n = model.posterior(), F.col("count")
-        sums = [F.sum(n * p).alias("good"), F.sum(n).alias("all")]
-        for v in names:
-            up, down = F.col(v) == 1, F.col(v) == -1
-            sums += [F.sum(F.when(c, n * w).otherwise(0.0)).alias(f"{v}_{name}") for name, c, w in (("gu", up, p), ("gd", down, p), ("bu", up, 1 - p), ("bd", down, 1 - p))]
-        got = {k: x or 0.0 for k, x in patterns.agg(*sums).first().asDict().items()}
+        weighed = [(pattern, n * p, n * (1 - p)) for pattern, n in patterns for p in (model.posterior_of(pattern),)]
 
-        def share(part, whole, before):
-            return min(max((part + 20 * before) / (whole + 20), 1e-4), 1 - 1e-4)
+        def voted(k: int, vote: int, of: int, weighed=weighed) -> float:
+            return sum(w[of] for w in weighed if w[0][k] == vote)
 
         new = RuleModel(
-            share(got["good"], got["all"], start.good),
-            tuple(share(got[f"{v}_gu"], got[f"{v}_gu"] + got[f"{v}_gd"], s) for v, s in zip(names, start.right_on_good, strict=True)),
-            tuple(share(got[f"{v}_bd"], got[f"{v}_bu"] + got[f"{v}_bd"], s) for v, s in zip(names, start.right_on_bad, strict=True)))
+            share(sum(w[1] for w in weighed), sum(n for _, n in patterns), start.good),
+            tuple(share(voted(k, 1, 1), voted(k, 1, 1) + voted(k, -1, 1), s) for k, s in enumerate(start.right_on_good)),
+            tuple(share(voted(k, -1, 2), voted(k, 1, 2) + voted(k, -1, 2), s) for k, s in enumerate(start.right_on_bad)))
         moved = max(abs(a - b) for a, b in zip((model.good, *model.right_on_good, *model.right_on_bad), (new.good, *new.right_on_good, *new.right_on_bad), strict=True))
         model = new
         if moved < tolerance:
@@ -146,7 +155,9 @@ def quality_rules(documents: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 def keep_good(documents: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows of ``documents`` that :func:`quality_rules` keeps, with all their columns."""
-    # Written with its figures, which are then read and not worked out again in every place that filters by them.
     held = documents.select(F.struct("*").alias("_row"), F.col("text").cast("string").alias("text"))
-    measured = written(figures(held).drop("text"), "quality-rows")
-    return judged(measured, fit_rules(measured), threshold).where("kept").select("_row.*")
+    measured = figures(held).drop("text")
+    # A generator between the figures and the filter keeps Spark from working them out in every place that filters by them.
+    names = [c for c in measured.columns if c != "_row"]
+    measured = measured.select("_row", F.inline(F.array(F.struct(*names))))
+    return judged(measured, fit_rules(measured.drop("_row")), threshold).where("kept").select("_row.*")
