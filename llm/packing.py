@@ -27,13 +27,46 @@ KEPT_WORDS = 300_000  # of a worker's memory of encoded words; then it forgets t
 AT_ONCE = 4096
 WORD_END = "</w>"
 # How the tokenizer cuts a word, for words of Latin letters that lower-casing does not cut further.
+# Words of ASCII and Western European letters, without apostrophes or marks of special tokens, are cut the same way below.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 LATIN = regex.compile(r"[\x21-\x7E\u00A1-\u012F\u0131-\u024F]+")
+LETTER, DIGIT, SYMBOL, SPECIAL = 1, 2, 3, 4
+KIND = np.array([LETTER if c.isalpha() else DIGIT if c.isdigit() else SPECIAL if c == "'" else SYMBOL if "!" <= c <= "~" else SPECIAL
+                 for c in map(chr, range(128))] + [SPECIAL] * 128, np.uint8)
 _encoders: dict[str, WordEncoder] = {}
 
 
+def pieces(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end byte of each unit, the first unit of each text, and whether a unit is one piece to the tokenizer.
+
+    A word of ASCII and the letters U+00C0 to U+00FF is cut into its runs of letters, its single digits and its runs of symbols, so that case and
+    punctuation do not make a word new; any other word is a unit.
+    """
+    starts, ends, first = tn.words(raw, offsets)
+    if not len(starts):
+        return starts, ends, first, np.zeros(0, bool)
+    kind = KIND[raw]
+    lead = np.flatnonzero(raw[:-1] == 0xC3)
+    lead = lead[(raw[lead + 1] != 0x97) & (raw[lead + 1] != 0xB7)]  # the signs of multiplication and division
+    kind[lead] = kind[lead + 1] = LETTER
+    kind[np.flatnonzero((raw[:-1] == ord("<")) & (raw[1:] == ord("|")))] = SPECIAL
+    special = np.concatenate([[0], np.cumsum(kind == SPECIAL)])
+    plain = special[ends] == special[starts]
+    cut = np.zeros(len(raw), bool)
+    cut[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
+    inside = np.zeros(len(raw) + 1, np.int8)  # 1 within plain words only
+    inside[starts[plain]] += 1
+    inside[ends[plain]] -= 1
+    cut &= np.cumsum(inside[:-1], dtype=np.int8) > 0
+    cut[starts] = True
+    begins = np.flatnonzero(cut)
+    word = np.searchsorted(starts, begins, side="right") - 1
+    stops = np.minimum(np.append(begins[1:], len(raw)), ends[word])
+    return begins, stops, np.searchsorted(begins, offsets), plain[word]
+
+
 class WordEncoder:
-    """Token ids of texts by a tokenizer that never joins across white space: each distinct word is encoded once."""
+    """Token ids of texts by a tokenizer that never joins across white space: each distinct unit is encoded once."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -63,45 +96,58 @@ class WordEncoder:
         self.ids = self.ids[np.repeat(begin - stops[:-1], count) + np.arange(stops[-1])]
         self.begin, self.count, self.met = stops[:-1], count, self.met[keep]
 
-    def _together(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and their number for each word: words are encoded in one text and told apart by the ends of their pieces."""
+    def _together(self, found: list[str], cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their number for each unit: units are encoded in one text and told apart by the ends of their pieces."""
         ids = np.array(self.tokenizer.encode_batch_fast([" ".join(found)], add_special_tokens=False)[0].ids, np.uint32)
         ends = np.flatnonzero(self.is_end[ids]) + 1
-        stops = np.cumsum([len(PIECES.findall(w.lower())) for w in found])
+        stops = np.cumsum(cuts)
         if not len(ends) or len(ends) != stops[-1]:
             return self._apart(found)
         return ids, np.diff(ends[stops - 1], prepend=0)
 
+    def _whole(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return self._together(found, np.ones(len(found), np.int64))
+
+    def _latin(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return self._together(found, np.array([len(PIECES.findall(w.lower())) for w in found], np.int64))
+
     def _apart(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
         made = [np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, np.uint32) for w in found]
         return np.concatenate(made), np.array([len(x) for x in made], np.int64)
 
-    def learn(self, hashes: list[int], found: list[str]) -> None:
-        plain = [k for k, w in enumerate(found) if LATIN.fullmatch(w) and "<|" not in w]
-        other = sorted(set(range(len(found))) - set(plain)) if len(plain) < len(found) else []
-        for ways, order in ((self._together, plain), (self._apart, other)):
+    def learn(self, hashes: list[int], found: list[str], whole: list[bool]) -> None:
+        """Encode units that are new; ``whole`` tells those that are one piece."""
+        ways: dict = {self._whole: [], self._latin: [], self._apart: []}
+        for k, w in enumerate(found):
+            ways[self._whole if whole[k] else self._latin if "<|" not in w and LATIN.fullmatch(w) else self._apart].append(k)
+        for way, order in ways.items():
             for i in range(0, len(order), AT_ONCE):
                 some = order[i:i + AT_ONCE]
-                ids, counts = ways([found[k] for k in some])
+                ids, counts = way([found[k] for k in some])
                 base = len(self.count)
                 self.begin = np.concatenate([self.begin, len(self.ids) + np.cumsum(counts) - counts])
                 self.count, self.ids = np.concatenate([self.count, counts]), np.concatenate([self.ids, ids])
-                self.known |= {hashes[k]: base + j for j, k in enumerate(some)}
+                self.known.update(zip([hashes[k] for k in some], range(base, base + len(some)), strict=True))
         self.met = np.concatenate([self.met, np.zeros(len(self.count) - len(self.met), np.int64)])
 
     def encode(self, column, last: int) -> Iterator[np.ndarray]:
         """The ids of each text, then ``last``."""
         raw, offsets = tn.text_bytes(column)
-        starts, ends, first = tn.words(raw, offsets)
-        distinct, at, inverse = np.unique(tn.word_hashes(raw, starts, ends, lower=False), return_index=True, return_inverse=True)
+        starts, ends, first, whole = pieces(raw, offsets)
+        hashes = tn.word_hashes(raw, starts, ends, lower=False)
+        low = np.flatnonzero(whole)
+        hashes[low] = tn.word_hashes(raw, starts[low], ends[low])
+        distinct, at, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.known) > KEPT_WORDS:
             self.forget()
         names = distinct.tolist()
-        new = [k for k, h in enumerate(names) if h not in self.known]
-        if new:
+        word = np.array([self.known.get(h, -1) for h in names], np.int64)
+        new = np.flatnonzero(word < 0)
+        if len(new):
             data = raw.tobytes()
-            self.learn([names[k] for k in new], [data[starts[at[k]]:ends[at[k]]].decode() for k in new])
-        word = np.array([self.known[h] for h in names], np.int64)
+            spans = zip(starts[at[new]].tolist(), ends[at[new]].tolist(), strict=True)
+            self.learn(distinct[new].tolist(), [data[a:b].decode() for a, b in spans], whole[at[new]].tolist())
+            word[new] = [self.known[h] for h in distinct[new].tolist()]
         self.met += np.bincount(word, np.bincount(inverse, minlength=len(word)), len(self.met)).astype(np.int64)
         word = word[inverse]
         counts = self.count[word]
