@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -137,6 +138,16 @@ def test_packing(rows, docs):
     assert padding < 0.02 * sum(map(len, ids.values()))
 
 
+def test_word_encoder_cuts_as_the_tokenizer_does():
+    texts = ["", " \n", "it's 12,3 a|b <|endoftext|> don't", "\x00a\x1fb  \u00e9'S \u00dcn\u00ef na\u00efve x",
+             "\u00c9\u00c0\u00e9\u00d7 \u00f7a a\u00f7b\u00c91 \u00e9\u0301 \u00c7a<|startoftext|>\u00e9 <a| |<|", "\u0130stanbul \u4e2d\u6587 a\u4e2db 1st x\u00b2 \'\'\'s 's's ..'ll! [a]9_z", "<|", "A,b.C9!9"]
+    chance = random.Random(5)
+    texts += ["".join(chance.choice("aBz09.,'<|> \u00e9\u00c9\u00d7\u00df\u0301\u4e2d\n") for _ in range(chance.randrange(60))) for _ in range(400)]
+    tokenizer, encoder = Tokenizer.from_file(TOKENIZER), packing.WordEncoder(TOKENIZER)
+    made = [ids.tolist() for _ in range(2) for ids in encoder.encode(pa.array(texts, pa.string()), 2)]
+    assert made == 2 * [tokenizer.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+
+
 def test_remove_repeats(rows, docs):
     length, first = 20, {}
     texts = {i: (t or "").encode() for i, t in rows}
