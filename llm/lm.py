@@ -1,9 +1,9 @@
-"""Language-model scoring with an n-gram trie that is sharded by predicted word.
+"""Language-model scoring with an n-gram trie that is sharded by the context of the predicted word.
 
-Words that make up a 65,000th of the training tokens or more are contexts of bigrams, words of a 256th or more contexts of
-trigrams; there can be no more of them than that, so context tables have a fixed size bound and are broadcast. A
-word's own count and all counts of n-grams that end in it meet in the shard of that word, which holds an Elias-Fano trie of
-them and scores the occurrences that are dealt to it. What returns is a sum for each document and shard.
+Every word is a context of bigrams and every pair of words one of trigrams. An n-gram is dealt by the word before the
+predicted one, so its shard has its count and the totals of its contexts; the training counts of the predicted
+words are summed by word and joined to the shards that ask for them. A shard holds an Elias-Fano trie of
+its n-grams and scores the occurrences that are dealt to it. What returns is a sum for each document and shard.
 
 Probabilities: absolute discounting for words, with all unseen words as one more word that gets the discounted mass;
 bigrams and trigrams are smoothed towards the shorter context with a fixed prior weight. N-grams seen once back off.
@@ -17,12 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm import textnum as tn
-from llm.base import even_keys, ship, shuffle_partitions, slices, summed_counts, written
+from llm.base import even_keys, ship, shuffle_partitions, slices
 from llm.trie import Trie
 
 END = np.uint64(0x5BD1E995DEADBEEF)
-CONTEXTS, TOP = 65000, 256
-RARE, KEYS = 65535, 65536
+START, NONE = np.uint64(0x2545F4914F6CDD1D), np.uint64(0x94D049BB5851F42D)  # the context of a first word, and its lack of one before
 TOKENS_AT_ONCE = 1_500_000
 LEAST_COUNT = 2
 NO_ID = np.iinfo(np.int64).max  # stands for a null doc_id
@@ -40,6 +39,19 @@ def _tokens(batches):
             yield piece.column("doc_id"), piece.column("train").to_numpy(zero_copy_only=False), np.insert(hashes, first[1:], END), first + np.arange(len(first))
 
 
+def _chunks(batches):
+    """Lists of what ``_tokens`` yields, of about TOKENS_AT_ONCE tokens."""
+    held, size = [], 0
+    for piece in _tokens(batches):
+        held.append(piece)
+        size += len(piece[2])
+        if size >= TOKENS_AT_ONCE:
+            yield held
+            held, size = [], 0
+    if size:
+        yield held
+
+
 def _lookup(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Places in a sorted table, -1 where absent."""
     if not len(table):
@@ -48,8 +60,20 @@ def _lookup(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return np.where(table[at] == hashes, at, -1)
 
 
-def _word_counts(documents: DataFrame) -> DataFrame:
-    """(word, n, types, once, twice): a row per shard with sums in n and counts of types, and rows of its frequent words."""
+def _shard(hashes: np.ndarray, n_parts: int) -> np.ndarray:
+    return (tn.mix(hashes) % np.uint64(n_parts)).astype(np.int64)
+
+
+def _narrow(places: np.ndarray, size: int) -> bytes:
+    return places.astype(np.uint16 if size <= 65536 else np.uint32).tobytes()
+
+
+def _wide(data: bytes, size: int) -> np.ndarray:
+    return np.frombuffer(data, np.uint16 if size <= 65536 else np.uint32)
+
+
+def _word_totals(documents: DataFrame) -> DataFrame:
+    """(n, types, once, twice): a row per shard of words with its sum and its counts of types."""
     n_parts = shuffle_partitions(documents.sparkSession)
     keys = even_keys(documents.sparkSession, n_parts)
 
@@ -61,7 +85,7 @@ def _word_counts(documents: DataFrame) -> DataFrame:
             both, at = np.unique(np.concatenate([known, found]), return_inverse=True)
             counts = np.bincount(at, np.concatenate([counts, n]), len(both)).astype(np.int64)
             known = both
-        shard = (tn.mix(known) % np.uint64(n_parts)).astype(np.int64)
+        shard = _shard(known, n_parts)
         for s in np.unique(shard).tolist():
             pick = shard == s
             yield pa.RecordBatch.from_arrays([pa.array([keys[s]], pa.int64()), pa.array([known[pick].tobytes()], pa.binary()), pa.array([counts[pick].tobytes()], pa.binary())], ["shard", "words", "counts"])
@@ -73,175 +97,204 @@ def _word_counts(documents: DataFrame) -> DataFrame:
             counts += [np.frombuffer(x, np.int64) for x in batch.column("counts").to_pylist()]
         found, at = np.unique(np.concatenate(words), return_inverse=True)
         n = np.bincount(at, np.concatenate(counts), len(found)).astype(np.int64)
-        often = n * CONTEXTS >= n.sum()
-        yield pa.RecordBatch.from_arrays([
-            pa.array([None, *found[often].view(np.int64).tolist()], pa.int64()), pa.array([int(n.sum()), *n[often].tolist()], pa.int64()),
-            *[pa.array([int(x), *[0] * int(often.sum())], pa.int64()) for x in (len(found), (n == 1).sum(), (n == 2).sum())]], ["word", "n", "types", "once", "twice"])
+        yield pa.RecordBatch.from_arrays([pa.array([int(x)], pa.int64()) for x in (n.sum(), len(found), (n == 1).sum(), (n == 2).sum())], ["n", "types", "once", "twice"])
 
     dealt = documents.mapInArrow(deal, "shard long, words binary, counts binary").repartition(n_parts, "shard")
-    return dealt.mapInArrow(add, "word long, n long, types long, once long, twice long")
+    return dealt.mapInArrow(add, "n long, types long, once long, twice long")
 
 
-class Contexts:
-    """Totals, and the bounded tables of contexts with their counts."""
+class Totals:
+    """What all shards need: the number of training tokens and of their types, and the discount."""
 
     def __init__(self, documents: DataFrame):
-        counted = written(_word_counts(documents), "lm-words")
-        sums = counted.where("word is null").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "types", "once", "twice")]).first()
+        sums = _word_totals(documents).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "types", "once", "twice")]).first()
         self.tokens, self.types = int(sums["n"]), int(sums["types"])
         self.discount = sums["once"] / (sums["once"] + 2 * sums["twice"]) if sums["once"] else 0.5
-        rows = counted.where((F.col("word").isNotNull()) & (F.col("n") * CONTEXTS >= self.tokens)).select("word", "n").collect()
-        words = np.array([r["word"] for r in rows], np.int64).view(np.uint64)
-        order = np.argsort(words)
-        self.words, self.counts = words[order], np.array([r["n"] for r in rows], np.int64)[order]
-        end = _lookup(self.words, np.array([END]))[0]
-        self.documents = int(self.counts[end]) if end >= 0 else documents.where("train").count()
-        self.top = np.flatnonzero(self.counts * TOP >= max(1, self.tokens))
-        sent = documents.sparkSession.sparkContext.broadcast((self.words, self.top))
-        side = len(self.top) + 1
-
-        def pairs(batches):
-            words, top = sent.value
-            for _, train, hashes, first in _tokens(batches):
-                before, earlier = previous(words, top, hashes, first)
-                good = np.repeat(train, np.diff(first)) & (earlier != RARE)
-                yield _pair(top, before, earlier)[good]
-
-        self.pairs = summed_counts(documents, pairs, side * side)
-
-
-def previous(words: np.ndarray, top: np.ndarray, hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each token the word before it as a context: 0 at the start, 1 + its place in ``words``, RARE; and the one
-    before that where both are of ``top`` or the start, else RARE."""
-    at = _lookup(words, hashes)
-    own = np.where(at >= 0, at + 1, RARE)
-    before = np.concatenate([[0], own[:-1]]) if len(own) else own
+
+
+def previous(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each token the word before it, START for the first of a text, and the one before that, NONE for the first."""
     starts = first[:-1][first[:-1] < first[1:]]
-    before[starts] = 0
-    often = np.zeros(KEYS, bool)
-    often[0] = True
-    often[top + 1] = True
-    earlier = np.concatenate([[0], before[:-1]]) if len(own) else own
-    earlier = np.where(often[before] & often[earlier], earlier, RARE)
-    earlier[starts] = RARE
+    before = np.concatenate([[START], hashes[:-1]]) if len(hashes) else hashes
+    before[starts] = START
+    earlier = np.concatenate([[NONE], before[:-1]]) if len(hashes) else hashes
+    earlier[starts] = NONE
     return before, earlier
 
 
-def _pair(top: np.ndarray, before: np.ndarray, earlier: np.ndarray) -> np.ndarray:
-    """The number of a context of two words among all such pairs."""
-    place = np.zeros(KEYS, np.int64)
-    place[top + 1] = np.arange(1, len(top) + 1)
-    return place[earlier] * (len(top) + 1) + place[before]
-
-
-def shard_trie(model: Contexts, words: np.ndarray, count: np.ndarray, word: np.ndarray, before: np.ndarray, earlier: np.ndarray) -> Trie:
-    """The trie of one shard from its training occurrences; ``count`` has those of each of the sorted words."""
-    seen = np.flatnonzero(count)
-    number = np.full(len(words), -1)
-    number[seen] = np.arange(len(seen))
-    p1 = (count[seen] - model.discount) / model.tokens if len(seen) else np.zeros(0)
-    some = before != RARE
-    two, n2 = np.unique(number[word[some]] * KEYS + before[some], return_counts=True)
-    two, n2 = two[n2 >= LEAST_COUNT], n2[n2 >= LEAST_COUNT]
-    context = np.concatenate([[model.documents], model.counts])
-    p2 = (n2 + PRIOR[2] * p1[two // KEYS]) / (context[two % KEYS] + PRIOR[2]) if len(two) else np.zeros(0)
-    # A trigram that is counted twice has its bigram counted twice, so those without a parent would go anyway.
-    some = np.flatnonzero(earlier != RARE)
-    parent = _lookup(two, number[word[some]] * KEYS + before[some])
-    some, parent = some[parent >= 0], parent[parent >= 0]
-    three, n3 = np.unique(parent * KEYS + earlier[some], return_counts=True)
-    kept = n3 >= LEAST_COUNT
-    three, n3 = three[kept], n3[kept]
-    parent = three // KEYS
-    p3 = (n3 + PRIOR[3] * p2[parent]) / (model.pairs[_pair(model.top, two[parent] % KEYS, three % KEYS)] + PRIOR[3]) if len(three) else np.zeros(0)
-    levels = [(two // KEYS, two % KEYS), (parent, three % KEYS)]
-    return Trie.build(words[seen], levels, [np.log10(np.maximum(p, 1e-300)) for p in (p1, p2, p3)], KEYS)
-
-
-def trie_scores(model: Contexts, trie: Trie, words: np.ndarray, before: np.ndarray, earlier: np.ndarray) -> np.ndarray:
-    """log10 probability of each word after its context: the longest context the trie has, with back-off weights."""
-    one = _lookup(trie.words, words)
-    unseen = np.log10(max(model.discount * model.types, 0.5) / max(model.tokens, 1))
-    out = np.where(one >= 0, trie.log10p(1, one), unseen)
-    context = np.concatenate([[model.documents], model.counts])
-    has = before != RARE
-    two = trie.find(2, np.where(has, one, -1), np.where(has, before, 0), KEYS)
-    weight = np.log10(PRIOR[2] / (context[np.where(has, before, 0)] + PRIOR[2]))
-    out = np.where(two >= 0, trie.log10p(2, two), np.where(has, out + weight, out))
-    has = earlier != RARE
-    three = trie.find(3, np.where(has, two, -1), np.where(has, earlier, 0), KEYS)
-    pair = _pair(model.top, np.where(has, before, 0), np.where(has, earlier, 0))
-    weight = np.log10(PRIOR[3] / (model.pairs[pair] + PRIOR[3]))
-    return np.where(three >= 0, trie.log10p(3, three), np.where(has, out + weight, out))
-
-
-def _dealt(documents: DataFrame, model, n_parts: int) -> DataFrame:
-    """Occurrences packed by shard of the word: documents, the distinct words and for each its occurrences."""
+class Shard:
+    """Occurrences of one shard as places in ``vocabulary`` (sorted hashes), with the training count of each predicted word."""
+
+    def __init__(self, vocabulary, count, word, before, earlier, doc, train, documents):
+        self.vocabulary, self.count, self.size = vocabulary, count, len(vocabulary)
+        self.word, self.before, self.earlier, self.doc, self.train, self.documents = word, before, earlier, doc, train, documents
+        self.none = _lookup(vocabulary, np.array([NONE]))[0]
+        own = before[train]
+        self.totals = np.bincount(own, minlength=self.size)
+        some = earlier[train] != self.none
+        self.pairs, self.pair_totals = np.unique(self.pair(own[some], earlier[train][some]), return_counts=True)
+
+    def pair(self, before: np.ndarray, after: np.ndarray) -> np.ndarray:
+        return before.astype(np.int64) * self.size + after
+
+    def pair_total(self, before: np.ndarray, earlier: np.ndarray) -> np.ndarray:
+        """How often training has the two words as a context."""
+        at = _lookup(self.pairs, self.pair(before, earlier))
+        return np.where(at >= 0, self.pair_totals[at], 0) if len(self.pairs) else np.zeros(len(at), np.int64)
+
+    def trie(self, model: Totals) -> Trie:
+        """The trie of the training occurrences; keys below level 1 are places in ``vocabulary``."""
+        predicted = np.zeros(self.size, bool)
+        predicted[self.word] = True
+        seen = np.flatnonzero(predicted & (self.count > 0))
+        number = np.full(self.size, -1)
+        number[seen] = np.arange(len(seen))
+        p1 = (self.count[seen] - model.discount) / max(model.tokens, 1)
+        word, before, earlier = number[self.word[self.train]], self.before[self.train], self.earlier[self.train]
+        two, n2 = np.unique(self.pair(word, before), return_counts=True)
+        two, n2 = two[n2 >= LEAST_COUNT], n2[n2 >= LEAST_COUNT]
+        p2 = (n2 + PRIOR[2] * p1[two // self.size]) / (self.totals[two % self.size] + PRIOR[2])
+        # A trigram that is counted twice has its bigram counted twice, so those without a parent would go anyway.
+        some = np.flatnonzero(earlier != self.none)
+        parent = _lookup(two, self.pair(word[some], before[some]))
+        some, parent = some[parent >= 0], parent[parent >= 0]
+        three, n3 = np.unique(self.pair(parent, earlier[some]), return_counts=True)
+        three, n3 = three[n3 >= LEAST_COUNT], n3[n3 >= LEAST_COUNT]
+        parent = three // self.size
+        p3 = (n3 + PRIOR[3] * p2[parent]) / (self.pair_total(two[parent] % self.size, three % self.size) + PRIOR[3])
+        levels = [(two // self.size, two % self.size), (parent, three % self.size)]
+        return Trie.build(self.vocabulary[seen], levels, [np.log10(np.maximum(p, 1e-300)) for p in (p1, p2, p3)], self.size)
+
+    def scores(self, model: Totals, trie: Trie) -> np.ndarray:
+        """log10 probability of each occurrence: the longest context the trie has, with back-off weights."""
+        two, at_two = np.unique(self.pair(self.word, self.before), return_inverse=True)
+        distinct, at = np.unique(self.pair(at_two, self.earlier), return_inverse=True)
+        word, before, earlier = two[distinct // self.size] // self.size, two[distinct // self.size] % self.size, distinct % self.size
+        one = _lookup(trie.words, self.vocabulary[word])
+        unseen = np.log10(max(model.discount * model.types, 0.5) / max(model.tokens, 1))
+        out = np.where(one >= 0, trie.log10p(1, one), unseen)
+        found = trie.find(2, one, before, self.size)
+        out = np.where(found >= 0, trie.log10p(2, found), out + np.log10(PRIOR[2] / (self.totals[before] + PRIOR[2])))
+        has = earlier != self.none
+        longer = trie.find(3, np.where(has, found, -1), earlier, self.size)
+        weight = np.log10(PRIOR[3] / (self.pair_total(before, earlier) + PRIOR[3]))
+        return np.where(longer >= 0, trie.log10p(3, longer), np.where(has, out + weight, out))[at]
+
+
+def _asked(documents: DataFrame, n_parts: int, keys: list[int]) -> DataFrame:
+    """(shard, vocabulary, n): for each shard of contexts the words it predicts and their training counts."""
+
+    def ask(batches):
+        for held in _chunks(batches):
+            hashes = np.concatenate([x[2] for x in held])
+            train = np.concatenate([np.repeat(x[1], np.diff(x[3])) for x in held])
+            wanted = _shard(np.concatenate([previous(x[2], x[3])[0] for x in held]), n_parts)
+            words, at = np.unique(hashes, return_inverse=True)
+            count = np.bincount(at[train], minlength=len(words))
+            pairs = np.unique(at * n_parts + wanted)
+            owner = _shard(words, n_parts)
+            order = np.argsort(owner, kind="stable")
+            rank = np.empty(len(words), np.int64)
+            rank[order] = np.arange(len(words))
+            pairs = np.sort(rank[pairs // n_parts] * n_parts + pairs % n_parts)
+            cut = np.searchsorted(owner[order], np.arange(n_parts + 1))
+            ends = np.searchsorted(pairs // n_parts, np.arange(len(words) + 1))
+            rows = []
+            for s in np.flatnonzero(np.diff(cut)).tolist():
+                lo, hi = cut[s], cut[s + 1]
+                rows.append((keys[s], words[order[lo:hi]].tobytes(), count[order[lo:hi]].astype(np.int32).tobytes(), np.diff(ends[lo:hi + 1]).astype(np.int32).tobytes(), _narrow(pairs[ends[lo]:ends[hi]] % n_parts, n_parts)))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64(), *[pa.binary()] * 4], strict=True)], ["owner", "words", "n", "n_wanted", "wanted"])
+
+    def answer(batches):
+        parts = [tuple(np.frombuffer(b, t) for b, t in zip(row, (np.uint64, np.int32, np.int32), strict=False)) + (_wide(row[3], n_parts),)
+                 for batch in batches for row in zip(*(batch.column(k).to_pylist() for k in range(1, 5)), strict=True)]
+        if not parts:
+            return
+        words, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        count = np.bincount(at, np.concatenate([p[1] for p in parts]), len(words)).astype(np.int64)
+        pairs = np.unique(np.concatenate([p[3] for p in parts]).astype(np.int64) * len(words) + np.repeat(at, np.concatenate([p[2] for p in parts])))
+        cut = np.searchsorted(pairs, np.arange(n_parts + 1) * len(words))
+        for s in np.flatnonzero(np.diff(cut)).tolist():
+            pick = pairs[cut[s]:cut[s + 1]] % len(words)
+            yield pa.RecordBatch.from_arrays([pa.array([keys[s]], pa.int64()), pa.array([words[pick].tobytes()], pa.binary()), pa.array([count[pick].tobytes()], pa.binary())], ["shard", "vocabulary", "n"])
+
+    asked = documents.mapInArrow(ask, "owner long, words binary, n binary, n_wanted binary, wanted binary").repartition(n_parts, "owner")
+    return asked.mapInArrow(answer, "shard long, vocabulary binary, n binary")
+
+
+def _dealt(documents: DataFrame, n_parts: int) -> DataFrame:
+    """Occurrences packed by shard of the word before (documents, the hashes in use, the contexts and for each its
+    occurrences), and beside them the counts of the predicted words, whose ids are null."""
     keys = even_keys(documents.sparkSession, n_parts)
+    kinds = [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 7]
+    names = ["shard", "ids", "train", "vocabulary", "heads", "n", "word", "earlier", "doc"]
 
     def pack(held):
         ids = pa.concat_arrays([x[0] for x in held]).to_pylist()
         train = np.concatenate([x[1] for x in held])
-        hashes, before, earlier = (np.concatenate([x[k] for x in held]) for k in (2, 3, 4))
-        doc = np.repeat(np.arange(len(train)), np.concatenate([x[5] for x in held]))
-        shard = (tn.mix(hashes) % np.uint64(n_parts)).astype(np.int64)
-        order = np.lexsort((doc, hashes, shard))
+        doc = np.repeat(np.arange(len(train)), np.concatenate([np.diff(x[3]) for x in held]))
+        around = [previous(x[2], x[3]) for x in held]
+        columns = [np.concatenate([x[2] for x in held]), np.concatenate([x[0] for x in around]), np.concatenate([x[1] for x in around])]
+        shard = _shard(columns[1], n_parts)
+        order = np.lexsort((doc, columns[1], shard))
         cut = np.searchsorted(shard[order], np.arange(n_parts + 1))
         for s in np.flatnonzero(np.diff(cut)).tolist():
             pick = order[cut[s]:cut[s + 1]]
-            found, n = np.unique(hashes[pick], return_counts=True)
-            docs, at = np.unique(doc[pick], return_inverse=True)
-            yield (keys[s], [ids[d] for d in docs], train[docs].tobytes(), found.tobytes(), n.astype(np.int32).tobytes(),
-                   before[pick].astype(np.uint16).tobytes(), earlier[pick].astype(np.uint16).tobytes(), at.astype(np.int32).tobytes())
-
-    kinds = [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 6]
-    names = ["shard", "ids", "train", "words", "n", "before", "earlier", "doc"]
+            own, at = np.unique(np.concatenate([c[pick] for c in columns]), return_inverse=True)
+            word, before, earlier = at.reshape(3, -1)
+            heads, n = np.unique(before, return_counts=True)
+            docs, of = np.unique(doc[pick], return_inverse=True)
+            yield (keys[s], [ids[d] for d in docs], train[docs].tobytes(), own.tobytes(), _narrow(heads, len(own)), n.astype(np.int32).tobytes(),
+                   _narrow(word, len(own)), _narrow(earlier, len(own)), _narrow(of, len(docs)))
 
     def deal(batches):
-        words, top = model.value.words, model.value.top
-        held, size = [], 0
-        for ids, train, hashes, first in _tokens(batches):
-            held.append((ids, train, hashes, *previous(words, top, hashes, first), np.diff(first)))
-            size += len(hashes)
-            if size >= TOKENS_AT_ONCE:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*pack(held), strict=True), kinds, strict=True)], names)
-                held, size = [], 0
-        if held and size:
+        for held in _chunks(batches):
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*pack(held), strict=True), kinds, strict=True)], names)
 
-    return documents.mapInArrow(deal, "shard long, ids array<long>, train binary, words binary, n binary, before binary, earlier binary, doc binary").repartition(n_parts, "shard")
+    occurrences = documents.mapInArrow(deal, "shard long, ids array<long>, train binary, " + ", ".join(f"{x} binary" for x in names[3:]))
+    return occurrences.unionByName(_asked(documents, n_parts, keys), allowMissingColumns=True).repartition(n_parts, "shard")
 
 
-def _gathered(batches):
-    """One shard's occurrences: sorted words, then for each occurrence the word, contexts, document and whether it is for training; and the documents."""
-    parts, documents, size = [], [], 0
+def _gathered(batches) -> Shard | None:
+    """The occurrences of one shard; contexts in a block are in ascending order of their hashes."""
+    parts, held, documents, counted, size, n_hashes = [], [], [], [], 0, 0
     for batch in batches:
-        for ids, train, words, n, before, earlier, doc in zip(*(batch.column(k).to_pylist() for k in range(1, 8)), strict=True):
-            at = np.frombuffer(doc, np.int32)
-            parts.append((np.frombuffer(words, np.uint64), np.frombuffer(n, np.int32), np.frombuffer(before, np.uint16), np.frombuffer(earlier, np.uint16), at + size, np.frombuffer(train, bool)[at]))
+        for ids, train, own, heads, n, word, earlier, doc in zip(*(batch.column(k).to_pylist() for k in range(1, 9)), strict=True):
+            own = np.frombuffer(own, np.uint64)
+            if ids is None:
+                counted.append((own, np.frombuffer(n, np.int64)))
+                continue
+            at = _wide(doc, len(ids))
+            before = np.repeat(_wide(heads, len(own)), np.frombuffer(n, np.int32))
+            parts.append((*(x.astype(np.int32) + n_hashes for x in (_wide(word, len(own)), before, _wide(earlier, len(own)))), at.astype(np.int32) + size, np.frombuffer(train, bool)[at]))
+            held.append(own)
             documents += ids
             size += len(ids)
+            n_hashes += len(own)
     if not parts:
         return None
-    words, which = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-    word = np.repeat(which, np.concatenate([p[1] for p in parts]))
-    return words, word, *(np.concatenate([p[k] for p in parts]) for k in range(2, 6)), documents
+    vocabulary, which = np.unique(np.concatenate(held), return_inverse=True)
+    which = which.astype(np.int32)
+    count = np.zeros(len(vocabulary), np.int64)
+    for words, n in counted:
+        count[_lookup(vocabulary, words)] = n
+    word, before, earlier = (which[np.concatenate([p[k] for p in parts])] for k in range(3))
+    return Shard(vocabulary, count, word, before, earlier, *(np.concatenate([p[k] for p in parts]) for k in (3, 4)), documents)
 
 
 def train_model(documents: DataFrame) -> DataFrame:
-    """(shard, trie): the shards of the model of ``documents`` (text) as bytes for :meth:`Trie.from_buffer`."""
+    """(shard, trie, contexts): the shards of the model of ``documents`` (text) as bytes for :meth:`Trie.from_buffer`, and the
+    sorted hashes that keys of the trie are places in."""
     ship(documents.sparkSession)
     held = documents.select(F.lit(None).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.lit(True).alias("train"))
-    sent = documents.sparkSession.sparkContext.broadcast(Contexts(held))
+    sent = documents.sparkSession.sparkContext.broadcast(Totals(held))
 
     def build(batches):
         got = _gathered(batches)
         if got:
-            words, word, before, earlier, *_ = got
-            trie = shard_trie(sent.value, words, np.bincount(word, minlength=len(words)), word, before.astype(np.int64), earlier.astype(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array([int(tn.mix(words[:1])[0] >> np.uint64(1))], pa.int64()), pa.array([trie.to_bytes()], pa.binary())], ["shard", "trie"])
+            yield pa.RecordBatch.from_arrays([pa.array([int(tn.mix(got.vocabulary[got.before[:1]])[0] >> np.uint64(1))], pa.int64()), pa.array([got.trie(sent.value).to_bytes()], pa.binary()), pa.array([got.vocabulary.tobytes()], pa.binary())], ["shard", "trie", "contexts"])
 
-    return _dealt(held, sent, shuffle_partitions(documents.sparkSession)).mapInArrow(build, "shard long, trie binary")
+    return _dealt(held, shuffle_partitions(documents.sparkSession)).mapInArrow(build, "shard long, trie binary, contexts binary")
 
 
 def lm_scores(documents: DataFrame) -> DataFrame:
@@ -255,20 +308,15 @@ def lm_scores(documents: DataFrame) -> DataFrame:
     spark = documents.sparkSession
     ship(spark)
     held = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.coalesce("train", F.lit(False)).alias("train"))
-    model = Contexts(held)
+    model = Totals(held)
     sent = spark.sparkContext.broadcast(model)
 
     def score(batches):
         got = _gathered(batches)
         if not got:
             return
-        words, word, before, earlier, doc, train, documents = got
-        before, earlier = before.astype(np.int64), earlier.astype(np.int64)
-        count = np.bincount(word[train], minlength=len(words))
-        trie = shard_trie(sent.value, words, count, word[train], before[train], earlier[train])
-        trie = Trie.from_buffer(trie.to_bytes())
-        distinct, at = np.unique((word * KEYS + before) * KEYS + earlier, return_inverse=True)
-        made = trie_scores(sent.value, trie, words[distinct // KEYS**2], distinct // KEYS % KEYS, distinct % KEYS)[at]
+        trie = Trie.from_buffer(got.trie(sent.value).to_bytes())
+        made, count, word, doc, documents = got.scores(sent.value, trie), got.count, got.word, got.doc, got.documents
         n, ids = len(documents), np.array([NO_ID if d is None else d for d in documents], np.int64)
         names, of = np.unique(ids, return_inverse=True)
         sums = np.empty(len(names), _SUMS)
@@ -291,7 +339,7 @@ def lm_scores(documents: DataFrame) -> DataFrame:
 
     n_parts = shuffle_partitions(spark)
     keys = even_keys(spark, n_parts)
-    partial = _dealt(held, sent, n_parts).mapInArrow(score, "chunk long, sums binary").repartition(n_parts, "chunk")
+    partial = _dealt(held, n_parts).mapInArrow(score, "chunk long, sums binary").repartition(n_parts, "chunk")
     out = partial.mapInArrow(add, "doc_id long, n_tokens long, n_known long, base double, score double")
     below = float(np.log10(model.tokens + model.types + 1))
     return out.select("doc_id", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), (F.col("base") - F.col("n_tokens") * below).alias("base_score"), "score")

@@ -189,6 +189,30 @@ def test_lm_base_and_score(rows, docs):
     assert lm.train_model(docs).count() > 0
 
 
+def test_lm_gives_every_word_a_context(rows, docs):
+    tokens = {i: [*words(t), None] for i, t in rows}
+    grams = {i: [(w, (t[k - 1] if k else "<s>"), (t[k - 2] if k > 1 else "<s>" if k else None)) for k, w in enumerate(t)] for i, t in tokens.items()}
+    train = [g for i, gs in grams.items() if i % 3 for g in gs]
+    one, two, three = (Counter(g[:k] for g in train if k < 3 or g[2] is not None) for k in (1, 2, 3))
+    context, pair = Counter(g[1] for g in train), Counter(g[1:] for g in train if g[2] is not None)
+    n, once, twice = len(train), sum(c == 1 for c in one.values()), sum(c == 2 for c in one.values())
+    discount = once / (once + 2 * twice)
+
+    def p2(w, u):
+        return (two[w, u] + 60 * (one[w,] - discount) / n) / (context[u] + 60)
+
+    def log10p(w, u, v):
+        if v is not None and three[w, u, v] >= 2:
+            return math.log10((three[w, u, v] + 30 * p2(w, u)) / (pair[u, v] + 30))
+        back = math.log10(30 / (pair[u, v] + 30)) if v is not None else 0
+        if two[w, u] >= 2:
+            return math.log10(p2(w, u)) + back
+        return math.log10((one[w,] - discount if one[w,] else discount * len(one)) / n) + math.log10(60 / (context[u] + 60)) + back
+
+    for r in lm.lm_scores(docs.withColumn("train", F.col("doc_id") % 3 != 0)).collect():
+        assert abs(r["score"] - sum(log10p(*g) for g in grams[r["doc_id"]])) < 2e-4 * r["n_tokens"], r["doc_id"]
+
+
 def test_elias_fano_and_trie(tmp_path):
     rng = np.random.default_rng(1)
     for universe in (1, 50, 10**6, 2**40):
