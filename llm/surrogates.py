@@ -34,9 +34,11 @@ PATTERNS = {
     "ip": rf"(?<![\d.]){OCTET}(?:\.{OCTET}){{3}}(?!\.?\d)",
     "phone": r"(?<![\p{L}\d+])\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]?\d{2,4}){1,3}(?!\d)|(?<![\p{L}\d])\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\p{L}\d\-])\d{3}-\d{3}-\d{4}(?![\d\-])",
     "id": r"(?<![\p{L}\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
-    "card": r"(?<![\p{L}\d])(?:\d[ \-]?){12,18}\d(?![\p{L}\d])",
+    "card": r"(?<![\p{L}\d])\d[\d \-]{11,}\d(?![\p{L}\d])",  # any run of numbers; _parts finds the cards in it
     "person": rf"(?<![\p{{L}}\d])(?=[MHFSг])(?:{'|'.join(sorted(MALE + FEMALE, key=len, reverse=True))})\.? \p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)?",
 }
+SECRET_NAME = r"""(?i:token|secret|passw(?:or)?d|passwd|pwd|api[_-]?key|access[_-]?key|private[_-]?key)["']?\s{0,2}[=:]\s{0,2}["']?"""
+CARD_FORMS = ("4-4-4-4", "4-4-4-4-1", "4-4-4-4-2", "4-4-4-4-3", "4-6-5", "4-6-4")
 # A text without any of these has no entity; the whole pattern is only tried on the others.
 HINT = r"[0-9@]|(?i:(?:token|secret|passw(?:or)?d|pwd|key)[\"']?\s{0,2}[=:])"
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
@@ -64,6 +66,59 @@ def kind(entity: Column) -> Column:
             .otherwise("secret"))
 
 
+def _with(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _parts(match: Column, before: Column) -> Column:
+    """A match after the text ``before`` as (gap, entity) in order, entity null after the last: a run of numbers is tried at the borders of its numbers.
+
+    From the left, the longest part with a valid check digit and the form of a card is one, or a telephone or identity number;
+    then, where none of these is touched, the longest part of 13 to 19 digits with a valid check digit.
+    """
+    piece = "array<struct<gap:string,entity:string>>"
+
+    def cut(run):
+        numbers, gaps = run["numbers"], run["gaps"]
+        k = F.size(numbers)
+
+        def sizes(i):
+            return F.sequence(F.least(F.lit(19), k - i), F.lit(1), F.lit(-1))
+
+        def valid(i, n):
+            digits = F.array_join(F.slice(numbers, i + 1, n), "")
+            return F.length(digits).between(13, 19) & (_luhn(digits, False) % 10 == 0)
+
+        def between(i, n):
+            return F.array_distinct(F.slice(gaps, i + 2, n - 1))
+
+        def formed(i, n):
+            form = F.array_join(F.transform(F.slice(numbers, i + 1, n), lambda x: F.length(x).cast("string")), "-")
+            one = F.array_join(between(i, n), "|")
+            other = form.isin("3-3-4", "3-2-4") & (one == "-") & ~F.get(gaps, i).endswith("-") & ~F.get(gaps, i + n).startswith("-")
+            return other | (((n == 1) | (form.isin(*CARD_FORMS) & one.isin(" ", "-"))) & valid(i, n))
+
+        def text(i, n):
+            return F.array_join(F.transform(F.sequence(i, i + n - 1), lambda x: F.concat(F.when(x > i, F.get(gaps, x)).otherwise(""), F.get(numbers, x))), "")
+
+        def walk(forms):
+            def step(a, i):
+                loose = F.get(F.filter(sizes(i), lambda n: F.forall(between(i, n), lambda g: F.length(g) == 1) & valid(i, n) & F.forall(F.slice(forms, i + 1, n), lambda f: f == 0)), 0)
+                return F.when(i < a["next"], a).otherwise(_with(F.when(F.get(forms, i) > 0, F.get(forms, i)).otherwise(F.coalesce(loose, F.lit(0))), lambda n: F.when(n > 0, F.struct(
+                    (i + n).alias("next"), F.lit("").alias("gap"), F.concat(a["out"], F.array(F.struct(F.concat(a["gap"], F.get(gaps, i)).alias("gap"), text(i, n).alias("entity")))).alias("out"))).otherwise(
+                    F.struct((i + 1).alias("next"), F.concat(a["gap"], F.get(gaps, i), F.get(numbers, i)).alias("gap"), a["out"].alias("out")))))
+
+            start = F.struct(F.lit(0).alias("next"), F.lit("").alias("gap"), F.array().cast(piece).alias("out"))
+            return F.aggregate(F.sequence(F.lit(0), k - 1), start, step, lambda a: F.concat(a["out"], F.array(F.struct(F.concat(a["gap"], F.get(gaps, k)).alias("gap"), F.lit(None).cast("string").alias("entity")))))
+
+        return _with(F.transform(F.sequence(F.lit(0), k - 1), lambda i: F.coalesce(F.get(F.filter(sizes(i), lambda n: formed(i, n)), 0), F.lit(0))), walk)
+
+    run = F.struct(F.regexp_extract_all(match, F.lit(r"\d+"), F.lit(0)).alias("numbers"), F.split(match, r"\d+", -1).alias("gaps"))
+    whole = F.array(F.struct(F.lit("").alias("gap"), match.alias("entity"))).cast(piece)
+    return F.when(match.rlike(r"^\d[\d \-]{11,}\d$") & ~before.rlike(SECRET_NAME + "$"), _with(run, cut)).otherwise(whole)
+
+
 def norm(entity: Column, of: Column) -> Column:
     """What makes two entities of a kind the same: digits of numbers, letters in any case, the last name of a person."""
     return (F.when(of == "email", F.lower(entity)).when(of.isin("phone", "id", "card"), F.regexp_replace(entity, r"\D", ""))
@@ -161,16 +216,17 @@ def replace_entities(documents: DataFrame, key: str) -> DataFrame:
     some = (titled | F.col("text").rlike(HINT)) & F.col("text").rlike(PATTERN)
     order = [F.col("text") if c == "text" else F.col(f"_row.`{c}`") for c in documents.columns if c != "n_replaced"]
     plain = held.where(~F.coalesce(some, F.lit(False))).select(*order, F.lit(0).cast("long").alias("n_replaced"))
-    touched = held.where(some).withColumn("entities", found).withColumn("same", F.sha2(F.col("text"), 256))
-    pairs = touched.select("same", F.explode(F.array_distinct("entities")).alias("entity")).distinct()
+    pieces = F.flatten(F.transform(F.split("text", PATTERN, -1), lambda g, i: F.concat(
+        F.array(F.struct(g.alias("gap"), F.lit(None).cast("string").alias("entity"))), F.when(F.get("found", i).isNotNull(), _parts(F.get("found", i), g)).otherwise(F.array()))))
+    touched = held.where(some).withColumn("found", found).withColumn("pieces", pieces).withColumn("same", F.sha2(F.col("text"), 256))
+    pairs = touched.select("same", F.explode(F.array_distinct("pieces.entity")).alias("entity")).where("entity is not null").distinct()
     pairs = pairs.withColumn("kind", kind(F.col("entity"))).where("kind is not null").withColumn("norm", norm(F.col("entity"), F.col("kind")))
     pairs = written(pairs, "entity-pairs")
     new = assign(pairs.select("kind", "norm").distinct(), key)
     named = pairs.join(new, ["kind", "norm"]).select("same", F.struct("entity", rendered(F.col("entity"), F.col("kind"), F.col("new"), key).alias("new")).alias("pair"))
     maps = named.groupBy("same").agg(F.map_from_entries(F.collect_list("pair")).alias("names"))
-    joined = touched.join(maps, "same", "left").withColumn("between", F.split("text", PATTERN, -1))
-    put = F.array_join(F.transform("between", lambda g, i: F.concat(g, F.coalesce(
-        F.try_element_at("names", F.get("entities", i)), F.get("entities", i), F.lit("")))), "")
-    count = F.size(F.filter("entities", lambda e: F.try_element_at("names", e).isNotNull()))
+    joined = touched.join(maps, "same", "left")
+    put = F.array_join(F.transform("pieces", lambda p: F.concat(p["gap"], F.coalesce(F.try_element_at("names", p["entity"]), p["entity"], F.lit("")))), "")
+    count = F.size(F.filter("pieces", lambda p: F.try_element_at("names", p["entity"]).isNotNull()))
     changed = joined.withColumn("n_replaced", F.coalesce(F.when(F.col("names").isNotNull(), count), F.lit(0)).cast("long")).withColumn("text", put)
     return plain.unionByName(changed.select(*order, "n_replaced"))

@@ -286,6 +286,18 @@ def test_surrogates(spark):
     assert {i: r["n_replaced"] for i, r in out.items()} == {1: 3, 2: 3, 3: 3, 4: 0, 5: 0, 6: 1}
 
 
+def test_surrogates_of_cards_beside_numbers(spark):
+    card = "4111 1111 1111 1111"
+    texts = [f"{card} 12/27", "4111111111111111 123", "12 4111111111111111", f"{card} 5500-0000-0000-0004 x", "3782 822463 10005 2027", "2024 555-123-4567 1", f"{card}  123-45-6789", "1 " * 3000 + card, "1234567890123456"]
+    out = {r["doc_id"]: r for r in surrogates.replace_entities(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "key").collect()}
+    assert {i: r["n_replaced"] for i, r in out.items() if i != 7} == {0: 1, 1: 1, 2: 1, 3: 2, 4: 1, 5: 1, 6: 2, 8: 0}
+    made = re.sub(r"\D", "", out[0]["text"][:len(card)])
+    assert made != "4111111111111111" and out[1]["text"] == f"{made} 123" and out[2]["text"] == f"12 {made}" and out[0]["text"].endswith(" 12/27")
+    for i, kept in enumerate([card, "4111111111111111", "4111111111111111", "5500-0000", "822463", "555-123", "123-45", card]):
+        assert kept not in out[i]["text"] and len(out[i]["text"]) == len(texts[i])
+    assert out[8]["text"] == texts[8]
+
+
 def test_surrogates_stay_distinct(spark):
     names = spark.createDataFrame([("person", f"n{i}") for i in range(6000)] + [("ip", f"10.0.{i // 200}.{i % 200}") for i in range(3000)], "kind string, norm string")
     out = surrogates.assign(names, "key").collect()
