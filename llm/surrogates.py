@@ -27,6 +27,8 @@ GIVEN = {
 }
 SYLLABLES = {"latin": "bar den fal gor hel jor kas lin mor nel pol rim sol tar ven wil".split(),
              "cyrillic": "бар ден фал гор кас лин мор нел пол рим сол тар вен дол зим кор".split()}
+# One part of a name: capitals inside, apostrophes (not that of a genitive) and hyphens belong to it.
+NAME = r"\p{Lu}(?:[\p{L}\p{M}]|['’](?=\p{L}{2})|-(?=\p{L}))++"
 PATTERNS = {
     "secret": r"""(?<![A-Za-z0-9+/_.\-])(?=[A-Za-z0-9+/_.\-]{12})(?<=(?i:token|secret|passw(?:or)?d|passwd|pwd|api[_-]?key|access[_-]?key|private[_-]?key)["']?\s{0,2}[=:]\s{0,2}["']?)[A-Za-z0-9+/_.\-]{12,}+"""
               r"|(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,})(?![A-Za-z0-9])",
@@ -35,7 +37,7 @@ PATTERNS = {
     "phone": r"(?<![\p{L}\d+])\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]?\d{2,4}){1,3}(?!\d)|(?<![\p{L}\d])\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\p{L}\d\-])\d{3}-\d{3}-\d{4}(?![\d\-])",
     "id": r"(?<![\p{L}\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
     "card": r"(?<![\p{L}\d])\d[\d \-]{11,}\d(?![\p{L}\d])",  # any run of numbers; _parts finds the cards in it
-    "person": rf"(?<![\p{{L}}\d])(?=[MHFSг])(?:{'|'.join(sorted(MALE + FEMALE, key=len, reverse=True))})\.? \p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)?",
+    "person": rf"(?<![\p{{L}}\d])(?=[MHFSг])(?:{'|'.join(sorted(MALE + FEMALE, key=len, reverse=True))})\.? (?:(?:{NAME}|\p{{Lu}}\.?) (?=\p{{Lu}}))*{NAME}",
 }
 SECRET_NAME = r"""(?i:token|secret|passw(?:or)?d|passwd|pwd|api[_-]?key|access[_-]?key|private[_-]?key)["']?\s{0,2}[=:]\s{0,2}["']?"""
 CARD_FORMS = ("4-4-4-4", "4-4-4-4-1", "4-4-4-4-2", "4-4-4-4-3", "4-6-5", "4-6-4")
@@ -119,10 +121,15 @@ def _parts(match: Column, before: Column) -> Column:
     return F.when(match.rlike(r"^\d[\d \-]{11,}\d$") & ~before.rlike(SECRET_NAME + "$"), _with(run, cut)).otherwise(whole)
 
 
-def norm(entity: Column, of: Column) -> Column:
-    """What makes two entities of a kind the same: digits of numbers, letters in any case, the last name of a person."""
-    return (F.when(of == "email", F.lower(entity)).when(of.isin("phone", "id", "card"), F.regexp_replace(entity, r"\D", ""))
-            .when(of == "person", F.lower(F.regexp_extract(entity, r"(\S+)$", 1))).otherwise(entity))
+def norms(entity: Column, of: Column) -> Column:
+    """What makes two entities of a kind the same, as (kind, norm): digits of numbers, letters in any case; of a person
+    each given name, with its script and the title's gender, and the last name."""
+    title, names = F.regexp_extract(entity, r"^(\S+) ", 1), F.split(F.regexp_replace(entity, r"^\S+ ", ""), " ")
+    gender = F.when(F.regexp_replace(title, r"\.$", "").isin(*FEMALE), "female").otherwise("male")
+    given = F.transform(F.slice(names, 1, F.size(names) - 1), lambda x: F.struct(F.lit("given").alias("kind"), F.concat_ws("|", F.when(_script(x), "cyrillic").otherwise("latin"), gender, F.lower(x)).alias("norm")))
+    one = (F.when(of == "email", F.lower(entity)).when(of.isin("phone", "id", "card"), F.regexp_replace(entity, r"\D", ""))
+           .when(of == "person", F.lower(F.element_at(names, -1))).otherwise(entity))
+    return F.concat(F.when(of == "person", given).otherwise(F.array()), F.array(F.struct(of.alias("kind"), one.alias("norm"))))
 
 
 def _pick(choices, at: Column) -> Column:
@@ -163,21 +170,22 @@ def surrogate(of: Column, name: Column, turn: Column, key: str) -> Column:
     def last(script: str) -> Column:
         return F.array_join(F.transform(F.sequence(F.lit(1), 3 + turn), lambda i: _pick(SYLLABLES[script], at(i))), "")
 
-    return (F.when(of == "email", email).when(of == "ip", F.array_join(octets, ".")).when(of == "card", card).when(of == "phone", phone)
+    # A given name comes from the fixed ones at first, then from syllables.
+    listed = reduce(lambda out, k: out.when(name.startswith("|".join(k) + "|"), F.lower(_pick(GIVEN[k], at(F.lit(0))))), GIVEN, F.when(F.lit(False), F.lit("")))
+    group = F.regexp_extract(name, r"^([a-z]+[|][a-z]+[|])", 1)
+    given = F.concat(group, F.when(turn < 3, listed).when(group.startswith("cyrillic"), last("cyrillic")).otherwise(last("latin")))
+    return (F.when(of == "email", email).when(of == "ip", F.array_join(octets, ".")).when(of == "card", card).when(of == "phone", phone).when(of == "given", given)
             .when(of == "id", digits(F.length(name))).when(of == "person", F.when(_script(name), last("cyrillic")).otherwise(last("latin"))).otherwise(lettered(name)))
 
 
-def rendered(entity: Column, of: Column, new: Column, key: str) -> Column:
-    """The replacement in the form of this entity: its punctuation, its case, its title's gender."""
+def rendered(entity: Column, of: Column, news: Column) -> Column:
+    """The replacement in the form of this entity (its punctuation, its case, its title) from those of its ``norms``."""
+    new = F.element_at(news, -1)
     filled = F.aggregate(F.split(entity, ""), F.struct(F.lit("").alias("s"), F.lit(1).alias("k")), lambda a, c: F.when(
         c.rlike(r"^\d$"), F.struct(F.concat(a["s"], F.substring(new, a["k"], F.lit(1))).alias("s"), (a["k"] + 1).alias("k"))).otherwise(
         F.struct(F.concat(a["s"], c).alias("s"), a["k"].alias("k"))), lambda a: a["s"])
-    title, first = F.regexp_extract(entity, r"^(\S+) ", 1), F.regexp_extract(entity, r"^\S+ (\S+) ", 1)
-    female = F.regexp_replace(title, r"\.$", "").isin(*FEMALE)
-    at = F.xxhash64(F.lit(key), F.lower(first))
-    given = reduce(lambda out, k: out.when(_script(entity) == F.lit(k[0] == "cyrillic"), F.when(female, _pick(GIVEN[k[0], "female"], at)).otherwise(_pick(GIVEN[k[0], "male"], at))),
-                   [("cyrillic",), ("latin",)], F.when(F.lit(False), F.lit("")))
-    person = F.concat_ws(" ", title, F.when(first != "", given), F.initcap(new))
+    title = F.regexp_extract(entity, r"^(\S+) ", 1)
+    person = F.concat_ws(" ", title, F.array_join(F.transform(news, lambda x: F.initcap(F.regexp_replace(x, ".*[|]", ""))), " "))
     return (F.when(of.isin("phone", "id", "card"), filled).when(of == "person", person)
             .when((of == "email") & (entity == F.upper(entity)), F.upper(new)).otherwise(new))
 
@@ -203,7 +211,7 @@ def replace_entities(documents: DataFrame, key: str) -> DataFrame:
 
     Kinds: e-mail and IPv4 addresses, telephone, card (with a valid check digit) and identity numbers, persons after a
     title, secrets after a name such as token or password or of a known form. A number keeps its punctuation, a card number its
-    first digit and a valid check digit, a telephone number its first digit, a person the title and its gender, letters their script and case.
+    first digit and a valid check digit, a telephone number its first digit, a person the title and its gender, letters their script and case. Each part of a person's name before the last has a surrogate of its own by script and gender.
 
     Null text stays null and has n_replaced 0, as have texts without entities, which stay as they are. Every row is
     kept, also repeated ones; equal texts get equal results. An empty table gives an empty result. Columns other than
@@ -220,10 +228,12 @@ def replace_entities(documents: DataFrame, key: str) -> DataFrame:
         F.array(F.struct(g.alias("gap"), F.lit(None).cast("string").alias("entity"))), F.when(F.get("found", i).isNotNull(), _parts(F.get("found", i), g)).otherwise(F.array()))))
     touched = held.where(some).withColumn("found", found).withColumn("pieces", pieces).withColumn("same", F.sha2(F.col("text"), 256))
     pairs = touched.select("same", F.explode(F.array_distinct("pieces.entity")).alias("entity")).where("entity is not null").distinct()
-    pairs = pairs.withColumn("kind", kind(F.col("entity"))).where("kind is not null").withColumn("norm", norm(F.col("entity"), F.col("kind")))
-    pairs = written(pairs, "entity-pairs")
+    pairs = pairs.withColumn("kind", kind(F.col("entity"))).where("kind is not null")
+    pairs = pairs.withColumn("norms", norms(F.col("entity"), F.col("kind"))).select("same", "entity", F.col("kind").alias("of"), F.posexplode("norms").alias("at", "norm"))
+    pairs = written(pairs.select("same", "entity", "of", "at", "norm.kind", "norm.norm"), "entity-pairs")
     new = assign(pairs.select("kind", "norm").distinct(), key)
-    named = pairs.join(new, ["kind", "norm"]).select("same", F.struct("entity", rendered(F.col("entity"), F.col("kind"), F.col("new"), key).alias("new")).alias("pair"))
+    news = pairs.join(new, ["kind", "norm"]).groupBy("same", "entity", "of").agg(F.sort_array(F.collect_list(F.struct("at", "new"))).alias("news"))
+    named = news.select("same", F.struct("entity", rendered(F.col("entity"), F.col("of"), F.col("news.new")).alias("new")).alias("pair"))
     maps = named.groupBy("same").agg(F.map_from_entries(F.collect_list("pair")).alias("names"))
     joined = touched.join(maps, "same", "left")
     put = F.array_join(F.transform("pieces", lambda p: F.concat(p["gap"], F.coalesce(F.try_element_at("names", p["entity"]), p["entity"], F.lit("")))), "")

@@ -298,6 +298,15 @@ def test_surrogates_of_cards_beside_numbers(spark):
     assert out[8]["text"] == texts[8]
 
 
+def test_surrogates_of_whole_names_stay_distinct(spark):
+    given = [f"N{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(60)]
+    texts = [f"met Mr {g} Smith." for g in given] + ["Mr John Paul Smith, Mr McDonald, Mr Ian O'Brien's, Mrs Jean-Marie Le-Blanc; Mr J. Smith", "г-н Иван Петров"]
+    out = [r["text"] for r in surrogates.replace_entities(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "key").orderBy("doc_id").collect()]
+    assert len(set(out[:60])) == 60 and len({t.split(" ")[3] for t in out[:60]}) == 1 and all(re.fullmatch(r"met Mr [A-Z][a-z]+ [A-Z][a-z]+\.", t) for t in out[:60])
+    assert re.fullmatch(r"Mr \w+ \w+ \w+, Mr \w+, Mr \w+ \w+'s, Mrs \w+ \w+; Mr \w+ \w+", out[60]) and not re.search("John|Paul|Smith|Donald|Ian|Brien|Jean|Marie|Blanc|J[.]", out[60])
+    assert re.fullmatch("г-н [А-Я][а-я]+ [А-Я][а-я]+", out[61]) and not re.search("Иван|Петров", out[61])
+
+
 def test_surrogates_stay_distinct(spark):
     names = spark.createDataFrame([("person", f"n{i}") for i in range(6000)] + [("ip", f"10.0.{i // 200}.{i % 200}") for i in range(3000)], "kind string, norm string")
     out = surrogates.assign(names, "key").collect()
