@@ -1,6 +1,6 @@
 """Main text of web pages by consensus host paths.
 
-Each page's containers are scored by the text they hold outside links and furniture; the best one votes, with its path
+The outermost article or main of a page, or the innermost container around all its text outside furniture, votes, with its path
 of tags and generalised classes, for its host. Votes are counted in Spark, and every page is then extracted again at
 the path that won on its host, so that a page whose own score misleads follows its siblings.
 """
@@ -55,6 +55,12 @@ class Page:
                         at = end.start() if end else len(source)
         self._text(source[at:])
         self._flush()
+        self.own, self.filled = [False] * len(self.tag), [False] * len(self.tag)  # text right in it; text in it or below
+        for node, _, _ in self.blocks:
+            self.own[node] = True
+            while node >= 0 and not self.filled[node]:
+                self.filled[node] = True
+                node = self.parent[node]
         self.weight = [0.0] * len(self.tag)
         for node, text, linked in self.blocks:
             worth = max(0.0, len(text) - 2.0 * linked)
@@ -122,40 +128,51 @@ class Page:
         self._stack.append(len(self.tag) - 1)
         self._links += tag == "a"
 
-    def best(self, share: float = 0.75) -> int:
-        """The innermost container that holds ``share`` of the text of each container around it."""
-        node, children = 0, {}
+    def best(self) -> int:
+        """The outermost article or main elements where those of one path hold most of the text, else the innermost
+        container around all of it."""
+        outer, inside = {}, [False] * len(self.tag)
+        for x in range(1, len(self.tag)):
+            inside[x] = inside[self.parent[x]] or self.tag[x] in ("article", "main")
+            if inside[x] and not inside[self.parent[x]]:
+                outer.setdefault(self.path[x], []).append(x)
+        sums = {k: sum(self.weight[x] for x in xs) for k, xs in outer.items()}
+        if sums and (most := max(sums, key=sums.get)) and sums[most] > 0 and 2 * sums[most] >= self.weight[0]:
+            return outer[most][0]
+        children = {}
         for x in range(1, len(self.tag)):
-            children.setdefault(self.parent[x], []).append(x)
-        at = node
-        while True:
-            heavy = [x for x in children.get(at, ()) if self.weight[x] > 0 and self.weight[x] >= share * self.weight[at]]
-            if not heavy:
-                return node
-            at = heavy[0]
+            if self.filled[x]:
+                children.setdefault(self.parent[x], []).append(x)
+        node = at = 0
+        while len(held := children.get(at, ())) == 1 and not self.own[at]:
+            at = held[0]
             if self.tag[at] in CONTAINER:
                 node = at
+        return node
 
-    def text(self, node: int) -> str:
-        inside = [False] * len(self.tag)
+    def text(self, nodes: list[int]) -> str:
+        """The blocks from the first to the last of the nodes, in page order."""
+        inside, wanted = [False] * len(self.tag), set(nodes)
         for x in range(len(self.tag)):
-            inside[x] = x == node or x > 0 and inside[self.parent[x]]
-        return "\n".join(text for at, text, _ in self.blocks if inside[at])
+            inside[x] = x in wanted or x > 0 and inside[self.parent[x]]
+        held = [k for k, (at, _, _) in enumerate(self.blocks) if inside[at]]
+        return "\n".join(text for _, text, _ in self.blocks[held[0]:held[-1] + 1]) if held else ""
 
-    def at_path(self, paths) -> int:
-        """The heaviest container at the first of the paths that the page has with text, else its own best."""
-        for path in paths:
-            found = [x for x in range(len(self.tag)) if self.path[x] == path and (self.tag[x] in CONTAINER or not x) and self.weight[x] > 0]
-            if found:
-                return max(found, key=lambda x: (self.weight[x], -x))
-        return self.best()
+    def at_path(self, paths) -> list[int]:
+        """All containers at the first of the paths that the page has with text, else those at its own best one's."""
+        for path in (*paths, self.path[self.best()]):
+            found = [x for x in range(len(self.tag)) if self.path[x] == path and (self.tag[x] in CONTAINER or not x)]
+            if any(self.weight[x] > 0 for x in found):
+                return found
+        return [self.best()]
 
 
 def main_text(pages: DataFrame, least_share: float = 0.1) -> DataFrame:
     """(page_id, url, text) per row of ``pages`` (page_id long, url, html).
 
     Paths with ``least_share`` of a host's votes or more win there, ten at most by that share; a page follows the most
-    voted of them that it has, and its own best container where it has none. Character references are decoded, white
+    voted of them that it has, and its own best container where it has none. All containers at that path are kept, with the
+    text between them. Character references are decoded, white
     space inside a block becomes one space, blocks are trimmed and joined by line feeds in page order.
 
     Null and empty html give empty text; markup that is broken or cut off is read as far as it goes. Pages with null

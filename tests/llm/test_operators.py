@@ -390,6 +390,23 @@ def test_main_text(spark):
     assert out[9] == [""] and out[10] == [""] and sorted(out[11]) == ["a < b", "plain"]
 
 
+def extracted(spark, pages):
+    made = spark.createDataFrame([(i, "http://h.example/a", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    return [r["text"] for r in htmltext.main_text(made).orderBy("page_id").collect()]
+
+
+def test_main_text_keeps_nested_bodies_and_all_sections(spark):
+    long = "very long text " * 30
+    body = f"<body><nav>n</nav><article><h1>T</h1><p>lead</p><div class=body><p>{long}</p></div><p>end</p></article><footer>f</footer>"
+    parts = f"<body><nav>n</nav><article><section><p>{long}</p></section><p>between</p><section><p>two</p></section></article>"
+    plain = f"<body><div class=page><h1>T</h1><blockquote>{long}</blockquote><p>end</p></div><footer>f</footer>"
+    assert extracted(spark, [body] * 3) == [f"T\nlead\n{long.strip()}\nend"] * 3
+    assert extracted(spark, [parts] * 3) == [f"{long.strip()}\nbetween\ntwo"] * 3
+    assert extracted(spark, [plain] * 3) == [f"T\n{long.strip()}\nend"] * 3
+    alone = "<body><article><section><p>one</p></section></article>"
+    assert extracted(spark, [f"<body><article><p>{long}</p></article><p>x</p><article><p>b</p></article>", alone])[0] == f"{long.strip()}\nx\nb"
+
+
 def test_sha_of_kept_bytes(spark, sf_dir):
     """Whole given tables keep their bytes where nothing repeats."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
