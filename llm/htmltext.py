@@ -27,6 +27,8 @@ FURNITURE = frozenset("head nav footer aside form script style noscript iframe b
 FURNITURE_NAME = re.compile(
     r"(?:^|[-_])(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?|banner|sidebar|side|widget|nav|navbar|navigation|menu|breadcrumbs?|header|masthead|topbar|footer|comments?|commentlist|"
     r"reply|replies|respond|disqus|discussion|notice|cookies?|consent|gdpr|alert|popup|modal|overlay|newsletter|subscribe|signup|login|share|sharing|social|related|recommended|pagination|pager|search|toolbar|skip|hidden)(?:$|[-_\d])", re.I)
+TITLE_NAME = re.compile(r"^(?:article|entry|post|page|content|story|section)[-_]{1,2}header$", re.I)
+SMALL = 0.25  # an element named as furniture is dropped only with this share of the page's unlinked text or less
 FURNITURE_ROLE = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog".split())
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*)>", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -37,9 +39,9 @@ class Page:
     """The elements of a page (parent, tag, path, furniture or not) and its text blocks (element, text, characters in links)."""
 
     def __init__(self, source: str):
-        self.parent, self.tag, self.path, self.skip = [-1], [""], [""], [False]
+        self.parent, self.tag, self.path, self.skip, self.named = [-1], [""], [""], [False], [False]
         self.blocks: list[tuple[int, str, int]] = []
-        self._stack, self._buffer, self._at, self._links, self._linked = [0], [], 0, 0, 0
+        self._stack, self._buffer, self._links, self._read = [0], [], 0, []
         at = 0
         while match := TOKEN.search(source, at):
             self._text(source[at:match.start()])
@@ -55,6 +57,7 @@ class Page:
                         at = end.start() if end else len(source)
         self._text(source[at:])
         self._flush()
+        self._settle()
         self.own, self.filled = [False] * len(self.tag), [False] * len(self.tag)  # text right in it; text in it or below
         for node, _, _ in self.blocks:
             self.own[node] = True
@@ -72,17 +75,34 @@ class Page:
         node = self._stack[-1]
         if raw and not self.skip[node]:
             text = html.unescape(raw)
-            self._buffer.append(text)
-            self._at = node
-            if self._links:
-                self._linked += len(text.strip())
+            self._buffer.append((node, text, len(text.strip()) if self._links else 0))
 
     def _flush(self) -> None:
         if self._buffer:
-            text = SPACE.sub(" ", "".join(self._buffer)).strip(" ")
+            self._read.append(self._buffer)
+        self._buffer = []
+
+    def _sums(self, worth) -> list[float]:
+        """For each element the sum over it and all below of (element, number) pairs."""
+        sums = [0.0] * len(self.tag)
+        for node, number in worth:
+            sums[node] += number
+        for x in range(len(sums) - 1, 0, -1):
+            sums[self.parent[x]] += sums[x]
+        return sums
+
+    def _settle(self) -> None:
+        """Drop elements named as furniture that hold little of the page's unlinked text and no heading; the rest makes blocks."""
+        held = self._sums((node, max(0, len(text.strip()) - 2 * linked)) for pieces in self._read for node, text, linked in pieces)
+        title = self._sums((x, 1) for x in range(len(self.tag)) if self.tag[x] == "h1" and held[x] > 0)
+        for x in range(1, len(self.tag)):
+            small = self.named[x] and held[x] <= SMALL * held[0] and not title[x]
+            self.skip[x] = self.skip[x] or self.skip[self.parent[x]] or small
+        for pieces in self._read:
+            kept = [piece for piece in pieces if not self.skip[piece[0]]]
+            text = SPACE.sub(" ", "".join(piece[1] for piece in kept)).strip(" ")
             if text:
-                self.blocks.append((self._at, text, self._linked))
-        self._buffer, self._linked = [], 0
+                self.blocks.append((kept[-1][0], text, sum(piece[2] for piece in kept)))
 
     def _pop(self, depth: int) -> None:
         if any(self.tag[x] in BLOCK for x in self._stack[depth:]):
@@ -99,7 +119,7 @@ class Page:
     def _open(self, tag: str, attributes: str) -> None:
         if tag == "br":
             if not self.skip[self._stack[-1]]:
-                self._buffer.append(" ")
+                self._buffer.append((self._stack[-1], " ", 0))
             return
         if tag in BLOCK:
             self._flush()
@@ -120,11 +140,12 @@ class Page:
         skip = self.skip[top] or tag in FURNITURE or tag == "header" and not inner or named.get("role", "").lower() in FURNITURE_ROLE
         if not skip and tag not in ("html", "body", "article", "main"):
             skip = "hidden" in named or named.get("aria-hidden") == "true" or bool(re.search(r"display\s*:\s*none", named.get("style", "")))
-            skip = skip or any(FURNITURE_NAME.search(x) for x in [*named.get("class", "").split(), named.get("id", "")])
+        names = [*named.get("class", "").split(), named.get("id", "")]
         self.parent.append(top)
         self.tag.append(tag)
         self.path.append(f"{self.path[top]}>{tag}" + "".join(f".{x}" for x in sorted(set(classes))) if tag in CONTAINER else self.path[top])
         self.skip.append(skip)
+        self.named.append(tag not in ("html", "body", "article", "main") and any(FURNITURE_NAME.search(x) and not TITLE_NAME.search(x) for x in names))
         self._stack.append(len(self.tag) - 1)
         self._links += tag == "a"
 

@@ -407,6 +407,15 @@ def test_main_text_keeps_nested_bodies_and_all_sections(spark):
     assert extracted(spark, [f"<body><article><p>{long}</p></article><p>x</p><article><p>b</p></article>", alone])[0] == f"{long.strip()}\nx\nb"
 
 
+def test_main_text_keeps_pages_named_as_furniture(spark):
+    long = "very long text " * 30
+    themes = [f'<body><div class="content {name}"><h1>T</h1><p>{long}</p></div>' for name in ("no-sidebar", "has-sidebar", "layout-right-sidebar", "search", "discussion")]
+    for page in themes:
+        assert extracted(spark, [page] * 2) == [f"T\n{long.strip()}"] * 2
+    page = f'<body><div class="side"><p>s</p></div><article><div class="entry-header"><h2>T</h2></div><div class="header"><h1>U</h1></div><p>{long}<span class="share">Share</span></p><div class="comments">c</div></article>'
+    assert extracted(spark, [page]) == [f"T\nU\n{long.strip()}"]
+
+
 def test_sha_of_kept_bytes(spark, sf_dir):
     """Whole given tables keep their bytes where nothing repeats."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
