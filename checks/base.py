@@ -10,8 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.geo import NORTH_AMERICA
+from tidemark.operators.climate import monthly_climate
 from tidemark.plans.etl import Transformed, first_pass_catalog, transform
-from tidemark.plans.warehouse import Warehouse, load_warehouse, read_warehouse
+from tidemark.plans.fuse import fuse
+from tidemark.plans.warehouse import Warehouse, load_warehouse, read_warehouse, with_keys
 from tidemark.session import materialize, path_exists, scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -269,8 +272,10 @@ class Given:
         return _WRITTEN[key]
 
     def _write_stage(self, base: str) -> None:
-        fused = materialize(self.transformed.fused, f"{base}/fused")
-        load_warehouse(fused, f"{base}/warehouse", load_id="first")
+        t = self.transformed
+        communities = materialize(t.communities, f"{base}/communities")
+        fused = materialize(fuse(t.observations, monthly_climate(t.climate, "reading_id"), communities, NORTH_AMERICA), f"{base}/fused")
+        load_warehouse(fused, f"{base}/warehouse", load_id="first", communities=communities, extent=NORTH_AMERICA)
 
     @cached_property
     def stage(self) -> str:
@@ -285,6 +290,15 @@ class Given:
     def fused(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.stage}/fused")
 
+    @cached_property
+    def communities(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.stage}/communities")
+
+    @cached_property
+    def keyed(self) -> DataFrame:
+        """The fused table with its keys, not written."""
+        return with_keys(self.fused, communities=self.communities, extent=NORTH_AMERICA)
+
     def mart(self, build: Callable[..., DataFrame], *args) -> DataFrame:
         """A mart written once per session, for summaries that read it more than once."""
         name = "-".join([build.__name__, *map(str, args)])

@@ -251,12 +251,12 @@ def _(g):
 
 @query("dim_date_build", "SELECT * REPLACE (CAST(full_date AS VARCHAR) AS full_date) FROM dim_date")
 def _(g):
-    return warehouse.dim_date(warehouse.with_keys(g.fused))
+    return warehouse.dim_date(g.keyed)
 
 
 @query("dim_location_build", "SELECT * FROM dim_location")
 def _(g):
-    return warehouse.dim_location(warehouse.with_keys(g.fused))
+    return warehouse.dim_location(g.keyed)
 
 
 @query("dim_location_build_nulls_distinct", """
@@ -268,17 +268,17 @@ def _(g):
 
 @query("dim_climate_build", "SELECT * FROM dim_climate")
 def _(g):
-    return warehouse.dim_climate(warehouse.with_keys(g.fused))
+    return warehouse.dim_climate(g.keyed)
 
 
 @query("dim_sampling_build", "SELECT * FROM dim_sampling")
 def _(g):
-    return warehouse.dim_sampling_method(warehouse.with_keys(g.fused))
+    return warehouse.dim_sampling_method(g.keyed)
 
 
 @query("dim_species_build", "SELECT * FROM dim_species")
 def _(g):
-    return warehouse.dim_species(warehouse.with_keys(g.fused))
+    return warehouse.dim_species(g.keyed, warehouse.cell_members(g.communities))
 
 
 @query("get_or_create_key", f"""
@@ -287,7 +287,7 @@ SELECT objectid, {key_sql("CAST(CAST(date AS DATE) AS VARCHAR)")} AS date_id,
 def _(g):
     from tidemark.functions.keys import number_part, surrogate_key
     from tidemark.functions.values import blank_to_null
-    place = surrogate_key(number_part("latitude"), number_part("longitude"), F.lit(None).cast("string"), blank_to_null("marine_setting"))
+    place = surrogate_key(F.lit(None).cast("string"), blank_to_null("marine_setting"), numbers=[number_part("latitude"), number_part("longitude")])
     return g.micro.select("objectid", surrogate_key(F.col("date").cast("date").cast("string")).alias("date_id"), place.alias("place_id"))
 
 
@@ -301,14 +301,14 @@ LEFT JOIN dim_sampling m ON m.sampling_method IS NOT DISTINCT FROM k.sampling_me
  AND m.concentration_class_range IS NOT DISTINCT FROM k.concentration_class_range
  AND m.concentration_class_text IS NOT DISTINCT FROM k.concentration_class_text""")
 def _(g):
-    return warehouse.with_keys(g.fused).select(
+    return g.keyed.select(
         F.col("_order").alias("objectid"), "measurement", "location_id", "date_id", "climate_id", "sampling_method_id")
 
 
 @query("dim_incremental_upsert", "SELECT * FROM dim_location")
 def _(g):
     """Members of the Atlantic first, then of the whole table."""
-    keyed = warehouse.with_keys(g.fused)
+    keyed = g.keyed
     first = warehouse.dim_location(keyed.where("ocean = 'Atlantic Ocean'"))
     return warehouse.upsert_members(first, warehouse.dim_location(keyed), "location_id")
 
@@ -317,7 +317,7 @@ def _(g):
 SELECT measurement, unit, date_id AS dim_date_date_id, climate_id AS dim_climate_climate_id, location_id AS dim_location_location_id,
  sampling_method_id AS dim_sampling_method_sampling_method_id FROM fact""")
 def _(g):
-    fact = warehouse.fact_rows(warehouse.with_keys(g.fused), "load")
+    fact = warehouse.fact_rows(g.keyed, "load")
     return fact.select(*warehouse.FACT_COLUMNS[1:])
 
 
@@ -351,7 +351,7 @@ def _(g):
 SELECT count(*) FILTER (WHERE measurement IS NOT NULL) AS inserted, count(*) FILTER (WHERE measurement IS NULL) AS skipped,
  count(*) FILTER (WHERE measurement IS NOT NULL AND date_id IS NOT NULL AND species_id IS NOT NULL) AS with_species FROM keyed""")
 def _(g):
-    return warehouse.load_stats(g.fused)
+    return warehouse.load_stats(g.fused, communities=g.communities, extent=NORTH_AMERICA)
 
 
 @query("sink_warehouse", """
@@ -368,7 +368,23 @@ SELECT n AS first_load, 2*n AS after_second_load, m AS locations FROM (SELECT co
 def _(g):
     """The same rows loaded twice: facts double, dimensions do not grow."""
     path = g.scratch("append")
-    once = warehouse.load_warehouse(g.fused, path, load_id="one").fact.count()
-    twice = warehouse.load_warehouse(g.fused, path, load_id="two")
+    given = {"communities": g.communities, "extent": NORTH_AMERICA}
+    once = warehouse.load_warehouse(g.fused, path, load_id="one", **given).fact.count()
+    twice = warehouse.load_warehouse(g.fused, path, load_id="two", **given)
     return twice.fact.agg(F.lit(once).cast("bigint").alias("first_load"), F.count("*").alias("after_second_load")).withColumn(
         "locations", twice.dim_location.agg(F.count("*").alias("m")).scalar())
+
+
+@query("fact_reload", """
+SELECT t.a AS table_name, t.n AS n_rows, 0 AS violations FROM (
+ SELECT 'dim_location' AS a, (SELECT count(*) FROM dim_location) AS n UNION ALL
+ SELECT 'fact_microplastics', (SELECT count(*) FROM fact) + (SELECT count(*) FROM keyed WHERE measurement IS NOT NULL AND ocean = 'Atlantic Ocean')) t""")
+def _(g):
+    """A whole load, a second of the same rows, and the first again with fewer: members the second uses stay."""
+    path = g.scratch("reload")
+    given = {"communities": g.communities, "extent": NORTH_AMERICA}
+    warehouse.load_warehouse(g.fused, path, load_id="one", **given)
+    warehouse.load_warehouse(g.fused, path, load_id="two", **given)
+    again = warehouse.load_warehouse(g.fused.where("ocean = 'Atlantic Ocean'"), path, load_id="one", **given)
+    violations = warehouse.integrity_violations(again).agg(F.sum("violations").cast("int").alias("violations")).scalar()
+    return warehouse.table_counts(again).where("table_name IN ('dim_location', 'fact_microplastics')").withColumn("violations", violations)

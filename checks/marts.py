@@ -170,7 +170,7 @@ def _(g):
 @mart("join_star_left", "SELECT ocean, year, phylum, wave_height_max, count(*) AS n, count(species_id) AS linked FROM star GROUP BY ALL")
 def _(g):
     wh = g.warehouse
-    sums = marts.summed_facts(wh.fact, [LOCATION_FK, CLIMATE_FK, "obs_year"])
+    sums = marts.summed_facts(wh, wh.fact, [LOCATION_FK, CLIMATE_FK, "obs_year"])
     return (
         sums.join(wh.dim_location.withColumnRenamed("location_id", LOCATION_FK), LOCATION_FK, "left")
         .join(wh.dim_climate.withColumnRenamed("climate_id", CLIMATE_FK), CLIMATE_FK, "left")
@@ -197,7 +197,7 @@ HAVING avg(measurement) > (SELECT avg(measurement) FROM fact)""")
 def _(g):
     wh = g.warehouse
     overall = wh.fact.agg(F.avg("measurement").alias("m")).scalar()
-    sums = marts.summed_facts(wh.fact, [LOCATION_FK]).join(
+    sums = marts.summed_facts(wh, wh.fact, [LOCATION_FK]).join(
         wh.dim_location.withColumnRenamed("location_id", LOCATION_FK), LOCATION_FK)
     means = sums.dropna(subset=["ocean"]).groupBy("ocean").agg(marts.mean_measurement().alias("mean"))
     return means.where(F.col("mean") > overall)

@@ -14,7 +14,7 @@ from tidemark.plans import metrics
 from tidemark.plans.etl import RunConfig, gate, run
 from tidemark.plans.warehouse import table_counts
 from tidemark.schemas import CLIMATE_FIELDS
-from tidemark.sinks.files import VersionedTable, append_history, write_quality_report, write_stage_tables
+from tidemark.sinks.files import DatedTable, append_history, write_quality_report, write_stage_tables
 from tidemark.sinks.topic import write_message_files
 from tidemark.sources.files import cached_extract, count_expected_columns, load_inferred, or_placeholder, read_delimited, read_occurrences_tsv
 from tidemark.sources.tables import read_relational
@@ -194,11 +194,26 @@ def _(g):
 SELECT CAST(CAST(date AS DATE) AS VARCHAR) AS date, grid_id, reading_id, wave_height_max FROM (
  SELECT *, row_number() OVER (PARTITION BY date, grid_id ORDER BY reading_id DESC) AS rn FROM cli WHERE grid_id IS NOT NULL) WHERE rn = 1""")
 def _(g):
-    """The readings arrive in two batches, the earlier readings first."""
-    history = VersionedTable(g.spark, g.scratch("history"))
+    """The readings arrive in three batches: those of even numbers, all later ones again with the others, and a repeated one."""
+    history = DatedTable(g.spark, g.scratch("history"))
     readings = g.transformed.climate.where("grid_id IS NOT NULL").select("date", "grid_id", "reading_id", "wave_height_max")
-    append_history(history, readings.where("reading_id < 7000"), ["reading_id"])
-    return append_history(history, readings.where("reading_id >= 7000"), ["reading_id"])
+    append_history(history, readings.where("reading_id % 2 = 0"), ["reading_id"], "even")
+    for batch in ("rest", "rest"):
+        append_history(history, readings.where("reading_id % 2 = 1 OR date >= DATE '1997-01-01'"), ["reading_id"], batch)
+    return history.read()
+
+
+@query("sink_history_manifest", """
+SELECT CAST(CAST(date_trunc('month', date) AS DATE) AS VARCHAR) AS start, CAST(CAST(min(date) AS DATE) AS VARCHAR) AS oldest,
+ CAST(CAST(max(date) AS DATE) AS VARCHAR) AS newest, count(DISTINCT (date, grid_id)) AS n_rows,
+ CASE WHEN date_trunc('month', date) >= DATE '1997-03-01' THEN 'late' ELSE 'first' END AS batch FROM cli WHERE grid_id IS NOT NULL GROUP BY 1, 5""")
+def _(g):
+    """The months of the history and the batch that wrote each last."""
+    history = DatedTable(g.spark, g.scratch("history"))
+    readings = g.transformed.climate.where("grid_id IS NOT NULL").select("date", "grid_id", "reading_id")
+    append_history(history, readings, ["reading_id"], "first")
+    append_history(history, readings.where("date >= DATE '1997-03-15'"), ["reading_id"], "late")
+    return history.manifest().drop("written_at")
 
 
 @query("pipe_run", """

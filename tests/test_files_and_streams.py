@@ -9,6 +9,7 @@ from tidemark.operators.climate import next_range
 from tidemark.plans import etl
 from tidemark.plans.metrics import CONCENTRATION, RISK
 from tidemark.session import path_exists
+from tidemark.sinks import files as files_sink
 from tidemark.sinks.files import VersionedTable
 from tidemark.sources import files
 from tidemark.sources.topic import read_message_files
@@ -59,6 +60,46 @@ def test_versioned_table_survives_a_broken_write(spark, tmp_path):
     assert not path_exists(spark, str(tmp_path / "t" / "v=0"))
 
 
+def folder_times(root):
+    return {p.name: {f.name: f.stat().st_mtime_ns for f in p.glob("*.parquet")} for p in root.glob("partition_start=*")}
+
+
+def test_history_rewrites_only_the_days_of_a_batch(spark, tmp_path):
+    root = tmp_path / "history"
+    history = files_sink.DatedTable(spark, str(root), grain="day")
+    assert history.read() is None and history.manifest() is None
+    rows = lambda *given: spark.createDataFrame(given, "date string, grid_id string, seq int, v double").withColumn("date", F.col("date").cast("date"))
+    order = ["seq"]
+    files_sink.append_history(history, rows(*[(f"2020-01-0{d}", "a", 1, 1.0) for d in range(1, 6)], (None, "a", 1, 1.0)), order, "one")
+    before = folder_times(root)
+    assert len(before) == 6
+    more = rows(("2020-01-03", "a", 2, 7.0), ("2020-01-03", "b", 1, 8.0), ("2020-01-04", "a", 0, 9.0), ("2020-02-01", "a", 1, 5.0)).withColumn("unit", F.lit("m"))
+    for batch in ("two", "two"):
+        after = files_sink.append_history(history, more, order, batch)
+        times = folder_times(root)
+        for day in ("2020-01-01", "2020-01-02", "2020-01-05", "__HIVE_DEFAULT_PARTITION__"):
+            assert times[f"partition_start={day}"] == before[f"partition_start={day}"]
+        got = {(str(r.date), r.grid_id): (r.v, r.unit) for r in after.collect()}
+        assert len(got) == after.count() == 8
+        assert got["2020-01-03", "a"] == (7.0, "m") and got["2020-01-03", "b"] == (8.0, "m") and got["2020-01-04", "a"] == (1.0, None)
+        assert got["2020-02-01", "a"] == (5.0, "m") and got["None", "a"] == (1.0, None)
+    days = {str(r.start): (r.n_rows, r.batch) for r in history.manifest().collect()}
+    assert days == {"2020-01-01": (1, "one"), "2020-01-02": (1, "one"), "2020-01-05": (1, "one"), "None": (1, "one"),
+                    "2020-01-03": (2, "two"), "2020-01-04": (1, "two"), "2020-02-01": (1, "two")}
+    assert str(next_range(history.dates(), 10).first().end_date) == "2020-01-31"
+    assert history.between("2020-01-03", "2020-01-04").count() == 3
+    files_sink.append_history(history, rows((None, "a", 5, 6.0)), order, "three")
+    assert history.read().where("date is null").first().v == 6.0 and history.read().count() == 8
+    with pytest.raises(ValueError):
+        history.merge(more, ["grid_id"], order, "x")
+    months = files_sink.DatedTable(spark, str(tmp_path / "months"))
+    files_sink.append_history(months, history.read(), order, "all")
+    plan = months.between("2020-01-03", "2020-01-31")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(partition_start" in plan and months.between("2020-01-03", "2020-01-31").count() == 4
+    assert [(str(r.start), str(r.oldest), str(r.newest), r.n_rows) for r in months.manifest().orderBy("start").collect()] == [
+        ("None", "None", "None", 1), ("2020-01-01", "2020-01-01", "2020-01-05", 6), ("2020-02-01", "2020-02-01", "2020-02-01", 1)]
+
+
 @pytest.mark.parametrize("newest, start, end", [("2021-01-01", "2020-01-02", "2020-12-31"), ("2020-03-01", "2020-01-01", "2020-02-29"), ("2020-01-01", None, None)])
 def test_request_range(spark, newest, start, end):
     history = spark.createDataFrame([(newest,)], "date string")

@@ -7,7 +7,7 @@ from checks.registry import QUERIES
 from tidemark.functions.geo import NORTH_AMERICA
 from tidemark.operators import clean, dedup
 from tidemark.operators.grid import assign_to_nearest_cell
-from tidemark.plans import marts
+from tidemark.plans import marts, warehouse
 
 
 @pytest.fixture(scope="module")
@@ -64,3 +64,11 @@ def test_region_filter_and_columns_reach_the_scan(spark, tmp_path, given):
 
 def test_keep_last_needs_no_window(given):
     assert "Window" not in plan_of(dedup.keep_last(given.climate, ["date"], ["reading_id"]))
+
+
+def test_species_are_not_grouped_by_names_at_fact_grain(given):
+    """Facts carry the id of a community; only cells are joined to names."""
+    plan = plan_of(warehouse.dim_species(given.keyed, warehouse.cell_members(given.communities)))
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert any("microplastics_measurement" in line and "scientific_name" not in line for line in scans)
+    assert not any("microplastics_measurement" in line and "scientific_name" in line for line in scans)

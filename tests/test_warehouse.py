@@ -74,6 +74,52 @@ def test_loads_append_and_repeat(spark, fused, tmp_path):
     assert warehouse.load_warehouse(fused, path, load_id="c", append=False).fact.count() == 8
 
 
+def test_a_repeated_load_keeps_what_others_use(spark, tmp_path):
+    path = str(tmp_path / "wh")
+    load = lambda rows, name: warehouse.load_warehouse(spark.createDataFrame(rows, DDL), path, load_id=name)
+    violations = lambda wh: sum(r.violations for r in warehouse.integrity_violations(wh).collect())
+    old = dt.date(1999, 3, 2)
+    load([row(1, lat=10.0), row(2, lat=20.0, names="Other one"), row(3, lat=30.0, date=old)], "a")
+    load([row(4, lat=20.0, names="Other one")], "b")
+    wh = load([row(1, lat=10.0)], "a")
+    assert violations(wh) == 0 and wh.fact.count() == 2 and wh.bridge.count() == 2
+    # 20 is still used by b, 30 and the other year by none
+    assert sorted(r.latitude for r in wh.dim_location.collect()) == [10.0, 20.0]
+    assert wh.dim_date.count() == 1 and wh.dim_species.count() == 2
+    loads = {tuple(r.loads) for r in warehouse.member_loads(spark, path, "dim_location").collect()}
+    assert loads == {("a",), ("b",)}
+    wh = load([row(4, None, lat=10.0)], "b")  # b lets go of the last use of 20, which a had brought
+    assert [r.latitude for r in wh.dim_location.collect()] == [10.0] and wh.fact.count() == 1 and wh.bridge.count() == 1
+    assert violations(wh) == 0 and wh.dim_species.count() == 1
+    wh = load([row(9, None, date=None, names=None, lat=40.0)], "a")  # nothing measured is left
+    assert wh.fact.count() == wh.bridge.count() == wh.dim_species.count() == 0 and violations(wh) == 0
+
+
+@pytest.mark.parametrize("explode", [False, True])
+def test_communities_by_reference_equal_names_in_rows(spark, fused, tmp_path, explode):
+    """The same load with names in every row and with the cells' dictionary."""
+    cells = spark.createDataFrame([
+        ("c1", 10.0, -80.0, "Aa b|Cc d", *TAXON), ("c2", 20.0, -80.0, "Cc d|Ee f", *TAXON[:-1], "H"), ("c3", 30.0, -80.0, "x", *TAXON), ("c4", 40.0, -80.0, "Aa b|Cc d", *TAXON[:-2], "F2", "G")],
+        "grid_id string, grid_lat double, grid_lon double, scientific_name string, kingdom string, phylum string, class string, `order` string, family string, genus string")
+    cell = F.element_at(F.array(*[F.lit(c) for c in ("c1", "c2", "c3", "c4", "none")]), (F.col("objectid") % 5 + 1).cast("int"))
+    bare = fused.drop("scientific_name", "kingdom", "phylum", "class", "order", "family", "genus").withColumn("grid_id", cell)
+    named = bare.join(cells.drop("grid_lat", "grid_lon"), "grid_id", "left")
+    a = warehouse.load_warehouse(named, str(tmp_path / f"a{explode}"), load_id="x", explode_species=explode)
+    b = warehouse.load_warehouse(bare, str(tmp_path / f"b{explode}"), load_id="x", explode_species=explode, communities=cells)
+    rows = lambda df, *drop: sorted(map(str, df.drop(*drop).collect()))
+    assert rows(a.dim_species) == rows(b.dim_species) and a.dim_species.count() >= 2
+    assert rows(a.communities) == rows(b.communities)
+    assert rows(a.fact, "observation_id") == rows(b.fact, "observation_id")
+    assert rows(a.bridge.groupBy(warehouse.SPECIES_FK, warehouse.DATE_FK).count()) == rows(b.bridge.groupBy(warehouse.SPECIES_FK, warehouse.DATE_FK).count())
+    assert {r.violations for r in warehouse.integrity_violations(b).collect()} == {0}
+
+
+def test_members_of_null_attributes_are_stable(spark, fused, tmp_path):
+    wh = warehouse.load_warehouse(fused.repartition(3), str(tmp_path / "wh"), load_id="x", null_keys="distinct")
+    assert {r.violations for r in warehouse.integrity_violations(wh).collect()} == {0}
+    assert wh.dim_location.where("marine_setting IS NULL").count() == 2
+
+
 def test_integrity_finds_orphans(fused):
     wh = warehouse.build_warehouse(fused)
     broken = warehouse.Warehouse(**{**wh.__dict__, "dim_date": wh.dim_date.limit(0)})

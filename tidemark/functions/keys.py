@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,14 +21,16 @@ def number_part(value: str | Column) -> Column:
     return F.when(F.abs(millionths) < 9e18, millionths.try_cast("bigint").cast("string")).otherwise(number.cast("string"))
 
 
-def surrogate_key(*parts: Column) -> Column:
-    """md5 over the parts; null equals null and nothing else.
+def surrogate_key(*texts: Column, numbers: Sequence[Column] = ()) -> Column:
+    """md5 over the parts, numbers first; null equals null and nothing else.
 
-    Text starts with a mark that the null token lacks, and separators in it are escaped, so
-    different parts never make the same string.
+    Parts start with a mark that the null token lacks, and separators in texts are escaped, so different parts never
+    make the same string. Numbers, as :func:`number_part` writes them, have nothing to escape.
     """
-    def part(p: Column) -> Column:
-        plain = F.replace(F.replace(p.cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit(SEPARATOR), F.lit("\\" + SEPARATOR))
-        return F.coalesce(F.concat(F.lit("="), plain), F.lit(NULL_TOKEN))
+    def marked(p: Column) -> Column:
+        return F.coalesce(F.concat(F.lit("="), p), F.lit(NULL_TOKEN))
+
+    def escaped(p: Column) -> Column:
+        return F.replace(F.replace(p.cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit(SEPARATOR), F.lit("\\" + SEPARATOR))
 
-    return F.md5(F.concat_ws(SEPARATOR, *[part(p) for p in parts]))
+    return F.md5(F.concat_ws(SEPARATOR, *[marked(n) for n in numbers], *[marked(escaped(t)) for t in texts]))

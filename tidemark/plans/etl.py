@@ -23,12 +23,13 @@ from tidemark.sources.files import cached_extract
 
 @dataclass(frozen=True)
 class Transformed:
-    """Clean tables, cell catalogue and fused table, all lazy."""
+    """Clean tables, cell catalogue, the cells' communities and the fused table, all lazy."""
 
     observations: DataFrame
     occurrences: DataFrame
     climate: DataFrame
     catalog: DataFrame
+    communities: DataFrame
     fused: DataFrame
 
 
@@ -61,8 +62,9 @@ def transform(
     obs = project_fields(obs, OBSERVATION_FIELDS)
     occ = project_fields(occ, _with_order(occ, occurrence_order, OCCURRENCE_FIELDS))
     cli = project_fields(cli, _with_order(cli, climate_order, CLIMATE_FIELDS))
-    fused = fuse(obs, monthly_climate(cli, climate_order), community_by_cell(occ, occurrence_order, names_per_cell), extent, precision)
-    return Transformed(obs, occ, cli, catalog, fused)
+    communities = community_by_cell(occ, occurrence_order, names_per_cell)
+    fused = fuse(obs, monthly_climate(cli, climate_order), communities, extent, precision)
+    return Transformed(obs, occ, cli, catalog, communities, fused)
 
 
 def first_pass_catalog(observations: DataFrame, precision: float = DEFAULT_PRECISION, extent: Extent = NORTH_AMERICA) -> DataFrame:
@@ -139,11 +141,14 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
     read = {name: spark.read.parquet(path) for name, path in paths.items()}
     options = cfg.transform_options
     extent, precision = options.get("extent", NORTH_AMERICA), options.get("precision", DEFAULT_PRECISION)
-    fused = fuse(
-        read["observations"], monthly_climate(read["climate"], options.get("climate_order", "date")),
-        community_by_cell(read["occurrences"], options.get("occurrence_order", "event_date"), options.get("names_per_cell", NAMES_PER_CELL)), extent, precision)
-    paths |= write_stage_tables({"fused": fused}, f"{base}/clean")
+    by_cell = community_by_cell(
+        read["occurrences"], options.get("occurrence_order", "event_date"), options.get("names_per_cell", NAMES_PER_CELL))
+    paths |= write_stage_tables({"communities": by_cell}, f"{base}/clean")
+    communities = spark.read.parquet(paths["communities"])
+    monthly = monthly_climate(read["climate"], options.get("climate_order", "date"))
+    paths |= write_stage_tables({"fused": fuse(read["observations"], monthly, communities, extent, precision)}, f"{base}/clean")
     checked("post", read["observations"], read["climate"], read["occurrences"])
     warehouse = load_warehouse(
-        spark.read.parquet(paths["fused"]), f"{base}/warehouse", cfg.load_id, cfg.append, **cfg.load_options)
+        spark.read.parquet(paths["fused"]), f"{base}/warehouse", cfg.load_id, cfg.append,
+        communities=communities, extent=extent, precision=precision, **cfg.load_options)
     return RunResult(paths, reports, missing, warehouse)

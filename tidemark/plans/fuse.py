@@ -37,6 +37,15 @@ def _lookup(left: DataFrame, right: DataFrame, on: list[str], suffix: str, max_r
     return left.join(F.broadcast(renamed), on, "left")
 
 
+def lookup_cells(left: DataFrame, right: DataFrame, extent: Extent | None = None, precision: float = DEFAULT_PRECISION) -> DataFrame:
+    """``left`` with the columns of ``right``, one row for each ``grid_id`` with its ``grid_lat`` and ``grid_lon``.
+
+    Broadcast when the extent bounds the cells, else salted.
+    """
+    bound = extent.max_cells(precision) if extent is not None else None
+    return _lookup(left, right, ["grid_id"], "_right", bound, extent, precision)
+
+
 def join_monthly_climate(observations: DataFrame, monthly: DataFrame, extent: Extent | None = None,
                          precision: float = DEFAULT_PRECISION) -> DataFrame:
     """Observations with the monthly climate of their cell; colliding names get ``_climate``.

@@ -23,19 +23,34 @@ from tidemark.plans.warehouse import (
 TOP_ROWS = 100
 
 
-def summed_facts(fact: DataFrame, keys: Sequence[str]) -> DataFrame:
+NULL_SALTS = 64
+
+
+def with_attributes(sums: DataFrame, members: DataFrame, key: str, spread_by: Sequence[str]) -> DataFrame:
+    """Left join of unique members by ``key``.
+
+    Rows without the key match nothing; they are dealt out by a hash of their other keys, so that they do not all
+    meet in one task where the members are not broadcast.
+    """
+    salt = F.concat(F.lit("-"), F.pmod(F.xxhash64(*spread_by), F.lit(NULL_SALTS)).cast("string"))
+    joined = sums.withColumn("_at", F.coalesce(F.col(key), salt)).join(members.withColumnRenamed(key, "_member"), F.col("_at") == F.col("_member"), "left")
+    return joined.drop("_at", "_member")
+
+
+def summed_facts(wh: Warehouse, fact: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Counts and moments per key combination and species.
 
-    Facts are summed per key and species list first, and only then are the lists
-    unfolded. A list appears once under each of its species; the first of them carries
+    Facts are summed per key and community first; only then are the species of the communities looked
+    up and unfolded. A community appears once under each of its species; the first of them carries
     the sums, so averages and counts are not inflated.
     """
     value = F.col("measurement")
-    sums = fact.groupBy(*keys, "species_ids").agg(
+    sums = fact.groupBy(*keys, "community_id").agg(
         F.count(value).alias("n"), F.sum(value).alias("s"), F.max(value).alias("mx"), F.min(value).alias("mn"),
         F.var_pop(value).alias("var"),
     )
-    unfolded = sums.select(*keys, "n", "s", "mx", "mn", "var", F.posexplode_outer("species_ids").alias("_pos", "species_id"))
+    listed = with_attributes(sums, wh.communities, "community_id", keys)
+    unfolded = listed.select(*keys, "n", "s", "mx", "mn", "var", F.posexplode_outer("species_ids").alias("_pos", "species_id"))
     first = F.coalesce(F.col("_pos"), F.lit(0)) == 0
     return unfolded.select(*keys, "species_id", *[F.when(first, F.col(c)).alias(c) for c in ("n", "s", "mx", "mn", "var")])
 
@@ -82,7 +97,9 @@ def n_species() -> Column:
 
 def _with_climate(sums: DataFrame, wh: Warehouse, how: str = "left") -> DataFrame:
     climate = wh.dim_climate.withColumnRenamed("climate_id", CLIMATE_FK)
-    return sums.join(climate, CLIMATE_FK, how)
+    if how == "inner":
+        return sums.join(climate, CLIMATE_FK)
+    return with_attributes(sums, climate, CLIMATE_FK, [c for c in sums.columns if c != CLIMATE_FK])
 
 
 def _with_location(sums: DataFrame, wh: Warehouse) -> DataFrame:
@@ -107,7 +124,8 @@ def kpi_summary(wh: Warehouse) -> DataFrame:
         F.avg("measurement").alias("avg_microplasticos"), F.max("measurement").alias("max_microplasticos"),
         F.min("measurement").alias("min_microplasticos"), F.stddev_pop("measurement").alias("std_microplasticos"),
     )
-    species = wh.fact.select(F.explode("species_ids").alias("id")).agg(F.count_distinct("id").alias("total_especies"))
+    named = wh.communities.join(wh.fact.select("community_id").distinct(), "community_id", "left_semi")
+    species = named.select(F.explode("species_ids").alias("id")).agg(F.count_distinct("id").alias("total_especies"))
     waves = wh.fact.where(F.col(CLIMATE_FK).isNotNull()).groupBy(CLIMATE_FK).agg(F.count("*").alias("n"))
     waves = _with_climate(waves, wh, "inner").agg(
         mean_wave("wave_height_max").alias("avg_wave_height"), mean_wave("swell_wave_height_max").alias("avg_swell_height"),
@@ -120,7 +138,7 @@ def kpi_summary(wh: Warehouse) -> DataFrame:
 
 
 def _location_groups(wh: Warehouse):
-    sums = summed_facts(wh.fact.where(F.col(LOCATION_FK).isNotNull()), [LOCATION_FK, CLIMATE_FK])
+    sums = summed_facts(wh, wh.fact.where(F.col(LOCATION_FK).isNotNull()), [LOCATION_FK, CLIMATE_FK])
     placed = _with_location(_with_climate(sums, wh), wh).where("latitude IS NOT NULL AND longitude IS NOT NULL")
     return placed.groupBy(*LOCATION_COLUMNS)
 
@@ -143,7 +161,7 @@ def critical_zones(wh: Warehouse, limit: int = TOP_ROWS) -> DataFrame:
 def temporal_trends(wh: Warehouse, first_year: int, last_year: int) -> DataFrame:
     """Aggregates by month within a range of years. The range prunes fact partitions."""
     facts = wh.fact.where(F.col("obs_year").between(first_year, last_year))
-    dated = _with_date(_with_climate(summed_facts(facts, [DATE_FK, CLIMATE_FK]), wh), wh)
+    dated = _with_date(_with_climate(summed_facts(wh, facts, [DATE_FK, CLIMATE_FK]), wh), wh)
     return dated.where(F.col("year").between(first_year, last_year)).groupBy("year", "month", "quarter", "decade").agg(
         n_observations().alias("num_observaciones"), mean_measurement().alias("avg_microplasticos"),
         n_species().alias("num_especies"), mean_wave("wave_height_max").alias("avg_wave_height"),
@@ -155,7 +173,7 @@ def temporal_trends(wh: Warehouse, first_year: int, last_year: int) -> DataFrame
 
 def ocean_comparison(wh: Warehouse) -> DataFrame:
     """Ocean and setting with spread, species and phylum counts."""
-    sums = summed_facts(wh.fact.where(F.col(LOCATION_FK).isNotNull()), [LOCATION_FK, CLIMATE_FK])
+    sums = summed_facts(wh, wh.fact.where(F.col(LOCATION_FK).isNotNull()), [LOCATION_FK, CLIMATE_FK])
     placed = _with_location(_with_climate(sums, wh), wh).where("ocean IS NOT NULL")
     placed = placed.join(wh.dim_species.select("species_id", "phylum"), "species_id", "left")
     return with_deviation(placed, ["ocean", "marine_setting"]).groupBy("ocean", "marine_setting").agg(
@@ -174,12 +192,12 @@ def biodiversity(wh: Warehouse, limit: int | None = TOP_ROWS) -> DataFrame:
     summed per species list before the lists are unfolded and joined to the species.
     """
     ranks = SPECIES_RANKS[:-1]
-    lists = wh.fact.where(F.size("species_ids") > 0).groupBy("species_ids", CLIMATE_FK).agg(
-        F.count("*").alias("n"), F.sum("measurement").alias("s"))
+    lists = wh.fact.where("community_id IS NOT NULL").groupBy("community_id", CLIMATE_FK).agg(
+        F.count("*").alias("n"), F.sum("measurement").alias("s")).join(wh.communities, "community_id")
     known = wh.dim_species.where("kingdom IS NOT NULL").select("species_id", *ranks)
     linked = lists.withColumn("species_id", F.explode("species_ids")).join(known, "species_id")
     # What a list has in a group: its sums, and its species there, at most the length of the list.
-    shares = linked.groupBy(*ranks, "species_ids", CLIMATE_FK).agg(
+    shares = linked.groupBy(*ranks, "community_id", CLIMATE_FK).agg(
         F.max("n").alias("n"), F.max("s").alias("s"), F.collect_set("species_id").alias("members"))
     shares = shares.select(*ranks, CLIMATE_FK, "s", F.col("n").alias("rows_once"), F.size("members").alias("k"),
                            F.posexplode("members").alias("_pos", "species_id"))
@@ -196,7 +214,7 @@ def biodiversity(wh: Warehouse, limit: int | None = TOP_ROWS) -> DataFrame:
 
 def climate_correlation(wh: Warehouse, min_observations: int = 2) -> DataFrame:
     """Mean measurement per combination of wave values."""
-    sums = summed_facts(wh.fact.where(F.col(CLIMATE_FK).isNotNull()), [CLIMATE_FK])
+    sums = summed_facts(wh, wh.fact.where(F.col(CLIMATE_FK).isNotNull()), [CLIMATE_FK])
     known = _with_climate(sums, wh, "inner").where("wave_height_max IS NOT NULL OR swell_wave_height_max IS NOT NULL")
     order = ["wave_height_max", "wave_period_max", "swell_wave_height_max", "wave_direction_dominant",
              "wind_wave_direction_dominant"]
@@ -207,7 +225,7 @@ def climate_correlation(wh: Warehouse, min_observations: int = 2) -> DataFrame:
 
 
 def sampling_effectiveness(wh: Warehouse) -> DataFrame:
-    sums = summed_facts(wh.fact.where(F.col(SAMPLING_FK).isNotNull()), [SAMPLING_FK, CLIMATE_FK])
+    sums = summed_facts(wh, wh.fact.where(F.col(SAMPLING_FK).isNotNull()), [SAMPLING_FK, CLIMATE_FK])
     methods = wh.dim_sampling_method.where("sampling_method IS NOT NULL").withColumnRenamed("sampling_method_id", SAMPLING_FK)
     return with_deviation(_with_climate(sums, wh).join(methods, SAMPLING_FK), SAMPLING_COLUMNS).groupBy(*SAMPLING_COLUMNS).agg(
         n_observations().alias("num_observaciones"), mean_measurement().alias("avg_microplasticos"),
@@ -218,7 +236,7 @@ def sampling_effectiveness(wh: Warehouse) -> DataFrame:
 
 
 def wave_band_impact(wh: Warehouse) -> DataFrame:
-    sums = summed_facts(wh.fact.where(F.col(CLIMATE_FK).isNotNull()), [CLIMATE_FK])
+    sums = summed_facts(wh, wh.fact.where(F.col(CLIMATE_FK).isNotNull()), [CLIMATE_FK])
     known = _with_climate(sums, wh, "inner").where("wave_height_max IS NOT NULL")
     return known.groupBy(wave_band("wave_height_max").alias("oleaje_categoria")).agg(
         n_species().alias("num_especies"), mean_measurement().alias("avg_microplasticos"),
@@ -237,7 +255,7 @@ def hotspots(wh: Warehouse) -> DataFrame:
 
 def decades(wh: Warehouse) -> DataFrame:
     facts = wh.fact.where(F.col(DATE_FK).isNotNull())
-    dated = _with_date(_with_climate(summed_facts(facts, [DATE_FK, CLIMATE_FK]), wh), wh)
+    dated = _with_date(_with_climate(summed_facts(wh, facts, [DATE_FK, CLIMATE_FK]), wh), wh)
     return dated.where("decade IS NOT NULL").groupBy("decade").agg(
         n_observations().alias("observaciones"), mean_measurement().alias("avg_microplasticos"),
         n_species().alias("especies"), mean_wave("wave_height_max").alias("avg_oleaje"),

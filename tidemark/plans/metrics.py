@@ -23,7 +23,7 @@ def years(wh: Warehouse) -> DataFrame:
 def _located(wh: Warehouse, keys: list[str]) -> DataFrame:
     """Sums of dated and located facts by year, location attributes and the given keys."""
     facts = wh.fact.where(F.col(DATE_FK).isNotNull() & F.col(LOCATION_FK).isNotNull())
-    sums = summed_facts(facts, [LOCATION_FK, "obs_year", *keys])
+    sums = summed_facts(wh, facts, [LOCATION_FK, "obs_year", *keys])
     places = wh.dim_location.select(
         F.col("location_id").alias(LOCATION_FK), F.col("ocean").alias("ocean_region"),
         F.col("marine_setting").alias("environment_type"),

@@ -58,6 +58,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if it is there."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def materialize(df: DataFrame, path: str) -> DataFrame:
     """Write a frame as Parquet and read it back: later plans start at the written files."""
     df.write.mode("overwrite").parquet(path)
