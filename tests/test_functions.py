@@ -1,7 +1,9 @@
 """Scalar expressions and table operators against plain Python, NumPy and pandas."""
 
+import datetime as dt
 import math
 import random
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import geo, values
 from tidemark.functions.keys import surrogate_key
-from tidemark.operators import asof, clean, columns, dedup, profile, skew
+from tidemark.operators import asof, clean, columns, dedup, profile, selection, skew
 from tidemark.operators.grid import assign_to_nearest_cell, grid_catalog, search_rings, snap_to_grid
 from tidemark.operators.taxonomy import community_by_cell
 from tidemark.plans import analytics
@@ -98,15 +100,46 @@ def test_histogram_agrees_with_numpy(spark, numbers):
     assert got == {i: c for i, c in enumerate(counts) if c}
 
 
-def test_exact_quantiles(spark):
+def test_exact_quantiles(spark, monkeypatch):
+    monkeypatch.setattr(selection, "FEW", 20)
     rng = random.Random(1)
-    for size, accuracy in ((1, 100), (7, 100), (5000, 100), (5000, 1000)):
-        numbers = [rng.choice([rng.gauss(0, 1), 3.0]) for _ in range(size)]
-        df = spark.createDataFrame([("x", n) for n in numbers] + [("x", None)], "column_name string, value double")
-        got = {r.p: r.quantile for r in profile.exact_quantiles(df, [0.0, 0.25, 0.5, 0.9, 1.0], accuracy).collect()}
-        for p, q in got.items():
-            assert q == pytest.approx(np.quantile(numbers, p), abs=1e-12)
-        assert len(got) == 5
+    odd = {"odd": [-math.inf, -1e308, 1e308, math.inf, math.nan, 5e-324, 0.0], "wide": [rng.choice([-1, 1]) * 10.0 ** rng.uniform(-300, 300) for _ in range(3000)],
+           "one": [4.0], "same": [2.5] * 50, "mixed": [rng.choice([rng.gauss(0, 1), 3.0]) for _ in range(5000)]}
+    rows = [(name, v) for name, values in odd.items() for v in values] + [("mixed", None), ("none", None)]
+    shares = [0.0, 0.25, 0.5, 0.9, 1.0]
+    got = {(r.column_name, r.p): r.quantile for r in selection.quantiles(spark.createDataFrame(rows, "column_name string, value double"), shares).collect()}
+    assert len(got) == len(odd) * len(shares)
+    for name, values in odd.items():
+        values = sorted(v for v in values if not math.isnan(v)) + [v for v in values if math.isnan(v)]
+        for p in shares:
+            at = p * (len(values) - 1)
+            low, high = values[int(at)], values[min(int(at) + 1, len(values) - 1)]
+            want = low if at == int(at) or low == high or math.isinf(low) else low + (high - low) * (at - int(at))
+            assert got[name, p] == want or math.isnan(want) and math.isnan(got[name, p]), (name, p)
+
+
+@pytest.mark.parametrize("kind, make", [
+    ("int", lambda r: r.randint(-50, 2**31 - 1)), ("bigint", lambda r: r.choice([-2**63, 2**63 - 1, 2**62 + r.randint(0, 9000), 2**62])),
+    ("double", lambda r: r.choice([r.gauss(0, 1e-9), 1e300 * r.random(), -0.5, math.nan, math.inf, -math.inf])),
+    ("float", lambda r: r.choice([0.1, 1.5, 3e38, -3e38, r.random()])), ("boolean", lambda r: r.random() < 0.3),
+    ("decimal(38,6)", lambda r: Decimal(10) ** 29 + Decimal(r.randint(0, 4000)) / 1000), ("decimal(5,2)", lambda r: Decimal(r.randint(-9000, 9000)) / 100),
+    ("date", lambda r: dt.date(1970, 1, 1) + dt.timedelta(days=r.randint(-9000, 9000))), ("timestamp", lambda r: dt.datetime(2020, 1, 1) + dt.timedelta(microseconds=r.randint(0, 10**13))),
+    ("string", lambda r: "common prefix " * r.randint(0, 2) + r.choice(["", "a", "é", "日本", "z" * r.randint(0, 40), str(r.random())])),
+    ("binary", lambda r: bytes(r.randint(0, 255) for _ in range(r.randint(0, 3))))])
+def test_heads_of_any_type(spark, monkeypatch, kind, make):
+    """The head of a table by a column with nulls and ties, then by a number; against a sort of the whole table."""
+    monkeypatch.setattr(dedup, "SMALL_HEAD", 5)
+    monkeypatch.setattr(selection, "FEW", 30)
+    rng = random.Random(kind)
+    rows = [(None if rng.random() < 0.05 else make(rng), i % 700) for i in range(1400)]
+    df = spark.createDataFrame(rows, f"a {kind}, b int").repartition(4)
+    shown = lambda frame: [str(r) for r in frame.collect()]
+    whole = shown(df.orderBy("a", "b"))
+    for n in (20, 60, 333, 1399, 5000):
+        head = dedup.head_rows(df, ["a", "b"], n)
+        assert shown(head) == whole[:n]
+        assert "TakeOrderedAndProject" not in head._jdf.queryExecution().executedPlan().toString()
+    assert dedup.head_rows(df, ["a"], 777).count() == 777  # cut within ties of all keys
 
 
 def brute_nearest(points, cells, max_km):

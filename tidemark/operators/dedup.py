@@ -6,9 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
 
 from tidemark.operators.columns import quoted
+from tidemark.operators.selection import orderable, value_at_rank
 from tidemark.operators.skew import semi_join_counted
 
 
@@ -49,29 +49,27 @@ def count_duplicate_groups(df: DataFrame, columns: Sequence[str] | None = None)
 
 # Heads up to this size are small enough for every task to hold one.
 SMALL_HEAD = 10_000
-_SKETCH = 100_000
-_SHARES = [min(1.0, 2.0 / _SKETCH * 2**k) for k in range(17)]
 
 
 def head_rows(df: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:
-    """The first ``n`` rows in a stated order.
+    """The first ``n`` rows in a stated order, nulls first; which of rows with equal keys are taken is not defined.
 
-    A large head is cut out in two steps, because every task would otherwise keep ``n``
-    rows and send them to one. A sketch of the first order column gives a value that is
-    certain to lie beyond the ``n``-th row; only rows up to it are sorted.
+    For a small head every task keeps its first ``n`` rows. For a large one the value of the ``n``-th row is found by
+    counting in rounds, column by column, and only rows up to it are sorted; then no task holds ``n`` rows. Columns of
+    nested types, which cannot be counted so, take the first way at any size.
     """
     order = [quoted(c) for c in order_by]
-    if n > SMALL_HEAD and isinstance(df.schema[order_by[0]].dataType, NumericType):
-        sketch = df.agg(
-            F.count(order[0]).alias("total"), F.max(order[0]).alias("top"),
-            F.percentile_approx(order[0], _SHARES, _SKETCH).alias("at"),
-        )
-        beyond = F.coalesce(*[
-            F.when(F.col("total") * (share - 1.0 / _SKETCH) >= n, F.col("at")[i]) for i, share in enumerate(_SHARES)
-        ], F.col("top"))
-        limit_value = sketch.select(beyond.alias("v")).scalar()
-        df = df.where(order[0].isNull() | (order[0] <= limit_value))
-    return df.orderBy(*order).limit(n)
+    if n <= SMALL_HEAD or not all(orderable(df.schema[c].dataType) for c in order_by):
+        return df.orderBy(*order).limit(n)
+    before, tied, left = F.lit(False), F.lit(True), n
+    for column in order_by:
+        at = value_at_rank(df.where(tied), column, left)
+        if at is None:
+            return df.orderBy(*order)
+        before, tied, left = before | (tied & at.lower), tied & at.equal, left - at.n_lower
+        if at.n_equal == left:
+            return df.where(before | tied).orderBy(*order)
+    return df.where(before).unionByName(df.where(tied).limit(left)).orderBy(*order)
 
 
 def _hash_order(id_columns: Sequence[str], seed: int):

@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.geo import NORTH_AMERICA, Extent
 from tidemark.functions.values import left_closed_bin
 from tidemark.operators.columns import quoted
+from tidemark.operators.selection import quantiles
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -42,51 +43,6 @@ def column_info(df: DataFrame) -> DataFrame:
     return counts.select(F.inline(F.array(*cells)))
 
 
-# Shares of the rows on either side of a quantile that are ranked exactly.
-SKETCH_ACCURACY = 100_000
-
-
-def exact_quantiles(values: DataFrame, probabilities: Sequence[float], accuracy: int = SKETCH_ACCURACY) -> DataFrame:
-    """Linearly interpolated quantiles of ``value`` per ``column_name``, exact at any size.
-
-    A sketch gives, for each probability, two values that are certain to enclose the
-    wanted rank. Only distinct values between them are ranked, about ``10 / accuracy``
-    of the rows; the rows below are just counted. Returns (column_name, p, quantile).
-    """
-    known = values.where("value IS NOT NULL")
-    margin = 5.0 / accuracy
-    bounds = [b for p in probabilities for b in (max(0.0, p - margin), min(1.0, p + margin))]
-    sketch = known.groupBy("column_name").agg(
-        F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"),
-        F.percentile_approx("value", bounds, accuracy).alias("b"),
-    )
-    brackets = sketch.select("column_name", F.inline(F.array(*[
-        F.struct(
-            F.lit(float(p)).alias("p"), (F.lit(float(p)) * (F.col("n") - 1)).alias("position"),
-            (F.col("lo") if p <= margin else F.col("b")[2 * i]).alias("low"),
-            (F.col("hi") if p >= 1 - margin else F.col("b")[2 * i + 1]).alias("high"),
-        )
-        for i, p in enumerate(probabilities)
-    ])))
-    # One row per column and probability: bounded by the schema, not by the data.
-    placed = known.join(F.broadcast(brackets), "column_name").where(F.col("value") <= F.col("high"))
-    inside = F.col("value") >= F.col("low")
-    counted = placed.groupBy(
-        "column_name", "p", "position", F.when(inside, F.col("value")).alias("value")
-    ).agg(F.count("*").alias("k"))
-    rank = Window.partitionBy("column_name", "p").orderBy(F.col("value").asc_nulls_first())
-    last = F.sum("k").over(rank.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - 1
-    ranked = counted.withColumn("last", last).withColumn("first", F.col("last") - F.col("k") + 1).where("value IS NOT NULL")
-    below, above = F.floor("position"), F.ceil("position")
-
-    def at(target):
-        return F.max(F.when((F.col("first") <= target) & (target <= F.col("last")), F.col("value")))
-
-    found = ranked.groupBy("column_name", "p", "position").agg(at(below).alias("v0"), at(above).alias("v1"))
-    share = F.col("position") - F.floor("position")
-    return found.select("column_name", "p", (F.col("v0") + (F.col("v1") - F.col("v0")) * share).alias("quantile"))
-
-
 def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum per numeric column."""
     values = unpivoted(df, list(columns or numeric_columns(df)), "double")
@@ -94,7 +50,7 @@ def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None) -> Data
         F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"),
     )
-    quartiles = exact_quantiles(values, [0.25, 0.5, 0.75]).groupBy("column_name").agg(*[
+    quartiles = quantiles(values, [0.25, 0.5, 0.75]).groupBy("column_name").agg(*[
         F.max(F.when(F.col("p") == p, F.col("quantile"))).alias(name)
         for p, name in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))
     ])

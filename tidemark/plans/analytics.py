@@ -12,6 +12,7 @@ from tidemark.functions.values import (
     quarter_label, right_closed_bin, scaled_to_max, year_month_label,
 )
 from tidemark.operators.clean import filter_in_list
+from tidemark.operators.selection import quantiles
 from tidemark.plans.warehouse import SPECIES_RANKS
 
 # Rows shown by the ranked views, the exposure that is flagged, and the score weights.
@@ -167,17 +168,16 @@ def bin_rollup(correlation: DataFrame, bins: int = WAVE_BINS) -> DataFrame:
 
 
 def bin_box_stats(correlation: DataFrame, bins: int = WAVE_BINS) -> DataFrame:
-    """Box-plot figures of the exposure per wave bin.
-
-    The input has one row per climate combination of a cell and month, which bounds
-    what an exact percentile has to hold.
-    """
-    quartiles = F.percentile("avg_microplasticos", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return with_wave_bin(correlation, bins).dropna(subset=["wave_bin"]).groupBy("wave_bin").agg(
-        F.count("*").alias("n"), F.min("avg_microplasticos").alias("low"), quartiles.alias("_q"),
-        F.max("avg_microplasticos").alias("high"),
-    ).select("wave_bin", "n", "low", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-             F.col("_q")[2].alias("q3"), "high")
+    """Box-plot figures of the exposure per wave bin, with exact quartiles."""
+    binned = with_wave_bin(correlation, bins).dropna(subset=["wave_bin"])
+    ends = binned.groupBy("wave_bin").agg(
+        F.count("*").alias("n"), F.min("avg_microplasticos").alias("low"), F.max("avg_microplasticos").alias("high"))
+    values = binned.select(F.col("wave_bin").cast("string").alias("column_name"), F.col("avg_microplasticos").alias("value"))
+    quartiles = quantiles(values, [0.25, 0.5, 0.75]).groupBy(F.col("column_name").alias("_bin")).agg(*[
+        F.max(F.when(F.col("p") == p, F.col("quantile"))).alias(name) for p, name in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
+    # One row for each bin.
+    return ends.join(F.broadcast(quartiles), F.col("wave_bin").cast("string") == F.col("_bin"), "left").select(
+        "wave_bin", "n", "low", "q1", "median", "q3", "high")
 
 
 def direction_means(correlation: DataFrame) -> DataFrame:
