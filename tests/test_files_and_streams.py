@@ -1,12 +1,13 @@
 """Sources, sinks, streams and the end-to-end run over files."""
 
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.climate import next_range
-from tidemark.plans import etl
+from tidemark.plans import etl, live
 from tidemark.plans.metrics import CONCENTRATION, RISK
 from tidemark.session import path_exists
 from tidemark.sinks import files as files_sink
@@ -154,6 +155,81 @@ def test_missing_fields_do_not_reach_the_state_but_are_counted(spark):
     assert decoded.where("sent_at IS NULL").count() == 0
 
 
+def message(metric, year, rows, at):
+    return json.dumps({"metric_type": metric, "year": year, "timestamp": at, "data": rows, "record_count": len(rows)})
+
+
+def test_all_rows_of_the_latest_message_stay_and_fields_count_over_all_rows(spark):
+    row = {"ocean_region": "A", "environment_type": "Beach", "avg_concentration": 1.0, "total_observations": 1, "unit": "u"}
+    without_unit = {k: v for k, v in row.items() if k != "unit"}
+    raw = [
+        (message(CONCENTRATION, 2000, [row], "2024-01-01T00:00:00"), 1),
+        (message(CONCENTRATION, 2000, [row | {"avg_concentration": 2.0}, row | {"avg_concentration": 3.0}, row | {"ocean_region": "B"}], "2024-01-02T00:00:00"), 2),
+        (message(CONCENTRATION, 2001, [without_unit, row], "2024-01-02T00:00:00"), 3),  # one row names the unit
+        (message(CONCENTRATION, 2002, [without_unit], "2024-01-02T00:00:00"), 4),
+        (message(CONCENTRATION, None, [row], "2024-01-02T00:00:00"), 5),
+    ]
+    decoded = messages.decode(spark.createDataFrame(raw, "value string, seq bigint"))
+    got = live.latest_by_key(messages.explode_keys(decoded, CONCENTRATION), CONCENTRATION, state.ARRIVAL_ORDER).collect()
+    assert sorted((r.year, r.ocean_region, r.unit or "", r.avg_concentration) for r in got) == [
+        (2000, "A", "u", 2.0), (2000, "A", "u", 3.0), (2000, "B", "u", 1.0), (2001, "A", "", 1.0), (2001, "A", "u", 1.0)]
+
+
+def test_live_tables_survive_restarts_and_repeated_batches(spark, tmp_path):
+    folder = tmp_path / "in"
+    tables = state.LiveTables(spark, str(tmp_path / "tables"))
+    with pytest.raises(ValueError):
+        tables.rows(CONCENTRATION)
+    risk = {"ocean_region": "A", "environment_type": "Beach", "avg_pollution": 1.0, "species_count": 2, "risk_index": 5.0}
+
+    def run():
+        state.finish(state.LiveTables(spark, str(tmp_path / "tables")).run(read_message_files(spark, str(folder)), str(tmp_path / "cp")))
+
+    def kept():
+        return (sorted(map(str, tables.rows(CONCENTRATION).collect())), sorted(map(str, tables.rows(RISK).collect())),
+                sorted(map(str, tables.rejected().collect())), sorted(map(str, tables.counts().collect())))
+
+    land(folder, "1.txt", [concentration(2000, 1.0), concentration(2001, 1.0, setting=None), message(RISK, 2000, [risk], "2024-01-05T00:00:00"), *BAD])
+    run()
+    first = kept()
+    land(folder, "2.txt", [concentration(2000, 4.0, at="2024-01-04T00:00:00"), concentration(2001, 9.0, at="2024-01-04T00:00:00", setting=None), "broken"])
+    run()
+    rows = {(r.year, r.environment_type, r.avg_concentration) for r in tables.rows(CONCENTRATION).collect()}
+    assert rows == {(2000, "Beach", 4.0), (2001, None, 1.0), (2001, None, 9.0)} and tables.rows(RISK).count() == 1
+    assert tables.rejected().count() == len(BAD) + 1 and tables.rejected().where("reason = 'unreadable'").count() == len(BAD)
+    assert {r.metric_type: r.messages for r in tables.counts().collect()} == {CONCENTRATION: 4, RISK: 1}
+    assert str(tables.last_seen().first()[0]) == "2024-01-05 00:00:00"
+    after = kept()
+    assert after != first
+    again = spark.createDataFrame([(line,) for line in (folder / "2.txt").read_text().splitlines()], "value string").withColumn("seq", F.xxhash64("value"))
+    tables.take(again, 1)  # the second batch once more, as after a failure
+    assert kept() == after
+    assert "json" not in live.live_kpis(tables.rows(CONCENTRATION), tables.rows(RISK))._jdf.queryExecution().toString().lower()
+
+
+def test_latencies_are_observed(spark, tmp_path):
+    folder = tmp_path / "in"
+    land(folder, "1.txt", [concentration(2000, 1.0, at="2024-01-01T00:00:00"), concentration(2000, 2.0, at="2024-01-01T00:00:50"), "broken"])
+    raw = read_message_files(spark, str(folder))
+    parsed = messages.parse(raw).select("m", F.lit("2024-01-01 00:01:00").cast("timestamp").alias("arrival")).withColumns({
+        "valid": F.col("m.metric_type").isNotNull(), "sent_at": F.col("m.timestamp").try_cast("timestamp")})
+    listener = windows.OpsListener()
+    spark.streams.addListener(listener)
+    try:
+        stream = windows.observed(windows.with_latency(parsed), "valid")
+        state.finish(stream.select("ingest_seconds").writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp")).trigger(
+            availableNow=True).start(str(tmp_path / "out")))
+        deadline = time.time() + 30
+        while not listener.batches and time.time() < deadline:
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    got = listener.batches[0]
+    assert (got["valid"], got["discarded"], got["input_rows"]) == (2, 1, 3)
+    assert (got["avg_ingest_seconds"], got["max_ingest_seconds"]) == (35.0, 60.0)
+    assert got["avg_processing_seconds"] > 86400 and got["batch_millis"] >= 0
+
+
 def test_recent_ring_is_bounded(spark, tmp_path):
     folder = tmp_path / "in"
     table = VersionedTable(spark, str(tmp_path / "ring"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.plans.metrics import CONCENTRATION, RISK
@@ -18,20 +18,32 @@ KEYS = {CONCENTRATION: (CONCENTRATION_KEY, CONCENTRATION_VALUES), RISK: (RISK_KE
 RECENT_KEPT, RECENT_SHOWN = 500, 20
 
 
-def latest_by_key(rows: DataFrame, metric: str, order_by: Sequence[str], null_keys: str = "equal") -> DataFrame:
-    """The last row of each key, by arrival.
+def has_null_key(metric: str) -> Column:
+    return F.expr(" OR ".join(f"{k} IS NULL" for k in KEYS[metric][0]))
+
+
+def latest_groups(groups: DataFrame, metric: str, order_by: Sequence[str]) -> DataFrame:
+    """For each key the rows of its latest message, as an array, with that message's order."""
+    last = F.max_by(F.struct(*order_by, "rows"), F.struct(*order_by))
+    return groups.groupBy(*KEYS[metric][0]).agg(last.alias("_v")).select(*KEYS[metric][0], "_v.*")
+
+
+def rows_of(groups: DataFrame, metric: str) -> DataFrame:
+    """The rows of groups, one by one."""
+    return groups.select(*KEYS[metric][0], F.inline("rows"))
+
+
+def latest_by_key(groups: DataFrame, metric: str, order_by: Sequence[str], null_keys: str = "equal") -> DataFrame:
+    """The rows of the last message of each key, by arrival. ``groups`` has the rows of a message and key as an array.
 
     With ``null_keys="append"`` a row with a null key part replaces nothing and is never
-    replaced, so all such rows stay.
+    replaced, so all such rows stay. On a stream this needs a table beside the aggregate: see ``streaming.state.LiveTables``.
     """
-    key, values = KEYS[metric]
-    order = F.struct(*order_by)
     if null_keys == "append":
-        complete, partial = rows.dropna(subset=key), rows.where(F.expr(" OR ".join(f"{k} IS NULL" for k in key)))
-        kept = latest_by_key(complete, metric, order_by)
-        return kept.unionByName(partial.select(*kept.columns))
-    last = F.max_by(F.struct(*values), order)
-    return rows.groupBy(*key).agg(last.alias("_v")).select(*key, "_v.*")
+        partial = F.coalesce(has_null_key(metric), F.lit(False))
+        kept = latest_by_key(groups.where(~partial), metric, order_by)
+        return kept.unionByName(rows_of(groups.where(partial), metric))
+    return rows_of(latest_groups(groups, metric, order_by), metric)
 
 
 def latest_by_type(messages: DataFrame, order_by: Sequence[str]) -> DataFrame:

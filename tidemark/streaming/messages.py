@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.plans.live import KEYS
 from tidemark.plans.metrics import CONCENTRATION, RISK
 from tidemark.schemas import ENVELOPE_DDL
 
@@ -12,7 +13,7 @@ ALLOWED_TYPES = [CONCENTRATION, RISK]
 
 # Row fields a message of each type must bring to change the state.
 REQUIRED_FIELDS = {
-    CONCENTRATION: ["ocean_region", "environment_type", "avg_concentration", "total_observations"],
+    CONCENTRATION: ["ocean_region", "environment_type", "avg_concentration", "total_observations", "unit"],
     RISK: ["ocean_region", "environment_type", "avg_pollution", "species_count", "risk_index"],
 }
 
@@ -49,13 +50,14 @@ def rejected(raw: DataFrame) -> DataFrame:
 
 
 def has_required_fields(message_value: str = "value") -> Column:
-    """Whether the first row of the message names every field its type requires.
+    """Whether the rows of the message together name every field its type requires.
 
     The decoded row cannot tell a missing field from a null one, the JSON text can. The
     test looks at the text alone: a test of decoded fields would be pushed below the
     decoding and parse the message again for each of them.
     """
-    fields = F.json_object_keys(F.get_json_object(message_value, "$.data[0]"))
+    rows = F.from_json(F.get_json_object(message_value, "$.data"), "array<map<string,string>>")
+    fields = F.flatten(F.transform(rows, lambda r: F.map_keys(r)))
     test = F.lit(False)
     for metric, names in REQUIRED_FIELDS.items():
         wanted = F.array(*[F.lit(n) for n in names])
@@ -64,8 +66,31 @@ def has_required_fields(message_value: str = "value") -> Column:
     return test
 
 
+def _usable(messages: DataFrame, metric: str) -> tuple[DataFrame, list[str]]:
+    """Messages of one type that have a year and the required fields, and the columns their rows carry."""
+    usable = messages.where((F.col("metric_type") == metric) & F.col("year").isNotNull() & has_required_fields())
+    return usable, [c for c in messages.columns if c not in ("value", "data", "metric_type", "record_count", "timestamp")]
+
+
 def explode_rows(messages: DataFrame, metric: str) -> DataFrame:
     """Rows of the messages of one type, stamped with the message's year and order."""
-    usable = messages.where((F.col("metric_type") == metric) & has_required_fields())
-    carried = [c for c in messages.columns if c not in ("value", "data", "metric_type", "record_count", "timestamp")]
+    usable, carried = _usable(messages, metric)
     return usable.select(*carried, F.inline("data"))
+
+
+def explode_keys(messages: DataFrame, metric: str) -> DataFrame:
+    """For each message of one type and each key in it, the rows the message has of the key.
+
+    A message replaces the earlier rows of its keys, and all its own rows stay, also several of one key.
+    """
+    usable, carried = _usable(messages, metric)
+    key, values = KEYS[metric]
+    parts = [k for k in key if k != "year"]
+
+    def part_of(row: Column) -> Column:
+        return F.struct(*[row[k].alias(k) for k in parts])
+
+    each = usable.select(*carried, "data", F.explode(F.array_distinct(F.transform("data", part_of))).alias("_k"))
+    own = F.filter("data", lambda row: part_of(row).eqNullSafe(F.col("_k")))
+    rows = F.transform(own, lambda row: F.struct(*[row[v].alias(v) for v in values]))
+    return each.select(*carried, "_k.*", rows.alias("rows"))
