@@ -143,12 +143,16 @@ def _(g):
     return dedup.union_by_name(first, g.micro.select("unit", F.col("date").cast("date").alias("date")))
 
 
-@query("dup_rows_full", """
-SELECT l_returnflag, l_linestatus, l_linenumber, l_quantity, l_discount, l_tax FROM (
-  SELECT *, count(*) OVER (PARTITION BY l_returnflag, l_linestatus, l_linenumber, l_quantity, l_discount, l_tax) AS n FROM lineitem) WHERE n > 1""")
+LINE_COLUMNS = ("l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate")
+
+
+@query("dup_rows_full", f"""
+SELECT * EXCLUDE (n) REPLACE (CAST(l_shipdate AS VARCHAR) AS l_shipdate) FROM (
+ SELECT *, count(*) OVER (PARTITION BY {LINE_COLUMNS}) AS n FROM (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_orderkey % 5 = 0)) WHERE n > 1""")
 def _(g):
-    cols = ["l_returnflag", "l_linestatus", "l_linenumber", "l_quantity", "l_discount", "l_tax"]
-    return dedup.duplicate_rows(g.table("lineitem").select(*cols))
+    """All columns of all rows, every fifth order delivered twice."""
+    lines = g.table("lineitem")
+    return dedup.duplicate_rows(lines.unionByName(lines.where("l_orderkey % 5 = 0")))
 
 
 DUP_KEYS = ["latitude", "longitude", "marine_setting", "sampling_method", "date"]

@@ -94,12 +94,9 @@ def as_messages(rows: DataFrame) -> DataFrame:
         "ocean_region", "environment_type", (F.col("total_observations") * 2).alias("total_microplastics"),
         F.col("metric_value").alias("avg_pollution"), F.col("total_observations").alias("species_count"),
         (F.col("metric_value") * F.col("total_observations")).alias("risk_raw"), (F.col("metric_value") / 5).alias("risk_index"))
-    keep = {"ignoreNullFields": "false"}
-
     def envelope(data):
         stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-        return F.to_json(F.struct("metric_type", "year", stamp.alias("timestamp"), F.array(data).alias("data"),
-                                  F.lit(1).alias("record_count")), keep)
+        return messages.encode("metric_type", "year", stamp.alias("timestamp"), F.array(data).alias("data"), F.lit(1).alias("record_count"))
 
     value = F.when(F.col("metric_type") == RISK, envelope(risk)).otherwise(envelope(concentration))
     return rows.select(value.alias("value"), F.col("ts").cast("timestamp").alias("arrival"), F.col("event_id").alias("seq"))
@@ -151,7 +148,7 @@ def _(g):
 @check("json_encode", """
 SELECT event_id, to_json({'event_id': event_id, 'metric_type': metric_type, 'year': year, 'unit': unit}) AS value FROM fx_metric_rows""")
 def _(g):
-    return g.metric_rows.select("event_id", F.to_json(F.struct("event_id", "metric_type", "year", "unit")).alias("value"))
+    return g.metric_rows.select("event_id", messages.encode("event_id", "metric_type", "year", "unit").alias("value"))
 
 
 @check("filter_message_type", "SELECT metric_type, count(*) AS n FROM sent GROUP BY 1")

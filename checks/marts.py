@@ -29,6 +29,11 @@ SELECT year, month, quarter, decade, count(*) AS num_observaciones, avg(measurem
  count(DISTINCT species_id) AS num_especies, avg(wave_height_max) AS avg_wave_height, avg(swell_wave_height_max) AS avg_swell_height,
  avg(wave_period_max) AS avg_wave_period, avg(wave_direction_dominant) AS avg_wave_direction
 FROM star WHERE year BETWEEN 1996 AND 2000 GROUP BY ALL""",
+    "trends_all": """
+SELECT year, month, quarter, decade, count(*) AS num_observaciones, avg(measurement) AS avg_microplasticos,
+ count(DISTINCT species_id) AS num_especies, avg(wave_height_max) AS avg_wave_height, avg(swell_wave_height_max) AS avg_swell_height,
+ avg(wave_period_max) AS avg_wave_period, avg(wave_direction_dominant) AS avg_wave_direction
+FROM star WHERE year IS NOT NULL GROUP BY ALL""",
     "mart_oceans": """
 SELECT ocean, marine_setting, count(*) AS num_observaciones, avg(measurement) AS avg_microplasticos,
  stddev_pop(measurement) AS std_microplasticos, count(DISTINCT species_id) AS num_especies, count(DISTINCT phylum) AS num_phylums,
@@ -213,28 +218,29 @@ def _(g):
 
 # ---------------------------------------------------------------- second step
 
-@mart("temporal_labels", "SELECT concat(CAST(year AS VARCHAR), '-', lpad(CAST(month AS VARCHAR), 2, '0')) AS fecha, num_observaciones FROM mart_trends")
+@mart("temporal_labels", "SELECT concat(CAST(year AS VARCHAR), '-', lpad(CAST(month AS VARCHAR), 2, '0')) AS fecha, num_observaciones FROM trends_all")
 def _(g):
-    return a.with_month_label(g.mart(marts.temporal_trends, 1996, 2000)).select("fecha", "num_observaciones")
+    return a.with_month_label(g.mart(marts.temporal_trends)).select("fecha", "num_observaciones")
 
 
 QUARTERS = """
 SELECT q.quarter, coalesce(m.a, 0) AS avg_microplasticos, coalesce(m.w, 0) AS avg_wave_height, concat('Q', CAST(q.quarter AS VARCHAR)) AS quarter_label
 FROM (VALUES (1), (2), (3), (4)) q(quarter) LEFT JOIN (
-  SELECT quarter, avg(avg_microplasticos) AS a, avg(avg_wave_height) AS w FROM mart_trends GROUP BY 1) m ON m.quarter = q.quarter"""
+  SELECT quarter, avg(avg_microplasticos) AS a, avg(avg_wave_height) AS w FROM trends_all GROUP BY 1) m ON m.quarter = q.quarter"""
 
 
 @mart("agg_quarter_profile", QUARTERS, "avg_microplasticos avg_wave_height")
 def _(g):
-    return a.quarter_profile(g.mart(marts.temporal_trends, 1996, 2000))
+    return a.quarter_profile(g.mart(marts.temporal_trends))
 
 
 @mart("join_complete_domain", """
-SELECT q.quarter, coalesce(m.n, 0) AS n FROM (VALUES (1), (2), (3), (4)) q(quarter) LEFT JOIN (
- SELECT quarter, count(*) AS n FROM dim_date WHERE year = 2001 AND quarter < 3 GROUP BY 1) m ON m.quarter = q.quarter""")
+SELECT q.quarter, coalesce(m.n, 0) AS n FROM (VALUES (0), (1), (2), (3), (4), (5)) q(quarter) LEFT JOIN (
+ SELECT quarter, count(*) AS n FROM dim_date GROUP BY 1) m ON m.quarter = q.quarter""")
 def _(g):
-    known = g.warehouse.dim_date.where("year = 2001 AND quarter < 3").groupBy("quarter").agg(F.count("*").alias("n"))
-    return a.complete_domain(known, "quarter", [1, 2, 3, 4], "int")
+    """The quarters of all dates, in a domain that has two values more."""
+    known = g.warehouse.dim_date.groupBy("quarter").agg(F.count("*").alias("n"))
+    return a.complete_domain(known, "quarter", [0, 1, 2, 3, 4, 5], "int")
 
 
 TAXON_SUMS = "CAST(sum(num_especies) AS BIGINT) AS num_especies, avg(avg_microplasticos) AS avg_microplasticos"

@@ -164,9 +164,9 @@ def _(g):
     return _report(g)
 
 
-@query("dq_summary", "SELECT dataset, expectation, count(*) AS rules, min(success_percent) AS worst FROM all_rules GROUP BY 1, 2", extra=ALL_RULES)
+@query("dq_summary", "SELECT dataset, stage, expectation, success, success_percent, unexpected_count, element_count FROM all_rules", extra=ALL_RULES)
 def _(g):
-    return _report(g).groupBy("dataset", "expectation").agg(F.count("*").alias("rules"), F.min("success_percent").alias("worst"))
+    return quality.summary(_report(g))
 
 
 @query("dq_overall", """

@@ -118,7 +118,13 @@ def _(g):
 
 @query("filter_year_range", "SELECT reading_id, CAST(date AS VARCHAR) AS date FROM fx_climate_raw WHERE year(date) >= 1996 AND year(date) <= 1998")
 def _(g):
-    return g.climate.where(F.year("date").between(1996, 1998)).select("reading_id", "date")
+    return clean.filter_years(g.climate, "date", 1996, 1998).select("reading_id", "date")
+
+
+@query("filter_year_default", "SELECT reading_id FROM (SELECT reading_id, date + INTERVAL 15 YEAR AS date FROM fx_climate_raw) WHERE year(date) >= 2010 AND year(date) <= year(current_date)")
+def _(g):
+    """Without a chosen range; dates moved on by fifteen years, so that the default range holds some of them."""
+    return clean.filter_years(g.climate.withColumn("date", F.expr("date + INTERVAL 15 YEAR"))).select("reading_id")
 
 
 @query("filter_measured", "SELECT objectid, microplastics_measurement FROM fx_micro_raw WHERE microplastics_measurement IS NOT NULL")
@@ -191,7 +197,7 @@ def _(g):
 
 @query("month_key", "SELECT objectid, CAST(month(date) AS INTEGER) AS month FROM fx_micro_raw")
 def _(g):
-    return g.micro.select("objectid", F.month("date").alias("month"))
+    return g.micro.select("objectid", values.month_key("date").alias("month"))
 
 
 @query("year_month_label", "SELECT reading_id, strftime(date, '%Y-%m') AS label FROM fx_climate_raw")

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.base import Given, query
+from checks.base import FIXTURES, Given, query
 from checks.quality import ALL_RULES, YEAR
-from checks.scalars import raw_observations, raw_occurrences
+from checks.scalars import RAW_OBSERVATION, RAW_OCCURRENCE, raw_observations, raw_occurrences
 from tidemark.operators import columns, quality
 from tidemark.plans import metrics
 from tidemark.plans.etl import RunConfig, gate, run
 from tidemark.plans.warehouse import table_counts
 from tidemark.schemas import CLIMATE_FIELDS
+from tidemark.sinks.catalog import load_table
 from tidemark.sinks.files import DatedTable, append_history, write_quality_report, write_stage_tables
 from tidemark.sinks.topic import write_message_files
 from tidemark.sources.files import cached_extract, count_expected_columns, load_inferred, or_placeholder, read_delimited, read_occurrences_tsv
@@ -86,13 +89,17 @@ def _(g):
 @query("src_infer_types", """
 SELECT 'date' AS column_name, 'timestamp' AS dtype, count(*) AS n FROM fx_micro_raw UNION ALL SELECT 'latitude', 'double', count(*) FROM fx_micro_raw
 UNION ALL SELECT 'microplastics_measurement', 'double', count(*) FROM fx_micro_raw
-UNION ALL SELECT 'objectid', CASE WHEN max(objectid) > 2147483647 THEN 'bigint' ELSE 'int' END, count(*) FROM fx_micro_raw
+UNION ALL SELECT 'objectid', CASE WHEN max(objectid) FILTER (WHERE objectid % 2 = 0) > 2147483647 THEN 'bigint' ELSE 'int' END, count(*) FROM fx_micro_raw
 UNION ALL SELECT 'unit', 'string', count(*) FROM fx_micro_raw""")
 def _(g):
+    """A catalog table made from the first text export, to which a second one is added; read by its name."""
     path = g.scratch("inferred")
+    name = "observations_" + path[-12:]
     stamped = g.micro.withColumn("date", F.col("date").cast("timestamp"))
-    stamped.write.option("header", True).csv(path)
-    read = read_delimited(g.spark, path, infer=True)
+    for part in (0, 1):
+        stamped.where(F.pmod("objectid", F.lit(2)) == part).write.option("header", True).csv(f"{path}/{part}")
+        load_table(read_delimited(g.spark, f"{path}/{part}", infer=True), name, f"{path}/table")
+    read = g.spark.table(name)
     cells = [F.struct(F.lit(c).alias("column_name"), F.lit(read.schema[c].dataType.simpleString()).alias("dtype"))
              for c in ("date", "latitude", "microplastics_measurement", "objectid", "unit")]
     return read.agg(F.count("*").alias("n")).select(F.inline(F.array(*cells)), "n")
@@ -173,12 +180,12 @@ def _(g):
     return parts
 
 
-@query("sink_quality_report", "SELECT * FROM all_rules WHERE dataset = 'climate'", extra=ALL_RULES)
+@query("sink_quality_report", "SELECT * FROM all_rules", extra=ALL_RULES)
 def _(g):
     t = g.transformed
     report = quality.run_suites(t.observations, t.climate, t.occurrences, YEAR, "post")
     paths = write_quality_report(report, g.scratch("report"), "post")
-    return g.spark.read.parquet(paths["rules"]).where("dataset = 'climate'").select(*quality.REPORT_COLUMNS)
+    return g.spark.read.parquet(paths["rules"]).select(*quality.REPORT_COLUMNS)
 
 
 @query("sink_topic_write", """
@@ -216,15 +223,49 @@ def _(g):
     return history.manifest().drop("written_at")
 
 
+# What the text exports hold that cannot be read; it must come out as null.
+UNREADABLE = {
+    "fx_micro_raw": "CASE WHEN objectid % 50 = 7 THEN NULL ELSE microplastics_measurement END AS microplastics_measurement, "
+                    "CASE WHEN objectid % 61 = 3 THEN NULL ELSE latitude END AS latitude, CASE WHEN objectid % 43 = 5 THEN NULL ELSE date END AS date",
+    "fx_species_raw": "CASE WHEN occurrence_id % 19 = 4 THEN NULL ELSE longitude END AS longitude",
+    "fx_climate_raw": "CASE WHEN reading_id % 23 = 6 THEN NULL ELSE wave_height_max END AS wave_height_max",
+}
+RUN_BLOCKS = {name: f"SELECT * REPLACE ({cells}) FROM ({re.sub(r'{(\w+)}', r'\1', FIXTURES[name]).replace('`', chr(34))})" for name, cells in UNREADABLE.items()}
+
+
+def text_export(g: Given, table: DataFrame, path: str, names: dict[str, str], unreadable: dict[str, tuple[str, str]], sep: str) -> DataFrame:
+    """A table as delimited text under its raw headers, with text that is no value in some rows; read back as it is landed."""
+    cells = []
+    for f in table.schema.fields:
+        text = F.date_format(f.name, "MM-dd-yyyy") if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)) else columns.quoted(f.name).cast("string")
+        rows, junk = unreadable.get(f.name, ("false", ""))
+        cells.append(F.when(F.expr(rows), junk).otherwise(text).alias(names.get(f.name, f.name).strip()))
+    table.select(*cells).write.option("header", True).option("sep", sep).csv(path)
+    return read_delimited(g.spark, path)
+
+
 @query("pipe_run", """
 SELECT 'dim_date' AS table_name, count(*) AS n_rows FROM dim_date UNION ALL SELECT 'dim_location', count(*) FROM dim_location
 UNION ALL SELECT 'dim_climate', count(*) FROM dim_climate UNION ALL SELECT 'dim_sampling_method', count(*) FROM dim_sampling
 UNION ALL SELECT 'dim_species', count(*) FROM dim_species UNION ALL SELECT 'fact_microplastics', count(*) FROM fact
-UNION ALL SELECT 'microplastics_species_bridge', count(*) FROM fact WHERE species_id IS NOT NULL""")
+UNION ALL SELECT 'microplastics_species_bridge', count(*) FROM fact WHERE date_id IS NOT NULL AND species_id IS NOT NULL""", extra=RUN_BLOCKS)
 def _(g):
-    """All steps, from raw extracts to the loaded star schema."""
+    """All steps, from text exports with unreadable values to the loaded star schema."""
+    base = g.scratch("run")
+
+    def observations():
+        junk = {"microplastics_measurement": ("objectid % 50 = 7", "n/a"), "latitude": ("objectid % 61 = 3", "12,5"), "date": ("objectid % 43 = 5", "spring")}
+        return text_export(g, g.micro, f"{base}/observations.csv", RAW_OBSERVATION, junk, ",")
+
+    def occurrences():
+        landed = text_export(g, g.species, f"{base}/occurrences.tsv", RAW_OCCURRENCE, {"longitude": ("occurrence_id % 19 = 4", "W 90")}, "\t")
+        return landed.withColumn("occurrence_id", F.col("occurrence_id").cast("bigint"))
+
+    def climate(_catalog):
+        landed = text_export(g, g.climate, f"{base}/climate.csv", {}, {"wave_height_max": ("reading_id % 23 = 6", "high")}, ";")
+        return landed.withColumn("reading_id", F.col("reading_id").cast("bigint"))
+
     result = run(g.spark, RunConfig(
-        work_dir=g.scratch("run"), extract_observations=lambda: raw_observations(g).withColumnRenamed(" Date (MM-DD-YYYY)", "Date (MM-DD-YYYY)"),
-        extract_occurrences=lambda: raw_occurrences(g), extract_climate=lambda _catalog: g.climate, current_year=YEAR,
+        work_dir=f"{base}/work", extract_observations=observations, extract_occurrences=occurrences, extract_climate=climate, current_year=YEAR,
         transform_options={"occurrence_order": "occurrence_id", "climate_order": "reading_id"}))
     return table_counts(result.warehouse)

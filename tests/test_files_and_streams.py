@@ -7,9 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.climate import next_range
-from tidemark.plans import etl, live
+from tidemark.plans import etl, live, warehouse
 from tidemark.plans.metrics import CONCENTRATION, RISK
 from tidemark.session import path_exists
+from tidemark.sinks import catalog
 from tidemark.sinks import files as files_sink
 from tidemark.sinks.files import VersionedTable
 from tidemark.sources import files
@@ -38,6 +39,28 @@ def test_tsv_keeps_quotes_and_skips_bad_lines(spark, tmp_path):
     assert files.read_occurrences_tsv(spark, str(path)).count() == 3
 
 
+def test_catalog_table_from_an_inferred_batch(spark, tmp_path):
+    name, path = "loaded_batches", str(tmp_path / "table")
+
+    def land_text(folder, text):
+        (tmp_path / folder).write_text(text)
+        return files.read_delimited(spark, str(tmp_path / folder), infer=True)
+
+    try:
+        first = catalog.load_table(land_text("1.csv", "id,v,day\n1,1.5,2020-01-01\n2,NaN,2020-01-02\n"), name, path)
+        kinds = dict(first.dtypes)
+        assert (kinds["id"], kinds["v"]) == ("int", "double") and first.where("v is null").count() == 1
+        catalog.load_table(land_text("2.csv", "day,v,id\n2020-01-03,7,3\n"), name, path)  # other order, whole numbers
+        assert spark.table(name).dtypes == first.dtypes and spark.table(name).where("id = 3").first().v == 7.0
+        for text, wrong in (("id,v\n1,2\n", "missing columns: day"), ("id,v,day,x\n1,2,2020-01-01,y\n", "unknown columns: x"),
+                            ("id,v,day\n1.5,2,2020-01-01\n2,2,2020-01-01\n", "id: 1 values are no int"), ("id,v,day\n9,n/a,2020-01-01\n", "v: 1 values are no double")):
+            with pytest.raises(ValueError, match=wrong):
+                catalog.load_table(land_text("bad.csv", text), name, path)
+        assert spark.sql(f"SELECT count(*) AS n FROM {name}").first().n == 3
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def test_unfinished_extract_is_redone(spark, tmp_path):
     path = tmp_path / "x"
     path.mkdir()
@@ -301,6 +324,21 @@ def test_run_and_run_again(spark, sources, tmp_path):
     assert again.warehouse.fact.count() == 24 and again.warehouse.dim_location.count() == first.warehouse.dim_location.count()
 
 
+def test_run_on_text_with_unreadable_values(spark, sources, tmp_path):
+    observations, occurrences, climate = sources
+    as_text = lambda df: df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
+    odd = as_text(observations).withColumn("Microplastics measurement", F.when(F.col("OBJECTID") == "3", "n/a").otherwise(F.col("Microplastics measurement")))
+    odd = odd.withColumn("Date (MM-DD-YYYY)", F.when(F.col("OBJECTID") == "4", "spring").otherwise(F.col("Date (MM-DD-YYYY)")))
+    odd = odd.withColumn("Latitude (degree)", F.when(F.col("OBJECTID") == "5", "north").otherwise(F.col("Latitude (degree)")))
+    cfg = config((odd, as_text(occurrences), lambda catalog: as_text(climate(catalog))), tmp_path, load_id="a")
+    result = etl.run(spark, cfg)
+    assert result.missing == [] and result.warehouse.fact.count() == 10  # one unmeasured, one without a place
+    assert result.warehouse.fact.where("dim_date_date_id IS NULL").count() == 1
+    pre = spark.read.parquet(result.reports["pre"]["rules"])
+    assert pre.where("dataset = 'species'").count() > 5  # raw names are known to the rules
+    assert {r.violations for r in warehouse.integrity_violations(result.warehouse).collect()} == {0}
+
+
 def test_gate(spark, sources, tmp_path):
     observations, occurrences, climate = sources
     bad = (observations.withColumn("Unit", F.lit("odd")).drop("OBJECTID"), occurrences, climate)

@@ -1,11 +1,12 @@
 """Physical plans: what must and must not be in them."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks.base import Given
 from checks.registry import QUERIES
 from tidemark.functions.geo import NORTH_AMERICA
-from tidemark.operators import clean, dedup
+from tidemark.operators import asof, clean, dedup, skew
 from tidemark.operators.grid import assign_to_nearest_cell
 from tidemark.plans import marts, warehouse
 
@@ -72,3 +73,31 @@ def test_species_are_not_grouped_by_names_at_fact_grain(given):
     scans = [line for line in plan.splitlines() if "FileScan" in line]
     assert any("microplastics_measurement" in line and "scientific_name" not in line for line in scans)
     assert not any("microplastics_measurement" in line and "scientific_name" in line for line in scans)
+
+
+def scans_of(df):
+    """How often each file source is read by the plan that ran, exchanges that are used twice counted once."""
+    df.write.format("noop").mode("overwrite").save()
+    return [line for line in plan_of(df).splitlines() if "FileScan" in line]
+
+
+def test_counts_are_written_once_and_the_left_read_once(spark, sf_dir):
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    duplicates = scans_of(dedup.duplicate_rows(lines, ["l_returnflag", "l_quantity"]))
+    assert sum("l_extendedprice" in line for line in duplicates) == 1  # the counts come from their own table
+    assert sum("lineitem" in line for line in duplicates) == 1
+    readings = lines.select(F.col("l_suppkey").alias("cell"), F.col("l_shipdate").cast("date").alias("day"), "l_tax").dropDuplicates(["cell", "day"])
+    left = lines.select(F.col("l_suppkey").alias("cell"), F.col("l_shipdate").cast("date").alias("day"), "l_extendedprice")
+    nearest = scans_of(asof.nearest_date_join(left, readings, "cell", "day", ["l_tax"]))
+    assert sum("lineitem" in line for line in nearest) == 1
+
+
+def test_skewed_lookups_agree_with_plain_joins(spark):
+    rows = spark.range(20_000).select("id", F.when(F.col("id") % 3 > 0, F.lit(7)).when(F.col("id") % 50 == 0, F.lit(None)).otherwise((F.col("id") % 90).cast("int")).alias("k"), (F.col("id") % 2).alias("kind"))
+    counted = rows.groupBy("k", "kind").agg(F.count("*").alias("n"), F.max("id").alias("top"))
+    found = skew.lookup_counted(rows, counted, ["k", "kind"], "n")
+    assert found.columns == ["id", "k", "kind", "top"] and found.count() == 20_000
+    tops = {(r.k, r.kind): r.top for r in counted.collect()}
+    assert all(r.top == tops[r.k, r.kind] for r in found.collect())
+    kept = skew.semi_join_counted(rows, counted.where("n > 200"), ["k", "kind"], "n")
+    assert kept.columns == rows.columns and kept.count() == counted.where("n > 200").agg(F.sum("n")).first()[0]

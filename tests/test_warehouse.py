@@ -140,6 +140,30 @@ def test_single_species_do_not_inflate_means(spark, fused, tmp_path):
     assert (taxa.num_especies, taxa.num_observaciones) == (2, 5)
 
 
+def test_deviation_of_large_close_values(spark, tmp_path):
+    """Sums of squares of such values would leave no digit of their spread."""
+    values = [1e9 + d for d in (0.0, 0.25, 0.5, 0.75, 1.0, 3.0)]
+    rows = [row(i, v, lat=10.0 + i % 3, wave=float(i % 2), names="Aa b" if i % 2 else None) for i, v in enumerate(values)]
+    wh = warehouse.load_warehouse(spark.createDataFrame(rows, DDL), str(tmp_path / "wh"), load_id="x", explode_species=True)
+    mean = sum(values) / len(values)
+    want = (sum((v - mean) ** 2 for v in values) / len(values)) ** 0.5
+    assert marts.ocean_comparison(wh).first().std_microplasticos == pytest.approx(want, rel=1e-6)
+    assert marts.sampling_effectiveness(wh).first().std_microplasticos == pytest.approx(want, rel=1e-6)
+
+
+def test_marts_without_limits_or_years(spark, fused, tmp_path):
+    wh = warehouse.load_warehouse(fused, str(tmp_path / "wh"), load_id="x")
+    assert marts.critical_zones(wh, limit=None).count() >= marts.critical_zones(wh, limit=1).count() == 1
+    assert marts.temporal_trends(wh).count() == marts.temporal_trends(wh, 2021).count() == marts.temporal_trends(wh, None, 2021).count() == 1
+    assert marts.temporal_trends(wh, 2022).count() == 0
+
+
+def test_waves_beyond_decimals(spark):
+    sums = spark.createDataFrame([(1e300, 1), (2.5, 2), (None, 4)], "w double, n bigint")
+    assert sums.agg(marts.mean_wave("w")).first()[0] == pytest.approx(1e300 / 3)
+    assert sums.where("w < 5").agg(marts.mean_wave("w")).first()[0] == 2.5
+
+
 STAR_SQL = """
 SELECT l.latitude, l.longitude, l.ocean, l.marine_setting, AVG(f.measurement) AS microplasticos,
        COUNT(DISTINCT s.species_id) AS biodiversidad, AVG(c.wave_height_max) AS oleaje, COUNT(DISTINCT f.observation_id) AS observaciones
@@ -180,7 +204,7 @@ def test_zero_maxima_give_no_score(spark):
 def test_correlation_needs_rows(spark):
     ddl = ", ".join(f"{c} double" for c in analytics.CORRELATED)
     few = spark.createDataFrame([(1.0, 2.0, 3.0, 4.0, 5.0)] * 3, ddl)
-    assert analytics.correlation_matrix(few).count() == 0
+    assert analytics.correlation_matrix(few).count() == 0 and analytics.correlation_matrix(few, more_than=0).count() == 25
     flat = spark.createDataFrame([(float(i), 2.0, float(-i), float(i * i), 1.0) for i in range(5)], ddl)
     r = {(x.variable_i, x.variable_j): x.r for x in analytics.correlation_matrix(flat).collect()}
     assert len(r) == 25 and r["wave_height_max", "swell_wave_height_max"] == pytest.approx(-1) and r["wave_period_max", "wave_height_max"] is None

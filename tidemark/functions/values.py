@@ -41,8 +41,8 @@ def blank_to_null(value: str | Column) -> Column:
     return F.nullif(F.btrim(as_column(value), F.lit(_WHITESPACE)), F.lit(""))
 
 
-# From here on a double cannot tell values apart that differ only in the sixth decimal.
-_NO_DECIMALS_ABOVE = 1e9
+# From here on the millionths of a double are no exact whole number any more.
+_NO_DECIMALS_ABOVE = 2.0**53 / 1e6
 
 
 def norm_number(value: str | Column) -> Column:
@@ -76,6 +76,11 @@ def scaled_to_max(value: str | Column, maximum: Column, factor: float, base: flo
     return F.try_divide(as_column(value).cast("double"), divisor) * factor + base
 
 
+def month_key(date: str | Column) -> Column:
+    """Month of the year, 1 to 12, on which climate is averaged and joined; null without a date."""
+    return F.month(as_column(date))
+
+
 def year_month_label(year: str | Column, month: str | Column) -> Column:
     return F.concat(as_column(year).cast("string"), F.lit("-"), F.lpad(as_column(month).cast("string"), 2, "0"))
 

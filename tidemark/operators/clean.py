@@ -41,6 +41,20 @@ def filter_in_list(df: DataFrame, column: str, values: Sequence[str] | None) ->
     return df.where(quoted(column).isin(list(values))) if values else df
 
 
+# Fixed value: first year shown when no range is chosen.
+DEFAULT_FIRST_YEAR = 2010
+
+
+def filter_years(df: DataFrame, column: str = "date", first: int | None = None, last: int | None = None) -> DataFrame:
+    """Rows dated within the years, both included; without a range the default first year up to the current one."""
+    if first is None and last is None:
+        return df.where(F.year(column).between(F.lit(DEFAULT_FIRST_YEAR), F.year(F.current_date())))
+    year = F.year(column)
+    kept = df.where(year.isNotNull())
+    kept = kept if first is None else kept.where(year >= first)
+    return kept if last is None else kept.where(year <= last)
+
+
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     """Distinct non-null values in order, as offered by a drop-down list."""
     return df.where(quoted(column).isNotNull()).select(column).distinct().orderBy(column)

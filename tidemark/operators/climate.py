@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.geo import NORTH_AMERICA, Extent, ocean_by_longitude
-from tidemark.functions.values import nan_to_null
+from tidemark.functions.values import month_key, nan_to_null
 from tidemark.schemas import WAVE_COLUMNS
 
 # Fixed value: newest date assumed when there is no history yet.
@@ -22,7 +22,7 @@ def monthly_climate(climate: DataFrame, order_by: str = "date") -> DataFrame:
     of plain numbers and runs as a hash aggregate with map-side combining; the second
     works on at most a few rows per cell and month.
     """
-    keyed = climate.where("grid_id IS NOT NULL").withColumn("month", F.month("date")).where("month IS NOT NULL")
+    keyed = climate.where("grid_id IS NOT NULL").withColumn("month", month_key("date")).where("month IS NOT NULL")
     partial = keyed.groupBy("grid_id", "month", "ocean").agg(
         F.max("grid_lat").alias("grid_lat"), F.max("grid_lon").alias("grid_lon"),
         F.min(order_by).alias("_first"),

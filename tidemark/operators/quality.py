@@ -187,6 +187,15 @@ def _unique_result(df: DataFrame, rule: Rule) -> DataFrame:
     ).select(F.inline(F.array(_result(rule, F.col("considered"), F.col("unexpected"), F.col("elements")))))
 
 
+# The columns of a report's rows.
+SUMMARY_COLUMNS = ["dataset", "stage", "expectation", "success", "success_percent", "unexpected_count", "element_count"]
+
+
+def summary(report: DataFrame) -> DataFrame:
+    """The rows of a report, one per rule."""
+    return report.select(*SUMMARY_COLUMNS)
+
+
 def overall(report: DataFrame) -> DataFrame:
     """Rules passed and total per dataset and stage."""
     return report.groupBy("dataset", "stage").agg(

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import materialize, scratch_dir
+
 DEFAULT_SALTS = 32
 HOT_SHARE = 1000
 
@@ -23,48 +25,40 @@ def salted_lookup(left: DataFrame, right: DataFrame, on: Sequence[str], salts: i
     return dealt.join(spread, [*on, "_salt"], "left").drop("_salt")
 
 
-def _renamed_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
-    return df.withColumnsRenamed({c: f"_k{i}" for i, c in enumerate(on)})
-
+def _joined_by_counts(left: DataFrame, counted: DataFrame, on: Sequence[str], count_column: str, how: str) -> DataFrame:
+    """Left rows with the columns of ``counted``, whose keys are unique and have their left row counts.
 
-def _same_keys(on: Sequence[str]) -> Column:
-    """Keys of the left side against the renamed ones; null matches null."""
-    condition = F.lit(True)
-    for i, c in enumerate(on):
-        condition = condition & F.col(f"`{c}`").eqNullSafe(F.col(f"_k{i}"))
-    return condition
+    The counts are written once and then say both which keys are hot and what is found. Keys with more than one in
+    ``HOT_SHARE`` of all rows, of which there are at most ``HOT_SHARE``, are broadcast to deal their left rows out over
+    ``DEFAULT_SALTS`` tasks; all rows then go through one join. So the left is read once here, and no key meets in one task.
+    """
+    counted = materialize(counted, scratch_dir(left.sparkSession, "counts"))
+    names = {c: f"_k{i}" for i, c in enumerate(on)}
+    keys = list(names.values())
+    known = counted.withColumnsRenamed(names)
+    total = counted.agg(F.sum(count_column)).scalar()
+    hot = known.where(F.col(count_column) * HOT_SHARE > total).select(*keys)
 
+    def same(other: Sequence[str]) -> Column:
+        condition = F.lit(True)
+        for c, k in zip(on, other, strict=True):
+            condition = condition & F.col(f"`{c}`").eqNullSafe(F.col(k))
+        return condition
 
-def _hot_and_cold(counted: DataFrame, total: Column, count_column: str) -> tuple[DataFrame, DataFrame]:
-    """Keys with more than one in ``HOT_SHARE`` of all rows, at most ``HOT_SHARE`` of them, and the rest."""
-    share = F.col(count_column) * HOT_SHARE
-    return counted.where(share > total), counted.where(share <= total)
+    marks = hot.withColumnsRenamed({k: f"{k}h" for k in keys}).withColumn("_hot", F.lit(True))
+    dealt = left.join(F.broadcast(marks), same([f"{k}h" for k in keys]), "left").withColumn(
+        "_salt", F.when(F.col("_hot"), F.pmod(F.monotonically_increasing_id(), F.lit(DEFAULT_SALTS)).cast("int")).otherwise(0)).drop("_hot", *[f"{k}h" for k in keys])
+    is_hot = F.col(count_column) * HOT_SHARE > total
+    salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(DEFAULT_SALTS - 1))).otherwise(F.array(F.lit(0)))
+    spread = known.withColumn("_at", F.explode(salts)).drop(count_column)
+    return dealt.join(spread, same(keys) & (F.col("_salt") == F.col("_at")), how).drop("_salt", "_at", *keys)
 
 
 def semi_join_counted(left: DataFrame, counted: DataFrame, on: Sequence[str], count_column: str) -> DataFrame:
-    """Left rows whose key is in ``counted``, a frame of unique keys with their left row counts.
-
-    Hot keys are broadcast, of which there are only so many; the other keys are joined by
-    shuffle, where none of them is large.
-    """
-    total = counted.agg(F.sum(count_column)).scalar()
-    keys = _renamed_keys(counted.select(*[F.col(f"`{c}`") for c in on], count_column), on)
-    hot, cold = (part.drop(count_column) for part in _hot_and_cold(keys, total, count_column))
-    same = _same_keys(on)
-    rest = left.join(F.broadcast(hot), same, "left_anti")
-    return left.join(F.broadcast(hot), same, "left_semi").unionByName(rest.join(cold, same, "left_semi"))
+    """Left rows whose key is in ``counted``, a frame of unique keys with their left row counts; null matches null."""
+    return _joined_by_counts(left, counted.select(*[F.col(f"`{c}`") for c in on], count_column), on, count_column, "inner")
 
 
 def lookup_counted(left: DataFrame, right: DataFrame, on: Sequence[str], count_column: str) -> DataFrame:
-    """Left join against ``right``: one row for every key of the left, with its left row count.
-
-    As in :func:`semi_join_counted`, hot keys are broadcast and the others shuffled, so
-    the right side is not repeated as a salted join would.
-    """
-    total = left.agg(F.count("*")).scalar()
-    hot, cold = (part.drop(count_column) for part in _hot_and_cold(_renamed_keys(right, on), total, count_column))
-    same = _same_keys(on)
-    keys = [f"_k{i}" for i in range(len(on))]
-    rest = left.join(F.broadcast(hot.select(*keys)), same, "left_anti")
-    found = left.join(F.broadcast(hot), same).unionByName(rest.join(cold, same, "left"))
-    return found.drop(*keys)
+    """Left join against ``right``: one row for every key of the left, with its left row count; null matches null."""
+    return _joined_by_counts(left, right, on, count_column, "left")

@@ -134,10 +134,10 @@ CORRELATED = ["wave_height_max", "wave_period_max", "swell_wave_height_max", "av
 MIN_CORRELATION_ROWS = 3
 
 
-def correlation_matrix(correlation: DataFrame) -> DataFrame:
+def correlation_matrix(correlation: DataFrame, more_than: int = MIN_CORRELATION_ROWS) -> DataFrame:
     """Pearson matrix as rows (variable_i, variable_j, r), from one aggregate over complete rows.
 
-    No rows when there is too little data; r is null when a variable is constant.
+    No rows unless there are ``more_than`` complete ones (0: always a matrix of any rows); r is null when a variable is constant.
     """
     complete = correlation.select(*[F.col(c).cast("double").alias(c) for c in CORRELATED]).dropna()
     pairs = [(a, b) for i, a in enumerate(CORRELATED) for b in CORRELATED[i:]]
@@ -150,7 +150,7 @@ def correlation_matrix(correlation: DataFrame) -> DataFrame:
                  F.col(f"r_{a}_{b}" if (a, b) in pairs else f"r_{b}_{a}").alias("r"))
         for a in CORRELATED for b in CORRELATED
     ]
-    return row.where(F.col("n") > MIN_CORRELATION_ROWS).select(F.inline(F.array(*cells)))
+    return row.where(F.col("n") > more_than).select(F.inline(F.array(*cells)))
 
 
 def with_wave_bin(correlation: DataFrame, bins: int = WAVE_BINS) -> DataFrame:

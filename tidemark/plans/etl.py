@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.functions.geo import DEFAULT_MAX_KM, DEFAULT_PRECISION, NORTH_AMERICA, Extent
 from tidemark.operators.clean import clean_climate, clean_observations, clean_occurrences
 from tidemark.operators.climate import monthly_climate
-from tidemark.operators.columns import CASE_ONLY_NAMES, OBSERVATION_NAMES, missing_columns, project_fields
+from tidemark.operators.columns import missing_columns, project_fields, rename_observations, rename_occurrences
 from tidemark.operators.grid import assign_to_nearest_cell, grid_catalog, snap_to_grid
 from tidemark.operators.quality import CRITICAL_COLUMNS, overall, run_suites
 from tidemark.operators.taxonomy import NAMES_PER_CELL, community_by_cell
@@ -118,9 +118,7 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
     catalog = spark.read.parquet(paths["catalog"])
     climate = cached_extract(spark, f"{base}/raw/climate", lambda: cfg.extract_climate(catalog))
 
-    known = {**OBSERVATION_NAMES, **CASE_ONLY_NAMES}
-    named = observations.withColumnsRenamed(
-        {c: known[c.strip().lower()] for c in observations.columns if c.strip().lower() in known})
+    named, named_occurrences = rename_observations(observations), rename_occurrences(occurrences)
     missing = missing_columns(named, CRITICAL_COLUMNS)
     if missing:
         print(f"observations lack {', '.join(missing)}")
@@ -132,7 +130,7 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
         written = spark.read.parquet(reports[stage]["rules"])
         gate(written, cfg.gate, stage)
 
-    checked("pre", named, climate, occurrences)
+    checked("pre", named, climate, named_occurrences)
     result = transform(observations, occurrences, climate, catalog=catalog, **cfg.transform_options)
     paths |= write_stage_tables({
         "observations": result.observations, "occurrences": result.occurrences, "climate": result.climate,

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.geo import DEFAULT_PRECISION, Extent
+from tidemark.functions.values import month_key
 from tidemark.operators.skew import salted_lookup
 
 # Rows of a lookup side that may be broadcast when the extent proves it stays below.
@@ -54,7 +55,7 @@ def join_monthly_climate(observations: DataFrame, monthly: DataFrame, extent: Ex
     the cells, and so the broadcast side, are bounded; without one the join is salted.
     """
     if "month" not in observations.columns:
-        observations = observations.withColumn("month", F.month("date"))
+        observations = observations.withColumn("month", month_key("date"))
     bound = extent.max_cells(precision) * _MONTHS if extent is not None else None
     return _lookup(observations, monthly, ["grid_id", "month"], "_climate", bound, extent, precision)
 
@@ -69,7 +70,7 @@ def join_community(observations: DataFrame, community: DataFrame, extent: Extent
 def fuse(observations: DataFrame, monthly: DataFrame | None, community: DataFrame | None,
          extent: Extent | None = None, precision: float = DEFAULT_PRECISION) -> DataFrame:
     """One row per observation; a missing side is left out."""
-    fused = observations.withColumn("month", F.month("date"))
+    fused = observations.withColumn("month", month_key("date"))
     if monthly is not None:
         fused = join_monthly_climate(fused, monthly, extent, precision)
     if community is not None:

@@ -63,18 +63,23 @@ def mean_measurement() -> Column:
     return F.try_divide(F.sum("s"), F.sum("n"))
 
 
-def with_deviation(sums: DataFrame, keys: Sequence[str]) -> DataFrame:
+def with_deviation(sums: DataFrame, facts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add the squared distance of each group's mean from the mean over ``keys``, once for each measurement.
 
-    Taking the means first keeps digits that the difference of two large sums would lose. The
+    Taking the means first keeps digits that the difference of two large sums would lose. They come from ``facts``, counts ``n``
+    and sums ``s`` with the keys' columns and nothing else, so that neither species nor climate is looked up for them. The
     means are as few as the result's rows.
     """
-    means = sums.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(mean_measurement().alias("_mean"))
+    means = facts.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(mean_measurement().alias("_mean"))
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
     apart = F.try_divide(F.col("s"), F.col("n")) - F.col("_mean")
     return sums.join(means, same, "left").withColumn("dev", F.col("n") * apart * apart).drop("_mean", *[f"_{k}" for k in keys])
 
 
+def _totals(fact: DataFrame, key: str) -> DataFrame:
+    return fact.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("measurement").alias("n"), F.sum("measurement").alias("s"))
+
+
 def std_measurement() -> Column:
     """Population standard deviation from the variances within the groups and the distances between them."""
     return F.sqrt(F.try_divide(F.coalesce(F.sum(F.col("n") * F.col("var")), F.lit(0.0)) + F.coalesce(F.sum("dev"), F.lit(0.0)), F.sum("n")))
@@ -84,11 +89,15 @@ def mean_wave(column: str) -> Column:
     """Mean of a climate value over observations, from the observation count of each climate row.
 
     Climate values are kept to six decimals, so the sum is taken in decimals: it is exact,
-    and the mean does not depend on the order in which tasks are combined.
+    and the mean does not depend on the order in which tasks are combined. Values that such a decimal cannot hold, which no
+    ocean has, are summed as doubles.
     """
-    known = F.when(F.col(column).isNotNull(), F.col("n"))
-    total = F.sum(F.col(column).cast("decimal(18,6)") * F.col("n"))
-    return F.try_divide(total.cast("double"), F.sum(known))
+    value = F.col(column)
+    fits = F.abs(value) < 1e12
+    exact = F.sum(F.when(fits, value.cast("decimal(18,6)") * F.col("n"))).cast("double")
+    others = F.sum(F.when(~fits, value * F.col("n")))
+    total = F.when(others.isNull(), exact).otherwise(others + F.coalesce(exact, F.lit(0.0)))
+    return F.try_divide(total, F.sum(F.when(value.isNotNull(), F.col("n"))))
 
 
 def n_species() -> Column:
@@ -143,8 +152,8 @@ def _location_groups(wh: Warehouse):
     return placed.groupBy(*LOCATION_COLUMNS)
 
 
-def critical_zones(wh: Warehouse, limit: int = TOP_ROWS) -> DataFrame:
-    """Locations above the mean of all facts, highest first."""
+def critical_zones(wh: Warehouse, limit: int | None = TOP_ROWS) -> DataFrame:
+    """Locations above the mean of all facts, highest first; all of them without a limit."""
     overall = wh.fact.agg(F.avg("measurement").alias("overall")).scalar()
     zones = _location_groups(wh).agg(
         n_observations().alias("num_observaciones"), mean_measurement().alias("avg_microplasticos"),
@@ -153,16 +162,20 @@ def critical_zones(wh: Warehouse, limit: int = TOP_ROWS) -> DataFrame:
         mean_wave("swell_wave_height_max").alias("avg_swell_height"),
         mean_wave("wave_period_max").alias("avg_wave_period"),
     )
-    return zones.where(F.col("avg_microplasticos") > overall).orderBy(
-        F.desc("avg_microplasticos"), "num_especies", *LOCATION_COLUMNS
-    ).limit(limit)
+    ranked = zones.where(F.col("avg_microplasticos") > overall).orderBy(
+        F.desc("avg_microplasticos"), "num_especies", *LOCATION_COLUMNS)
+    return ranked if limit is None else ranked.limit(limit)
+
 
+def temporal_trends(wh: Warehouse, first_year: int | None = None, last_year: int | None = None) -> DataFrame:
+    """Aggregates by month, of a range of years if one is given. The range prunes fact partitions."""
+    def within(column: str) -> Column:
+        low = F.lit(True) if first_year is None else F.col(column) >= first_year
+        return F.col(column).isNotNull() & low & (F.lit(True) if last_year is None else F.col(column) <= last_year)
 
-def temporal_trends(wh: Warehouse, first_year: int, last_year: int) -> DataFrame:
-    """Aggregates by month within a range of years. The range prunes fact partitions."""
-    facts = wh.fact.where(F.col("obs_year").between(first_year, last_year))
+    facts = wh.fact.where(within("obs_year"))
     dated = _with_date(_with_climate(summed_facts(wh, facts, [DATE_FK, CLIMATE_FK]), wh), wh)
-    return dated.where(F.col("year").between(first_year, last_year)).groupBy("year", "month", "quarter", "decade").agg(
+    return dated.where(within("year")).groupBy("year", "month", "quarter", "decade").agg(
         n_observations().alias("num_observaciones"), mean_measurement().alias("avg_microplasticos"),
         n_species().alias("num_especies"), mean_wave("wave_height_max").alias("avg_wave_height"),
         mean_wave("swell_wave_height_max").alias("avg_swell_height"),
@@ -176,7 +189,8 @@ def ocean_comparison(wh: Warehouse) -> DataFrame:
     sums = summed_facts(wh, wh.fact.where(F.col(LOCATION_FK).isNotNull()), [LOCATION_FK, CLIMATE_FK])
     placed = _with_location(_with_climate(sums, wh), wh).where("ocean IS NOT NULL")
     placed = placed.join(wh.dim_species.select("species_id", "phylum"), "species_id", "left")
-    return with_deviation(placed, ["ocean", "marine_setting"]).groupBy("ocean", "marine_setting").agg(
+    totals = _with_location(_totals(wh.fact, LOCATION_FK), wh).where("ocean IS NOT NULL")
+    return with_deviation(placed, totals, ["ocean", "marine_setting"]).groupBy("ocean", "marine_setting").agg(
         n_observations().alias("num_observaciones"), mean_measurement().alias("avg_microplasticos"),
         std_measurement().alias("std_microplasticos"), n_species().alias("num_especies"),
         F.count_distinct("phylum").alias("num_phylums"), mean_wave("wave_height_max").alias("avg_wave_height"),
@@ -227,7 +241,8 @@ def climate_correlation(wh: Warehouse, min_observations: int = 2) -> DataFrame:
 def sampling_effectiveness(wh: Warehouse) -> DataFrame:
     sums = summed_facts(wh, wh.fact.where(F.col(SAMPLING_FK).isNotNull()), [SAMPLING_FK, CLIMATE_FK])
     methods = wh.dim_sampling_method.where("sampling_method IS NOT NULL").withColumnRenamed("sampling_method_id", SAMPLING_FK)
-    return with_deviation(_with_climate(sums, wh).join(methods, SAMPLING_FK), SAMPLING_COLUMNS).groupBy(*SAMPLING_COLUMNS).agg(
+    totals = _totals(wh.fact, SAMPLING_FK).join(methods, SAMPLING_FK)
+    return with_deviation(_with_climate(sums, wh).join(methods, SAMPLING_FK), totals, SAMPLING_COLUMNS).groupBy(*SAMPLING_COLUMNS).agg(
         n_observations().alias("num_observaciones"), mean_measurement().alias("avg_microplasticos"),
         F.min("mn").alias("min_microplasticos"), F.max("mx").alias("max_microplasticos"),
         std_measurement().alias("std_microplasticos"), n_species().alias("num_especies"),

@@ -87,6 +87,7 @@ def envelopes(metric: str, rows: DataFrame, all_years: DataFrame | None = None,
         F.lit(metric).alias("metric_type"), "year", stamp.alias("timestamp"), data.alias("data"),
         F.size(data).alias("record_count"),
     )
+    # Not by the streaming package, which reads these messages and so depends on this module.
     value = F.to_json(F.struct("metric_type", "year", "timestamp", "data", "record_count"), {"ignoreNullFields": "false"})
     return message.withColumns({"key": F.col("metric_type"), "value": value})
 

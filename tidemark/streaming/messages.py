@@ -18,6 +18,11 @@ REQUIRED_FIELDS = {
 }
 
 
+def encode(*columns: str | Column) -> Column:
+    """The JSON text of the columns, nulls written out."""
+    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+
+
 def message_time(text: str | Column) -> Column:
     """The time a message states, or now when it states none that can be read."""
     value = F.col(text) if isinstance(text, str) else text
