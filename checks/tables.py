@@ -213,7 +213,7 @@ def _(g):
 @query("sink_history_manifest", """
 SELECT CAST(CAST(date_trunc('month', date) AS DATE) AS VARCHAR) AS start, CAST(CAST(min(date) AS DATE) AS VARCHAR) AS oldest,
  CAST(CAST(max(date) AS DATE) AS VARCHAR) AS newest, count(DISTINCT (date, grid_id)) AS n_rows,
- CASE WHEN date_trunc('month', date) >= DATE '1997-03-01' THEN 'late' ELSE 'first' END AS batch FROM cli WHERE grid_id IS NOT NULL GROUP BY 1, 5""")
+ CASE WHEN max(date) >= DATE '1997-03-15' THEN 'late' ELSE 'first' END AS batch FROM cli WHERE grid_id IS NOT NULL GROUP BY 1""")
 def _(g):
     """The months of the history and the batch that wrote each last."""
     history = DatedTable(g.spark, g.scratch("history"))
