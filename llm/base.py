@@ -13,9 +13,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import materialize, scratch_dir
+from tidemark.session import drop_path, materialize, scratch_dir
 
 SPACES = " \t\n\x0b\f\r"
+CLEAN_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -41,9 +42,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _written_to(df: DataFrame, path: str) -> DataFrame:
+    """Shuffle files of the write go with its end: whoever reads the table never reads them."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEAN_CONF, "false")
+    conf.set(CLEAN_CONF, "true")
+    try:
+        return materialize(df, path)
+    finally:
+        conf.set(CLEAN_CONF, before)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The frame as a table in the shared scratch folder: later steps start there, whichever executors are lost."""
-    return materialize(df, scratch_dir(df.sparkSession, label))
+    return _written_to(df, scratch_dir(df.sparkSession, label))
+
+
+class Scratch:
+    """The written tables of one job, which deletes those that none of its later steps reads."""
+
+    def __init__(self) -> None:
+        self._held: list[tuple[DataFrame, str]] = []
+
+    def written(self, df: DataFrame, label: str) -> DataFrame:
+        path = scratch_dir(df.sparkSession, label)
+        out = _written_to(df, path)
+        self._held.append((out, path))
+        return out
+
+    def drop(self, *frames: DataFrame | None) -> None:
+        for out, path in [x for x in self._held if any(x[0] is f for f in frames)]:
+            drop_path(out.sparkSession, path)
+        self._held = [x for x in self._held if not any(x[0] is f for f in frames)]
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -103,18 +133,23 @@ def summed_counts(df: DataFrame, numbers, size: int, n_slices: int = 64) -> np.n
     return out.reshape(-1)[:size]
 
 
-def components(edges: DataFrame, label: str = "components") -> DataFrame:
+def components(edges: DataFrame, label: str = "components", scratch: Scratch | None = None) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b): root is the smallest node that is reachable.
 
     Each round points every node to its smallest neighbour and contracts the edges along these pointers; edges inside
-    a contracted node go. Rounds are written tables. A hub is a key of grouped minima only, combined on the map side.
+    a contracted node go. Rounds are written tables; all but the result, which ``scratch`` owns, are deleted once they
+    are used. A hub is a key of grouped minima only, combined on the map side.
     """
-    edges = written(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), label)
-    roots = written(edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct().withColumn("root", F.col("node")), label)
+    scratch = scratch or Scratch()
+    edges = scratch.written(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), label)
+    roots = scratch.written(edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct().withColumn("root", F.col("node")), label)
     while not edges.isEmpty():
         both = edges.union(edges.select("b", "a"))
-        up = written(both.groupBy(F.col("a").alias("at")).agg(F.min("b").alias("low")).select("at", F.least("at", "low").alias("to")), label)
-        roots = written(roots.join(up, roots["root"] == up["at"], "left").select("node", F.coalesce("to", "root").alias("root")), label)
+        up = scratch.written(both.groupBy(F.col("a").alias("at")).agg(F.min("b").alias("low")).select("at", F.least("at", "low").alias("to")), label)
+        moved = scratch.written(roots.join(up, roots["root"] == up["at"], "left").select("node", F.coalesce("to", "root").alias("root")), label)
         left, right = up.toDF("a", "p"), up.toDF("b", "q")
-        edges = written(edges.join(left, "a").join(right, "b").select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).where("a < b").distinct(), label)
+        fewer = scratch.written(edges.join(left, "a").join(right, "b").select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).where("a < b").distinct(), label)
+        scratch.drop(edges, roots, up)
+        edges, roots = fewer, moved
+    scratch.drop(edges)
     return roots

@@ -7,13 +7,17 @@ overlaps and discards pairs whose sizes or remaining columns rule out the bound.
 exact overlaps of the surviving pairs, block by block, and discards those below the bound.
 
 Pairs inside one group of near copies are not all formed: early rounds pair the members of a column with one member
-per range of sizes, then with some of the column's largest component, and join what links; the last round forms every pair of the same column that is still in different
-components. No link between components is lost, because such a pair shares a column and is tested in that round.
+per range of sizes, then with some of the column's largest component, and join what links. Long columns are cut into
+parts for that, so no task gets a whole one. The last round takes every pair that shares a column and is still in
+different components: short columns are multiplied as before; documents of long ones meet in blocks of rows by
+blocks of rows, each with its whole prefix, so a block knows all columns that a pair shares and passes on only pairs
+within the bounds. No link between components is lost, because such a pair shares a column and is tested in that round.
 """
 
 from __future__ import annotations
 
 from fractions import Fraction
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -21,13 +25,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm import textnum as tn
-from llm.base import by_bucket, components, ship, shuffle_partitions, slices, summed_counts, written
+from llm.base import Scratch, by_bucket, components, ship, shuffle_partitions, slices, summed_counts
 
 SKETCH_BITS = 20  # 4 MB of counts, whatever the input; it only orders columns, so a coarse count costs time, not links
 FILTER_BITS = 24  # of the set of candidate documents: 2 MB, whatever their number; false hits are removed by a join
 COLUMN_BLOCKS = 4
 PAIRS_AT_ONCE = 1 << 18
 EARLY_ROUNDS = 3
+# These three decide where a pair is tested and not whether: the members of a part of a column in the early rounds, the
+# members from which a column is multiplied by blocks in the last one, and the bytes of prefixes in a block of rows.
+PART = 256
+LONG = 64
+BLOCK_BYTES = 1 << 19
 
 
 def _sets(batch: pa.RecordBatch, n: int):
@@ -80,11 +89,11 @@ def _prefixes(documents: DataFrame, n: int, share: Fraction) -> DataFrame:
 
 
 _POSTING = np.dtype([("gram", "<u8"), ("doc", "<i8"), ("size", "<i4"), ("pos", "<i4")])
-_ROW = "gram long, doc long, size int, pos int"
+_ROW = "gram long, doc long, size int, pos int, n int"
 
 
 def _postings(classes: DataFrame) -> DataFrame:
-    """(gram, doc, size, pos) of every prefix column that at least two classes (rep, n_shingles, columns) have.
+    """(gram, doc, size, pos, n) of every prefix column that n classes (rep, n_shingles, columns) have, two at least.
 
     Most columns have one member and are gone after this step. Rows travel packed by block of columns.
     """
@@ -113,30 +122,43 @@ def _postings(classes: DataFrame) -> DataFrame:
             return
         rows = np.concatenate(held)
         held.clear()
-        grams = np.sort(rows["gram"])
-        rows = rows[np.isin(rows["gram"], grams[1:][grams[1:] == grams[:-1]])]
-        yield pa.RecordBatch.from_arrays([pa.array(rows["gram"].view(np.int64)), pa.array(rows["doc"]), pa.array(rows["size"]), pa.array(rows["pos"])], ["gram", "doc", "size", "pos"])
+        grams, counts = np.unique(rows["gram"], return_counts=True)
+        n = counts[np.searchsorted(grams, rows["gram"])].astype(np.int32)
+        rows, n = rows[n > 1], n[n > 1]
+        yield pa.RecordBatch.from_arrays([pa.array(rows["gram"].view(np.int64)), *(pa.array(rows[k]) for k in ("doc", "size", "pos")), pa.array(n)], ["gram", "doc", "size", "pos", "n"])
 
     packed = classes.select("rep", "n_shingles", "columns").mapInArrow(deal, "block long, postings binary")
     return packed.repartition(n_parts, "block").mapInArrow(shared, _ROW)
 
 
+def _in_components(rows: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """``rows`` with comp, the component of doc; a document without links is its own."""
+    if roots is None:
+        return rows.withColumn("comp", F.col("doc"))
+    return rows.join(roots.toDF("doc", "root"), "doc", "left").select(*rows.columns, F.coalesce("root", "doc").alias("comp"))
+
+
 def _candidates(postings: DataFrame, roots: DataFrame | None, share: Fraction, turn: int | None) -> DataFrame:
     """Pairs (a, b, na, nb) of class ids that pass the bounds after the product over the prefix columns.
 
-    turn 0: the members of a column are paired with the first of their range of sizes. 1, 2, ...: members outside the
-    column's largest component are paired with 8, 64, ... of its members. None: all pairs in different components.
+    turn 0: the members of a part of a column are paired with the first of their range of sizes. 1, 2, ...: members
+    outside the part's largest component are paired with 8, 64, ... of its members. None: all pairs in different
+    components that share a column of at most LONG members.
     """
     t, p, q = float(share), share.numerator, share.denominator
-    labelled = postings.withColumn("comp", F.col("doc"))
-    if roots is not None:
-        labelled = postings.join(roots.toDF("doc", "root"), "doc", "left").select("gram", "doc", "size", "pos", F.coalesce("root", "doc").alias("comp"))
+    if turn is None:
+        postings = postings.where(F.col("n") <= LONG)
+    part = F.pmod(F.xxhash64("doc", F.lit(turn or 0)), F.ceil(F.col("n") / PART)).cast("int")
+    labelled = _in_components(postings.select("gram", part.alias("part"), "doc", "size", "pos"), roots)
 
     def emit(rows, left, right):
         a, b = rows[np.concatenate(left)], rows[np.concatenate(right)]
         swap = a["doc"] > b["doc"]
         a, b = np.where(swap, b, a), np.where(swap, a, b)
         good = (a["doc"] != b["doc"]) & (q * np.minimum(a["size"], b["size"]).astype(np.int64) >= p * np.maximum(a["size"], b["size"]))
+        # Columns before the shared one and columns after it bound the overlap.
+        most = 1 + np.minimum(a["pos"], b["pos"]) + np.minimum(a["size"] - a["pos"], b["size"] - b["pos"]) - 1
+        good &= (p + q) * most.astype(np.int64) >= p * (a["size"].astype(np.int64) + b["size"])
         a, b = a[good], b[good]
         return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (a["doc"], b["doc"], a["size"], b["size"], a["pos"], b["pos"])], ["a", "b", "na", "nb", "pa", "pb"])
 
@@ -158,11 +180,11 @@ def _candidates(postings: DataFrame, roots: DataFrame | None, share: Fraction, t
         held = list(batches)
         if not held:
             return
-        rows = {k: np.concatenate([b.column(k).to_numpy() for b in held]) for k in ("gram", "doc", "size", "pos", "comp")}
+        rows = {k: np.concatenate([b.column(k).to_numpy() for b in held]) for k in ("gram", "part", "doc", "size", "pos", "comp")}
         held.clear()
         rows = np.rec.fromarrays(list(rows.values()), names=list(rows))
-        rows = rows[np.lexsort((rows["doc"], rows["size"], rows["gram"]))]
-        cut = np.concatenate([[0], np.flatnonzero(rows["gram"][1:] != rows["gram"][:-1]) + 1, [len(rows)]])
+        rows = rows[np.lexsort((rows["doc"], rows["size"], rows["part"], rows["gram"]))]
+        cut = np.concatenate([[0], np.flatnonzero((rows["gram"][1:] != rows["gram"][:-1]) | (rows["part"][1:] != rows["part"][:-1])) + 1, [len(rows)]])
         left, right, waiting = [], [], 0
         for k in np.flatnonzero(np.diff(cut) > 1):
             lo, hi = int(cut[k]), int(cut[k + 1])
@@ -177,7 +199,7 @@ def _candidates(postings: DataFrame, roots: DataFrame | None, share: Fraction, t
         if waiting:
             yield emit(rows, left, right)
 
-    dealt = labelled.repartition(shuffle_partitions(postings.sparkSession), "gram")
+    dealt = labelled.repartition(shuffle_partitions(postings.sparkSession), "gram", "part")
     partial = dealt.mapInArrow(multiply, "a long, b long, na long, nb long, pa long, pb long")
     summed = partial.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("shared"), F.max("pa").alias("pa"), F.max("pb").alias("pb"))
     if turn != 0:
@@ -186,8 +208,59 @@ def _candidates(postings: DataFrame, roots: DataFrame | None, share: Fraction, t
     return summed.select("a", "b", "na", "nb")
 
 
-def _links(documents: DataFrame, pairs: DataFrame, n: int, share: Fraction) -> DataFrame:
-    """The pairs (a, b) whose exact overlap, accumulated over blocks of columns, reaches the similarity."""
+def _block_candidates(postings: DataFrame, classes: DataFrame, roots: DataFrame, share: Fraction) -> DataFrame:
+    """Pairs (a, b, na, nb) in different components that share a column of more than LONG members and pass the bounds.
+
+    Such a column belongs to the group of its largest component. The group's outer documents, those of other
+    components, meet each other and its inner ones in blocks of rows by blocks of rows.
+    """
+    p, q = share.numerator, share.denominator
+    long = _in_components(postings.where(F.col("n") > LONG).select("gram", "doc"), roots)
+    counted = long.groupBy("gram", "comp").agg(F.count(F.lit(1)).alias("n"))
+    groups = counted.groupBy("gram").agg(F.max(F.struct("n", "comp"))["comp"].alias("group"), F.count(F.lit(1)).alias("n_comps")).where("n_comps > 1").select("gram", "group")
+    members = long.join(groups, "gram").select("group", "doc", "comp", (F.col("comp") != F.col("group")).alias("outer")).distinct()
+    prefixes = classes.select(F.col("rep").alias("doc"), "n_shingles", "columns")
+    members = members.join(prefixes.select("doc", F.length("columns").alias("bytes")).groupBy("doc").agg(F.sum("bytes").alias("bytes")), "doc")
+    blocks = members.groupBy("group").agg(*(F.ceil(F.coalesce(F.sum(F.when(side, F.col("bytes"))), F.lit(0)) / BLOCK_BYTES).cast("int").alias(name) for side, name in ((F.col("outer"), "n_outer"), (~F.col("outer"), "n_inner"))))
+    placed = members.join(blocks, "group").withColumn("block", F.when(F.col("outer"), F.pmod(F.xxhash64("doc"), F.col("n_outer"))).otherwise(F.col("n_outer") + F.pmod(F.xxhash64("doc"), F.col("n_inner"))).cast("int"))
+    others = F.when(F.col("outer"), F.sequence(F.lit(0), F.col("n_outer") + F.col("n_inner") - 1)).otherwise(F.sequence(F.lit(0), F.col("n_outer") - 1))
+    met = placed.select("group", "doc", "comp", "block", F.explode(others).alias("other"))
+    met = met.select("group", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "doc", "comp", (F.col("block") <= F.col("other")).alias("left"), (F.col("block") >= F.col("other")).alias("right"))
+
+    def product(table: pa.Table) -> pa.Table:
+        docs, sizes, comps = (table.column(k).to_numpy().astype(np.int64) for k in ("doc", "n_shingles", "comp"))
+        held = [np.frombuffer(c, np.uint64) for c in table.column("columns").to_pylist()]
+        left, right = (np.flatnonzero(table.column(k).to_numpy(zero_copy_only=False)) for k in ("left", "right"))
+        whose = np.repeat(right, [len(held[k]) for k in right])
+        grams = np.concatenate([held[k] for k in right]) if len(right) else np.zeros(0, np.uint64)
+        places = np.concatenate([np.arange(len(held[k])) for k in right]) if len(right) else np.zeros(0, np.int64)
+        order = np.argsort(grams, kind="stable")
+        whose, places, grams = whose[order], places[order], grams[order]
+        shared, last, own = (np.zeros(len(docs), np.int64) for _ in range(3))
+        found = []
+        for k in left:
+            lo, hi = (np.searchsorted(grams, held[k], side=s) for s in ("left", "right"))
+            lengths = hi - lo
+            at = np.repeat(lo - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+            hit = whose[at]
+            np.add.at(shared, hit, 1)
+            np.maximum.at(last, hit, places[at])
+            np.maximum.at(own, hit, np.repeat(np.arange(len(lengths)), lengths))
+            seen = np.unique(hit)
+            rest = np.minimum(sizes[k] - own[seen], sizes[seen] - last[seen]) - 1
+            good = (comps[seen] != comps[k]) & (docs[seen] != docs[k]) & (q * np.minimum(sizes[seen], sizes[k]) >= p * np.maximum(sizes[seen], sizes[k]))
+            good &= (p + q) * (shared[seen] + rest) >= p * (sizes[seen] + sizes[k])
+            found += [(min(docs[k], docs[x]), max(docs[k], docs[x]), *((sizes[k], sizes[x]) if docs[k] < docs[x] else (sizes[x], sizes[k]))) for x in seen[good]]
+            shared[seen] = last[seen] = own[seen] = 0
+        made = np.array(found, np.int64).reshape(-1, 4)
+        return pa.table([pa.array(made[:, k]) for k in range(4)], ["a", "b", "na", "nb"])
+
+    tested = met.join(prefixes, "doc").groupBy("group", "low", "high").applyInArrow(product, "a long, b long, na long, nb long")
+    return tested.distinct()
+
+
+def _links(documents: DataFrame, pairs: DataFrame, n: int, share: Fraction, scratch: Scratch) -> DataFrame:
+    """The pairs (a, b), as a written table, whose exact overlap, accumulated over blocks of columns, reaches the similarity."""
     spark = documents.sparkSession
     p, q = share.numerator, share.denominator
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
@@ -211,14 +284,16 @@ def _links(documents: DataFrame, pairs: DataFrame, n: int, share: Fraction) -> D
                     yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int32()), pa.array([x[2].view(np.int64) for x in out], pa.list_(pa.int64()))], ["doc_id", "block", "grams"])
 
     sets = documents.where("doc_id is not null").select("doc_id", "text", slot.alias("slot")).mapInArrow(make, "doc_id long, block int, grams array<long>")
-    sets = written(sets, "ngram-sets")
+    sets = scratch.written(sets, "ngram-sets")
     # Repeated rows of an id are rare and their sets are tried one by one.
     spread = pairs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(COLUMN_BLOCKS - 1))))
     met = (spread.join(sets.select(F.col("doc_id").alias("a"), "block", F.col("grams").alias("ga")), ["a", "block"])
            .join(sets.select(F.col("doc_id").alias("b"), "block", F.col("grams").alias("gb")), ["b", "block"])
            .select("a", "b", "na", "nb", F.size(F.array_intersect("ga", "gb")).cast("long").alias("part")))
-    return met.groupBy("a", "b", "na", "nb").agg(F.sum("part").alias("shared")).where(
-        q * F.col("shared") >= p * (F.col("na") + F.col("nb") - F.col("shared"))).select("a", "b")
+    links = scratch.written(met.groupBy("a", "b", "na", "nb").agg(F.sum("part").alias("shared")).where(
+        q * F.col("shared") >= p * (F.col("na") + F.col("nb") - F.col("shared"))).select("a", "b"), "ngram-links")
+    scratch.drop(sets)
+    return links
 
 
 def ngram_jaccard_join(documents: DataFrame, n: int = 4, share: Fraction = Fraction(85, 100)) -> DataFrame:
@@ -234,28 +309,37 @@ def ngram_jaccard_join(documents: DataFrame, n: int = 4, share: Fraction = Fract
     other columns are ignored. Sets are compared by 64-bit hashes of their n-grams.
     """
     ship(documents.sparkSession)
+    scratch = Scratch()
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = written(_prefixes(documents, n, share), "ngram-rows")
+    rows = scratch.written(_prefixes(documents, n, share), "ngram-rows")
     filled = rows.where("n_shingles > 0 and doc_id is not null")
-    classes = written(filled.groupBy("key", "other", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("columns").alias("columns")), "ngram-classes")
+    classes = scratch.written(filled.groupBy("key", "other", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("columns").alias("columns")), "ngram-classes")
     members = rows.select("doc_id", "key", "other", "n_shingles").join(classes.select("key", "other", "n_shingles", "rep"), ["key", "other", "n_shingles"], "left")
-    members = written(members, "ngram-members")
+    members = scratch.written(members, "ngram-members")
+    scratch.drop(rows)
     owned = members.where("rep is not null and doc_id is not null")
     repeated = owned.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1 and a < b").select("doc_id", "a")
     repeated = owned.join(repeated, "doc_id").select("a", F.col("rep").alias("b"))
 
-    postings = written(_postings(classes), "ngram-postings")
-    links, roots, tried = written(repeated, "ngram-links"), None, None
+    postings = scratch.written(_postings(classes), "ngram-postings")
+    links, tried, roots = [scratch.written(repeated, "ngram-links")], [], None
     for turn in (*range(EARLY_ROUNDS), None):
         if turn is None or turn:
-            roots = components(links)
+            scratch.drop(roots)
+            roots = components(_all(links), scratch=scratch)
         pairs = _candidates(postings, roots, share, turn)
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = written(pairs, "ngram-pairs")
-        done = pairs.select("a", "b")
-        tried = done if tried is None else tried.union(done)
-        links = links.union(written(_links(documents, pairs, n, share), "ngram-links"))
-    roots = components(links)
+        if turn is None:
+            pairs = pairs.union(_block_candidates(postings, classes, roots, share)).distinct()
+        if tried:
+            pairs = pairs.join(_all(tried).select("a", "b"), ["a", "b"], "left_anti")
+        tried.append(scratch.written(pairs, "ngram-pairs"))
+        links.append(_links(documents, tried[-1], n, share, scratch))
+    scratch.drop(classes, postings, roots, *tried)
+    roots = components(_all(links), scratch=scratch)
+    scratch.drop(*links)
     return (members.join(roots, members["rep"] == roots["node"], "left")
             .select("doc_id", "n_shingles", F.coalesce("root", "rep", "doc_id").alias("component_id")))
+
+
+def _all(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.union, frames)

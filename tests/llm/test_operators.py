@@ -7,6 +7,8 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
+from urllib.parse import urlparse
 
 import numpy as np
 import public_tokenizers
@@ -97,7 +99,8 @@ def test_empty_tables(spark):
     assert htmltext.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
-def test_ngram_join(rows, docs):
+def linked(rows):
+    """Per id the size of its set of 4-word shingles and the smallest id that it reaches."""
     sets = {}
     for i, t in rows:
         w = words(t)
@@ -110,13 +113,46 @@ def test_ngram_join(rows, docs):
         return x
 
     for a, b in itertools.combinations(sets, 2):
-        both = len(sets[a] & sets[b])
-        if both and 100 * both >= 85 * len(sets[a] | sets[b]):
-            x, y = find(a), find(b)
-            root[max(x, y)] = min(x, y)
+        if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]) > 0:
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+    return {i: (len(s), find(i)) for i, s in sets.items()}
+
+
+def test_ngram_join(rows, docs):
+    want = linked(rows)
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.ngram_jaccard_join(docs).collect()}
-    assert got == {i: (len(s), find(i)) for i, s in sets.items()}
-    assert any(find(i) != i for i in sets)
+    assert got == want and any(root != i for i, (_, root) in want.items())
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_ngram_join_of_large_groups(spark, seed, monkeypatch):
+    """Chains and far copies of two texts, with columns cut into parts and multiplied by blocks of rows."""
+    for name, value in {"PART": 6, "LONG": 3, "BLOCK_BYTES": 200, "EARLY_ROUNDS": 1 + seed % 2}.items():
+        monkeypatch.setattr(ngram_join, name, value)
+    rng, rows = random.Random(seed), []
+    for start in (0, 1000):
+        text = [f"w{rng.randrange(500)}" for _ in range(rng.randint(70, 130))]
+        for k in range(45):
+            made = list(rows[-1][1].split()) if rows and k % 3 == 0 and k else list(text)
+            for _ in range(rng.randint(0, 4)):
+                at = rng.randrange(len(made))
+                made[at:at + rng.randint(0, 2)] = [f"v{rng.randrange(10000)}"] * rng.randint(0, 2)
+            rows.append((start + k, " ".join(made)))
+    rng.shuffle(rows)
+    want = linked(sorted(rows))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.ngram_jaccard_join(frame(spark, rows)).collect()}
+    assert got == want
+    assert 2 < len({root for _, root in want.values()}) < len(rows) - 10
+
+
+def test_scratch_tables_are_deleted(spark, docs):
+    """Only the two tables that the result reads are left."""
+    base = Path(urlparse(spark.conf.get("spark.checkpoint.dir")).path)
+    before = set(base.iterdir())
+    out = ngram_join.ngram_jaccard_join(docs)
+    assert {p.name.split("-")[0] for p in set(base.iterdir()) - before} == {"ngram", "components"} and len(set(base.iterdir()) - before) == 2
+    assert out.count() == docs.count()
 
 
 def test_packing(rows, docs):
