@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm.base import table, written
@@ -23,39 +23,56 @@ SURROGATE_KEY = "corpus pipeline"  # a run on real data sets its own secret here
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules judge good."""
+    """Documents that the rules judge good; each row is judged by its own text, whatever its doc_id and other columns."""
     return keep_good(docs)
 
 
+def _rows(docs: DataFrame, **keys: Column) -> DataFrame:
+    """Whole rows as one column beside ``keys``, so that no column of theirs clashes with a stage's own."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *(k.alias(name) for name, k in keys.items()))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked ones, that with the smallest doc_id; one row where it is repeated.
 
-    Rows without doc_id stay: nothing can stand for them.
+    Rows without doc_id stay: nothing can stand for them. Other columns are carried unread.
     """
     found = ngram_jaccard_join(docs)
     ids = found.groupBy("doc_id").agg(F.min("component_id").alias("component"), F.count(F.lit(1)).alias("n_rows"))
     kept = written(ids.where("doc_id = component").select(F.col("doc_id").alias("kept_id"), "n_rows"), "kept-ids")
-    once = docs.join(kept.where("n_rows = 1"), docs["doc_id"] == F.col("kept_id"), "left_semi")
-    repeated = docs.join(kept.where("n_rows > 1"), docs["doc_id"] == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(repeated).unionByName(docs.where("doc_id is null"))
+    held = _rows(docs, id=F.col("doc_id"))
+    once = held.join(kept.where("n_rows = 1"), F.col("id") == F.col("kept_id"), "left_semi")
+    repeated = held.join(kept.where("n_rows > 1"), F.col("id") == F.col("kept_id"), "left_semi").dropDuplicates(["id"])
+    return once.union(repeated).union(held.where("id is null")).select("row.*")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    leaked = leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("leaked_id")).distinct()
-    return docs.join(written(leaked, "leaked-ids"), docs["doc_id"] == F.col("leaked_id"), "left_anti")
+    """Documents that hold no benchmark item.
+
+    A row goes by its own text, known by a 64-bit hash: also without doc_id, and without taking other rows of its id along.
+    Null and empty texts stay. Other columns are carried unread.
+    """
+    mark = F.xxhash64(F.col("text"))
+    leaked = leaks(docs.select(mark.alias("doc_id"), "text"), table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("leaked")).distinct()
+    held = _rows(docs, mark=mark)
+    return held.join(written(leaked, "leaked-texts"), F.col("mark") == F.col("leaked"), "left_anti").select("row.*")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data and secrets replaced by surrogates; n_chars follows the text."""
-    out = replace_entities(docs, SURROGATE_KEY)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("n_replaced") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    """Personal data and secrets replaced by surrogates; n_chars follows the text.
+
+    Equal texts get equal results, in repeated rows too; null texts and all other columns stay as they are.
+    """
+    rest = [c for c in docs.columns if c != "text"]
+    out = replace_entities(docs.select(F.struct(*(F.col(f"`{c}`") for c in rest)).alias("row"), "text"), SURROGATE_KEY)
+    columns = {c: F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.when(F.col("n_replaced") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(columns["n_chars"])
+    return out.select(*(column.alias(c) for c, column in columns.items()))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the kept documents in sequences of 4096 tokens."""
+    """The pieces of the kept documents in sequences of 4096 tokens; see :func:`llm.packing.harmonic_pack` for repeated and null rows."""
     return piece_digests(harmonic_pack(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 

@@ -39,3 +39,22 @@ def test_empty_table(spark, sf_dir):
     for _, stage in corpus_pipeline.STAGES:
         docs = corpus_pipeline.written(stage(spark, docs, sf_dir), "test-empty")
     assert docs.count() == 0
+
+
+def test_clashing_columns_and_rows_by_their_own_text(spark, sf_dir):
+    """A leaked row goes also without doc_id, and takes no clean row of its id along; columns named like a stage's own stay."""
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").orderBy("item_id").first()["text"]
+    clean = " ".join(f"word{k}" for k in range(60)) + " a@b.example"
+    names = ["kept_id", "leaked_id", "leaked", "mark", "id", "row", "n_replaced", "n_rows", "component"]
+    rows = [(None, f"x y {item} z", 3), (1, f"so {item}", 3), (1, clean, 3), (None, None, 0), (2, "", 0), (3, clean, 5), (None, clean, 7)]
+    docs = spark.createDataFrame([(i, t, n, *range(len(names))) for i, t, n in rows], "doc_id long, text string, n_chars int, " + ", ".join(f"`{c}` int" for c in names))
+    left = corpus_pipeline.decontaminate(spark, docs, sf_dir)
+    assert left.columns == docs.columns
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in left.collect()) == [(0, ""), (0, clean), (1, clean), (2, ""), (3, clean)]
+    one = corpus_pipeline.near_duplicates(spark, left, sf_dir)
+    assert one.schema == docs.schema and sorted((r["doc_id"] or 0, r["text"] or "") for r in one.collect()) == [(0, ""), (0, clean), (1, clean), (2, "")]
+    out = corpus_pipeline.personal_data(spark, one, sf_dir)
+    assert out.columns == docs.columns
+    for r in out.collect():
+        assert [r[c] for c in names] == list(range(len(names)))
+        assert not r["text"] or ("a@b.example" not in r["text"] and r["n_chars"] == len(r["text"]))
