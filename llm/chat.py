@@ -12,6 +12,7 @@ cross a boundary are chained on the driver, at most two pieces for each partitio
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -28,6 +29,7 @@ NAMES = {"system": SYSTEM, "developer": SYSTEM, "user": USER, "human": USER, "pr
 MERGE, RELABEL, NAME_UNKNOWN, INSERT = 2, 3, 1, 5
 FAR = 10**12
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
+MARK = re.compile(r"<(\\*)\|(?=im_(?:start|end)\|>)")
 
 
 def _follow() -> dict[tuple[int, int], list[tuple[int, str, tuple[int, ...]]]]:
@@ -88,11 +90,17 @@ def repair(roles: list[int]) -> list[int]:
     return backward(back, best_end(costs))
 
 
+def escaped(text: str) -> str:
+    """A text in which no turn begins or ends: a mark gets a backslash after its ``<``, and so does an escaped one."""
+    return MARK.sub(r"<\1\\|", text)
+
+
 def _fragments(states: list[int], roles: list[int], texts: list[str], is_end: bool):
     """(role, action, empty turns put in, fragment) of each row; the end of a conversation closes its last turn."""
     for k, (role, text) in enumerate(zip(roles, texts, strict=True)):
         s, q = states[k], states[k + 1]
         _, action, inserted = WAYS[s, q]
+        text = escaped(text)
         if action == "merge":
             fragment = "\n" + text
         else:
@@ -125,6 +133,7 @@ def repair_chats(conversations: DataFrame) -> DataFrame:
 
     action: keep, relabel or merge (into the turn before); relabelled also tells it of merged rows. n_inserted: empty
     turns put in before the row, or after a conversation's last one. Fragments in order of turn make the rendered text.
+    Marks of turns inside a text are escaped, so that no text opens or closes a turn.
 
     Null text counts as empty; a null or unknown role is named at a small cost. Rows of one turn, also repeated ones, are
     taken in order of a hash of role and text; null turns come first; rows with null conv_id are one conversation. An empty
