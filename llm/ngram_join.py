@@ -202,9 +202,9 @@ def _candidates(postings: DataFrame, roots: DataFrame | None, share: Fraction, t
     dealt = labelled.repartition(shuffle_partitions(postings.sparkSession), "gram", "part")
     partial = dealt.mapInArrow(multiply, "a long, b long, na long, nb long, pa long, pb long")
     summed = partial.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("shared"), F.max("pa").alias("pa"), F.max("pb").alias("pb"))
-    if turn != 0:
-        rest = F.least(F.col("na") - 1 - F.col("pa"), F.col("nb") - 1 - F.col("pb"))
-        summed = summed.where((p + q) * (F.col("shared") + rest) >= p * (F.col("na") + F.col("nb")))
+    # Before the last round the columns a pair shares elsewhere are not all known: a pair that fails here is tried again there.
+    rest = F.least(F.col("na") - 1 - F.col("pa"), F.col("nb") - 1 - F.col("pb"))
+    summed = summed.where((p + q) * (F.col("shared") + rest) >= p * (F.col("na") + F.col("nb")))
     return summed.select("a", "b", "na", "nb")
 
 
