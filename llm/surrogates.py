@@ -3,11 +3,13 @@
 Detection and replacement are expressions over the text: one pattern cuts a text into entities and what lies between.
 The distinct entities of all texts form a table, which gets one surrogate each from a keyed hash of (kind, entity, try);
 entities whose surrogate is also another's, or is itself an entity of the texts, try again. So equal entities get equal
-surrogates in all documents and different ones get different surrogates.
+surrogates in all documents and different ones get different surrogates. A form with too few members for its entities is
+widened after some tries, so that the tries end.
 """
 
 from __future__ import annotations
 
+import hashlib
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -43,6 +45,7 @@ SECRET_NAME = r"""(?i:token|secret|passw(?:or)?d|passwd|pwd|api[_-]?key|access[_
 CARD_FORMS = ("4-4-4-4", "4-4-4-4-1", "4-4-4-4-2", "4-4-4-4-3", "4-6-5", "4-6-4")
 # A text without any of these has no entity; the whole pattern is only tried on the others.
 HINT = r"[0-9@]|(?i:(?:token|secret|passw(?:or)?d|pwd|key)[\"']?\s{0,2}[=:])"
+WIDER = 6  # tries in the entity's own form; from then on its surrogate grows
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
 
 
@@ -123,13 +126,14 @@ def _parts(match: Column, before: Column) -> Column:
 
 def norms(entity: Column, of: Column) -> Column:
     """What makes two entities of a kind the same, as (kind, norm): digits of numbers, letters in any case; of a person
-    each given name, with its script and the title's gender, and the last name."""
+    each given name, with its script and the title's gender, and the last name; of an e-mail address its domain and the whole."""
     title, names = F.regexp_extract(entity, r"^(\S+) ", 1), F.split(F.regexp_replace(entity, r"^\S+ ", ""), " ")
     gender = F.when(F.regexp_replace(title, r"\.$", "").isin(*FEMALE), "female").otherwise("male")
     given = F.transform(F.slice(names, 1, F.size(names) - 1), lambda x: F.struct(F.lit("given").alias("kind"), F.concat_ws("|", F.when(_script(x), "cyrillic").otherwise("latin"), gender, F.lower(x)).alias("norm")))
     one = (F.when(of == "email", F.lower(entity)).when(of.isin("phone", "id", "card"), F.regexp_replace(entity, r"\D", ""))
            .when(of == "person", F.lower(F.element_at(names, -1))).otherwise(entity))
-    return F.concat(F.when(of == "person", given).otherwise(F.array()), F.array(F.struct(of.alias("kind"), one.alias("norm"))))
+    domain = F.array(F.struct(F.lit("domain").alias("kind"), F.lower(F.regexp_extract(entity, "@(.*)$", 1)).alias("norm")))
+    return F.concat(F.when(of == "person", given).when(of == "email", domain).otherwise(F.array()), F.array(F.struct(of.alias("kind"), one.alias("norm"))))
 
 
 def _pick(choices, at: Column) -> Column:
@@ -142,7 +146,7 @@ def _script(text: Column) -> Column:
 
 def surrogate(of: Column, name: Column, turn: Column, key: str) -> Column:
     """The replacement in normal form of an entity in normal form."""
-    seed = F.sha2(F.concat_ws("\x1f", F.lit(key), of, name, turn.cast("string")), 256)
+    seed = F.sha2(F.concat_ws("\x1f", F.lit(hashlib.sha256(key.encode()).hexdigest()), of, name, turn.cast("string")), 256)
 
     def at(i: Column) -> Column:
         return F.xxhash64(seed, i)
@@ -150,6 +154,14 @@ def surrogate(of: Column, name: Column, turn: Column, key: str) -> Column:
     def digits(n: Column) -> Column:
         return F.array_join(F.transform(F.sequence(F.lit(1), n), lambda i: F.pmod(at(i), F.lit(10)).cast("string")), "")
 
+    wider = F.greatest(turn - (WIDER - 1), F.lit(0))
+
+    def more(n: Column) -> Column:
+        return F.when(n > 0, digits(n)).otherwise("")
+
+    def first(text: Column) -> Column:
+        return F.when(wider > 0, F.pmod(at(F.lit(-1)), F.lit(10)).cast("string")).otherwise(F.substring(text, 1, 1))
+
     def lettered(text: Column) -> Column:
         one = F.split(text, "")
         plain_hex, upper_hex = text.rlike("^[0-9a-f]+$"), text.rlike("^[0-9A-F]+$")
@@ -160,12 +172,13 @@ def surrogate(of: Column, name: Column, turn: Column, key: str) -> Column:
             .when(c.rlike(r"^\p{Lu}$"), _pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ", at(i)))
             .when(c.rlike(r"^\p{L}$"), _pick("abcdefghijklmnopqrstuvwxyz", at(i))).otherwise(c))), "")
 
-    body = F.concat(F.substring(name, 1, 1), digits(F.greatest(F.length(name) - 2, F.lit(1))))
+    body = F.concat(first(name), digits(F.greatest(F.length(name) - 2, F.lit(1)) + wider))
     card = F.concat(body, F.pmod(-_luhn(body, True), F.lit(10)).cast("string"))
-    phone = F.concat(F.substring(name, 1, 1), digits(F.greatest(F.length(name) - 1, F.lit(1))))
+    phone = F.concat(first(name), digits(F.greatest(F.length(name) - 1, F.lit(1)) + wider))
     octets = F.transform(F.split(name, r"\."), lambda o, i: F.when(
-        ((i == 0) & (o == "10")) | ((i < 2) & name.startswith("192.168.")), o).otherwise((1 + F.pmod(at(i), F.lit(254))).cast("string")))
-    email = F.concat(lettered(F.regexp_extract(name, "^(.*)@", 1)), F.lit("@mail"), digits(4 + turn), F.lit(".example."), F.regexp_extract(name, r"([^.]*)$", 1))
+        (wider == 0) & (((i == 0) & (o == "10")) | ((i < 2) & name.startswith("192.168."))), o).otherwise((1 + F.pmod(at(i), F.lit(254))).cast("string")))
+    email = F.concat(lettered(F.regexp_extract(name, "^(.*)@", 1)), more(turn))
+    domain = F.concat(F.lit("mail"), digits(4 + turn), F.lit(".example."), F.regexp_extract(name, r"([^.]*)$", 1))
 
     def last(script: str) -> Column:
         return F.array_join(F.transform(F.sequence(F.lit(1), 3 + turn), lambda i: _pick(SYLLABLES[script], at(i))), "")
@@ -174,20 +187,22 @@ def surrogate(of: Column, name: Column, turn: Column, key: str) -> Column:
     listed = reduce(lambda out, k: out.when(name.startswith("|".join(k) + "|"), F.lower(_pick(GIVEN[k], at(F.lit(0))))), GIVEN, F.when(F.lit(False), F.lit("")))
     group = F.regexp_extract(name, r"^([a-z]+[|][a-z]+[|])", 1)
     given = F.concat(group, F.when(turn < 3, listed).when(group.startswith("cyrillic"), last("cyrillic")).otherwise(last("latin")))
-    return (F.when(of == "email", email).when(of == "ip", F.array_join(octets, ".")).when(of == "card", card).when(of == "phone", phone).when(of == "given", given)
-            .when(of == "id", digits(F.length(name))).when(of == "person", F.when(_script(name), last("cyrillic")).otherwise(last("latin"))).otherwise(lettered(name)))
+    return (F.when(of == "email", email).when(of == "domain", domain).when(of == "ip", F.array_join(octets, ".")).when(of == "card", card).when(of == "phone", phone).when(of == "given", given)
+            .when(of == "id", digits(F.length(name) + wider)).when(of == "person", F.when(_script(name), last("cyrillic")).otherwise(last("latin"))).otherwise(F.concat(lettered(name), more(turn))))
 
 
 def rendered(entity: Column, of: Column, news: Column) -> Column:
-    """The replacement in the form of this entity (its punctuation, its case, its title) from those of its ``norms``."""
+    """The replacement in the form of this entity (its punctuation, its case, its title) from those of its ``norms``.
+    Digits beyond those of the entity follow its last one."""
     new = F.element_at(news, -1)
+    address = F.concat_ws("@", new, F.get(news, 0))
     filled = F.aggregate(F.split(entity, ""), F.struct(F.lit("").alias("s"), F.lit(1).alias("k")), lambda a, c: F.when(
         c.rlike(r"^\d$"), F.struct(F.concat(a["s"], F.substring(new, a["k"], F.lit(1))).alias("s"), (a["k"] + 1).alias("k"))).otherwise(
-        F.struct(F.concat(a["s"], c).alias("s"), a["k"].alias("k"))), lambda a: a["s"])
+        F.struct(F.concat(a["s"], c).alias("s"), a["k"].alias("k"))), lambda a: F.concat(a["s"], F.substr(new, a["k"])))
     title = F.regexp_extract(entity, r"^(\S+) ", 1)
     person = F.concat_ws(" ", title, F.array_join(F.transform(news, lambda x: F.initcap(F.regexp_replace(x, ".*[|]", ""))), " "))
     return (F.when(of.isin("phone", "id", "card"), filled).when(of == "person", person)
-            .when((of == "email") & (entity == F.upper(entity)), F.upper(new)).otherwise(new))
+            .when((of == "email") & (entity == F.upper(entity)), F.upper(address)).when(of == "email", address).otherwise(new))
 
 
 def assign(entities: DataFrame, key: str) -> DataFrame:
@@ -215,8 +230,9 @@ def replace_entities(documents: DataFrame, key: str) -> DataFrame:
 
     Null text stays null and has n_replaced 0, as have texts without entities, which stay as they are. Every row is
     kept, also repeated ones; equal texts get equal results. An empty table gives an empty result. Columns other than
-    text are carried unread; one that is named n_replaced is replaced. Telephone, card and IP surrogates stay unique while
-    the texts hold fewer entities than their form has numbers.
+    text are carried unread; one that is named n_replaced is replaced. Addresses of one domain stay addresses of one domain. A
+    surrogate that still clashes after WIDER tries gets more digits than its entity (a number also another first digit, an IP
+    address any octets); one of a secret or of the name in an e-mail address does so from the first clash on.
     """
     held = documents.select(F.struct(*documents.columns).alias("_row"), F.col("text").cast("string").alias("text"))
     found = F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))

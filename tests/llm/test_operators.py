@@ -350,6 +350,19 @@ def test_surrogates_stay_distinct(spark):
     assert len(out) == 9000 == len(made) and not made & {(r["kind"], r["norm"]) for r in out}
 
 
+def test_surrogates_of_used_up_forms_end(spark):
+    full = [("phone", f"1{i:02d}") for i in range(100)] + [("ip", "192.168.1.1"), ("secret", "-" * 12), ("secret", "_" * 12)] + [("id", f"{i}") for i in range(10)]
+    out = surrogates.assign(spark.createDataFrame(full, "kind string, norm string"), "key").collect()
+    made = {(r["kind"], r["new"]) for r in out}
+    assert len(out) == len(full) == len(made) and not made & set(full)
+    texts = ["call +1 23 45 now", "password = ------------", "a@one.example.org, b@one.example.org, a@two.example.org; A@ONE.EXAMPLE.ORG"]
+    one, two, three = [r["text"] for r in surrogates.replace_entities(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "key").orderBy("doc_id").collect()]
+    assert re.fullmatch(r"call \+1 \d\d \d\d now", one) and one != texts[0] and two.startswith("password = ------------") and two != texts[1]
+    mails = re.findall(r"([^\s,;]+)@([^\s,;]+)", three)
+    assert mails[0][1] == mails[1][1] != mails[2][1] and len(set(mails)) == 4 and "one" not in three
+    assert mails[3] == (mails[0][0].upper(), mails[0][1].upper()) and mails[0][0] != mails[2][0]
+
+
 def test_toxicity_locates_sentences(spark):
     rng = random.Random(3)
     plain = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(80)]
