@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm.base import ship
+from tidemark.operators.skew import salted_lookup
 
 # What HTML says of tags, and the usual names of page furniture.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -22,13 +23,22 @@ RAW = frozenset("script style textarea title noscript iframe xmp noframes".split
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split())
 CLOSES = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"), "td": ("td th", "tr table"), "th": ("td th", "tr table"), "option": ("option", "select")}
 CLOSES = {k: (frozenset(a.split()), frozenset(b.split())) for k, (a, b) in CLOSES.items()}
+HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 CONTAINER = frozenset("html body main article section div td center blockquote figure".split())
-FURNITURE = frozenset("head nav footer aside form script style noscript iframe button select option textarea title svg math canvas object embed template dialog menu".split())
+FURNITURE = frozenset("head nav footer aside script style noscript iframe button select option textarea title svg math canvas object embed template dialog menu".split())
+# Elements that a class or id can name as furniture; headings and paragraphs are none.
+NAMED = frozenset("div section ul ol dl table td span a center li".split())
+PART = r"(?:[-_]?(?:list|area|section|thread|container|wrapper|wrap|box|block|bar|panel|inner|widget|unit|slot|feed|count|links?|buttons?|form|\d+))*"
+# The furniture word is the last of a name ("left-sidebar", "search-box"), and not what a layout has or lacks ("no-sidebar").
 FURNITURE_NAME = re.compile(
-    r"(?:^|[-_])(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?|banner|sidebar|side|widget|nav|navbar|navigation|menu|breadcrumbs?|header|masthead|topbar|footer|comments?|commentlist|"
-    r"reply|replies|respond|disqus|discussion|notice|cookies?|consent|gdpr|alert|popup|modal|overlay|newsletter|subscribe|signup|login|share|sharing|social|related|recommended|pagination|pager|search|toolbar|skip|hidden)(?:$|[-_\d])", re.I)
+    r"^(?!(?:no|has|have|with|without|layout|is)[-_])(?:[^-_]+[-_]+)*(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?|banner|sidebar|side|widget|nav|navbar|navigation|menu|breadcrumbs?|header|masthead|topbar|footer|"
+    r"discussion|notice|cookies?|consent|gdpr|alert|popup|modal|overlay|newsletter|subscribe|signup|login|share|sharing|social|related|recommended|pagination|pager|search|toolbar|skip|hidden)" + PART + r"$", re.I)
+COMMENT_NAME = re.compile(r"^(?:(?:user|post|reader|article|page|blog|visitor|fb)[-_]?)?(?:comments?|commentlist|disqus(?:[-_]thread)?|respond|repl(?:y|ies))(?:[-_]?body)?" + PART + r"$", re.I)
 TITLE_NAME = re.compile(r"^(?:article|entry|post|page|content|story|section)[-_]{1,2}header$", re.I)
-SMALL = 0.25  # an element named as furniture is dropped only with this share of the page's unlinked text or less
+PLAIN_ID = frozenset("side search notice discussion header banner".split())  # as an id of an element these can name a chapter
+AUTHOR_NAME = re.compile(r"(?:^|[-_])(?:author|user|username|byline|avatar|date|time|posted|nick)(?:$|[-_\d])", re.I)
+REPLY_NAME = re.compile(r"(?:^|[-_/#?&])(?:reply|replyto|replytocom)(?:$|[-_/\d=?&])", re.I)
+REPLY_WORDS = frozenset("reply antworten répondre responder rispondi ответить".split())
 FURNITURE_ROLE = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog".split())
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*)>", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -39,7 +49,8 @@ class Page:
     """The elements of a page (parent, tag, path, furniture or not) and its text blocks (element, text, characters in links)."""
 
     def __init__(self, source: str):
-        self.parent, self.tag, self.path, self.skip, self.named = [-1], [""], [""], [False], [False]
+        self.parent, self.tag, self.path, self.skip, self.named, self.remark = [-1], [""], [""], [False], [False], [False]
+        self._author, self._reply, self._kind = [False], [False], [()]
         self.blocks: list[tuple[int, str, int]] = []
         self._stack, self._buffer, self._links, self._read = [0], [], 0, []
         at = 0
@@ -73,6 +84,8 @@ class Page:
 
     def _text(self, raw: str) -> None:
         node = self._stack[-1]
+        if self.tag[node] in ("a", "button", "span") and len(raw) < 40 and raw.strip().lower() in REPLY_WORDS:
+            self._reply[node] = True
         if raw and not self.skip[node]:
             text = html.unescape(raw)
             self._buffer.append((node, text, len(text.strip()) if self._links else 0))
@@ -91,13 +104,35 @@ class Page:
             sums[self.parent[x]] += sums[x]
         return sums
 
+    def _remarks(self) -> set[int]:
+        """Elements that are reader comments by structure: siblings of one tag and class, each with an author or date, a
+        reply part and no heading."""
+        author, reply = self._sums(enumerate(self._author)), self._sums(enumerate(self._reply))
+        heading = self._sums((x, 1) for x in range(len(self.tag)) if self.tag[x] in HEADING)
+        alike = {}
+        for x in range(1, len(self.tag)):
+            if author[x] and reply[x] and not heading[x] and self.tag[x] not in ("html", "body", "main"):
+                alike.setdefault((self.parent[x], self._kind[x]), []).append(x)
+        return {x for xs in alike.values() if len(xs) > 1 for x in xs}
+
     def _settle(self) -> None:
-        """Drop elements named as furniture that hold little of the page's unlinked text and no heading; the rest makes blocks."""
-        held = self._sums((node, max(0, len(text.strip()) - 2 * linked)) for pieces in self._read for node, text, linked in pieces)
+        """Drop reader comments, elements named as furniture and forms; the rest makes blocks.
+
+        What holds a title, all articles of a page without one (comments aside) or all of its text is no furniture, nor is a
+        form around navigation, as pages of some frameworks lie in one.
+        """
+        held = self._sums((node, len(text.strip())) for pieces in self._read for node, text, _ in pieces)
+        remarks = self._remarks()
+        body = [self.tag[x] in ("article", "main") and not self.remark[x] and x not in remarks and held[x] > 0 for x in range(len(self.tag))]
         title = self._sums((x, 1) for x in range(len(self.tag)) if self.tag[x] == "h1" and held[x] > 0)
+        inner = self._sums((self.parent[x], 1) for x in range(1, len(self.tag)) if body[x])
+        around = self._sums((self.parent[x], 1) for x in range(1, len(self.tag)) if self.tag[x] in ("nav", "header", "footer", "aside"))
         for x in range(1, len(self.tag)):
-            small = self.named[x] and held[x] <= SMALL * held[0] and not title[x]
-            self.skip[x] = self.skip[x] or self.skip[self.parent[x]] or small
+            free = title[x] or held[x] == held[0]
+            whole = not title[0] and inner[x] and inner[x] == inner[0]
+            furniture = (self.remark[x] or x in remarks) and not free or self.named[x] and not (free or whole)
+            form = self.tag[x] == "form" and not (free or whole or around[x])
+            self.skip[x] = self.skip[x] or self.skip[self.parent[x]] or furniture or form
         for pieces in self._read:
             kept = [piece for piece in pieces if not self.skip[piece[0]]]
             text = SPACE.sub(" ", "".join(piece[1] for piece in kept)).strip(" ")
@@ -137,15 +172,21 @@ class Page:
         named = {k.lower(): a or b or c or "" for k, a, b, c in ATTRIBUTE.findall(attributes)}
         classes = [re.sub(r"\d+", "#", x) for x in named.get("class", "").split()]
         inner = any(self.tag[x] in ("article", "main") for x in self._stack)
-        skip = self.skip[top] or tag in FURNITURE or tag == "header" and not inner or named.get("role", "").lower() in FURNITURE_ROLE
+        skip = self.skip[top] or tag in FURNITURE or tag in ("label", "legend") and any(self.tag[x] == "form" for x in self._stack) or tag == "header" and not inner or named.get("role", "").lower() in FURNITURE_ROLE
         if not skip and tag not in ("html", "body", "article", "main"):
             skip = "hidden" in named or named.get("aria-hidden") == "true" or bool(re.search(r"display\s*:\s*none", named.get("style", "")))
-        names = [*named.get("class", "").split(), named.get("id", "")]
+        own, name = named.get("class", "").split(), named.get("id", "")
+        names = own if name.lower() in PLAIN_ID else [*own, name]
+        remark = any(COMMENT_NAME.search(x) for x in names) and (tag in NAMED or tag == "article")
         self.parent.append(top)
         self.tag.append(tag)
         self.path.append(f"{self.path[top]}>{tag}" + "".join(f".{x}" for x in sorted(set(classes))) if tag in CONTAINER else self.path[top])
         self.skip.append(skip)
-        self.named.append(tag not in ("html", "body", "article", "main") and any(FURNITURE_NAME.search(x) and not TITLE_NAME.search(x) for x in names))
+        self.named.append(tag in NAMED and any(FURNITURE_NAME.search(x) and not TITLE_NAME.search(x) for x in names))
+        self.remark.append(remark)
+        self._author.append(tag == "time" or any(AUTHOR_NAME.search(x) for x in own))
+        self._reply.append(any(REPLY_NAME.search(x) for x in (*own, name, named.get("href", ""))))
+        self._kind.append((tag, *sorted(set(classes))))
         self._stack.append(len(self.tag) - 1)
         self._links += tag == "a"
 
@@ -193,7 +234,8 @@ def main_text(pages: DataFrame, least_share: float = 0.1) -> DataFrame:
 
     Paths with ``least_share`` of a host's votes or more win there, ten at most by that share; a page follows the most
     voted of them that it has, and its own best container where it has none. All containers at that path are kept, with the
-    text between them. Character references are decoded, white
+    text between them. Reader comments go by name or as repeated siblings with an author or date and a reply part, furniture
+    by tag, role or name, whatever its size, unless it holds the title or all of the text. Character references are decoded, white
     space inside a block becomes one space, blocks are trimmed and joined by line feeds in page order.
 
     Null and empty html give empty text; markup that is broken or cut off is read as far as it goes. Pages with null
@@ -231,4 +273,4 @@ def main_text(pages: DataFrame, least_share: float = 0.1) -> DataFrame:
                 texts.append(page.text(page.at_path(paths or ())))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
-    return held.join(paths, "host", "left").select("page_id", "url", "html", "paths").mapInArrow(extract, "page_id long, url string, text string")
+    return salted_lookup(held, paths, ["host"]).select("page_id", "url", "html", "paths").mapInArrow(extract, "page_id long, url string, text string")

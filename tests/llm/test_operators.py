@@ -465,6 +465,30 @@ def test_main_text_keeps_pages_named_as_furniture(spark):
     assert extracted(spark, [page]) == [f"T\nU\n{long.strip()}"]
 
 
+def test_main_text_drops_comments_and_furniture_of_any_size(spark):
+    long = "very long text " * 30
+    remark = '<div class="item"><span class="author">u{0}</span><time>now</time><p>r{0} ' + long + '</p><a href="/r/{0}">Reply</a></div>'
+    thread = "<div>" + "".join(remark.format(i) for i in range(4)) + "</div>"
+    named = '<section id="comments"><ol class="comment-list">' + f'<li><article class="comment-body"><p>c {long}</p></article></li>' * 3 + "</ol></section>"
+    whole = f"T\n{long.strip()}"
+    for page in (f"<article><h1>T</h1><p>{long}</p>{thread}</article>", f"<div><h1>T</h1><p>{long}</p></div>{thread}", f"<div class=post><h1>T</h1><p>{long}</p></div>{named}",
+                 f'<div class="left-sidebar"><p>{long}</p></div><div class=x><h1>T</h1><p>{long}</p></div>', f'<article><h1>T</h1><p>{long}</p></article><section class="related"><article><h2>x</h2><p>{long}</p></article></section>',
+                 f"<article><h1>T</h1><p>{long}</p><form><p>Join {long}</p><input></form></article>", f"<form><nav>n</nav><div><h1>T</h1><p>{long}</p></div><label>Find</label><input></form>"):
+        assert extracted(spark, [f"<body>{page}"] * 2) == [whole] * 2, page
+    assert extracted(spark, ['<body><div class="ad">a longer advert than the text</div><article><h1>T</h1><p>x</p></article>']) == ["T\nx"]
+
+
+def test_main_text_keeps_chapters_named_like_furniture(spark):
+    long = "very long text " * 30
+    page = f'<body><article><h1>T</h1><h2 id="discussion">Discussion</h2><p>a</p><h3 id="search">Search</h3><p id="notice">note</p><div class="side-effects">se</div><div id="side"><p>b</p></div><p>{long}</p></article>'
+    assert extracted(spark, [page]) == [f"T\nDiscussion\na\nSearch\nnote\nse\nb\n{long.strip()}"]
+    for name in ("no-comments", "post comments-open", "with-comments"):
+        assert extracted(spark, [f'<body><div class="{name}"><p>{long}</p></div><div>x</div>']) == [f"{long.strip()}\nx"]
+    posts = "".join(f'<article><h2>P{i}</h2><span class="author">a</span><p>{long}</p></article>' for i in range(3))
+    assert extracted(spark, [f"<body><main>{posts}</main>"])[0].count(long.strip()) == 3
+    assert extracted(spark, [f"<body><form action=x><p>{long}</p></form>"]) == [long.strip()]
+
+
 def test_sha_of_kept_bytes(spark, sf_dir):
     """Whole given tables keep their bytes where nothing repeats."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
