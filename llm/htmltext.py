@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.base import ship
+from llm.base import ship, written
 from tidemark.operators.skew import salted_lookup
 
 # What HTML says of tags, and the usual names of page furniture.
@@ -259,7 +259,7 @@ def main_text(pages: DataFrame, least_share: float = 0.1) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(scores, pa.int64())], ["host", "path", "score"])
 
     votes = held.select("host", "html").mapInArrow(vote, "host string, path string, score long")
-    counted = votes.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("score").alias("score"))
+    counted = written(votes.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("score").alias("score")), "path-votes")
     whole = counted.groupBy("host").agg(F.sum("n").alias("all"))
     won = counted.join(whole, "host").where(F.col("n") >= least_share * F.col("all"))
     ranked = F.transform(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), (-F.col("score")).alias("score"), "path"))), lambda x: x["path"])
