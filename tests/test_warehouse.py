@@ -5,6 +5,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark import session
+from tidemark.functions.geo import Extent
 from tidemark.operators import quality
 from tidemark.plans import analytics, live, marts, metrics, warehouse
 
@@ -114,6 +116,58 @@ def test_communities_by_reference_equal_names_in_rows(spark, fused, tmp_path, ex
     assert {r.violations for r in warehouse.integrity_violations(b).collect()} == {0}
 
 
+def test_a_load_by_cells_writes_no_rows_but_facts(spark, fused, tmp_path, monkeypatch):
+    """Members come from distinct values, and no table of rows with their keys is written in between."""
+    cells = spark.createDataFrame([("c1", 10.0, -80.0, "Aa b", *TAXON), ("c2", 90.0, -80.0, "Cc d", *TAXON)],
+        "grid_id string, grid_lat double, grid_lon double, scientific_name string, kingdom string, phylum string, class string, `order` string, family string, genus string")
+    odd = spark.createDataFrame([row(30, 2.0, lat=-0.0), row(31, 2.0, lat=0.0, setting="a|b\\"), row(32, 2.0, lat=float("nan"), wave=float("nan")), row(33, None, lat=1e300, date=None)], DDL)
+    cell = F.element_at(F.array(F.lit("c1"), F.lit("c2"), F.lit(None)), (F.col("objectid") % 3 + 1).cast("int"))
+    bare = fused.unionByName(odd).drop("scientific_name", "kingdom", "phylum", "class", "order", "family", "genus").withColumn("grid_id", cell)
+    extent = Extent(5, 83, -180, -50)  # the second cell lies outside
+    keyed = warehouse.with_keys(bare, communities=cells, extent=extent)
+    want = warehouse.members_of(keyed, warehouse.cell_members(cells))
+    written, write = [], warehouse.materialize
+    monkeypatch.setattr(warehouse, "materialize", lambda df, path: written.append(path) or write(df, path))
+    wh = warehouse.load_warehouse(bare, str(tmp_path / "wh"), load_id="x", communities=cells, extent=extent)
+    rows = lambda df: sorted(map(str, df.select(*sorted(df.columns)).collect()))
+    for name, built in want.items():
+        assert rows(getattr(wh, {warehouse.COMMUNITIES: "communities"}.get(name, name))) == rows(built), name
+    assert rows(wh.fact.drop("observation_id")) == rows(warehouse.fact_rows(keyed, "x").drop("observation_id"))
+    assert wh.communities.count() == 1 and {r.violations for r in warehouse.integrity_violations(wh).collect()} == {0}
+    assert not [p for p in written if p.endswith("/keyed")]
+
+
+def test_facts_are_looked_up_without_grouping(fused):
+    """Nearly every bridge row has a fact of its own; they are not grouped, and each orphan counts."""
+    wh = warehouse.build_warehouse(fused)
+    broken = warehouse.Warehouse(**{**wh.__dict__, "fact": wh.fact.limit(0)})
+    checks = warehouse.integrity_violations(broken)
+    found = {(r.table_name, r.foreign_key): r.violations for r in checks.collect()}
+    assert found[warehouse.BRIDGE, warehouse.FACT_FK] == 5
+    plan = checks._jdf.queryExecution().analyzed().toString()
+    assert f"Aggregate [{warehouse.FACT_FK}" not in plan and "Aggregate [observation_id" not in plan
+
+
+class Session:
+    """The settings of a session."""
+
+    def __init__(self, **given):
+        self.given, self.conf = {k.replace("__", "."): v for k, v in given.items()}, self
+
+    def get(self, name, default=None):
+        return self.given.get(name, default)
+
+    def set(self, name, value):
+        self.given[name] = value
+
+
+def test_long_stages_stay_compiled():
+    plain, own, told = Session(), Session(spark__sql__codegen__hugeMethodLimit="9000"), Session(spark__executor__extraJavaOptions=session.JIT_OPTION)
+    for s in (plain, own, told):
+        session.keep_methods_compiled(s)
+    assert [s.get(session.METHOD_LIMIT_CONF) for s in (plain, own, told)] == [session.COMPILED_BYTES, "9000", None]
+
+
 def test_members_of_null_attributes_are_stable(spark, fused, tmp_path):
     wh = warehouse.load_warehouse(fused.repartition(3), str(tmp_path / "wh"), load_id="x", null_keys="distinct")
     assert {r.violations for r in warehouse.integrity_violations(wh).collect()} == {0}
