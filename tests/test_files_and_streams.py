@@ -230,6 +230,20 @@ def test_live_tables_survive_restarts_and_repeated_batches(spark, tmp_path):
     assert "json" not in live.live_kpis(tables.rows(CONCENTRATION), tables.rows(RISK))._jdf.queryExecution().toString().lower()
 
 
+def test_messages_of_a_batch_are_parsed_once(spark, tmp_path, monkeypatch):
+    """What is rejected and what counts come from one parsed table; a key's rows are found once for each metric."""
+    written, write = [], state.materialize
+    monkeypatch.setattr(state, "materialize", lambda df, path: written.append((path.rsplit("/", 1)[-1], df)) or write(df, path))
+    tables = state.LiveTables(spark, str(tmp_path / "tables"))
+    lines = [concentration(2000, 1.0), concentration(2001, 1.0, setting=None), *BAD]
+    tables.take(spark.createDataFrame([(line,) for line in lines], "value string").withColumn("seq", F.xxhash64("value")), 0)
+    assert [name for name, _ in written] == ["parsed", "decoded", *state.KEYS]
+    envelopes = [name for name, df in written if "from_json(StructField(metric_type" in df._jdf.queryExecution().analyzed().toString()]
+    assert envelopes == ["parsed"]
+    assert tables.rejected().count() == len(BAD) and tables.rows(CONCENTRATION).count() == 2
+    assert {r.metric_type: r.messages for r in tables.counts().collect()} == {CONCENTRATION: 2}
+
+
 def test_latencies_are_observed(spark, tmp_path):
     folder = tmp_path / "in"
     land(folder, "1.txt", [concentration(2000, 1.0, at="2024-01-01T00:00:00"), concentration(2000, 2.0, at="2024-01-01T00:00:50"), "broken"])
