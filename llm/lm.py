@@ -4,6 +4,8 @@ Every word is a context of bigrams and every pair of words one of trigrams. An n
 predicted one, so its shard has its count and the totals of its contexts; the training counts of the predicted
 words are summed by word and joined to the shards that ask for them. A shard holds an Elias-Fano trie of
 its n-grams and scores the occurrences that are dealt to it. What returns is a sum for each document and shard.
+The most frequent words (at most FREQUENT) are known to all tasks with their counts and travel as their number among
+these; all others travel as hashes.
 
 Probabilities: absolute discounting for words, with all unseen words as one more word that gets the discounted mass;
 bigrams and trigrams are smoothed towards the shorter context with a fixed prior weight. N-grams seen once back off.
@@ -17,13 +19,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm import textnum as tn
-from llm.base import even_keys, ship, shuffle_partitions, slices
+from llm.base import even_keys, ship, shuffle_partitions, slices, written
 from llm.trie import Trie
 
 END = np.uint64(0x5BD1E995DEADBEEF)
 START, NONE = np.uint64(0x2545F4914F6CDD1D), np.uint64(0x94D049BB5851F42D)  # the context of a first word, and its lack of one before
 TOKENS_AT_ONCE = 1_500_000
+SCORED_AT_ONCE = 1 << 19
 LEAST_COUNT = 2
+FREQUENT = 1 << 18  # bounds what the driver and each task hold; how a word travels changes no result
 NO_ID = np.iinfo(np.int64).max  # stands for a null doc_id
 _SUMS = np.dtype([("doc", "<i8"), ("n_tokens", "<i4"), ("n_known", "<i4"), ("base", "<f8"), ("score", "<f8")])
 PRIOR = (None, None, 60.0, 30.0)  # weight of the shorter context, by order
@@ -64,18 +68,44 @@ def _shard(hashes: np.ndarray, n_parts: int) -> np.ndarray:
     return (tn.mix(hashes) % np.uint64(n_parts)).astype(np.int64)
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """The first bytes of all values, then the second ones and so on: equal bytes stand together for the shuffle's compression."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T.tobytes() if len(values) else b""
+
+
+def _values(data: bytes, dtype) -> np.ndarray:
+    width = np.dtype(dtype).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(dtype).reshape(-1)
+
+
 def _narrow(places: np.ndarray, size: int) -> bytes:
-    return places.astype(np.uint16 if size <= 65536 else np.uint32).tobytes()
+    """Places below ``size`` by planes of as few bytes as they need."""
+    return _planes(places.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :_width(size)])
 
 
 def _wide(data: bytes, size: int) -> np.ndarray:
-    return np.frombuffer(data, np.uint16 if size <= 65536 else np.uint32)
+    out = np.zeros((len(data) // _width(size), 4), np.uint8)
+    out[:, :_width(size)] = np.frombuffer(data, np.uint8).reshape(_width(size), -1).T
+    return out.view("<u4").reshape(-1)
+
+
+def _width(size: int) -> int:
+    return 2 if size <= 1 << 16 else 3 if size <= 1 << 24 else 4
+
+
+def _steps(hashes: np.ndarray) -> bytes:
+    """Ascending hashes by their differences."""
+    return _planes(np.diff(hashes, prepend=np.uint64(0)))
+
+
+def _summed(data: bytes) -> np.ndarray:
+    return np.cumsum(_values(data, np.uint64))
 
 
 def _word_totals(documents: DataFrame) -> DataFrame:
-    """(n, types, once, twice): a row per shard of words with its sum and its counts of types."""
+    """(n, types, once, twice, words, counts): a row per shard of words with its sum, its counts of types and its share of the most frequent words."""
     n_parts = shuffle_partitions(documents.sparkSession)
-    keys = even_keys(documents.sparkSession, n_parts)
+    keys, share = even_keys(documents.sparkSession, n_parts), FREQUENT // n_parts
 
     def deal(batches):
         known, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -88,37 +118,43 @@ def _word_totals(documents: DataFrame) -> DataFrame:
         shard = _shard(known, n_parts)
         for s in np.unique(shard).tolist():
             pick = shard == s
-            yield pa.RecordBatch.from_arrays([pa.array([keys[s]], pa.int64()), pa.array([known[pick].tobytes()], pa.binary()), pa.array([counts[pick].tobytes()], pa.binary())], ["shard", "words", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array([keys[s]], pa.int64()), pa.array([_steps(known[pick])], pa.binary()), pa.array([_planes(counts[pick])], pa.binary())], ["shard", "words", "counts"])
 
     def add(batches):
         words, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         for batch in batches:
-            words += [np.frombuffer(x, np.uint64) for x in batch.column("words").to_pylist()]
-            counts += [np.frombuffer(x, np.int64) for x in batch.column("counts").to_pylist()]
+            words += [_summed(x) for x in batch.column("words").to_pylist()]
+            counts += [_values(x, np.int64) for x in batch.column("counts").to_pylist()]
         found, at = np.unique(np.concatenate(words), return_inverse=True)
         n = np.bincount(at, np.concatenate(counts), len(found)).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array([int(x)], pa.int64()) for x in (n.sum(), len(found), (n == 1).sum(), (n == 2).sum())], ["n", "types", "once", "twice"])
+        most = np.argsort(n, kind="stable")[max(0, len(n) - share):]
+        yield pa.RecordBatch.from_arrays([*(pa.array([int(x)], pa.int64()) for x in (n.sum(), len(found), (n == 1).sum(), (n == 2).sum())), pa.array([found[most].tobytes()], pa.binary()), pa.array([n[most].tobytes()], pa.binary())],
+                                         ["n", "types", "once", "twice", "words", "counts"])
 
     dealt = documents.mapInArrow(deal, "shard long, words binary, counts binary").repartition(n_parts, "shard")
-    return dealt.mapInArrow(add, "n long, types long, once long, twice long")
+    return dealt.mapInArrow(add, "n long, types long, once long, twice long, words binary, counts binary")
 
 
 class Totals:
-    """What all shards need: the number of training tokens and of their types, and the discount."""
+    """What all shards need: the number of training tokens and of their types, the discount, and the most frequent words
+    (sorted hashes) with their training counts."""
 
     def __init__(self, documents: DataFrame):
-        sums = _word_totals(documents).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "types", "once", "twice")]).first()
-        self.tokens, self.types = int(sums["n"]), int(sums["types"])
-        self.discount = sums["once"] / (sums["once"] + 2 * sums["twice"]) if sums["once"] else 0.5
+        shards = written(_word_totals(documents), "lm-totals").collect()  # a row for each shard
+        self.tokens, self.types, once, twice = (sum(r[c] for r in shards) for c in ("n", "types", "once", "twice"))
+        self.discount = once / (once + 2 * twice) if once else 0.5
+        words, counts = (np.frombuffer(b"".join(bytes(r[c]) for r in shards), t) for c, t in (("words", np.uint64), ("counts", np.int64)))
+        order = np.argsort(words)
+        self.words, self.counts = words[order], counts[order]
 
 
-def previous(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each token the word before it, START for the first of a text, and the one before that, NONE for the first."""
+def previous(words: np.ndarray, first: np.ndarray, start=START, none=NONE) -> tuple[np.ndarray, np.ndarray]:
+    """For each token the word before it, ``start`` for the first of a text, and the one before that, ``none`` for the first."""
     starts = first[:-1][first[:-1] < first[1:]]
-    before = np.concatenate([[START], hashes[:-1]]) if len(hashes) else hashes
-    before[starts] = START
-    earlier = np.concatenate([[NONE], before[:-1]]) if len(hashes) else hashes
-    earlier[starts] = NONE
+    before = np.roll(words, 1)
+    before[starts] = start
+    earlier = np.roll(before, 1)
+    earlier[starts] = none
     return before, earlier
 
 
@@ -167,8 +203,12 @@ class Shard:
 
     def scores(self, model: Totals, trie: Trie) -> np.ndarray:
         """log10 probability of each occurrence: the longest context the trie has, with back-off weights."""
-        two, at_two = np.unique(self.pair(self.word, self.before), return_inverse=True)
-        distinct, at = np.unique(self.pair(at_two, self.earlier), return_inverse=True)
+        cuts = range(0, len(self.word), SCORED_AT_ONCE)
+        return np.concatenate([self._scores(model, trie, slice(lo, lo + SCORED_AT_ONCE)) for lo in cuts])
+
+    def _scores(self, model: Totals, trie: Trie, some: slice) -> np.ndarray:
+        two, at_two = np.unique(self.pair(self.word[some], self.before[some]), return_inverse=True)
+        distinct, at = np.unique(self.pair(at_two, self.earlier[some]), return_inverse=True)
         word, before, earlier = two[distinct // self.size] // self.size, two[distinct // self.size] % self.size, distinct % self.size
         one = _lookup(trie.words, self.vocabulary[word])
         unseen = np.log10(max(model.discount * model.types, 0.5) / max(model.tokens, 1))
@@ -181,8 +221,9 @@ class Shard:
         return np.where(longer >= 0, trie.log10p(3, longer), np.where(has, out + weight, out))[at]
 
 
-def _asked(documents: DataFrame, n_parts: int, keys: list[int]) -> DataFrame:
-    """(shard, vocabulary, n): for each shard of contexts the words it predicts and their training counts."""
+def _asked(documents: DataFrame, n_parts: int, keys: list[int], sent) -> DataFrame:
+    """(shard, vocabulary, n): for each shard of contexts the words it predicts and their training counts, without the most
+    frequent words of the model that is ``sent`` to all tasks."""
 
     def ask(batches):
         for held in _chunks(batches):
@@ -190,6 +231,11 @@ def _asked(documents: DataFrame, n_parts: int, keys: list[int]) -> DataFrame:
             train = np.concatenate([np.repeat(x[1], np.diff(x[3])) for x in held])
             wanted = _shard(np.concatenate([previous(x[2], x[3])[0] for x in held]), n_parts)
             words, at = np.unique(hashes, return_inverse=True)
+            rare = _lookup(sent.value.words, words) < 0
+            pick = rare[at]
+            words, at, train, wanted = words[rare], (np.cumsum(rare) - 1)[at[pick]], train[pick], wanted[pick]
+            if not len(words):
+                continue
             count = np.bincount(at[train], minlength=len(words))
             pairs = np.unique(at * n_parts + wanted)
             owner = _shard(words, n_parts)
@@ -202,11 +248,11 @@ def _asked(documents: DataFrame, n_parts: int, keys: list[int]) -> DataFrame:
             rows = []
             for s in np.flatnonzero(np.diff(cut)).tolist():
                 lo, hi = cut[s], cut[s + 1]
-                rows.append((keys[s], words[order[lo:hi]].tobytes(), count[order[lo:hi]].astype(np.int32).tobytes(), np.diff(ends[lo:hi + 1]).astype(np.int32).tobytes(), _narrow(pairs[ends[lo]:ends[hi]] % n_parts, n_parts)))
+                rows.append((keys[s], _steps(words[order[lo:hi]]), _planes(count[order[lo:hi]].astype(np.int32)), _planes(np.diff(ends[lo:hi + 1]).astype(np.int32)), _narrow(pairs[ends[lo]:ends[hi]] % n_parts, n_parts)))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64(), *[pa.binary()] * 4], strict=True)], ["owner", "words", "n", "n_wanted", "wanted"])
 
     def answer(batches):
-        parts = [tuple(np.frombuffer(b, t) for b, t in zip(row, (np.uint64, np.int32, np.int32), strict=False)) + (_wide(row[3], n_parts),)
+        parts = [(_summed(row[0]), _values(row[1], np.int32), _values(row[2], np.int32), _wide(row[3], n_parts))
                  for batch in batches for row in zip(*(batch.column(k).to_pylist() for k in range(1, 5)), strict=True)]
         if not parts:
             return
@@ -216,15 +262,16 @@ def _asked(documents: DataFrame, n_parts: int, keys: list[int]) -> DataFrame:
         cut = np.searchsorted(pairs, np.arange(n_parts + 1) * len(words))
         for s in np.flatnonzero(np.diff(cut)).tolist():
             pick = pairs[cut[s]:cut[s + 1]] % len(words)
-            yield pa.RecordBatch.from_arrays([pa.array([keys[s]], pa.int64()), pa.array([words[pick].tobytes()], pa.binary()), pa.array([count[pick].tobytes()], pa.binary())], ["shard", "vocabulary", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([keys[s]], pa.int64()), pa.array([_steps(words[pick])], pa.binary()), pa.array([_planes(count[pick])], pa.binary())], ["shard", "vocabulary", "n"])
 
     asked = documents.mapInArrow(ask, "owner long, words binary, n binary, n_wanted binary, wanted binary").repartition(n_parts, "owner")
     return asked.mapInArrow(answer, "shard long, vocabulary binary, n binary")
 
 
-def _dealt(documents: DataFrame, n_parts: int) -> DataFrame:
+def _dealt(documents: DataFrame, n_parts: int, sent) -> DataFrame:
     """Occurrences packed by shard of the word before (documents, the hashes in use, the contexts and for each its
-    occurrences), and beside them the counts of the predicted words, whose ids are null."""
+    occurrences), and beside them the counts of the predicted words, whose ids are null. Words are places among the
+    most frequent ones of the model that is ``sent`` to all tasks, followed by the hashes in use."""
     keys = even_keys(documents.sparkSession, n_parts)
     kinds = [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 7]
     names = ["shard", "ids", "train", "vocabulary", "heads", "n", "word", "earlier", "doc"]
@@ -232,54 +279,76 @@ def _dealt(documents: DataFrame, n_parts: int) -> DataFrame:
     def pack(held):
         ids = pa.concat_arrays([x[0] for x in held]).to_pylist()
         train = np.concatenate([x[1] for x in held])
-        doc = np.repeat(np.arange(len(train)), np.concatenate([np.diff(x[3]) for x in held]))
-        around = [previous(x[2], x[3]) for x in held]
-        columns = [np.concatenate([x[2] for x in held]), np.concatenate([x[0] for x in around]), np.concatenate([x[1] for x in around])]
-        shard = _shard(columns[1], n_parts)
+        doc = np.repeat(np.arange(len(train), dtype=np.int32), np.concatenate([np.diff(x[3]) for x in held]))
+        vocabulary, at = np.unique(np.concatenate([[START, NONE], *(x[2] for x in held)]), return_inverse=True)
+        place = _lookup(sent.value.words, vocabulary)
+        n_frequent, rare = len(sent.value.words), vocabulary[place < 0]
+        number = np.where(place < 0, n_frequent - 1 + np.cumsum(place < 0), place).astype(np.int32)
+        (start, none), pieces = number[at[:2]], np.split(number[at[2:]], np.cumsum([len(x[2]) for x in held])[:-1])
+        around = [previous(p, x[3], start, none) for p, x in zip(pieces, held, strict=True)]
+        columns = [np.concatenate(pieces), *(np.concatenate([x[k] for x in around]) for k in (0, 1))]
+        of = np.empty(n_frequent + len(rare), np.int32)
+        of[number] = _shard(vocabulary, n_parts)
+        shard = of[columns[1]]
         order = np.lexsort((doc, columns[1], shard))
         cut = np.searchsorted(shard[order], np.arange(n_parts + 1))
         for s in np.flatnonzero(np.diff(cut)).tolist():
             pick = order[cut[s]:cut[s + 1]]
-            own, at = np.unique(np.concatenate([c[pick] for c in columns]), return_inverse=True)
-            word, before, earlier = at.reshape(3, -1)
+            found = [c[pick] for c in columns]
+            used = np.unique(np.concatenate([x[x >= n_frequent] for x in found]))
+            size = n_frequent + len(used)
+            word, before, earlier = (np.where(x < n_frequent, x, n_frequent + np.searchsorted(used, x)) for x in found)
             heads, n = np.unique(before, return_counts=True)
-            docs, of = np.unique(doc[pick], return_inverse=True)
-            yield (keys[s], [ids[d] for d in docs], train[docs].tobytes(), own.tobytes(), _narrow(heads, len(own)), n.astype(np.int32).tobytes(),
-                   _narrow(word, len(own)), _narrow(earlier, len(own)), _narrow(of, len(docs)))
+            docs, of_doc = np.unique(doc[pick], return_inverse=True)
+            yield (keys[s], [ids[d] for d in docs], train[docs].tobytes(), _steps(rare[used - n_frequent]), _narrow(heads, size), _planes(n.astype(np.int32)),
+                   _narrow(word, size), _narrow(earlier, size), _narrow(of_doc, len(docs)))
 
     def deal(batches):
         for held in _chunks(batches):
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*pack(held), strict=True), kinds, strict=True)], names)
 
     occurrences = documents.mapInArrow(deal, "shard long, ids array<long>, train binary, " + ", ".join(f"{x} binary" for x in names[3:]))
-    return occurrences.unionByName(_asked(documents, n_parts, keys), allowMissingColumns=True).repartition(n_parts, "shard")
+    return occurrences.unionByName(_asked(documents, n_parts, keys, sent), allowMissingColumns=True).repartition(n_parts, "shard")
+
+
+def _gathered(batches, model: Totals) -> Shard | None:
+    """The occurrences of one shard; contexts in a block are in ascending order of their places."""
+    n_frequent = len(model.words)
+    parts, held, documents, counted, size, n_hashes = [], [model.words], [], [], 0, n_frequent
 
+    def placed(places: np.ndarray) -> np.ndarray:
+        return np.where(places < n_frequent, places, places.astype(np.int32) + (n_hashes - n_frequent)).astype(np.int32)
 
-def _gathered(batches) -> Shard | None:
-    """The occurrences of one shard; contexts in a block are in ascending order of their hashes."""
-    parts, held, documents, counted, size, n_hashes = [], [], [], [], 0, 0
     for batch in batches:
         for ids, train, own, heads, n, word, earlier, doc in zip(*(batch.column(k).to_pylist() for k in range(1, 9)), strict=True):
-            own = np.frombuffer(own, np.uint64)
+            own = _summed(own)
             if ids is None:
-                counted.append((own, np.frombuffer(n, np.int64)))
+                counted.append((own, _values(n, np.int64)))
                 continue
-            at = _wide(doc, len(ids))
-            before = np.repeat(_wide(heads, len(own)), np.frombuffer(n, np.int32))
-            parts.append((*(x.astype(np.int32) + n_hashes for x in (_wide(word, len(own)), before, _wide(earlier, len(own)))), at.astype(np.int32) + size, np.frombuffer(train, bool)[at]))
+            at, most = _wide(doc, len(ids)), n_frequent + len(own)
+            before = np.repeat(placed(_wide(heads, most)), _values(n, np.int32))
+            parts.append((placed(_wide(word, most)), before, placed(_wide(earlier, most)), at.astype(np.int32) + size, np.frombuffer(train, bool)[at]))
             held.append(own)
             documents += ids
             size += len(ids)
             n_hashes += len(own)
     if not parts:
         return None
-    vocabulary, which = np.unique(np.concatenate(held), return_inverse=True)
-    which = which.astype(np.int32)
+    columns = [list(x) for x in zip(*parts, strict=True)]
+    parts.clear()
+    word, before, earlier, doc, train = (np.concatenate(columns.pop(0)) for _ in range(5))
+    used = np.zeros(n_hashes, bool)
+    for places in (word, before, earlier):
+        used[places] = True
+    vocabulary, at = np.unique(np.concatenate(held)[used], return_inverse=True)
+    which = np.zeros(n_hashes, np.int32)
+    which[used] = at
     count = np.zeros(len(vocabulary), np.int64)
-    for words, n in counted:
+    for words, n in [(model.words[used[:n_frequent]], model.counts[used[:n_frequent]]), *counted]:
         count[_lookup(vocabulary, words)] = n
-    word, before, earlier = (which[np.concatenate([p[k] for p in parts])] for k in range(3))
-    return Shard(vocabulary, count, word, before, earlier, *(np.concatenate([p[k] for p in parts]) for k in (3, 4)), documents)
+    for places in (word, before, earlier):
+        np.take(which, places, out=places)
+    return Shard(vocabulary, count, word, before, earlier, doc, train, documents)
 
 
 def train_model(documents: DataFrame) -> DataFrame:
@@ -290,11 +359,11 @@ def train_model(documents: DataFrame) -> DataFrame:
     sent = documents.sparkSession.sparkContext.broadcast(Totals(held))
 
     def build(batches):
-        got = _gathered(batches)
+        got = _gathered(batches, sent.value)
         if got:
             yield pa.RecordBatch.from_arrays([pa.array([int(tn.mix(got.vocabulary[got.before[:1]])[0] >> np.uint64(1))], pa.int64()), pa.array([got.trie(sent.value).to_bytes()], pa.binary()), pa.array([got.vocabulary.tobytes()], pa.binary())], ["shard", "trie", "contexts"])
 
-    return _dealt(held, shuffle_partitions(documents.sparkSession)).mapInArrow(build, "shard long, trie binary, contexts binary")
+    return _dealt(held, shuffle_partitions(documents.sparkSession), sent).mapInArrow(build, "shard long, trie binary, contexts binary")
 
 
 def lm_scores(documents: DataFrame) -> DataFrame:
@@ -312,7 +381,7 @@ def lm_scores(documents: DataFrame) -> DataFrame:
     sent = spark.sparkContext.broadcast(model)
 
     def score(batches):
-        got = _gathered(batches)
+        got = _gathered(batches, sent.value)
         if not got:
             return
         trie = Trie.from_buffer(got.trie(sent.value).to_bytes())
@@ -327,10 +396,10 @@ def lm_scores(documents: DataFrame) -> DataFrame:
         order = np.argsort(chunk, kind="stable")
         ends = np.searchsorted(chunk[order], np.arange(n_parts + 1))
         full = np.flatnonzero(np.diff(ends)).tolist()
-        yield pa.RecordBatch.from_arrays([pa.array([keys[c] for c in full], pa.int64()), pa.array([sums[order[ends[c]:ends[c + 1]]].tobytes() for c in full], pa.binary())], ["chunk", "sums"])
+        yield pa.RecordBatch.from_arrays([pa.array([keys[c] for c in full], pa.int64()), pa.array([_planes(sums[order[ends[c]:ends[c + 1]]]) for c in full], pa.binary())], ["chunk", "sums"])
 
     def add(batches):
-        parts = [np.frombuffer(x, _SUMS) for batch in batches for x in batch.column("sums").to_pylist()]
+        parts = [_values(x, _SUMS) for batch in batches for x in batch.column("sums").to_pylist()]
         if not parts:
             return
         names, of = np.unique(np.concatenate([p["doc"] for p in parts]), return_inverse=True)
@@ -339,7 +408,7 @@ def lm_scores(documents: DataFrame) -> DataFrame:
 
     n_parts = shuffle_partitions(spark)
     keys = even_keys(spark, n_parts)
-    partial = _dealt(held, n_parts).mapInArrow(score, "chunk long, sums binary").repartition(n_parts, "chunk")
+    partial = _dealt(held, n_parts, sent).mapInArrow(score, "chunk long, sums binary").repartition(n_parts, "chunk")
     out = partial.mapInArrow(add, "doc_id long, n_tokens long, n_known long, base double, score double")
     below = float(np.log10(model.tokens + model.types + 1))
     return out.select("doc_id", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), (F.col("base") - F.col("n_tokens") * below).alias("base_score"), "score")

@@ -249,6 +249,27 @@ def test_lm_gives_every_word_a_context(rows, docs):
         assert abs(r["score"] - sum(log10p(*g) for g in grams[r["doc_id"]])) < 2e-4 * r["n_tokens"], r["doc_id"]
 
 
+def test_lm_frequent_words_travel_as_numbers(spark, docs, monkeypatch):
+    held = docs.select("doc_id", "text", (F.col("doc_id") % 3 != 0).alias("train"))
+    found = {}
+    for frequent in (0, 700, lm.FREQUENT):
+        monkeypatch.setattr(lm, "FREQUENT", frequent)
+        found[frequent] = {r["doc_id"]: r for r in lm.lm_scores(held).collect()}
+    for i, r in found[0].items():
+        for other in (found[700][i], found[lm.FREQUENT][i]):
+            assert [*other][:4] == [*r][:4] and math.isclose(other["score"], r["score"], rel_tol=1e-9, abs_tol=1e-9)
+    model = lm.Totals(held)
+    rows = lm._dealt(held, 4, spark.sparkContext.broadcast(model)).collect()
+    sent = np.concatenate([np.frombuffer(bytes(r["vocabulary"]), np.uint64) for r in rows])
+    assert len(model.words) > 200 and not np.isin(sent, model.words).any()
+
+
+def test_places_beyond_16_bits():
+    for size in (1, 65536, 65537, 1 << 20):
+        places = np.random.default_rng(size).integers(0, size, 1000)
+        assert np.array_equal(lm._wide(lm._narrow(places, size), size), places)
+
+
 def test_elias_fano_and_trie(tmp_path):
     rng = np.random.default_rng(1)
     for universe in (1, 50, 10**6, 2**40):
