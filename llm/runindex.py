@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm import textnum as tn
-from llm.base import even_keys, ship, shuffle_partitions, slices
+from llm.base import even_keys, releasing, ship, shuffle_partitions, slices
 
 K = 16
 HOT = 256  # an anchor of more documents has a route of its own
@@ -108,8 +108,8 @@ def _shared_anchors(documents: DataFrame, length: int, n: int, keys: list[int])
             rows.append((keys[c], table.tobytes(), counts.astype(np.int32).tobytes(), low[cut[c]:cut[c + 1]].tobytes(), route[cut[c]:cut[c + 1]].tobytes()))
         yield _batch(rows, [pa.int64(), *[pa.binary()] * 4], ["chunk", "docs", "counts", "low", "route"])
 
-    dealt = documents.select("doc_id", "text").mapInArrow(deal, "shard long, docs binary, at binary, low binary").repartition(n, "shard")
-    return dealt.mapInArrow(meet, "chunk long, docs binary, counts binary, low binary, route binary")
+    dealt = documents.select("doc_id", "text").mapInArrow(releasing(deal), "shard long, docs binary, at binary, low binary").repartition(n, "shard")
+    return dealt.mapInArrow(releasing(meet), "chunk long, docs binary, counts binary, low binary, route binary")
 
 
 def _key(ids: np.ndarray, low: np.ndarray) -> np.ndarray:
@@ -167,15 +167,20 @@ class RunIndex:
         depth = min(7, length)
         for j in range(depth):
             key[:len(symbols) - j] |= symbols[j:] << np.uint64(9 * (6 - j))
-        rank = self._ranked(key)
+        rank, order = self._ranked(key)
+        # Ranks of three neighbouring stretches make one key where their bits fit, else those of two.
+        parts = 3 if len(symbols) <= 1 << 21 else 2
         while depth < length:
-            step = min(depth, length - depth)
-            later = np.zeros(len(rank), np.uint64)
-            later[:len(rank) - step] = rank[step:]
-            rank = self._ranked(rank << np.uint64(32) | later)
-            depth += step
+            reach = min(parts * depth, length)
+            key = rank.copy()
+            for j in range(1, parts):
+                step = min(j * depth, reach - depth)
+                key <<= np.uint64(64 // parts)
+                key[:len(rank) - step] |= rank[step:]
+            rank, order = self._ranked(key)
+            depth = reach
         rank = rank[:n].astype(np.int64)
-        self.order = np.argsort(rank, kind="stable")  # the suffix array to this depth
+        self.order = order[order < n]  # the suffix array to this depth
         owner = np.repeat(owners, sizes + 1)[self.order]
         before = np.concatenate([symbols[n - 1:n], symbols[:n - 1]])[self.order]  # the transform
         rank = rank[self.order]
@@ -192,12 +197,13 @@ class RunIndex:
         self.interval[self.order] = interval
 
     @staticmethod
-    def _ranked(key: np.ndarray) -> np.ndarray:
+    def _ranked(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The number of each key among the distinct ones, and the order of the keys."""
         order = np.argsort(key)
         ordered = key[order]
         number = np.zeros(len(key), np.uint64)
         number[order[1:]] = np.cumsum(ordered[1:] != ordered[:-1]).astype(np.uint64)
-        return number
+        return number, order
 
     def matches(self, text: int, size: int) -> np.ndarray:
         """Streaming over a text's places where a whole string starts: the smallest document that has it."""
@@ -247,7 +253,7 @@ def remove_repeats(documents: DataFrame, length: int = 50) -> DataFrame:
             chunk = _chunk(_ids(batch.column("doc_id")), n)
             yield pa.RecordBatch.from_arrays([pa.array(np.array(keys)[chunk]), batch.column("doc_id"), batch.column("text")], ["chunk", "doc_id", "text"])
 
-    placed = held.mapInArrow(place, "chunk long, doc_id long, text string")
+    placed = held.mapInArrow(releasing(place), "chunk long, doc_id long, text string")
 
     def cut(texts: pa.Table, anchors: pa.Table) -> pa.Table:
         known, routes = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint32)]
@@ -333,5 +339,5 @@ def remove_repeats(documents: DataFrame, length: int = 50) -> DataFrame:
 
     by_chunk = placed.groupBy("chunk")
     cuts = by_chunk.cogroup(shared.groupBy("chunk")).applyInArrow(cut, "shard long, stretches binary, data binary")
-    marks = cuts.repartition(n, "shard").mapInArrow(index, "chunk long, key binary, start binary, end binary")
+    marks = cuts.repartition(n, "shard").mapInArrow(releasing(index), "chunk long, key binary, start binary, end binary")
     return placed.groupBy("chunk").cogroup(marks.groupBy("chunk")).applyInArrow(take_out, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")

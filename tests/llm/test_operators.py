@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from llm import chat, decontaminate, htmltext, lm, ngram_join, packing, quality, runindex, surrogates, toxicity
+from llm.base import releasing
 from llm.trie import EliasFano, Trie, quantise, restored
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -211,6 +212,37 @@ def test_run_index_intervals():
     assert len(index.run_start) <= len(index.order)
 
 
+def test_workers_give_memory_back():
+    def resident():
+        return int(Path("/proc/self/statm").read_text().split()[1]) * 4096
+
+    def task(batches):
+        held = [bytearray(b"x" * 1000) for _ in range(100_000)]
+        kept.extend(held[::5000])  # what stays is spread over the heap
+        yield from batches
+
+    left = {}
+    for name, run in (("plain", task), ("releasing", releasing(task))):
+        kept, before = [], resident()
+        assert list(run(iter([1, 2]))) == [1, 2]
+        left[name] = resident() - before
+    assert left["releasing"] < 40_000_000 and left["releasing"] <= left["plain"]
+
+
+def test_run_index_takes_three_sorts(monkeypatch):
+    rng, sorts = random.Random(4), []
+    base = bytes(rng.choice(b"abcd") for _ in range(400))
+    texts = [base[k:k + 200] + bytes(rng.randrange(256) for _ in range(k % 3)) for k in range(0, 200, 7)]
+    ranked = runindex.RunIndex._ranked
+    monkeypatch.setattr(runindex.RunIndex, "_ranked", staticmethod(lambda key: sorts.append(len(key)) or ranked(key)))
+    for length in (5, 8, 21, 50):
+        sorts.clear()
+        index = runindex.RunIndex(texts, np.arange(len(texts))[::-1], length)
+        for k, t in enumerate(texts):
+            assert index.matches(k, len(t)).tolist() == [min(len(texts) - 1 - j for j, u in enumerate(texts) if t[i:i + length] in u) for i in range(len(t) - length + 1)]
+        assert len(sorts) <= 3
+
+
 def test_lm_base_and_score(rows, docs):
     tokens = {i: [*words(t), None] for i, t in rows}
     train = {i: i % 3 != 0 for i in tokens}
