@@ -19,13 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm import textnum as tn
-from llm.base import even_keys, ship, shuffle_partitions, slices, written
+from llm.base import even_keys, releasing, ship, shuffle_partitions, slices, written
 from llm.trie import Trie
 
 END = np.uint64(0x5BD1E995DEADBEEF)
 START, NONE = np.uint64(0x2545F4914F6CDD1D), np.uint64(0x94D049BB5851F42D)  # the context of a first word, and its lack of one before
 TOKENS_AT_ONCE = 1_500_000
-SCORED_AT_ONCE = 1 << 19
+SCORED_AT_ONCE = 1 << 18  # occurrences of a shard whose keys are worked out together; bounds memory and changes no result
 LEAST_COUNT = 2
 FREQUENT = 1 << 18  # bounds what the driver and each task hold; how a word travels changes no result
 NO_ID = np.iinfo(np.int64).max  # stands for a null doc_id
@@ -64,6 +64,13 @@ def _lookup(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return np.where(table[at] == hashes, at, -1)
 
 
+def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order and how often each comes; sorts ``keys`` itself."""
+    keys.sort()
+    starts = np.flatnonzero(np.concatenate([[len(keys) > 0], keys[1:] != keys[:-1]])[:len(keys)])
+    return keys[starts], np.diff(starts, append=len(keys))
+
+
 def _shard(hashes: np.ndarray, n_parts: int) -> np.ndarray:
     return (tn.mix(hashes) % np.uint64(n_parts)).astype(np.int64)
 
@@ -131,8 +138,8 @@ def _word_totals(documents: DataFrame) -> DataFrame:
         yield pa.RecordBatch.from_arrays([*(pa.array([int(x)], pa.int64()) for x in (n.sum(), len(found), (n == 1).sum(), (n == 2).sum())), pa.array([found[most].tobytes()], pa.binary()), pa.array([n[most].tobytes()], pa.binary())],
                                          ["n", "types", "once", "twice", "words", "counts"])
 
-    dealt = documents.mapInArrow(deal, "shard long, words binary, counts binary").repartition(n_parts, "shard")
-    return dealt.mapInArrow(add, "n long, types long, once long, twice long, words binary, counts binary")
+    dealt = documents.mapInArrow(releasing(deal), "shard long, words binary, counts binary").repartition(n_parts, "shard")
+    return dealt.mapInArrow(releasing(add), "n long, types long, once long, twice long, words binary, counts binary")
 
 
 class Totals:
@@ -165,10 +172,20 @@ class Shard:
         self.vocabulary, self.count, self.size = vocabulary, count, len(vocabulary)
         self.word, self.before, self.earlier, self.doc, self.train, self.documents = word, before, earlier, doc, train, documents
         self.none = _lookup(vocabulary, np.array([NONE]))[0]
-        own = before[train]
-        self.totals = np.bincount(own, minlength=self.size)
-        some = earlier[train] != self.none
-        self.pairs, self.pair_totals = np.unique(self.pair(own[some], earlier[train][some]), return_counts=True)
+        self.totals = np.zeros(self.size, np.int64)
+        keys, n = np.empty(len(train), np.int64), 0
+        for lo, hi in self.cuts():
+            own, after = (x[lo:hi][train[lo:hi]] for x in (before, earlier))
+            self.totals += np.bincount(own, minlength=self.size)
+            some = after != self.none
+            found = self.pair(own[some], after[some])
+            keys[n:n + len(found)] = found
+            n += len(found)
+        self.pairs, self.pair_totals = _counted(keys[:n])
+
+    def cuts(self) -> list[tuple[int, int]]:
+        """The occurrences in slices: a shard that holds a very common context has many."""
+        return [(lo, min(lo + SCORED_AT_ONCE, len(self.word))) for lo in range(0, len(self.word), SCORED_AT_ONCE)]
 
     def pair(self, before: np.ndarray, after: np.ndarray) -> np.ndarray:
         return before.astype(np.int64) * self.size + after
@@ -186,15 +203,25 @@ class Shard:
         number = np.full(self.size, -1)
         number[seen] = np.arange(len(seen))
         p1 = (self.count[seen] - model.discount) / max(model.tokens, 1)
-        word, before, earlier = number[self.word[self.train]], self.before[self.train], self.earlier[self.train]
-        two, n2 = np.unique(self.pair(word, before), return_counts=True)
+        keys, n = np.empty(len(self.train), np.int64), 0
+        for lo, hi in self.cuts():
+            pick = self.train[lo:hi]
+            found = self.pair(number[self.word[lo:hi][pick]], self.before[lo:hi][pick])
+            keys[n:n + len(found)] = found
+            n += len(found)
+        two, n2 = _counted(keys[:n])
         two, n2 = two[n2 >= LEAST_COUNT], n2[n2 >= LEAST_COUNT]
         p2 = (n2 + PRIOR[2] * p1[two // self.size]) / (self.totals[two % self.size] + PRIOR[2])
         # A trigram that is counted twice has its bigram counted twice, so those without a parent would go anyway.
-        some = np.flatnonzero(earlier != self.none)
-        parent = _lookup(two, self.pair(word[some], before[some]))
-        some, parent = some[parent >= 0], parent[parent >= 0]
-        three, n3 = np.unique(self.pair(parent, earlier[some]), return_counts=True)
+        n = 0
+        for lo, hi in self.cuts():
+            pick = self.train[lo:hi] & (self.earlier[lo:hi] != self.none)
+            parent = _lookup(two, self.pair(number[self.word[lo:hi][pick]], self.before[lo:hi][pick]))
+            found = self.pair(parent[parent >= 0], self.earlier[lo:hi][pick][parent >= 0])
+            keys[n:n + len(found)] = found
+            n += len(found)
+        three, n3 = _counted(keys[:n])
+        del keys
         three, n3 = three[n3 >= LEAST_COUNT], n3[n3 >= LEAST_COUNT]
         parent = three // self.size
         p3 = (n3 + PRIOR[3] * p2[parent]) / (self.pair_total(two[parent] % self.size, three % self.size) + PRIOR[3])
@@ -203,8 +230,10 @@ class Shard:
 
     def scores(self, model: Totals, trie: Trie) -> np.ndarray:
         """log10 probability of each occurrence: the longest context the trie has, with back-off weights."""
-        cuts = range(0, len(self.word), SCORED_AT_ONCE)
-        return np.concatenate([self._scores(model, trie, slice(lo, lo + SCORED_AT_ONCE)) for lo in cuts])
+        out = np.empty(len(self.word))
+        for lo, hi in self.cuts():
+            out[lo:hi] = self._scores(model, trie, slice(lo, hi))
+        return out
 
     def _scores(self, model: Totals, trie: Trie, some: slice) -> np.ndarray:
         two, at_two = np.unique(self.pair(self.word[some], self.before[some]), return_inverse=True)
@@ -264,8 +293,8 @@ def _asked(documents: DataFrame, n_parts: int, keys: list[int], sent) -> DataFra
             pick = pairs[cut[s]:cut[s + 1]] % len(words)
             yield pa.RecordBatch.from_arrays([pa.array([keys[s]], pa.int64()), pa.array([_steps(words[pick])], pa.binary()), pa.array([_planes(count[pick])], pa.binary())], ["shard", "vocabulary", "n"])
 
-    asked = documents.mapInArrow(ask, "owner long, words binary, n binary, n_wanted binary, wanted binary").repartition(n_parts, "owner")
-    return asked.mapInArrow(answer, "shard long, vocabulary binary, n binary")
+    asked = documents.mapInArrow(releasing(ask), "owner long, words binary, n binary, n_wanted binary, wanted binary").repartition(n_parts, "owner")
+    return asked.mapInArrow(releasing(answer), "shard long, vocabulary binary, n binary")
 
 
 def _dealt(documents: DataFrame, n_parts: int, sent) -> DataFrame:
@@ -307,7 +336,7 @@ def _dealt(documents: DataFrame, n_parts: int, sent) -> DataFrame:
         for held in _chunks(batches):
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*pack(held), strict=True), kinds, strict=True)], names)
 
-    occurrences = documents.mapInArrow(deal, "shard long, ids array<long>, train binary, " + ", ".join(f"{x} binary" for x in names[3:]))
+    occurrences = documents.mapInArrow(releasing(deal), "shard long, ids array<long>, train binary, " + ", ".join(f"{x} binary" for x in names[3:]))
     return occurrences.unionByName(_asked(documents, n_parts, keys, sent), allowMissingColumns=True).repartition(n_parts, "shard")
 
 
@@ -320,16 +349,19 @@ def _gathered(batches, model: Totals) -> Shard | None:
         return np.where(places < n_frequent, places, places.astype(np.int32) + (n_hashes - n_frequent)).astype(np.int32)
 
     for batch in batches:
-        for ids, train, own, heads, n, word, earlier, doc in zip(*(batch.column(k).to_pylist() for k in range(1, 9)), strict=True):
-            own = _summed(own)
-            if ids is None:
-                counted.append((own, _values(n, np.int64)))
+        for row in range(len(batch)):
+            own, n = (_values(batch.column(k)[row].as_buffer(), t) for k, t in ((3, np.uint64), (5, np.int64 if not batch.column(1)[row].is_valid else np.int32)))
+            own = np.cumsum(own)
+            if not batch.column(1)[row].is_valid:
+                counted.append((own, n))
                 continue
+            ids = batch.column(1)[row].values
+            train, heads, word, earlier, doc = (batch.column(k)[row].as_buffer() for k in (2, 4, 6, 7, 8))
             at, most = _wide(doc, len(ids)), n_frequent + len(own)
-            before = np.repeat(placed(_wide(heads, most)), _values(n, np.int32))
+            before = np.repeat(placed(_wide(heads, most)), n)
             parts.append((placed(_wide(word, most)), before, placed(_wide(earlier, most)), at.astype(np.int32) + size, np.frombuffer(train, bool)[at]))
             held.append(own)
-            documents += ids
+            documents.append(ids.fill_null(NO_ID).to_numpy())
             size += len(ids)
             n_hashes += len(own)
     if not parts:
@@ -348,7 +380,7 @@ def _gathered(batches, model: Totals) -> Shard | None:
         count[_lookup(vocabulary, words)] = n
     for places in (word, before, earlier):
         np.take(which, places, out=places)
-    return Shard(vocabulary, count, word, before, earlier, doc, train, documents)
+    return Shard(vocabulary, count, word, before, earlier, doc, train, np.concatenate(documents))
 
 
 def train_model(documents: DataFrame) -> DataFrame:
@@ -363,7 +395,7 @@ def train_model(documents: DataFrame) -> DataFrame:
         if got:
             yield pa.RecordBatch.from_arrays([pa.array([int(tn.mix(got.vocabulary[got.before[:1]])[0] >> np.uint64(1))], pa.int64()), pa.array([got.trie(sent.value).to_bytes()], pa.binary()), pa.array([got.vocabulary.tobytes()], pa.binary())], ["shard", "trie", "contexts"])
 
-    return _dealt(held, shuffle_partitions(documents.sparkSession), sent).mapInArrow(build, "shard long, trie binary, contexts binary")
+    return _dealt(held, shuffle_partitions(documents.sparkSession), sent).mapInArrow(releasing(build), "shard long, trie binary, contexts binary")
 
 
 def lm_scores(documents: DataFrame) -> DataFrame:
@@ -385,12 +417,12 @@ def lm_scores(documents: DataFrame) -> DataFrame:
         if not got:
             return
         trie = Trie.from_buffer(got.trie(sent.value).to_bytes())
-        made, count, word, doc, documents = got.scores(sent.value, trie), got.count, got.word, got.doc, got.documents
-        n, ids = len(documents), np.array([NO_ID if d is None else d for d in documents], np.int64)
-        names, of = np.unique(ids, return_inverse=True)
+        made, count, word, doc, n = got.scores(sent.value, trie), got.count, got.word, got.doc, len(got.documents)
+        names, of = np.unique(got.documents, return_inverse=True)
+        del got, trie
         sums = np.empty(len(names), _SUMS)
         sums["doc"] = names
-        for field, values in (("n_tokens", np.bincount(doc, minlength=n)), ("n_known", np.bincount(doc, count[word] > 0, n)), ("base", np.bincount(doc, np.log10(count[word] + 1.0), n)), ("score", np.bincount(doc, made, n))):
+        for field, values in (("n_tokens", np.bincount(doc, minlength=n)), ("n_known", np.bincount(doc, (count > 0)[word], n)), ("base", np.bincount(doc, np.log10(count + 1.0)[word], n)), ("score", np.bincount(doc, made, n))):
             sums[field] = np.bincount(of, values, len(names))
         chunk = (tn.mix(sums["doc"].astype(np.uint64)) % np.uint64(n_parts)).astype(np.int64)
         order = np.argsort(chunk, kind="stable")
@@ -408,7 +440,7 @@ def lm_scores(documents: DataFrame) -> DataFrame:
 
     n_parts = shuffle_partitions(spark)
     keys = even_keys(spark, n_parts)
-    partial = _dealt(held, n_parts, sent).mapInArrow(score, "chunk long, sums binary").repartition(n_parts, "chunk")
-    out = partial.mapInArrow(add, "doc_id long, n_tokens long, n_known long, base double, score double")
+    partial = _dealt(held, n_parts, sent).mapInArrow(releasing(score), "chunk long, sums binary").repartition(n_parts, "chunk")
+    out = partial.mapInArrow(releasing(add), "doc_id long, n_tokens long, n_known long, base double, score double")
     below = float(np.log10(model.tokens + model.types + 1))
     return out.select("doc_id", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), (F.col("base") - F.col("n_tokens") * below).alias("base_score"), "score")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 
+AT_ONCE = 1 << 15  # numbers that are cut into bits together; of whole bytes, so that their bits follow on each other
 STEPS, LOWEST = 65535, -16.0  # log10 probabilities from -16 to 0: steps of 0.00025
 
 
@@ -24,8 +25,11 @@ class EliasFano:
         bits = max(0, (max(1, universe) // max(1, n)).bit_length() - 1)
         flags = np.zeros(n + (int(values[-1]) >> bits if n else 0) + 1, np.uint8)
         flags[(values >> np.uint64(bits)).astype(np.int64) + np.arange(n)] = 1
-        low = (values[:, None] >> np.arange(bits, dtype=np.uint64)[None, :]) & np.uint64(1)
-        return cls(n, bits, np.packbits(low.astype(np.uint8).ravel(), bitorder="little"), np.packbits(flags, bitorder="little"))
+        low, at = [np.zeros(0, np.uint8)], np.arange(bits, dtype=np.uint64)
+        for lo in range(0, n, AT_ONCE):
+            some = (values[lo:lo + AT_ONCE, None] >> at[None, :]) & np.uint64(1)
+            low.append(np.packbits(some.astype(np.uint8).ravel(), bitorder="little"))
+        return cls(n, bits, np.concatenate(low), np.packbits(flags, bitorder="little"))
 
     def low_at(self, i: np.ndarray) -> np.ndarray:
         if not self.low_bits:

@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -296,6 +297,21 @@ def test_lm_frequent_words_travel_as_numbers(spark, docs, monkeypatch):
     assert len(model.words) > 200 and not np.isin(sent, model.words).any()
 
 
+def test_lm_shard_holds_little_beside_its_occurrences():
+    rng, n, size = np.random.default_rng(3), 1 << 21, 6000
+    word, before, earlier = (rng.zipf(1.3, n).clip(1, size).astype(np.int32) - 1 for _ in range(3))
+    count = np.bincount(word, minlength=size)
+    model = type("", (), {"tokens": n, "types": size, "discount": 0.5})
+    tracemalloc.start()
+    shard = lm.Shard(np.arange(size, dtype=np.uint64), count, word, before, earlier, np.zeros(n, np.int32), np.ones(n, bool), np.zeros(1))
+    trie = shard.trie(model)
+    held = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert held < 40 * n, held / n
+    pairs, counts = np.unique(before[earlier != shard.none].astype(np.int64) * size + earlier[earlier != shard.none], return_counts=True)
+    assert np.array_equal(shard.pairs, pairs) and np.array_equal(shard.pair_totals, counts) and len(trie.codes[2]) > 0
+
+
 def test_places_beyond_16_bits():
     for size in (1, 65536, 65537, 1 << 20):
         places = np.random.default_rng(size).integers(0, size, 1000)
