@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.base import table, written
+from llm.base import marked, table, written
 from llm.decontaminate import leaks
 from llm.ngram_join import ngram_jaccard_join
 from llm.packing import harmonic_pack, piece_digests
@@ -35,15 +35,18 @@ def _rows(docs: DataFrame, **keys: Column) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked ones, that with the smallest doc_id; one row where it is repeated.
 
-    Rows without doc_id stay: nothing can stand for them. Other columns are carried unread.
+    Rows without doc_id stay: nothing can stand for them. Other columns are carried unread. Rows travel only where their
+    id may be dropped or repeated.
     """
     found = ngram_jaccard_join(docs)
     ids = found.groupBy("doc_id").agg(F.min("component_id").alias("component"), F.count(F.lit(1)).alias("n_rows"))
-    kept = written(ids.where("doc_id = component").select(F.col("doc_id").alias("kept_id"), "n_rows"), "kept-ids")
-    held = _rows(docs, id=F.col("doc_id"))
-    once = held.join(kept.where("n_rows = 1"), F.col("id") == F.col("kept_id"), "left_semi")
-    repeated = held.join(kept.where("n_rows > 1"), F.col("id") == F.col("kept_id"), "left_semi").dropDuplicates(["id"])
-    return once.union(repeated).union(held.where("id is null")).select("row.*")
+    ids = written(ids.where("doc_id is not null"), "component-ids")
+    kept = ids.where("doc_id = component").select(F.col("doc_id").alias("kept_id"), "n_rows")
+    held = marked(_rows(docs, id=F.col("doc_id")), "id", ids.where("doc_id != component or n_rows > 1").select("doc_id"))
+    again = held.where("hit")
+    once = again.join(kept.where("n_rows = 1"), F.col("id") == F.col("kept_id"), "left_semi")
+    repeated = again.join(kept.where("n_rows > 1"), F.col("id") == F.col("kept_id"), "left_semi").dropDuplicates(["id"])
+    return held.where("not hit").union(once).union(repeated).select("row.*")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

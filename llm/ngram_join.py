@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm import textnum as tn
-from llm.base import Scratch, by_bucket, components, ship, shuffle_partitions, slices, summed_counts
+from llm.base import Scratch, by_bucket, components, marked, ship, shuffle_partitions, slices, summed_counts
 
 SKETCH_BITS = 20  # 4 MB of counts, whatever the input; it only orders columns, so a coarse count costs time, not links
 FILTER_BITS = 24  # of the set of candidate documents: 2 MB, whatever their number; false hits are removed by a join
@@ -255,6 +255,8 @@ def _block_candidates(postings: DataFrame, classes: DataFrame, roots: DataFrame,
         made = np.array(found, np.int64).reshape(-1, 4)
         return pa.table([pa.array(made[:, k]) for k in range(4)], ["a", "b", "na", "nb"])
 
+    # Few documents are in a group: the prefixes of the others stay where they are.
+    prefixes = marked(prefixes, "doc", members.select("doc")).where("hit").drop("hit")
     tested = met.join(prefixes, "doc").groupBy("group", "low", "high").applyInArrow(product, "a long, b long, na long, nb long")
     return tested.distinct()
 

@@ -1,9 +1,11 @@
 """The pipeline's stages, each against what its operator decides."""
 
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from llm import base
 from llm.decontaminate import leaks
 from llm.quality import quality_rules
 
@@ -58,3 +60,30 @@ def test_clashing_columns_and_rows_by_their_own_text(spark, sf_dir):
     for r in out.collect():
         assert [r[c] for c in names] == list(range(len(names)))
         assert not r["text"] or ("a@b.example" not in r["text"] and r["n_chars"] == len(r["text"]))
+
+
+def test_marked_ids_hit_and_null_does_not(spark, monkeypatch):
+    ids = [0, -1, 5, 64, 2**62, -(2**63), 2**63 - 1]
+    rows = spark.createDataFrame([(i, "t") for i in [*ids, *range(1000, 3000), None]], "id long, text string")
+    got = {r["id"]: r["hit"] for r in base.marked(rows, "id", spark.createDataFrame([(i,) for i in [*ids, 5, None]], "doc_id long")).collect()}
+    assert len(got) == rows.count() and all(got[i] for i in ids) and not got[None] and sum(got.values()) < 20
+    assert not any(r["hit"] for r in base.marked(rows, "id", spark.createDataFrame([], "doc_id long")).collect())
+
+
+def test_kept_rows_are_not_shuffled_for_their_duplicates(spark, sf_dir, monkeypatch):
+    docs = base.table(spark, sf_dir, "documents").limit(120).select("doc_id", "text")
+    docs = docs.union(docs.limit(9)).union(docs.limit(20).select(F.col("doc_id") + 10**6, "text")).union(docs.limit(3).select(F.lit(None), "text"))
+    found = {}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = corpus_pipeline.near_duplicates(spark, docs, sf_dir)
+        unhit = out._jdf.queryExecution().executedPlan().toString().split("Union", 1)[1]
+        indent = min(line.index(":- ") for line in unhit.splitlines() if ":- " in line)
+        first = unhit.split("\n" + " " * indent + ":- ", 2)[1]
+        assert "BroadcastHashJoin" in first and "SortMergeJoin" not in first
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for bits in (1, base.MARK_BITS):  # with one bit nearly every row is a false hit
+        monkeypatch.setattr(base, "MARK_BITS", bits)
+        found[bits] = sorted(map(repr, corpus_pipeline.near_duplicates(spark, docs, sf_dir).collect()))
+    assert len({tuple(x) for x in found.values()}) == 1 and len(found[1]) <= 123
