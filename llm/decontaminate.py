@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm import textnum as tn
-from llm.base import ship, slices
+from llm.base import releasing, ship, slices
 
 BLOCK_TOKENS = 2_000_000  # benchmark tokens handed to all workers at once; a larger benchmark takes several passes
 NOT_WORD = np.array([not (chr(b).isalnum() and b < 128) and b < 128 for b in range(256)])
@@ -143,7 +143,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame, min_match: int = 5, thresh
                         yield pa.RecordBatch.from_pylist([dict(zip(("doc_id", "item_id", "n_covered", "n_item", "coverage"), r, strict=True)) for r in rows],
                                                          pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("n_covered", pa.int64()), ("n_item", pa.int64()), ("coverage", pa.float64())]))
 
-        out = out.union(held.mapInArrow(compare, schema))
+        out = out.union(held.mapInArrow(releasing(compare), schema))
     return out
 
 

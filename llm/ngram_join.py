@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm import textnum as tn
-from llm.base import Scratch, by_bucket, components, marked, ship, shuffle_partitions, slices, summed_counts
+from llm.base import Scratch, by_bucket, components, marked, releasing, ship, shuffle_partitions, slices, summed_counts
 
 SKETCH_BITS = 20  # 4 MB of counts, whatever the input; it only orders columns, so a coarse count costs time, not links
 FILTER_BITS = 24  # of the set of candidate documents: 2 MB, whatever their number; false hits are removed by a join
@@ -85,7 +85,7 @@ def _prefixes(documents: DataFrame, n: int, share: Fraction) -> DataFrame:
                     [piece.column("doc_id").cast(pa.int64()), pa.array(keys, pa.int64()), pa.array(others, pa.int64()), pa.array(sizes, pa.int64()), pa.array(columns, pa.binary())],
                     ["doc_id", "key", "other", "n_shingles", "columns"])
 
-    return documents.select("doc_id", "text").mapInArrow(make, "doc_id long, key long, other long, n_shingles long, columns binary")
+    return documents.select("doc_id", "text").mapInArrow(releasing(make), "doc_id long, key long, other long, n_shingles long, columns binary")
 
 
 _POSTING = np.dtype([("gram", "<u8"), ("doc", "<i8"), ("size", "<i4"), ("pos", "<i4")])
@@ -127,8 +127,8 @@ def _postings(classes: DataFrame) -> DataFrame:
         rows, n = rows[n > 1], n[n > 1]
         yield pa.RecordBatch.from_arrays([pa.array(rows["gram"].view(np.int64)), *(pa.array(rows[k]) for k in ("doc", "size", "pos")), pa.array(n)], ["gram", "doc", "size", "pos", "n"])
 
-    packed = classes.select("rep", "n_shingles", "columns").mapInArrow(deal, "block long, postings binary")
-    return packed.repartition(n_parts, "block").mapInArrow(shared, _ROW)
+    packed = classes.select("rep", "n_shingles", "columns").mapInArrow(releasing(deal), "block long, postings binary")
+    return packed.repartition(n_parts, "block").mapInArrow(releasing(shared), _ROW)
 
 
 def _in_components(rows: DataFrame, roots: DataFrame | None) -> DataFrame:
@@ -200,7 +200,7 @@ def _candidates(postings: DataFrame, roots: DataFrame | None, share: Fraction, t
             yield emit(rows, left, right)
 
     dealt = labelled.repartition(shuffle_partitions(postings.sparkSession), "gram", "part")
-    partial = dealt.mapInArrow(multiply, "a long, b long, na long, nb long, pa long, pb long")
+    partial = dealt.mapInArrow(releasing(multiply), "a long, b long, na long, nb long, pa long, pb long")
     summed = partial.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("shared"), F.max("pa").alias("pa"), F.max("pb").alias("pb"))
     # Before the last round the columns a pair shares elsewhere are not all known: a pair that fails here is tried again there.
     rest = F.least(F.col("na") - 1 - F.col("pa"), F.col("nb") - 1 - F.col("pb"))
@@ -285,7 +285,7 @@ def _links(documents: DataFrame, pairs: DataFrame, n: int, share: Fraction, scra
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int32()), pa.array([x[2].view(np.int64) for x in out], pa.list_(pa.int64()))], ["doc_id", "block", "grams"])
 
-    sets = documents.where("doc_id is not null").select("doc_id", "text", slot.alias("slot")).mapInArrow(make, "doc_id long, block int, grams array<long>")
+    sets = documents.where("doc_id is not null").select("doc_id", "text", slot.alias("slot")).mapInArrow(releasing(make), "doc_id long, block int, grams array<long>")
     sets = scratch.written(sets, "ngram-sets")
     # Repeated rows of an id are rare and their sets are tried one by one.
     spread = pairs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(COLUMN_BLOCKS - 1))))

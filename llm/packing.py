@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm import textnum as tn
-from llm.base import ship, slices
+from llm.base import releasing, ship, slices
 
 KEPT_WORDS = 300_000  # of a worker's memory of encoded words; then it forgets those it met once, which changes no result
 AT_ONCE = 4096
@@ -259,7 +259,7 @@ def harmonic_pack(documents: DataFrame, tokenizer_path: str, capacity: int = 409
         yield taken()
 
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        pack, "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
+        releasing(pack), "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
 
 
 def piece_digests(pieces: DataFrame) -> DataFrame:
