@@ -18,13 +18,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm import textnum as tn
-from llm.base import even_keys, releasing, ship, shuffle_partitions, slices
+from llm.base import by_bucket, even_keys, releasing, ship, shuffle_partitions, slices
 
 K = 16
 HOT = 256  # an anchor of more documents has a route of its own
 NO_ID = np.iinfo(np.int64).max  # stands for a null doc_id: larger than all others
 AT_ONCE = 16 << 20
-INDEX_BYTES = 1 << 20
+PIECE = 1 << 17  # hashes of a piece stay in a core's cache
+INDEX_BYTES = 1 << 16  # what sorts of an index need stays in a core's cache, and its ranks fit 16 bits
+TABLE = 1 << 18  # distinct stretches are numbered by a table of this size, or four times the index
+INDEX_PLACES = 1 << 20  # of rows whose marks are found at once
 
 
 def _ids(column) -> np.ndarray:
@@ -55,7 +58,7 @@ def _shared_anchors(documents: DataFrame, length: int, n: int, keys: list[int])
 
         def packed():
             hashes, docs = (np.concatenate([h[k] for h in held]) for k in (0, 1))
-            order = np.lexsort((docs, hashes))
+            order = np.argsort(hashes, kind="stable")  # those of a row stay together
             hashes, docs = hashes[order], docs[order]
             new = np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (docs[1:] != docs[:-1])])
             hashes, docs = hashes[new], docs[new]
@@ -68,7 +71,7 @@ def _shared_anchors(documents: DataFrame, length: int, n: int, keys: list[int])
             return _batch(rows, [pa.int64(), *[pa.binary()] * 3], ["shard", "docs", "at", "low"])
 
         for batch in batches:
-            for piece in slices(batch, "text"):
+            for piece in slices(batch, "text", PIECE):
                 raw, offsets = tn.text_bytes(piece.column("text"))
                 places, hashes = tn.anchors(raw, offsets, length, K)
                 if not len(places):
@@ -90,7 +93,7 @@ def _shared_anchors(documents: DataFrame, length: int, n: int, keys: list[int])
         if not low:
             return
         low, docs = np.concatenate(low), np.concatenate(docs)
-        order = np.argsort(low, kind="stable")
+        order = np.argsort(low)
         low, docs = low[order], docs[order]
         start = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
         least, most, count = np.minimum.reduceat(docs, start), np.maximum.reduceat(docs, start), np.diff(np.append(start, len(low)))
@@ -99,10 +102,10 @@ def _shared_anchors(documents: DataFrame, length: int, n: int, keys: list[int])
         route = np.repeat(np.where(count > HOT, own, route), count)
         pick = np.repeat(least < most, count)
         low, docs, route = low[pick], docs[pick], route[pick]
-        chunk = _chunk(docs, n)
-        order = np.lexsort((low, docs, chunk))
-        low, docs, route, chunk = low[order], docs[order], route[order], chunk[order]
-        cut, rows = np.searchsorted(chunk, np.arange(n + 1)), []
+        by_doc = np.argsort(docs)
+        order, cut = by_bucket(_chunk(docs[by_doc], n), n)
+        order, rows = by_doc[order], []
+        low, docs, route = low[order], docs[order], route[order]
         for c in np.flatnonzero(np.diff(cut)).tolist():
             table, counts = np.unique(docs[cut[c]:cut[c + 1]], return_counts=True)
             rows.append((keys[c], table.tobytes(), counts.astype(np.int32).tobytes(), low[cut[c]:cut[c + 1]].tobytes(), route[cut[c]:cut[c + 1]].tobytes()))
@@ -163,21 +166,25 @@ class RunIndex:
         inside = np.repeat(np.arange(len(texts)), sizes) + np.arange(sizes.sum())
         symbols[inside] = np.frombuffer(b"".join(texts), np.uint8).astype(np.uint64) + np.uint64(1)
         n = int(self.begin[-1])
-        key = np.zeros(len(symbols), np.uint64)
-        depth = min(7, length)
-        for j in range(depth):
-            key[:len(symbols) - j] |= symbols[j:] << np.uint64(9 * (6 - j))
-        rank, order = self._ranked(key)
-        # Ranks of three neighbouring stretches make one key where their bits fit, else those of two.
-        parts = 3 if len(symbols) <= 1 << 21 else 2
-        while depth < length:
+        rank, radix = self._numbered(symbols, 257)
+        depth, reach = 1, 0
+        while reach < length:
+            # Ranks of neighbouring stretches make one key: few distinct ones are numbered in a table, others sorted.
+            parts = next((p for p in (3, 2) if radix ** p <= max(4 * len(symbols), TABLE) and p * depth < length), 0)
+            by_table = parts > 0
+            if not by_table:
+                parts = min(-(-length // depth), next(p for p in range(64, 0, -1) if radix ** p <= 1 << 64))
             reach = min(parts * depth, length)
             key = rank.copy()
             for j in range(1, parts):
                 step = min(j * depth, reach - depth)
-                key <<= np.uint64(64 // parts)
-                key[:len(rank) - step] |= rank[step:]
-            rank, order = self._ranked(key)
+                key *= np.uint64(radix)
+                key[:len(rank) - step] += rank[step:]
+            if by_table:
+                rank, radix = self._numbered(key, radix ** parts)
+            else:
+                rank, order = self._ranked(key)
+                radix = max(2, int(rank.max()) + 1)
             depth = reach
         rank = rank[:n].astype(np.int64)
         self.order = order[order < n]  # the suffix array to this depth
@@ -196,6 +203,14 @@ class RunIndex:
         self.interval = np.empty(n, np.int64)
         self.interval[self.order] = interval
 
+    @staticmethod
+    def _numbered(key: np.ndarray, size: int) -> tuple[np.ndarray, int]:
+        """The number of each key (below ``size``) among the distinct ones, and a bound of the numbers, 2 at least."""
+        there = np.zeros(size, bool)
+        there[key] = True
+        number = np.cumsum(there, dtype=np.uint64)
+        return (number - np.uint64(1))[key], max(2, int(number[-1]))
+
     @staticmethod
     def _ranked(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The number of each key among the distinct ones, and the order of the keys."""
@@ -205,12 +220,25 @@ class RunIndex:
         number[order[1:]] = np.cumsum(ordered[1:] != ordered[:-1]).astype(np.uint64)
         return number, order
 
+    def all_matches(self) -> np.ndarray:
+        """For every place of all texts, the smallest document that has the string there; its string must be whole."""
+        return self.least[self.interval]
+
     def matches(self, text: int, size: int) -> np.ndarray:
         """Streaming over a text's places where a whole string starts: the smallest document that has it."""
         count = max(0, size - self.length + 1)
         return self.least[self.interval[self.begin[text]:self.begin[text] + count]]
 
 
+def _indexes(table: np.ndarray) -> list[np.ndarray]:
+    """The stretches of each index. Strings of different routes need not meet: an index takes the routes of about INDEX_BYTES at a time."""
+    order = np.argsort(table["route"], kind="stable")
+    route, before = table["route"][order], np.cumsum(table["size"][order], dtype=np.int64) - table["size"][order]
+    first = np.flatnonzero(np.concatenate([[True], route[1:] != route[:-1]]))
+    part = before[first] // INDEX_BYTES
+    return np.split(order, first[np.flatnonzero(np.diff(part)) + 1])
+
+
 def _marks(table: np.ndarray, texts: list[bytes], length: int):
     """(row key, document, start, end) of the bytes under strings that a smaller document has."""
     distinct: dict[bytes, int] = {}
@@ -218,19 +246,22 @@ def _marks(table: np.ndarray, texts: list[bytes], length: int):
     owners = np.full(len(distinct), NO_ID)
     np.minimum.at(owners, which, table["doc"])
     index = RunIndex(list(distinct), owners, length)
-    sizes = [len(t) for t in distinct]
-    found = [index.matches(k, size) for k, size in enumerate(sizes)]
-    least = [int(x.min()) if len(x) else NO_ID for x in found]
-    out = []
-    for row, k in zip(table, which.tolist(), strict=True):
-        if least[k] >= row["doc"]:
-            continue
-        hit = np.concatenate([[False], found[k] < row["doc"], [False]])
-        edges = np.flatnonzero(hit[1:] != hit[:-1])
-        start, end = edges[::2], edges[1::2] + length - 1
-        out.append((np.full(len(start), row["key"], np.uint64), np.full(len(start), row["doc"]), start + row["start"], end + row["start"]))
-    if not out:
-        return [np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3]
+    found = index.all_matches()
+    count = np.maximum(0, table["size"].astype(np.int64) - length + 1)
+    rows, out = np.flatnonzero(count > 0), []
+    part = (np.cumsum(count[rows]) - count[rows]) // INDEX_PLACES
+    for pick in np.split(rows, np.flatnonzero(np.diff(part)) + 1):
+        # Places of all rows one after the other, each row with a place that is no match after it.
+        width = count[pick] + 1
+        ends = np.cumsum(width)
+        row = np.repeat(np.arange(len(pick)), width)
+        place = np.arange(len(row)) - (ends - width)[row]
+        hit = found[index.begin[which[pick]][row] + place] < table["doc"][pick][row]
+        hit[ends - 1] = False
+        edges = np.flatnonzero(np.diff(hit, prepend=False))
+        start, end = edges[::2], edges[1::2]
+        of = pick[row[start]]
+        out.append((table["key"][of], table["doc"][of], place[start] + table["start"][of], place[end] + length - 1 + table["start"][of]))
     return [np.concatenate([x[k] for x in out]) for k in range(4)]
 
 
@@ -265,7 +296,7 @@ def remove_repeats(documents: DataFrame, length: int = 50) -> DataFrame:
         known, routes = known[order], routes[order]
         tables, data, places = [], [], []
         for batch in texts.to_batches():
-            for piece in slices(batch, "text"):
+            for piece in slices(batch, "text", PIECE):
                 raw, offsets = tn.text_bytes(piece.column("text"))
                 table, parts = stretches(_ids(piece.column("doc_id")), raw, offsets, known, routes, length)
                 tables.append(table)
@@ -291,17 +322,7 @@ def remove_repeats(documents: DataFrame, length: int = 50) -> DataFrame:
         if not tables:
             return
         table = np.concatenate(tables)
-        # Strings of different routes need not meet: an index takes the routes of about INDEX_BYTES at a time.
-        order = np.argsort(table["route"], kind="stable")
-        route, before = table["route"][order], np.cumsum(table["size"][order]) - table["size"][order]
-        new = np.concatenate([[True], route[1:] != route[:-1]])
-        part = before[np.flatnonzero(new)] // INDEX_BYTES
-        part = np.repeat(part, np.diff(np.append(np.flatnonzero(new), len(route))))
-        cuts = np.append(np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])), len(part))
-        found = []
-        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-            pick = order[lo:hi]
-            found.append(_marks(table[pick], [texts[i] for i in pick.tolist()], length))
+        found = [_marks(table[pick], [texts[i] for i in pick.tolist()], length) for pick in _indexes(table)]
         key, doc, start, end = (np.concatenate([f[k] for f in found]) for k in range(4))
         chunk = _chunk(doc, n)
         rows = []

@@ -35,10 +35,11 @@ def powers(n: int, inverse: bool = False) -> np.ndarray:
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit values (splitmix finaliser)."""
     x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
@@ -102,13 +103,12 @@ def sliding(values: np.ndarray, width: int, least: bool) -> np.ndarray:
     if n <= 0:
         return values[:0]
     pick = np.minimum if least else np.maximum
-    blocks = -(-len(values) // width)
-    padded = np.full(blocks * width, np.iinfo(values.dtype).max if least else 0, values.dtype)
-    padded[:len(values)] = values
-    grid = padded.reshape(blocks, width)
-    onward = pick.accumulate(grid, axis=1).ravel()
-    backward = pick.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
-    return pick(backward[:n], onward[width - 1:width - 1 + n])
+    out, span = values, 1
+    while span < width:  # windows of twice the width, as far as that goes, then two that overlap
+        step = min(span, width - span)
+        out = pick(out[:-step], out[step:])
+        span += step
+    return out
 
 
 def anchors(raw: np.ndarray, offsets: np.ndarray, length: int, k: int) -> tuple[np.ndarray, np.ndarray]:

@@ -244,6 +244,29 @@ def test_run_index_takes_three_sorts(monkeypatch):
         assert len(sorts) <= 3
 
 
+def test_run_indexes_are_small():
+    rng = random.Random(5)
+    passages = [bytes(rng.choice(b"abcdefgh ") for _ in range(600)) for _ in range(300)]
+    texts = [p[rng.randrange(9):] for p in passages for _ in range(3)]
+    table = np.zeros(len(texts), runindex._STRETCH)
+    table["key"] = table["doc"] = np.arange(len(texts))[::-1]
+    table["start"], table["size"], table["route"] = 7, [len(t) for t in texts], np.repeat(np.arange(300), 3) * 7 % 300
+    parts = runindex._indexes(table)
+    assert sorted(np.concatenate(parts).tolist()) == list(range(len(texts)))
+    assert len(parts) > 1 and max(table["size"][p].sum() for p in parts) < (1 << 16) + 3 * 600
+    assert all(len(p) == 3 * len(set(table["route"][p].tolist())) for p in parts)  # a route is not divided
+    spans: dict[int, list] = {}
+    for part in parts:
+        for key, doc, start, end in zip(*runindex._marks(table[part], [texts[i] for i in part.tolist()], 50), strict=True):
+            assert key == doc
+            spans.setdefault(int(key), []).append((int(start), int(end)))
+    for i, (row, text) in enumerate(zip(table, texts, strict=True)):
+        others = [u for u, r in zip(texts[i - i % 3:i - i % 3 + 3], table[i - i % 3:i - i % 3 + 3], strict=True) if r["doc"] < row["doc"]]
+        hit = [any(text[k:k + 50] in u for u in others) for k in range(len(text) - 49)] + [False]
+        starts = [k for k in range(len(hit)) if hit[k] and not (k and hit[k - 1])]
+        assert spans.get(int(row["key"]), []) == [(7 + k, 7 + hit.index(False, k) - 1 + 50) for k in starts]
+
+
 def test_lm_base_and_score(rows, docs):
     tokens = {i: [*words(t), None] for i, t in rows}
     train = {i: i % 3 != 0 for i in tokens}
