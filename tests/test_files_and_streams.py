@@ -1,11 +1,13 @@
 """Sources, sinks, streams and the end-to-end run over files."""
 
 import json
+import threading
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators import quality
 from tidemark.operators.climate import next_range
 from tidemark.plans import etl, live, warehouse
 from tidemark.plans.metrics import CONCENTRATION, RISK
@@ -338,6 +340,26 @@ def test_run_and_run_again(spark, sources, tmp_path):
     assert again.warehouse.fact.count() == 24 and again.warehouse.dim_location.count() == first.warehouse.dim_location.count()
 
 
+def test_run_cleans_observations_once_and_checks_side_by_side(spark, sources, tmp_path, monkeypatch):
+    read, stages, together = [], [], threading.Barrier(3, timeout=120)
+    catalogue, check = etl.grid_catalog, quality.check
+    monkeypatch.setattr(etl, "grid_catalog", lambda df: read.append(df.inputFiles()) or catalogue(df))
+
+    def met(df, rules, dataset, stage):
+        together.wait()  # breaks unless all three datasets are under way
+        stages.append((stage, dataset))
+        return check(df, rules, dataset, stage)
+
+    monkeypatch.setattr(quality, "check", met)
+    result = etl.run(spark, config(sources, tmp_path, load_id="a"))
+    assert len(read) == 1 and read[0] and all("/clean/observations/" in f for f in read[0])
+    assert len(stages) == len(set(stages)) == 6
+    for stage in ("pre", "post"):
+        assert spark.read.parquet(result.reports[stage]["rules"]).select("dataset").distinct().count() == 3
+    written = {r["grid_id"] for r in spark.read.parquet(result.paths["catalog"]).collect()}
+    assert written == {r["grid_id"] for r in etl.first_pass_catalog(sources[0]).collect()}
+
+
 def test_run_on_text_with_unreadable_values(spark, sources, tmp_path):
     observations, occurrences, climate = sources
     as_text = lambda df: df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -216,16 +217,22 @@ def run_suites(
         ("climate", climate, CLIMATE_COLUMNS, climate_suite()),
         ("species", occurrences, OCCURRENCE_COLUMNS, occurrence_suite(current_year)),
     ]
-    report = observations.sparkSession.createDataFrame([], REPORT_DDL)
-    for dataset, df, columns, rules in suites:
+    spark = observations.sparkSession
+
+    def evaluated(dataset: str, df: DataFrame, columns: Sequence[str], rules: Sequence[Rule]) -> DataFrame | None:
         try:
             # Evaluated here and now, a few rows: a dataset that fails while it runs fails alone.
             block = check(project_present(df, columns), rules, dataset, stage)
-            block = observations.sparkSession.createDataFrame(block.collect(), block.schema)
+            return spark.createDataFrame(block.collect(), block.schema)
         except Exception as error:  # an unreadable dataset must not hide the other reports
             print(f"quality checks of {dataset} failed: {error}")
-            continue
-        report = report.unionByName(block)
+            return None
+
+    report = spark.createDataFrame([], REPORT_DDL)
+    with ThreadPoolExecutor(len(suites)) as pool:  # no dataset waits for another
+        blocks = list(pool.map(evaluated, *zip(*suites, strict=True)))
+    for block in blocks:
+        report = report if block is None else report.unionByName(block)
     return report
 
 
